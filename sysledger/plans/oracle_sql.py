@@ -356,7 +356,7 @@ select s.statementid, s.sessionid, se.username, se.dbname, u.userid, u.user_dele
                                  "fx_statements_src", "fx_sessions_src", "fx_users_hist"),
     "long_running": sql("""
 select statementid, sessionid, starttime, endtime, epoch_us(endtime) - epoch_us(starttime) as duration_us
- from fx_statements_src where endtime is not null and epoch_us(endtime) - epoch_us(starttime) >= 300 * 1000000""",
+ from fx_statements_src where endtime is not null and epoch_us(endtime) - epoch_us(starttime) >= cast(300 as bigint) * 1000000""",
                         "fx_statements_src"),
     "inactive_users": sql(f"""
 select userid, username, last_activity_time, first_captured_time from h5
@@ -366,5 +366,5 @@ select userid, username, last_activity_time, first_captured_time from h5
 select gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) as gap_us from (
   select lag(starttime) over (order by starttime) as gap_start, starttime as gap_end
     from fx_sessions_src where starttime is not null)
- where gap_start is not null and epoch_us(gap_end) - epoch_us(gap_start) > 3600 * 1000000""", "fx_sessions_src"),
+ where gap_start is not null and epoch_us(gap_end) - epoch_us(gap_start) > cast(3600 as bigint) * 1000000""", "fx_sessions_src"),
 }
