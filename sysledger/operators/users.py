@@ -19,11 +19,11 @@ size check; the history itself is scanned, never shuffled, on that path.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import any_true, differs, ts_literal
-from ..plans.hints import broadcast_if_small
+from ..plans.hints import broadcast_if_small, fits_broadcast
 from ..schemas import USER_BOOKKEEPING, USER_COMPARED_COLUMNS, USER_SOURCE_COLUMNS, USERS_HISTORY, typed_null
 
 HIST_COLUMNS = [f.name for f in USERS_HISTORY.fields]
@@ -70,11 +70,11 @@ def _new_rows(users_new: DataFrame, run_ts) -> DataFrame:
     return users_new.select(*cols)
 
 
-def _known_names(history: DataFrame, users_new: DataFrame) -> DataFrame:
+def _known_names(history: DataFrame, users_new: DataFrame, side=broadcast_if_small) -> DataFrame:
     """Source usernames present in the history; bounded by the source size.
     Only the history's username column is read."""
     names = users_new.select("username").where(F.col("username").isNotNull())
-    return history.select("username").join(broadcast_if_small(names), "username", "left_semi").distinct()
+    return history.select("username").join(side(names), "username", "left_semi").distinct()
 
 
 def session_activity(sessions_new: DataFrame, run_ts) -> DataFrame:
@@ -98,7 +98,12 @@ def users_update_changed(history: DataFrame, users_new: DataFrame) -> DataFrame:
 
 def users_insert_new(history: DataFrame, users_new: DataFrame, run_ts) -> DataFrame:
     """Step 2: append users whose username the history does not hold."""
-    fresh = users_new.join(broadcast_if_small(_known_names(history, users_new)), "username", "left_anti")
+    users_fit = fits_broadcast(users_new)
+
+    def side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if users_fit else df
+
+    fresh = users_new.join(side(_known_names(history, users_new, side)), "username", "left_anti")
     return history.select(*HIST_COLUMNS).unionByName(_new_rows(fresh, run_ts).select(*HIST_COLUMNS))
 
 
@@ -160,39 +165,45 @@ def set_user_attributes(history: DataFrame, edits: DataFrame) -> DataFrame:
 def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: DataFrame, run_ts) -> DataFrame:
     """All five steps in one plan. Returns the new history plus one flag
     column per step (``_upd``, ``_ins``, ``_act``, ``_del``, ``_clr``)
-    telling whether that step's statement touched the row."""
+    telling whether that step's statement touched the row.
+
+    Two sizes are checked: the source user list and the per-username
+    session activity. Every other user-side set (matched names, source
+    ids) is a subset of the source list and inherits its bound. Step 5
+    ("every row of that userid") is a window over userid on the small
+    users history instead of a second pass over it."""
     now = ts_literal(run_ts)
-    src = broadcast_if_small(_renamed_source(users_new))
+    users_fit = fits_broadcast(users_new)
+
+    def user_side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if users_fit else df
 
     # steps 1-2: refresh matched rows, append the new ones
-    joined = history.join(src, F.col("username") == F.col(_n("username")), "left").withColumn("_upd", _changed())
+    joined = (history.join(user_side(_renamed_source(users_new)), F.col("username") == F.col(_n("username")), "left")
+              .withColumn("_upd", _changed()))
     base_old = joined.select(*_refreshed_columns(F.col("_upd")), F.col("_upd"), F.lit(False).alias("_ins"))
-    fresh = users_new.join(broadcast_if_small(_known_names(history, users_new)), "username", "left_anti")
+    fresh = users_new.join(user_side(_known_names(history, users_new, user_side)), "username", "left_anti")
     base_new = _new_rows(fresh, run_ts).select(*HIST_COLUMNS, F.lit(False).alias("_upd"), F.lit(True).alias("_ins"))
     base = base_old.unionByName(base_new)
 
-    # steps 3 and 5 read the staged sessions, reduced per username
+    # steps 3-5 read the staged sessions reduced per username, and the source ids
     acts = broadcast_if_small(session_activity(sessions_new, run_ts))
-    cleared = broadcast_if_small(_cleared_ids(base, acts))
-    ids = broadcast_if_small(_source_ids(users_new))
-
     out = (
         base.join(acts, "username", "left")
-        .join(ids, F.col("userid") == F.col("_sid"), "left")
-        .join(cleared, F.col("userid") == F.col("_cid"), "left")
+        .join(user_side(_source_ids(users_new)), F.col("userid") == F.col("_sid"), "left")
     )
     act = F.col("_la").isNotNull()
     gone = F.col("userid").isNotNull() & F.col("_sid").isNull() & F.col("delete_time").isNull()
-    clr = F.col("_cid").isNotNull()
+    revoked_before = F.coalesce(F.col("connect_revoked_time") < F.col("_ls"), F.lit(False))
+    clr = F.col("userid").isNotNull() & F.max(revoked_before).over(Window.partitionBy("userid"))
     final = {
-        "last_activity_time": F.when(act, F.col("_la")).otherwise(F.col("last_activity_time")),
-        "delete_time": F.when(gone, now).otherwise(F.col("delete_time")),
-        "connect_revoked_time": F.when(clr, typed_null("timestamp_ntz")).otherwise(F.col("connect_revoked_time")),
+        "last_activity_time": F.when(F.col("_act"), F.col("_la")).otherwise(F.col("last_activity_time")),
+        "delete_time": F.when(F.col("_del"), now).otherwise(F.col("delete_time")),
+        "connect_revoked_time": F.when(F.col("_clr"), typed_null("timestamp_ntz")).otherwise(F.col("connect_revoked_time")),
     }
-    return out.select(
-        *[(final[c] if c in final else F.col(c)).alias(c) for c in HIST_COLUMNS],
-        "_upd", "_ins", act.alias("_act"), gone.alias("_del"), clr.alias("_clr"),
-    )
+    flagged = out.select(*HIST_COLUMNS, "_la", "_upd", "_ins", act.alias("_act"), gone.alias("_del"), clr.alias("_clr"))
+    return flagged.select(*[(final[c] if c in final else F.col(c)).alias(c) for c in HIST_COLUMNS],
+                          "_upd", "_ins", "_act", "_del", "_clr")
 
 
 def sync_users(history: DataFrame, users_new: DataFrame, sessions_new: DataFrame, run_ts) -> DataFrame:
