@@ -1,0 +1,120 @@
+"""Watermark, window extract and merge (A1, A2, M1, M2, D1-D3, D12, D13)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import SF_MID, SF_SMALL
+from pyspark.sql import functions as F
+
+from sysledger import fixtures as fx
+from sysledger.operators import capture
+from sysledger.plans import scenarios as sc
+from sysledger.schemas import SESSIONS, STATEMENTS, align_schema
+
+
+def _stmts(spark, data):
+    return spark.createDataFrame(data, STATEMENTS)
+
+
+def T(s):
+    return dt.datetime.fromisoformat(s)
+
+
+def test_watermark_default_on_empty_history(spark):
+    empty = _stmts(spark, [])
+    assert capture.watermark_value(empty, "endtime") == dt.datetime(2000, 1, 1)
+
+
+def test_watermark_ignores_null_and_cuts_to_second(spark):
+    h = _stmts(spark, [(1, 1, 1, 0, "a", T("2024-01-01 00:00:00"), T("2024-01-02 03:04:05.678"), True),
+                       (2, 1, 1, 0, "b", T("2024-01-01 00:00:00"), None, True)])
+    assert capture.watermark_value(h, "endtime") == dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_first_run_takes_everything_since_2000(spark):
+    src = fx.statements_src(spark, SF_SMALL)
+    low = capture.watermark_value(_stmts(spark, []), "endtime")
+    staged = capture.extract_statements(src, low, capture.upper_bound(fx.RUN_TS))
+    expected = src.where(F.col("endtime").isNotNull() & (F.col("endtime") < F.lit("2024-01-25").cast("timestamp_ntz")))
+    assert staged.count() == expected.count()
+
+
+def test_last_second_is_re_extracted_and_updated(spark):
+    counts = sc.q_merge_counts(spark, SF_MID).where("target = 'statements'").first()
+    assert (counts.extracted, counts.inserted, counts.updated) == (3024, 3023, 1)
+
+
+def test_rerun_with_same_run_time_leaves_history_unchanged(spark):
+    once = sc.merged_statements(spark, SF_SMALL)
+    low = capture.watermark_value(once, "endtime")
+    again = capture.merge_upsert(
+        once, capture.extract_statements(fx.statements_src(spark, SF_SMALL), low, capture.upper_bound(fx.RUN_TS)),
+        "statementid")
+    assert once.exceptAll(again).count() == 0 and again.exceptAll(once).count() == 0
+
+
+def test_extracted_equals_inserted_plus_updated(spark):
+    for r in sc.q_merge_counts(spark, SF_MID).collect():
+        assert r.extracted == r.inserted + r.updated
+
+
+def test_merge_keeps_keys_unique(spark):
+    merged = sc.merged_sessions(spark, SF_MID)
+    assert merged.groupBy("sessionid").count().where("count > 1").count() == 0
+
+
+def test_consecutive_windows_lose_nothing(spark):
+    """Two nights in a row: every finished statement ends up captured once."""
+    src = fx.statements_src(spark, SF_SMALL)
+    night1 = capture.extract_statements(src, "2000-01-01 00:00:00", "2024-01-12 00:00:00")
+    hist1 = capture.merge_upsert(_stmts(spark, []), night1, "statementid")
+    low = capture.watermark_value(hist1, "endtime")
+    hist2 = capture.merge_upsert(hist1, capture.extract_statements(src, low, "2024-02-01 00:00:00"), "statementid")
+    finished = src.where(F.col("endtime").isNotNull())
+    assert hist2.count() == finished.count()
+    assert hist2.select("statementid").exceptAll(finished.select("statementid")).count() == 0
+
+
+def test_merge_null_keys_never_match(spark):
+    h = _stmts(spark, [(None, 1, 1, 0, "old", None, None, True), (1, 1, 1, 0, "old", None, None, True)])
+    s = _stmts(spark, [(None, 2, 2, 0, "new", None, None, False), (1, 2, 2, 0, "new", None, None, False)])
+    out = sorted((r.statementid or -1, r.statement) for r in capture.merge_upsert(h, s, "statementid").collect())
+    assert out == [(-1, "new"), (-1, "old"), (1, "new")]
+
+
+def test_duplicate_staged_keys_fail(spark):
+    h = _stmts(spark, [])
+    s = _stmts(spark, [(7, 1, 1, 0, "a", None, None, True), (7, 1, 1, 1, "b", None, None, True)])
+    with pytest.raises(Exception, match="duplicate staged statementid: 7"):
+        capture.merge_upsert(h, s, "statementid").collect()
+
+
+def test_dedupe_keeps_latest_retry(spark):
+    h = _stmts(spark, [(7, 1, 1, 0, "old", None, None, True)])
+    s = _stmts(spark, [(7, 1, 1, 0, "a", None, None, True), (7, 1, 1, 2, "c", None, None, True),
+                       (7, 1, 1, 1, "b", None, None, True)])
+    out = capture.merge_upsert(h, s, "statementid", dedupe_by="retrynum").collect()
+    assert [(r.statementid, r.retrynum, r.statement) for r in out] == [(7, 2, "c")]
+
+
+def test_columns_bind_by_name(spark):
+    h = _stmts(spark, [])
+    shuffled = _stmts(spark, [(1, 2, 3, 0, "x", None, None, True)]).select(*reversed(STATEMENTS.fieldNames()))
+    out = capture.merge_upsert(h, shuffled, "statementid").first()
+    assert (out.statementid, out.xactionid, out.sessionid) == (1, 2, 3)
+
+
+def test_extract_sessions_sets_status_and_schema(spark):
+    got = sc.staged_sessions(spark, SF_SMALL)
+    assert got.schema.fieldNames() == SESSIONS.fieldNames()
+    assert {r.status for r in got.select("status").distinct().collect()} == {"PASSED"}
+
+
+def test_align_schema_adds_620_columns_as_nulls(spark):
+    out = sc.q_align_schema(spark, SF_SMALL)
+    assert out.schema.fieldNames() == SESSIONS.fieldNames()
+    assert out.where(F.col("parentsessionid").isNotNull()).count() == 0
+    again = align_schema(out, SESSIONS)
+    assert again.schema == out.schema
