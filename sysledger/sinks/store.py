@@ -1,0 +1,272 @@
+"""Snapshot store for staging and history tables on plain parquet.
+
+Layout under ``root`` (a shared folder every executor can reach):
+
+    <root>/<table>/<pcol>=<value>/v=<tag>/part-*.parquet   partitioned tables
+    <root>/<table>/v=<tag>/part-*.parquet                  unpartitioned tables
+    <root>/_manifest/version=<n>/part-*.parquet            one manifest per run
+
+A manifest version lists, for every table, the leaf directory holding each
+partition, plus the run log rows of the run that wrote it. Readers use the
+highest version. A run writes new leaves (never touching published ones)
+and then writes its manifest as a single one-task write; that write is the
+commit point. A run that dies before it leaves only unreferenced leaves,
+so executor or driver loss never exposes partial data, and a retry takes
+a fresh tag. Single writer per store is assumed (one nightly job).
+
+Merges rewrite only the partitions holding staged keys, so a night's cost
+is the staging size plus the touched partitions, not the whole history.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.capture import staged_keys
+from ..plans.hints import broadcast_if_small
+from ..schemas import LAYOUT, SCHEMAS, align_schema
+from ..session import checkpoint_dir
+
+MANIFEST = T.StructType([
+    T.StructField("kind", T.StringType()),  # 'leaf' or 'run'
+    T.StructField("table", T.StringType()),
+    T.StructField("part", T.StringType()),  # partition value as text, '' if unpartitioned
+    T.StructField("leaf", T.StringType()),  # path relative to the table root
+    T.StructField("job", T.StringType()),
+    T.StructField("step", T.StringType()),
+    T.StructField("run_ts", T.TimestampNTZType()),
+    T.StructField("low", T.TimestampNTZType()),
+    T.StructField("high", T.TimestampNTZType()),
+    T.StructField("extracted", T.LongType()),
+    T.StructField("inserted", T.LongType()),
+    T.StructField("updated", T.LongType()),
+])
+
+MANIFEST_READ = T.StructType(MANIFEST.fields + [T.StructField("version", T.LongType())])
+
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+
+
+def default_root(spark: SparkSession, name: str = "sysledger_store") -> str:
+    """Store root inside the cluster's shared checkpoint folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    if not base:
+        raise ValueError("no spark.checkpoint.dir: pass an explicit shared store root")
+    return f"{base.rstrip('/')}/{name}"
+
+
+@dataclass
+class RunLog:
+    job: str
+    step: str
+    run_ts: dt.datetime | None
+    low: dt.datetime | None = None
+    high: dt.datetime | None = None
+    extracted: int | None = None
+    inserted: int | None = None
+    updated: int | None = None
+
+
+class SnapshotStore:
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+
+    # --- manifest -----------------------------------------------------------
+    def _manifest(self, spark: SparkSession) -> DataFrame | None:
+        try:
+            return spark.read.schema(MANIFEST_READ).parquet(f"{self.root}/_manifest")
+        except AnalysisException:
+            return None
+
+    def current_version(self, spark: SparkSession) -> int:
+        m = self._manifest(spark)
+        if m is None:
+            return 0
+        v = m.agg(F.max("version")).first()[0]
+        return int(v or 0)
+
+    def leaves(self, spark: SparkSession, version: int | None = None) -> dict[str, dict[str, str]]:
+        """table -> {partition value -> leaf} of a version (metadata only;
+        one entry per partition)."""
+        version = self.current_version(spark) if version is None else version
+        m = self._manifest(spark)
+        out: dict[str, dict[str, str]] = {}
+        if m is None or version == 0:
+            return out
+        for r in m.where((F.col("version") == version) & (F.col("kind") == "leaf")).select("table", "part", "leaf").collect():
+            out.setdefault(r.table, {})[r.part] = r.leaf
+        return out
+
+    def run_log(self, spark: SparkSession) -> DataFrame:
+        """All runs ever published (job, step, bounds, counts)."""
+        m = self._manifest(spark)
+        if m is None:
+            return spark.createDataFrame([], MANIFEST_READ)
+        return m.where(F.col("kind") == "run").drop("kind", "part", "leaf")
+
+    # --- reads ----------------------------------------------------------------
+    def table_root(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def read(self, spark: SparkSession, name: str, leaves: dict[str, str] | None = None,
+             parts: list[str] | None = None) -> DataFrame:
+        """Current snapshot of ``name`` (optionally only some partitions)."""
+        schema = SCHEMAS[name]
+        layout = LAYOUT.get(name)
+        pcol = layout.partition_by if layout else None
+        if leaves is None:
+            leaves = self.leaves(spark).get(name, {})
+        chosen = [leaf for part, leaf in sorted(leaves.items()) if parts is None or part in parts]
+        if not chosen:
+            return spark.createDataFrame([], schema)
+        full = T.StructType(list(schema.fields) + ([T.StructField(pcol, T.DateType())] if pcol else [])
+                            + [T.StructField("v", T.StringType())])
+        root = self.table_root(name)
+        df = spark.read.schema(full).option("basePath", root).parquet(*[f"{root}/{leaf}" for leaf in chosen])
+        return df.select(*schema.fieldNames())
+
+    def begin(self, spark: SparkSession, run_ts) -> Transaction:
+        version = self.current_version(spark)
+        return Transaction(self, spark, version, self.leaves(spark, version), run_ts)
+
+
+@dataclass
+class Transaction:
+    """Writes of one run; visible to readers only after ``commit``."""
+
+    store: SnapshotStore
+    spark: SparkSession
+    base_version: int
+    base_leaves: dict[str, dict[str, str]]
+    run_ts: object
+    new_leaves: dict[str, dict[str, str]] = field(default_factory=dict)
+    replaced: set[str] = field(default_factory=set)  # tables rewritten in full
+    runs: list[RunLog] = field(default_factory=list)
+    committed: bool = False
+
+    def __post_init__(self):
+        self.version = self.base_version + 1
+        self.tag = f"{self.version:08d}-{uuid.uuid4().hex[:10]}"
+
+    # reads see this run's own writes
+    def leaves_of(self, name: str) -> dict[str, str]:
+        if name in self.replaced:
+            return dict(self.new_leaves.get(name, {}))
+        out = dict(self.base_leaves.get(name, {}))
+        out.update(self.new_leaves.get(name, {}))
+        return out
+
+    def read(self, name: str, parts: list[str] | None = None) -> DataFrame:
+        return self.store.read(self.spark, name, self.leaves_of(name), parts)
+
+    def _pcol(self, name: str):
+        layout = LAYOUT.get(name)
+        return (layout.partition_by, layout.partition_source) if layout and layout.partition_by else (None, None)
+
+    def _write(self, name: str, df: DataFrame) -> tuple[dict[str, str], int]:
+        """Append ``df`` as new leaves of ``name``; returns partition -> leaf
+        for the partitions that received rows, and the row count (both
+        observed during the write, no second pass).
+
+        Observed metrics must sit in the write's result stage (no exchange
+        or sampling job above them): result-task accumulators are applied
+        once per partition even when tasks are retried."""
+        pcol, src = self._pcol(name)
+        schema = SCHEMAS[name]
+        out = align_schema(df, schema)
+        obs = Observation(f"write_{name}_{self.tag}")
+        root = self.store.table_root(name)
+        if pcol:
+            out = out.withColumn(pcol, F.to_date(F.col(src))).withColumn("v", F.lit(self.tag))
+            out = out.observe(obs, F.collect_set(F.coalesce(F.col(pcol).cast("string"), F.lit(NULL_PART))).alias("parts"),
+                              F.count(F.lit(1)).alias("rows"))
+            # No exchange: scan splits already spread a dense date over many
+            # tasks. A local sort by (date, tag, key) is the order the writer
+            # needs anyway and keeps each file's key range tight, so the
+            # merge's key-range filter skips row groups by min/max.
+            key = LAYOUT[name].key
+            (out.sortWithinPartitions(pcol, "v", key)
+             .write.mode("append").partitionBy(pcol, "v").parquet(root))
+            got = obs.get
+            return {p: f"{pcol}={p}/v={self.tag}" for p in got.get("parts") or []}, int(got.get("rows") or 0)
+        out = out.withColumn("v", F.lit(self.tag)).observe(obs, F.count(F.lit(1)).alias("rows"))
+        out.write.mode("append").partitionBy("v").parquet(root)
+        rows = int(obs.get.get("rows") or 0)
+        return ({"": f"v={self.tag}"} if rows > 0 else {}), rows
+
+    def replace(self, name: str, df: DataFrame) -> int:
+        """Full replacement (staging tables, the users history); returns rows."""
+        self.new_leaves[name], rows = self._write(name, df)
+        self.replaced.add(name)
+        return rows
+
+    def merge(self, name: str, staged: DataFrame, key: str, *, check_unique: bool = True) -> dict[str, int]:
+        """Upsert ``staged`` into partitioned history ``name`` by ``key``,
+        rewriting only the partitions that hold a staged key or receive a
+        staged row. Returns extracted / inserted / updated counts."""
+        pcol, src = self._pcol(name)
+        if not pcol:
+            raise ValueError(f"{name} is not partitioned; use replace")
+        keys = staged_keys(staged, key, check_unique=check_unique)
+        kb = broadcast_if_small(keys)
+        bounds = staged.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n"),
+                            F.collect_set(F.coalesce(F.to_date(F.col(src)).cast("string"), F.lit(NULL_PART))).alias("parts")
+                            ).first()
+        extracted = int(bounds.n)
+        if extracted == 0:
+            return {"extracted": 0, "inserted": 0, "updated": 0}
+        current = self.leaves_of(name)
+        touched = set(bounds.parts)
+        if bounds.lo is not None:
+            # partitions holding staged keys: key-range filter (parquet min/max
+            # skips row groups), then a key-only semi-join on broadcast keys
+            hist = self.read(name)
+            rng = hist.where(F.col(key).between(F.lit(bounds.lo), F.lit(bounds.hi)))
+            hit = (rng.select(key, F.coalesce(F.to_date(F.col(src)).cast("string"), F.lit(NULL_PART)).alias("_p"))
+                   .join(kb, key, "left_semi").select("_p").distinct())
+            touched |= {r._p for r in hit.collect()}
+        old = self.read(name, parts=sorted(p for p in touched if p in current))
+        before, after = Observation(f"before_{name}_{self.tag}"), Observation(f"kept_{name}_{self.tag}")
+        old = old.observe(before, F.count(F.lit(1)).alias("n"))
+        kept = old.join(kb, key, "left_anti").observe(after, F.count(F.lit(1)).alias("n"))
+        written, _ = self._write(name, kept.unionByName(staged.select(*SCHEMAS[name].fieldNames())))
+        leaves = {p: leaf for p, leaf in current.items() if p not in touched}
+        leaves.update(written)
+        self.new_leaves[name] = leaves
+        self.replaced.add(name)
+        updated = int(before.get.get("n", 0)) - int(after.get.get("n", 0))
+        return {"extracted": extracted, "inserted": extracted - updated, "updated": updated}
+
+    def log(self, entry: RunLog) -> None:
+        self.runs.append(entry)
+
+    def commit(self) -> int:
+        """Publish every table of this run at once (one-task manifest write)."""
+        if self.committed:
+            raise RuntimeError("transaction already committed")
+        names = set(self.base_leaves) | set(self.new_leaves)
+        rows = []
+        for name in sorted(names):
+            for part, leaf in sorted(self.leaves_of(name).items()):
+                rows.append(("leaf", name, part, leaf, None, None, None, None, None, None, None, None))
+        run_ts = _as_dt(self.run_ts)
+        for r in self.runs:
+            rows.append(("run", None, None, None, r.job, r.step, _as_dt(r.run_ts) or run_ts, _as_dt(r.low), _as_dt(r.high),
+                         r.extracted, r.inserted, r.updated))
+        manifest = self.spark.createDataFrame(rows, MANIFEST).withColumn("version", F.lit(self.version).cast("bigint"))
+        manifest.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{self.store.root}/_manifest")
+        self.committed = True
+        return self.version
+
+
+def _as_dt(v):
+    if v is None or isinstance(v, dt.datetime):
+        return v
+    return dt.datetime.fromisoformat(str(v))
