@@ -104,7 +104,7 @@ def merge_upsert(history: DataFrame, staged: DataFrame, key: str, *, check_uniqu
         check_unique = False
     keys = staged_keys(staged, key, check_unique=check_unique)
     kept = history.join(broadcast_if_small(keys), key, "left_anti")
-    return kept.unionByName(staged.select(*history.columns))
+    return append_rows(kept, staged)
 
 
 def merge_counts(history: DataFrame, staged: DataFrame, key: str) -> DataFrame:
@@ -128,6 +128,12 @@ def merge_counts(history: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     )
 
 
+def append_rows(history: DataFrame, rows: DataFrame) -> DataFrame:
+    """INSERT INTO history SELECT ...: rows bound to the history's columns
+    by name (never by position), appended without a shuffle."""
+    return history.unionByName(rows.select(*history.columns))
+
+
 def extract_count(df: DataFrame) -> DataFrame:
     """One row: number of rows (the extract count of a window)."""
     return df.agg(F.count(F.lit(1)).alias("extracted"))

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import any_true, differs, ts_literal
+from .capture import append_rows
 from ..plans.hints import broadcast_if_small, fits_broadcast
 from ..schemas import USER_BOOKKEEPING, USER_COMPARED_COLUMNS, USER_SOURCE_COLUMNS, USERS_HISTORY, typed_null
 
@@ -104,7 +105,7 @@ def users_insert_new(history: DataFrame, users_new: DataFrame, run_ts) -> DataFr
         return F.broadcast(df) if users_fit else df
 
     fresh = users_new.join(side(_known_names(history, users_new, side)), "username", "left_anti")
-    return history.select(*HIST_COLUMNS).unionByName(_new_rows(fresh, run_ts).select(*HIST_COLUMNS))
+    return append_rows(history.select(*HIST_COLUMNS), _new_rows(fresh, run_ts))
 
 
 def users_last_activity(history: DataFrame, sessions_new: DataFrame, run_ts) -> DataFrame:

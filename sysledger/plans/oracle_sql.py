@@ -179,6 +179,23 @@ select h.* replace (case when h.userid in (select userid from v5) then null else
  coalesce(h.userid in (select userid from v5), false) as clr from h4 h""",
 }
 
+FX["se_merged_new"] = FX["se_merged"].replace("se_overlap", "se_new")
+_SESSION_STEPS = ["v3", "h3", "v4", "h4", "v5", "h5"]
+
+
+def _rename_chain(body: str, prefix: str, sessions: str) -> str:
+    import re
+
+    body = re.sub(r"\bse_rules\b", sessions, body)
+    for n in _SESSION_STEPS:
+        body = re.sub(rf"\b{n}\b", prefix + n, body)
+    return body
+
+
+# the same user steps fed by the sessions a watermark run stages (B4)
+for _n in _SESSION_STEPS:
+    FX["b4_" + _n] = _rename_chain(FX[_n], "b4_", "se_new")
+
 USER_COLS = ("userid, username, schemapath, cancreaterole, cancreatedb, autoinheritgrouppriv, connlimit, first_captured_time, "
              "last_activity_time, delete_time, connect_revoked_time, exempt_activity_flag, security_unique_id, email_address, "
              "full_username")
@@ -200,7 +217,10 @@ _DEPS = {
     "u1": ["fx_users_hist", "users_new"], "h1": ["u1", "users_new"], "h2_ins": ["users_new", "h1"],
     "h2": ["h1", "h2_ins"], "v3": ["h2", "se_rules"], "h3": ["h2", "v3"], "v4": ["h3", "users_new"],
     "h4": ["h3", "v4"], "v5": ["h4", "se_rules"], "h5": ["h4", "v5"],
+    "se_merged_new": ["se_hist", "se_new"],
 }
+for _n in _SESSION_STEPS:
+    _DEPS["b4_" + _n] = [("b4_" + d if d in _SESSION_STEPS else ("se_new" if d == "se_rules" else d)) for d in _DEPS[_n]]
 
 
 def sql(body: str, *needs: str) -> str:
@@ -258,6 +278,11 @@ def _size_of(table: str, parts: list[str], schema: str) -> str:
             f"'{table}' as relation, 'none' as compression_level, cast({total} as bigint) as uncompressed_size from {table}")
 
 
+_MERGE_COUNTS = """
+select '{job}' as job, 'merge' as step, (select count(1) from {new}) as extracted,
+ (select count(1) from {new} n where not exists (select 1 from {hist} h where h.{key} = n.{key})) as inserted,
+ (select count(1) from {hist} h where exists (select 1 from {new} n where n.{key} = h.{key})) as updated"""
+
 ORACLE: dict[str, str] = {
     "list_schemas": sql("""
 select * from fx_schemas where schemaname not like 'nc_temp%'""", "fx_schemas"),
@@ -367,4 +392,21 @@ select gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) as gap_us fro
   select lag(starttime) over (order by starttime) as gap_start, starttime as gap_end
     from fx_sessions_src where starttime is not null)
  where gap_start is not null and epoch_us(gap_end) - epoch_us(gap_start) > cast(3600 as bigint) * 1000000""", "fx_sessions_src"),
+    "job_capture_statements": sql("select * from st_merged", "st_merged"),
+    "job_capture_sessions": sql("select * from se_merged_new", "se_merged_new"),
+    "job_sync_users": sql(f"select {USER_COLS} from b4_h5", "b4_h5"),
+    "job_metrics": sql(
+        _MERGE_COUNTS.format(job="capture_statements", new="st_new", hist="st_hist", key="statementid")
+        + "\nunion all" + _MERGE_COUNTS.format(job="capture_sessions", new="se_new", hist="se_hist", key="sessionid")
+        + """
+union all select 'sync_users', 'extract_users', (select count(1) from users_new), null, null
+union all select 'sync_users', 'update_changed', null, 0, (select count(*) from u1 where chg)
+union all select 'sync_users', 'insert_new', null, (select count(*) from h2_ins), 0
+union all select 'sync_users', 'last_activity', null, 0, (select count(*) from b4_h5 where act)
+union all select 'sync_users', 'soft_delete', null, 0, (select count(*) from b4_h5 where del)
+union all select 'sync_users', 'clear_revoked', null, 0, (select count(*) from b4_h5 where clr)""",
+        "st_new", "st_hist", "se_new", "se_hist", "users_new", "u1", "h2_ins", "b4_h5"),
+    "compact": sql("select * from st_merged", "st_merged"),
+    "export_text": None,
 }
+ORACLE["export_text"] = ORACLE["list_tables"]

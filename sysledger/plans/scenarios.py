@@ -7,6 +7,7 @@ whole tables. Fixed times of the scenario are in ``sysledger.fixtures``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,11 @@ from .. import fixtures as fx
 from ..functions.expr import to_bool
 from ..operators import capture, listings, reports, sizing, users
 from ..schemas import SESSIONS, SESSIONS_PRE_620, align_schema
+from ..session import ensure_checkpoint_dir
+from ..sinks.export import export_text, read_export
+from ..sinks.store import SnapshotStore, default_root
 from ..sources.relstats import relation_stats
+from . import jobs
 
 # --- listings -------------------------------------------------------------
 
@@ -266,6 +271,76 @@ def q_capture_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return reports.capture_gaps(all_sessions(spark, sf), "starttime", GAP_SECONDS)
 
 
+# --- the nightly jobs over a snapshot store ------------------------------
+#
+# Each builder runs the job eagerly into a fresh store under the session's
+# shared checkpoint folder (a scratch folder only when the session has
+# none, as in tests), then returns the published table lazily.
+
+
+def fresh_store(spark: SparkSession) -> SnapshotStore:
+    ensure_checkpoint_dir(spark)
+    return SnapshotStore(default_root(spark, f"sysledger_runs/{uuid.uuid4().hex}"), new=True)
+
+
+def _seeded(spark: SparkSession, sf: str, *names: str) -> SnapshotStore:
+    """A store holding the histories as captured up to the history cut."""
+    store = fresh_store(spark)
+    txn = store.begin(spark, fx.HISTORY_CUT)
+    if "statements_history" in names:
+        txn.merge("statements_history", fx.statements_history(spark, sf), "statementid")
+    if "sessions_history" in names:
+        txn.merge("sessions_history", align_schema(fx.sessions_history(spark, sf), SESSIONS), "sessionid")
+    if "users_history" in names:
+        txn.replace("users_history", fx.users_history(spark, sf))
+    txn.commit()
+    return store
+
+
+def _b1(spark: SparkSession, sf: str) -> tuple[SnapshotStore, DataFrame]:
+    store = _seeded(spark, sf, "statements_history")
+    return store, jobs.capture_statements(spark, store, fx.statements_src(spark, sf), fx.RUN_TS)
+
+
+def _b4(spark: SparkSession, sf: str) -> tuple[SnapshotStore, DataFrame]:
+    store = _seeded(spark, sf, "sessions_history", "users_history")
+    return store, jobs.capture_sessions_users(spark, store, fx.sessions_src(spark, sf), fx.users_src(spark, sf), fx.RUN_TS)
+
+
+def q_job_capture_statements(spark: SparkSession, sf: str) -> DataFrame:
+    store, _ = _b1(spark, sf)
+    return store.read(spark, "statements_history")
+
+
+def q_job_capture_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    store = _seeded(spark, sf, "sessions_history")
+    jobs.capture_sessions(spark, store, fx.sessions_src(spark, sf), fx.RUN_TS)
+    return store.read(spark, "sessions_history")
+
+
+def q_job_sync_users(spark: SparkSession, sf: str) -> DataFrame:
+    store, _ = _b4(spark, sf)
+    return store.read(spark, "users_history")
+
+
+def q_job_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    cols = ["job", "step", "extracted", "inserted", "updated"]
+    return _b1(spark, sf)[1].select(*cols).unionByName(_b4(spark, sf)[1].select(*cols))
+
+
+def q_compact(spark: SparkSession, sf: str) -> DataFrame:
+    store, _ = _b1(spark, sf)
+    jobs.compact(spark, store, "statements_history")
+    return store.read(spark, "statements_history")
+
+
+def q_export_text(spark: SparkSession, sf: str) -> DataFrame:
+    listing = q_list_tables(spark, sf)
+    path = f"{fresh_store(spark).root}/export/list_tables"
+    export_text(listing, path)
+    return read_export(spark, path, listing.schema)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

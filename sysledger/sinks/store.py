@@ -75,11 +75,16 @@ class RunLog:
 
 
 class SnapshotStore:
-    def __init__(self, root: str):
+    def __init__(self, root: str, *, new: bool = False):
+        """``new=True`` for a store this process creates: nothing is
+        published yet, so the manifest is not probed until a commit."""
         self.root = root.rstrip("/")
+        self._empty = new
 
     # --- manifest -----------------------------------------------------------
     def _manifest(self, spark: SparkSession) -> DataFrame | None:
+        if self._empty:
+            return None
         try:
             return spark.read.schema(MANIFEST_READ).parquet(f"{self.root}/_manifest")
         except AnalysisException:
@@ -262,6 +267,7 @@ class Transaction:
                          r.extracted, r.inserted, r.updated))
         manifest = self.spark.createDataFrame(rows, MANIFEST).withColumn("version", F.lit(self.version).cast("bigint"))
         manifest.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{self.store.root}/_manifest")
+        self.store._empty = False
         self.committed = True
         return self.version
 

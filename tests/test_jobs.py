@@ -19,7 +19,7 @@ from sysledger.sinks.store import SnapshotStore, default_root
 
 @pytest.fixture()
 def store(spark):
-    return SnapshotStore(default_root(spark, f"store-{uuid.uuid4().hex[:8]}"))
+    return SnapshotStore(default_root(spark, f"store-{uuid.uuid4().hex[:8]}"), new=True)
 
 
 def same(a, b):
