@@ -20,7 +20,8 @@ def _sql_ts(value) -> str:
     text = str(value)
     if "'" in text:
         raise ValueError("timestamp bound must not contain quotes")
-    return f"TIMESTAMP '{text}'"
+    # JDBC escape syntax: every JDBC driver translates it to its dialect
+    return "{ts '" + text + "'}"
 
 
 def window_query(table: str, columns: list[str] | str, ts_col: str, low, high) -> str:
