@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import any_true, differs, ts_literal
 from .capture import append_rows
-from ..plans.hints import broadcast_if_small, fits_broadcast
+from ..plans.hints import broadcast_if_small, fits_broadcast, max_broadcast_rows
 from ..schemas import USER_BOOKKEEPING, USER_COMPARED_COLUMNS, USER_SOURCE_COLUMNS, USERS_HISTORY, typed_null
 
 HIST_COLUMNS = [f.name for f in USERS_HISTORY.fields]
@@ -163,7 +163,8 @@ def set_user_attributes(history: DataFrame, edits: DataFrame) -> DataFrame:
 
 # --- fused sync -----------------------------------------------------------
 
-def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: DataFrame, run_ts) -> DataFrame:
+def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: DataFrame, run_ts, *,
+                       users_rows: int | None = None) -> DataFrame:
     """All five steps in one plan. Returns the new history plus one flag
     column per step (``_upd``, ``_ins``, ``_act``, ``_del``, ``_clr``)
     telling whether that step's statement touched the row.
@@ -174,7 +175,9 @@ def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: D
     ("every row of that userid") is a window over userid on the small
     users history instead of a second pass over it."""
     now = ts_literal(run_ts)
-    users_fit = fits_broadcast(users_new)
+    # a caller that already counted the source (the job, while staging it)
+    # passes the count; otherwise a bounded count checks it here
+    users_fit = (users_rows <= max_broadcast_rows(users_new)) if users_rows is not None else fits_broadcast(users_new)
 
     def user_side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if users_fit else df

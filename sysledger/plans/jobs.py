@@ -94,11 +94,15 @@ def _sync(txn: Transaction, users_source: DataFrame, run_ts, *, require_users: b
     staged, n = _stage(txn, "users_new", capture.extract_users(users_source))
     if require_users and n == 0:
         raise RuntimeError("sync_users: the source returned no users; refusing to mark every user deleted")
-    dupes = staged.groupBy("username").count().where("count > 1").limit(1).collect()
-    if dupes:
-        raise RuntimeError(f"sync_users: username {dupes[0]['username']!r} appears twice in the source")
+    # one aggregate: a username staged twice fails the run (the update
+    # would pick an arbitrary row); the row count sizes the user side
+    per_name = staged.groupBy("username").agg(F.count(F.lit(1)).alias("c"))
+    dup = per_name.agg(F.max_by("username", "c").alias("name"), F.max("c").alias("top")).first()
+    if dup.top is not None and dup.top > 1:
+        raise RuntimeError(f"sync_users: username {dup.name!r} appears twice in the source")
     obs = Observation(f"sync_users_{txn.tag}")
-    flagged = users.sync_users_flagged(txn.read("users_history"), staged, txn.read("sessions_new"), run_ts)
+    flagged = users.sync_users_flagged(txn.read("users_history"), staged, txn.read("sessions_new"), run_ts,
+                                       users_rows=n)
     sums = [F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0)).alias(c) for c in ("_upd", "_ins", "_act", "_del", "_clr")]
     txn.replace("users_history", flagged.observe(obs, *sums).select(*users.HIST_COLUMNS))
     got = obs.get

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.capture import staged_keys
-from ..plans.hints import broadcast_if_small
+from ..plans.hints import max_broadcast_rows
 from ..schemas import LAYOUT, SCHEMAS, align_schema
 from ..session import checkpoint_dir
 
@@ -91,23 +91,31 @@ class SnapshotStore:
             return None
 
     def current_version(self, spark: SparkSession) -> int:
-        m = self._manifest(spark)
-        if m is None:
-            return 0
-        v = m.agg(F.max("version")).first()[0]
-        return int(v or 0)
+        return self._current(spark)[0]
 
     def leaves(self, spark: SparkSession, version: int | None = None) -> dict[str, dict[str, str]]:
         """table -> {partition value -> leaf} of a version (metadata only;
         one entry per partition)."""
-        version = self.current_version(spark) if version is None else version
+        return self._current(spark, version)[1]
+
+    def _current(self, spark: SparkSession, version: int | None = None) -> tuple[int, dict[str, dict[str, str]]]:
+        """(version, leaves) in one query: the highest version is a scalar
+        subquery of the same manifest read."""
         m = self._manifest(spark)
+        if m is None:
+            return 0, {}
+        wanted = F.lit(version) if version is not None else m.agg(F.max("version")).scalar()
+        rows = m.where((F.col("version") == wanted) & (F.col("kind") == "leaf")) \
+            .select("version", "table", "part", "leaf").collect()
         out: dict[str, dict[str, str]] = {}
-        if m is None or version == 0:
-            return out
-        for r in m.where((F.col("version") == version) & (F.col("kind") == "leaf")).select("table", "part", "leaf").collect():
+        for r in rows:
             out.setdefault(r.table, {})[r.part] = r.leaf
-        return out
+        if rows:
+            return int(rows[0].version), out
+        if version is not None:
+            return version, out
+        v = m.agg(F.max("version")).first()[0]  # a version with no leaves at all
+        return int(v or 0), out
 
     def run_log(self, spark: SparkSession) -> DataFrame:
         """All runs ever published (job, step, bounds, counts)."""
@@ -138,8 +146,8 @@ class SnapshotStore:
         return df.select(*schema.fieldNames())
 
     def begin(self, spark: SparkSession, run_ts) -> Transaction:
-        version = self.current_version(spark)
-        return Transaction(self, spark, version, self.leaves(spark, version), run_ts)
+        version, leaves = self._current(spark)
+        return Transaction(self, spark, version, leaves, run_ts)
 
 
 @dataclass
@@ -220,13 +228,15 @@ class Transaction:
         if not pcol:
             raise ValueError(f"{name} is not partitioned; use replace")
         keys = staged_keys(staged, key, check_unique=check_unique)
-        kb = broadcast_if_small(keys)
         bounds = staged.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n"),
                             F.collect_set(F.coalesce(F.to_date(F.col(src)).cast("string"), F.lit(NULL_PART))).alias("parts")
                             ).first()
         extracted = int(bounds.n)
         if extracted == 0:
             return {"extracted": 0, "inserted": 0, "updated": 0}
+        # the keys are a subset of the staged rows just counted: that count
+        # is the proof of their size
+        kb = F.broadcast(keys) if extracted <= max_broadcast_rows(keys) else keys
         current = self.leaves_of(name)
         touched = set(bounds.parts)
         if bounds.lo is not None:
