@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.expr import to_bool, ts_literal
+from .sources.catalog import read_catalog
 
 # Fixed times of the test scenario.
 RUN_TS = "2024-01-25 00:00:00.5"  # stands for now()
@@ -21,7 +22,7 @@ SINCE = "2024-01-20 00:00:00"  # reach-back bound of the history listings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_catalog(spark, name, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _s(c) -> F.Column:

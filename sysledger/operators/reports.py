@@ -56,39 +56,50 @@ def inactive_users(history: DataFrame, as_of, days: int) -> DataFrame:
 _EPOCH = "1970-01-01 00:00:00"
 
 
-def capture_gaps(df: DataFrame, ts_col: str, max_gap_seconds: int) -> DataFrame:
-    """Consecutive times (in ``ts_col`` order) more than ``max_gap_seconds``
-    apart: the periods in which nothing was captured.
+def capture_gaps(df: DataFrame, ts_col: str, max_gap_seconds: int, by: list[str] | None = None) -> DataFrame:
+    """Consecutive times (in ``ts_col`` order, within each ``by`` group) more
+    than ``max_gap_seconds`` apart: the periods in which nothing was captured.
 
     Times are cut into buckets of the gap width. Two times in one bucket are
     less than a width apart, so every gap lies between the last time of a
     non-empty bucket and the first time of the next non-empty one. The rows
     reduce to one (min, max) per bucket by partial aggregation (a dense
-    bucket costs nothing extra); only those summaries are ordered, and
-    their number is bounded by the time span divided by the width."""
+    bucket or group costs nothing extra); only those summaries are ordered,
+    within coarse groups of 4096 buckets, and the boundary between two coarse
+    groups comes from one summary row per coarse group."""
+    by = list(by or [])
     width = max_gap_seconds * 1_000_000
     ts = F.col(ts_col)
     bucket = F.floor(F.timestamp_diff("MICROSECOND", ts_literal(_EPOCH), ts) / F.lit(width))
     summary = (
         df.where(ts.isNotNull())
-        .groupBy(bucket.alias("_b"))
+        .groupBy(*by, bucket.alias("_b"))
         .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+        .withColumn("_c", F.floor(F.col("_b") / F.lit(4096)))
     )
-    # one row per non-empty bucket; ordered by a coarse key so no single
-    # task sees them all, boundaries between coarse keys joined back.
-    coarse = F.floor(F.col("_b") / F.lit(4096))
-    w = Window.partitionBy(coarse).orderBy("_b")
-    within = summary.select(
-        F.lag("_last").over(w).alias("gap_start"), F.col("_first").alias("gap_end"), coarse.alias("_c"), "_b")
-    # first bucket of each coarse group: its predecessor is the last bucket of
-    # the previous non-empty coarse group
-    groups = summary.groupBy(coarse.alias("_c")).agg(F.min("_b").alias("_min_b"), F.max("_last").alias("_max_last"))
-    wg = Window.orderBy("_c")
-    prev = groups.select("_c", "_min_b", F.lag("_max_last").over(wg).alias("_prev_last"))
-    joined = within.join(prev, "_c", "inner").select(
+    w = Window.partitionBy(*by, "_c").orderBy("_b")
+    within = summary.select(*by, "_c", "_b", F.lag("_last").over(w).alias("gap_start"), F.col("_first").alias("gap_end"))
+    # first bucket of each coarse group: its predecessor is the last time of
+    # the previous non-empty coarse group (one row per coarse group)
+    groups = summary.groupBy(*by, "_c").agg(F.min("_b").alias("_min_b"), F.max("_last").alias("_max_last"))
+    wg = Window.partitionBy(*by).orderBy("_c")
+    prev = groups.select(*by, "_c", "_min_b", F.lag("_max_last").over(wg).alias("_prev_last"))
+    joined = within.join(prev, [*by, "_c"], "inner").select(
+        *by,
         F.when(F.col("_b") == F.col("_min_b"), F.col("_prev_last")).otherwise(F.col("gap_start")).alias("gap_start"),
         "gap_end",
     )
     gap = F.timestamp_diff("MICROSECOND", F.col("gap_start"), F.col("gap_end"))
     return joined.where(F.col("gap_start").isNotNull() & (gap > F.lit(width))).select(
-        "gap_start", "gap_end", gap.alias("gap_us"))
+        *by, "gap_start", "gap_end", gap.alias("gap_us"))
+
+
+# Runs of a capture job must be less than this apart, or rows purged from
+# the source in between are lost (fixed value of the jobs: 72 hours).
+MAX_RUN_SPACING_HOURS = 72
+
+
+def run_gaps(run_log: DataFrame, max_hours: int = MAX_RUN_SPACING_HOURS) -> DataFrame:
+    """Pairs of consecutive runs of the same job more than ``max_hours``
+    apart, from a store's run log."""
+    return capture_gaps(run_log, "run_ts", max_hours * 3600, by=["job"])

@@ -43,10 +43,13 @@ def max_broadcast_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most the rows the budget allows. The count
-    stops after bound+1 rows, so a large side costs little to reject."""
-    bound = max_broadcast_rows(df, max_bytes)
-    return df.limit(bound + 1).count() <= bound
+    """True when ``df`` has at most the rows the budget allows.
+
+    An exact count with partial aggregation: every task counts its own rows
+    and only one number per task moves. (``limit(bound+1).count()`` would
+    funnel up to bound+1 rows per task into a single reducer when the side
+    turns out large.)"""
+    return df.count() <= max_broadcast_rows(df, max_bytes)
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -10,6 +10,7 @@ import datetime as dt
 import decimal
 import hashlib
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -59,6 +60,10 @@ def main(argv):
     from sysledger.session import get_session
 
     spark = get_session("local[8]")
+    # the driver's session may differ from ours: CHECK_CONF="key=value,key=value"
+    for item in filter(None, os.environ.get("CHECK_CONF", "").split(",")):
+        key, value = item.split("=", 1)
+        spark.conf.set(key, value)
     qs, oracle = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

@@ -118,3 +118,18 @@ def test_align_schema_adds_620_columns_as_nulls(spark):
     assert out.where(F.col("parentsessionid").isNotNull()).count() == 0
     again = align_schema(out, SESSIONS)
     assert again.schema == out.schema
+
+
+def test_exported_relation_stats_read_back(spark):
+    import uuid
+
+    from sysledger.operators.sizing import table_sizes
+    from sysledger.session import checkpoint_dir
+    from sysledger.sources.relstats import read_relation_stats
+
+    path = f"{checkpoint_dir(spark)}/relstats-{uuid.uuid4().hex[:8]}"
+    stats = fx.relstats(spark, SF_SMALL)
+    stats.write.parquet(path)
+    back = read_relation_stats(spark, path)
+    a, b = table_sizes(back, ordered=False), table_sizes(stats, ordered=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

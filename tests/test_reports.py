@@ -66,3 +66,25 @@ def test_inactive_users_skips_exempt_deleted_revoked(spark):
         "delete_time timestamp_ntz, connect_revoked_time timestamp_ntz, exempt_activity_flag boolean")
     got = [r.username for r in reports.inactive_users(df, "2024-01-25 00:00:00", 1).orderBy("userid").collect()]
     assert got == ["a"]
+
+
+def test_capture_gaps_by_group_equals_brute_force(spark):
+    rng = random.Random(11)
+    rows = []
+    for g in ("a", "b"):
+        t = dt.datetime(2024, 1, 1)
+        for _ in range(800):
+            t += dt.timedelta(seconds=rng.expovariate(1 / 1800))
+            rows.append((g, t))
+    df = spark.createDataFrame(rows, "g string, ts timestamp_ntz")
+    got = sorted(tuple(r) for r in reports.capture_gaps(df, "ts", 3600, by=["g"]).collect())
+    want = sorted((g, *x) for g in ("a", "b") for x in brute_gaps([t for gg, t in rows if gg == g], 3600))
+    assert got == want
+
+
+def test_run_gaps_flags_runs_more_than_72h_apart(spark):
+    runs = [("capture_statements", dt.datetime(2024, 1, d, 1, 2)) for d in (1, 2, 3, 7, 8)] + \
+           [("capture_sessions", dt.datetime(2024, 1, d, 1, 0)) for d in (1, 4, 5)]
+    log = spark.createDataFrame(runs, "job string, run_ts timestamp_ntz")
+    got = [(r.job, r.gap_start.day, r.gap_end.day) for r in reports.run_gaps(log).collect()]
+    assert got == [("capture_statements", 3, 7)]
