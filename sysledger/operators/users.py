@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from ..functions.expr import any_true, differs, ts_literal
 from .capture import append_rows
 from ..plans.hints import broadcast_if_small, fits_broadcast, max_broadcast_rows
-from ..schemas import USER_BOOKKEEPING, USER_COMPARED_COLUMNS, USER_SOURCE_COLUMNS, USERS_HISTORY, typed_null
+from ..schemas import (USER_BOOKKEEPING, USER_COMPARED_COLUMNS, USER_DBA_COLUMNS, USER_SOURCE_COLUMNS,
+                       USERS_HISTORY, typed_null)
 
 HIST_COLUMNS = [f.name for f in USERS_HISTORY.fields]
 
@@ -78,14 +79,14 @@ def _known_names(history: DataFrame, users_new: DataFrame, side=broadcast_if_sma
     return history.select("username").join(side(names), "username", "left_semi").distinct()
 
 
-def session_activity(sessions_new: DataFrame, run_ts) -> DataFrame:
-    """Per username: last activity (latest end, an open session counting
-    as now) and latest session start."""
-    now = ts_literal(run_ts)
-    return sessions_new.where(F.col("username").isNotNull()).groupBy("username").agg(
-        F.max(F.coalesce(F.col("endtime"), now)).alias("_la"),
-        F.max("starttime").alias("_ls"),
-    )
+def session_activity(sessions_new: DataFrame, run_ts=None) -> DataFrame:
+    """Per username: latest session start (``_ls``) and, given the run
+    time, last activity (``_la``: latest end, an open session counting as
+    now)."""
+    aggs = [F.max("starttime").alias("_ls")]
+    if run_ts is not None:
+        aggs.insert(0, F.max(F.coalesce(F.col("endtime"), ts_literal(run_ts))).alias("_la"))
+    return sessions_new.where(F.col("username").isNotNull()).groupBy("username").agg(*aggs)
 
 
 # --- the five steps, one at a time ---------------------------------------
@@ -140,8 +141,9 @@ def _cleared_ids(history: DataFrame, acts: DataFrame) -> DataFrame:
 
 def users_clear_revoked(history: DataFrame, sessions_new: DataFrame, run_ts=None) -> DataFrame:
     """Step 5: connect_revoked_time := null on every row of a userid that
-    has a session starting after its revocation."""
-    acts = broadcast_if_small(session_activity(sessions_new, run_ts or "1970-01-01 00:00:00").select("username", "_ls"))
+    has a session starting after its revocation (``run_ts`` is unused: the
+    rule reads session starts only)."""
+    acts = broadcast_if_small(session_activity(sessions_new))
     ids = broadcast_if_small(_cleared_ids(history, acts))
     out = history.join(ids, F.col("userid") == F.col("_cid"), "left")
     return out.select(*[F.when(F.col("_cid").isNotNull(), typed_null("timestamp_ntz")).otherwise(F.col(c)).alias(c)
@@ -152,8 +154,7 @@ def set_user_attributes(history: DataFrame, edits: DataFrame) -> DataFrame:
     """Manual DBA edit by username: columns present in ``edits`` (any of
     the DBA columns) replace the history's values on matching rows;
     a null in an edit sets null."""
-    editable = {"full_username", "email_address", "security_unique_id", "exempt_activity_flag", "connect_revoked_time"}
-    cols = [c for c in edits.columns if c in editable]
+    cols = [c for c in edits.columns if c in USER_DBA_COLUMNS]
     side = edits.select(F.col("username").alias("_e_username"), *[F.col(c).alias(f"_e_{c}") for c in cols])
     out = history.join(broadcast_if_small(side), F.col("username") == F.col("_e_username"), "left")
     hit = F.col("_e_username").isNotNull()

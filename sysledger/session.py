@@ -42,17 +42,24 @@ def get_session(master: str | None = None, app: str = "sysledger", **conf: str)
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    found = spark.sparkContext.getCheckpointDir()
+    found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    try:  # a classic session may have had it set through the context
+        return spark.sparkContext.getCheckpointDir() or None
+    except Exception:  # Spark Connect: no context on the client
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's spark.checkpoint.dir; only when it is unset (local
     tests) make a fresh scratch folder for this process."""
     found = checkpoint_dir(spark)
-    if not found:
-        found = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(found)
+    if found:
+        return found
+    found = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
+    try:
+        spark.sparkContext.setCheckpointDir(found)
+    except Exception:
+        spark.conf.set("spark.checkpoint.dir", found)
     return found

@@ -56,7 +56,7 @@ NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 def default_root(spark: SparkSession, name: str = "sysledger_store") -> str:
     """Store root inside the cluster's shared checkpoint folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    base = checkpoint_dir(spark)
     if not base:
         raise ValueError("no spark.checkpoint.dir: pass an explicit shared store root")
     return f"{base.rstrip('/')}/{name}"
