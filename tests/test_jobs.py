@@ -123,3 +123,22 @@ def test_export_round_trip(spark):
     export_text(df, path)
     back = read_export(spark, path, df.schema)
     assert same(back, df)
+
+
+def test_merge_moves_key_across_days_and_drops_empty_day(spark, store):
+    import datetime as dt
+
+    t = dt.datetime.fromisoformat
+    hist = spark.createDataFrame([(1, 1, 1, 0, "old", t("2024-01-01 10:00:00"), t("2024-01-01 10:00:01"), True),
+                                  (2, 1, 1, 0, "keep", t("2024-01-02 10:00:00"), t("2024-01-02 10:00:01"), True)],
+                                 STATEMENTS)
+    seed(spark, store, "statements_history", hist)
+    txn = store.begin(spark, "2024-01-05 00:00:00")
+    moved = spark.createDataFrame([(1, 9, 9, 1, "new", t("2024-01-03 10:00:00"), t("2024-01-03 10:00:01"), False)],
+                                  STATEMENTS)
+    counts = txn.merge("statements_history", moved, "statementid")
+    txn.commit()
+    assert counts == {"extracted": 1, "inserted": 0, "updated": 1}
+    assert sorted(store.leaves(spark)["statements_history"]) == ["2024-01-02", "2024-01-03"]
+    got = sorted((r.statementid, r.statement) for r in store.read(spark, "statements_history").collect())
+    assert got == [(1, "new"), (2, "keep")]
