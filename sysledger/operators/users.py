@@ -19,7 +19,7 @@ size check; the history itself is scanned, never shuffled, on that path.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import any_true, differs, ts_literal
@@ -172,9 +172,8 @@ def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: D
 
     Two sizes are checked: the source user list and the per-username
     session activity. Every other user-side set (matched names, source
-    ids) is a subset of the source list and inherits its bound. Step 5
-    ("every row of that userid") is a window over userid on the small
-    users history instead of a second pass over it."""
+    ids) is a subset of the source list and inherits its bound; the set of
+    userids whose revocation is cleared gets its own check."""
     now = ts_literal(run_ts)
     # a caller that already counted the source (the job, while staging it)
     # passes the count; otherwise a bounded count checks it here
@@ -197,10 +196,16 @@ def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: D
         base.join(acts, "username", "left")
         .join(user_side(_source_ids(users_new)), F.col("userid") == F.col("_sid"), "left")
     )
+    # step 5 clears every row of a userid that has one row revoked before a
+    # later session: the userids are reduced to a distinct set (partial
+    # aggregation, so a userid shared by many rows stays cheap) and joined
+    # back map-side after a size check
+    revoked_before = F.coalesce(F.col("connect_revoked_time") < F.col("_ls"), F.lit(False))
+    cleared = out.where(revoked_before & F.col("userid").isNotNull()).select(F.col("userid").alias("_cid")).distinct()
+    out = out.join(broadcast_if_small(cleared), F.col("userid") == F.col("_cid"), "left")
     act = F.col("_la").isNotNull()
     gone = F.col("userid").isNotNull() & F.col("_sid").isNull() & F.col("delete_time").isNull()
-    revoked_before = F.coalesce(F.col("connect_revoked_time") < F.col("_ls"), F.lit(False))
-    clr = F.col("userid").isNotNull() & F.max(revoked_before).over(Window.partitionBy("userid"))
+    clr = F.col("_cid").isNotNull()
     final = {
         "last_activity_time": F.when(F.col("_act"), F.col("_la")).otherwise(F.col("last_activity_time")),
         "delete_time": F.when(F.col("_del"), now).otherwise(F.col("delete_time")),
