@@ -220,6 +220,18 @@ class Transaction:
         self.replaced.add(name)
         return rows
 
+    def rewrite_parts(self, name: str, df: DataFrame, parts: list[str] | None) -> int:
+        """Replace partitions ``parts`` (all when None) of ``name`` with the
+        rows of ``df``; other partitions keep their leaves."""
+        if parts is None:
+            return self.replace(name, df)
+        written, rows = self._write(name, df)
+        leaves = {p: leaf for p, leaf in self.leaves_of(name).items() if p not in set(parts)}
+        leaves.update(written)
+        self.new_leaves[name] = leaves
+        self.replaced.add(name)
+        return rows
+
     def merge(self, name: str, staged: DataFrame, key: str, *, check_unique: bool = True) -> dict[str, int]:
         """Upsert ``staged`` into partitioned history ``name`` by ``key``,
         rewriting only the partitions that hold a staged key or receive a

@@ -142,3 +142,17 @@ def test_merge_moves_key_across_days_and_drops_empty_day(spark, store):
     assert sorted(store.leaves(spark)["statements_history"]) == ["2024-01-02", "2024-01-03"]
     got = sorted((r.statementid, r.statement) for r in store.read(spark, "statements_history").collect())
     assert got == [(1, "new"), (2, "keep")]
+
+
+def test_compact_selected_partitions_keeps_the_others(spark, store):
+    src = fx.statements_src(spark, SF_SMALL)
+    jobs.capture_statements(spark, store, src, "2024-01-19 00:00:00")
+    before_leaves = store.leaves(spark)["statements_history"]
+    before = store.read(spark, "statements_history").collect()
+    chosen = sorted(before_leaves)[:3]
+    jobs.compact(spark, store, "statements_history", rows_per_file=10, parts=chosen)
+    after_leaves = store.leaves(spark)["statements_history"]
+    assert set(after_leaves) == set(before_leaves)
+    assert all(after_leaves[p] != before_leaves[p] for p in chosen)
+    assert all(after_leaves[p] == before_leaves[p] for p in before_leaves if p not in chosen)
+    assert same(store.read(spark, "statements_history"), spark.createDataFrame(before, STATEMENTS))
