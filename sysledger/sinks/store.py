@@ -35,7 +35,7 @@ from ..schemas import LAYOUT, SCHEMAS, align_schema
 from ..session import checkpoint_dir
 
 MANIFEST = T.StructType([
-    T.StructField("kind", T.StringType()),  # 'leaf' or 'run'
+    T.StructField("kind", T.StringType()),  # 'leaf', 'run' or 'epoch'
     T.StructField("table", T.StringType()),
     T.StructField("part", T.StringType()),  # partition value as text, '' if unpartitioned
     T.StructField("leaf", T.StringType()),  # path relative to the table root
@@ -98,24 +98,29 @@ class SnapshotStore:
         one entry per partition)."""
         return self._current(spark, version)[1]
 
-    def _current(self, spark: SparkSession, version: int | None = None) -> tuple[int, dict[str, dict[str, str]]]:
-        """(version, leaves) in one query: the highest version is a scalar
-        subquery of the same manifest read."""
+    def _current(self, spark: SparkSession, version: int | None = None
+                 ) -> tuple[int, dict[str, dict[str, str]], dict[str, int]]:
+        """(version, leaves, last stream epochs) in one query: the highest
+        version is a scalar subquery of the same manifest read."""
         m = self._manifest(spark)
         if m is None:
-            return 0, {}
+            return 0, {}, {}
         wanted = F.lit(version) if version is not None else m.agg(F.max("version")).scalar()
-        rows = m.where((F.col("version") == wanted) & (F.col("kind") == "leaf")) \
-            .select("version", "table", "part", "leaf").collect()
+        rows = m.where((F.col("version") == wanted) & F.col("kind").isin("leaf", "epoch")) \
+            .select("version", "kind", "table", "part", "leaf", "job", "step").collect()
         out: dict[str, dict[str, str]] = {}
+        epochs: dict[str, int] = {}
         for r in rows:
-            out.setdefault(r.table, {})[r.part] = r.leaf
+            if r.kind == "leaf":
+                out.setdefault(r.table, {})[r.part] = r.leaf
+            else:
+                epochs[r.job] = int(r.step)
         if rows:
-            return int(rows[0].version), out
+            return int(rows[0].version), out, epochs
         if version is not None:
-            return version, out
+            return version, out, epochs
         v = m.agg(F.max("version")).first()[0]  # a version with no leaves at all
-        return int(v or 0), out
+        return int(v or 0), out, epochs
 
     def run_log(self, spark: SparkSession) -> DataFrame:
         """All runs ever published (job, step, bounds, counts)."""
@@ -146,8 +151,8 @@ class SnapshotStore:
         return df.select(*schema.fieldNames())
 
     def begin(self, spark: SparkSession, run_ts) -> Transaction:
-        version, leaves = self._current(spark)
-        return Transaction(self, spark, version, leaves, run_ts)
+        version, leaves, epochs = self._current(spark)
+        return Transaction(self, spark, version, leaves, run_ts, epochs=epochs)
 
 
 @dataclass
@@ -162,6 +167,7 @@ class Transaction:
     new_leaves: dict[str, dict[str, str]] = field(default_factory=dict)
     replaced: set[str] = field(default_factory=set)  # tables rewritten in full
     runs: list[RunLog] = field(default_factory=list)
+    epochs: dict[str, int] = field(default_factory=dict)  # stream job -> last published epoch
     committed: bool = False
 
     def __post_init__(self):
@@ -274,6 +280,13 @@ class Transaction:
     def log(self, entry: RunLog) -> None:
         self.runs.append(entry)
 
+    def published_epoch(self, job: str) -> int:
+        """Last epoch of stream ``job`` published before this run (-1: none)."""
+        return self.epochs.get(job, -1)
+
+    def mark_epoch(self, job: str, epoch_id: int) -> None:
+        self.epochs[job] = epoch_id
+
     def commit(self) -> int:
         """Publish every table of this run at once (one-task manifest write)."""
         if self.committed:
@@ -283,6 +296,8 @@ class Transaction:
         for name in sorted(names):
             for part, leaf in sorted(self.leaves_of(name).items()):
                 rows.append(("leaf", name, part, leaf, None, None, None, None, None, None, None, None))
+        for job, epoch in sorted(self.epochs.items()):
+            rows.append(("epoch", None, None, None, job, str(epoch), None, None, None, None, None, None))
         run_ts = _as_dt(self.run_ts)
         for r in self.runs:
             rows.append(("run", None, None, None, r.job, r.step, _as_dt(r.run_ts) or run_ts, _as_dt(r.low), _as_dt(r.high),

@@ -20,7 +20,6 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,17 +49,18 @@ def capture_batch(spark: SparkSession, store: SnapshotStore, kind: str, batch: D
     """One micro-batch as one capture run. Returns None when the epoch was
     already published (a replay)."""
     _, history, staging, extract = _KINDS[kind]
-    step = f"epoch={epoch_id}"
-    done = store.run_log(spark).where((F.col("job") == job) & (F.col("step") == step)).limit(1).collect()
-    if done:
-        return None
     txn = store.begin(spark, run_ts)
+    # epochs only grow; a replay repeats an epoch at or below the last one
+    # published, which every manifest version carries forward
+    if epoch_id <= txn.published_epoch(job):
+        return None
     low = history_watermark(txn, history)
     high = run_ts.replace(microsecond=0)
     n = txn.replace(staging, extract(batch, low, high))
     counts = txn.merge(history, txn.read(staging), LAYOUT[history].key)
-    entry = RunLog(job, step, run_ts, low, high, n, counts["inserted"], counts["updated"])
+    entry = RunLog(job, f"epoch={epoch_id}", run_ts, low, high, n, counts["inserted"], counts["updated"])
     txn.log(entry)
+    txn.mark_epoch(job, epoch_id)
     txn.commit()
     return entry
 
