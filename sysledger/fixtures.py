@@ -84,7 +84,7 @@ def views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nc_all_sqlmr_funcs: one installed function per part."""
+    """The installed-functions catalog table: one function per part."""
     size = F.col("p_size")
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("funcid"),
@@ -190,7 +190,7 @@ def users_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """aster_users_history before a run: some users not yet captured,
+    """The users history before a run: some users not yet captured,
     deleted and revoked users, DBA columns filled in."""
     k = F.col("c_custkey")
     nk = F.col("c_nationkey")

@@ -73,7 +73,7 @@ def list_views(views: DataFrame, schemas: DataFrame) -> DataFrame:
 
 
 def list_functions(funcs: DataFrame, schemas: DataFrame) -> DataFrame:
-    """Installed SQL-MR functions, temporary schemas left out."""
+    """Installed functions, temporary schemas left out."""
     return _with_schema(funcs, schemas, FUNCTION_COLUMNS)
 
 

@@ -129,26 +129,26 @@ def test_set_user_attributes_edits_only_named_users(spark):
     assert (out["b"].full_username, out["b"].exempt_activity_flag) == (None, False)
 
 
-# Golden sample of the documented users listing (fixed values; emails invented).
+# Sample users listing (six rows in username order; names and e-mails invented).
 GOLDEN = [
-    (16389, "beehive", None, False, False, True, -1, "2014-03-04 12:08:05.002987", None, True, "System Account"),
+    (16389, "backend", None, False, False, True, -1, "2014-03-04 12:08:05.002987", None, True, "System Account"),
     (16400, "ckent", "{sandbox,public}", False, False, True, -1, "2014-08-19 16:20:32", None, False, "Clark Kent"),
-    (16393, "db_superuser", None, True, True, True, -1, "2014-08-20 14:19:29", None, True, "System Account"),
+    (16393, "db_admin", None, True, True, True, -1, "2014-08-20 14:19:29", None, True, "System Account"),
     (16398, "dduck", "{sandbox,public}", False, False, True, -1, "2014-03-04 12:08:05.002987",
      "2014-03-19 01:03:35.281722", False, "Donald Duck"),
-    (16394, "etl", None, False, False, True, -1, "2014-08-20 18:31:00", None, True, "ETL - Informatica Development"),
-    (16442, "xbcoon", "{sandbox,public}", False, False, True, -1, "2014-08-18 15:45:59", None, False, "Bruno Coon"),
+    (16394, "etl", None, False, False, True, -1, "2014-08-20 18:31:00", None, True, "ETL - Development"),
+    (16442, "xwing", "{sandbox,public}", False, False, True, -1, "2014-08-18 15:45:59", None, False, "Xavier Wing"),
 ]
 
 
 def test_golden_users_listing_order_and_columns(spark):
     first = T("2014-03-04 12:08:05.002987")
     rows = [(u, n, p, cr, cd, ai, cl, first, T(last), T(d) if d else None, None, ex, None,
-             f"{n}@example.com" if n in ("ckent", "dduck", "xbcoon") else None, full)
+             f"{n}@example.com" if n in ("ckent", "dduck", "xwing") else None, full)
             for (u, n, p, cr, cd, ai, cl, last, d, ex, full) in GOLDEN]
     h = spark.createDataFrame(list(reversed(rows)), USERS_HISTORY)
     out = listings.list_users_history(h, ordered=True)
     assert out.columns == listings.USER_HISTORY_COLUMNS
     got = [tuple(r) for r in out.collect()]
-    assert [g[1] for g in got] == ["beehive", "ckent", "db_superuser", "dduck", "etl", "xbcoon"]
+    assert [g[1] for g in got] == ["backend", "ckent", "db_admin", "dduck", "etl", "xwing"]
     assert got[3][9] == T("2014-03-19 01:03:35.281722")
