@@ -395,6 +395,9 @@ select gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) as gap_us fro
     "job_capture_statements": sql("select * from st_merged", "st_merged"),
     "job_capture_sessions": sql("select * from se_merged_new", "se_merged_new"),
     "job_sync_users": sql(f"select {USER_COLS} from b4_h5", "b4_h5"),
+    "job_list_sessions_since": sql(f"""
+select sessionid, username, clientip, dbname, starttime, endtime, parentsessionid, parentstatementid,
+ parenttransactionid, parentretrynumber, status from se_merged_new where starttime > {SINCE}""", "se_merged_new"),
     "job_metrics": sql(
         _MERGE_COUNTS.format(job="capture_statements", new="st_new", hist="st_hist", key="statementid")
         + "\nunion all" + _MERGE_COUNTS.format(job="capture_sessions", new="se_new", hist="se_hist", key="sessionid")

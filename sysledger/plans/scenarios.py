@@ -318,6 +318,14 @@ def q_job_capture_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(spark, "sessions_history")
 
 
+def q_job_list_sessions_since(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions listing with a reach-back bound over the captured history:
+    only the date partitions from the bound on are read."""
+    store = _seeded(spark, sf, "sessions_history")
+    jobs.capture_sessions(spark, store, fx.sessions_src(spark, sf), fx.RUN_TS)
+    return listings.list_sessions_history(store.read(spark, "sessions_history", since=fx.SINCE), since=fx.SINCE)
+
+
 def q_job_sync_users(spark: SparkSession, sf: str) -> DataFrame:
     store, _ = _b4(spark, sf)
     return store.read(spark, "users_history")

@@ -134,14 +134,25 @@ class SnapshotStore:
         return f"{self.root}/{name}"
 
     def read(self, spark: SparkSession, name: str, leaves: dict[str, str] | None = None,
-             parts: list[str] | None = None) -> DataFrame:
-        """Current snapshot of ``name`` (optionally only some partitions)."""
+             parts: list[str] | None = None, since=None) -> DataFrame:
+        """Current snapshot of ``name``: optionally only some partitions, or
+        only the partitions that can hold times after ``since`` (older leaves
+        are never listed; rows still need the caller's exact filter)."""
         schema = SCHEMAS[name]
         layout = LAYOUT.get(name)
         pcol = layout.partition_by if layout else None
         if leaves is None:
             leaves = self.leaves(spark).get(name, {})
-        chosen = [leaf for part, leaf in sorted(leaves.items()) if parts is None or part in parts]
+        first_day = None
+        if since is not None and pcol:
+            first_day = (since if isinstance(since, dt.datetime) else dt.datetime.fromisoformat(str(since))).date().isoformat()
+
+        def keep(part: str) -> bool:
+            if parts is not None and part not in parts:
+                return False
+            return first_day is None or (part != NULL_PART and part >= first_day)
+
+        chosen = [leaf for part, leaf in sorted(leaves.items()) if keep(part)]
         if not chosen:
             return spark.createDataFrame([], schema)
         full = T.StructType(list(schema.fields) + ([T.StructField(pcol, T.DateType())] if pcol else [])

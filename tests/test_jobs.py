@@ -156,3 +156,12 @@ def test_compact_selected_partitions_keeps_the_others(spark, store):
     assert all(after_leaves[p] != before_leaves[p] for p in chosen)
     assert all(after_leaves[p] == before_leaves[p] for p in before_leaves if p not in chosen)
     assert same(store.read(spark, "statements_history"), spark.createDataFrame(before, STATEMENTS))
+
+
+def test_read_since_skips_older_partitions(spark, store):
+    seed(spark, store, "statements_history", fx.statements_history(spark, SF_SMALL))
+    all_rows = store.read(spark, "statements_history")
+    recent = store.read(spark, "statements_history", since="2024-01-10 12:00:00")
+    assert recent.where("endtime < timestamp_ntz'2024-01-10 00:00:00'").count() == 0
+    want = all_rows.where("endtime > timestamp_ntz'2024-01-10 12:00:00'")
+    assert same(recent.where("endtime > timestamp_ntz'2024-01-10 12:00:00'"), want)
