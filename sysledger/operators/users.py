@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import any_true, differs, ts_literal
 from .capture import append_rows
-from ..plans.hints import broadcast_if_small, fits_broadcast, max_broadcast_rows
+from ..plans.hints import broadcast_if_small, fits_broadcast, fits_broadcast_all, max_broadcast_rows
 from ..schemas import (USER_BOOKKEEPING, USER_COMPARED_COLUMNS, USER_DBA_COLUMNS, USER_SOURCE_COLUMNS,
                        USERS_HISTORY, typed_null)
 
@@ -175,9 +175,13 @@ def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: D
     ids) is a subset of the source list and inherits its bound; the set of
     userids whose revocation is cleared gets its own check."""
     now = ts_literal(run_ts)
+    activity = session_activity(sessions_new, run_ts)
     # a caller that already counted the source (the job, while staging it)
-    # passes the count; otherwise a bounded count checks it here
-    users_fit = (users_rows <= max_broadcast_rows(users_new)) if users_rows is not None else fits_broadcast(users_new)
+    # passes the count; otherwise one job counts both sides here
+    if users_rows is not None:
+        users_fit, acts_fit = users_rows <= max_broadcast_rows(users_new), fits_broadcast(activity)
+    else:
+        users_fit, acts_fit = fits_broadcast_all(users_new, activity)
 
     def user_side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if users_fit else df
@@ -191,7 +195,7 @@ def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: D
     base = base_old.unionByName(base_new)
 
     # steps 3-5 read the staged sessions reduced per username, and the source ids
-    acts = broadcast_if_small(session_activity(sessions_new, run_ts))
+    acts = F.broadcast(activity) if acts_fit else activity
     out = (
         base.join(acts, "username", "left")
         .join(user_side(_source_ids(users_new)), F.col("userid") == F.col("_sid"), "left")

@@ -52,6 +52,17 @@ def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> b
     return df.count() <= max_broadcast_rows(df, max_bytes)
 
 
+def fits_broadcast_all(*dfs: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[bool]:
+    """``fits_broadcast`` for several independent sides in one Spark job
+    (one count per side, unioned)."""
+    counts = None
+    for i, df in enumerate(dfs):
+        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    got = {r.i: r.n for r in counts.collect()}
+    return [got[i] <= max_broadcast_rows(df, max_bytes) for i, df in enumerate(dfs)]
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` behind a size check; otherwise ``df`` unchanged."""
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df

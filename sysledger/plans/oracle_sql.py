@@ -8,6 +8,8 @@ tables are the CTEs of FIXTURES.md.
 
 from __future__ import annotations
 
+import re
+
 RUN_TS = "timestamp '2024-01-25 00:00:00.5'"
 UPPER = f"date_trunc('second', {RUN_TS})"
 CUT = "timestamp '2024-01-15 00:00:00'"
@@ -184,8 +186,6 @@ _SESSION_STEPS = ["v3", "h3", "v4", "h4", "v5", "h5"]
 
 
 def _rename_chain(body: str, prefix: str, sessions: str) -> str:
-    import re
-
     body = re.sub(r"\bse_rules\b", sessions, body)
     for n in _SESSION_STEPS:
         body = re.sub(rf"\b{n}\b", prefix + n, body)
