@@ -4,7 +4,7 @@ Layout under ``root`` (a shared folder every executor can reach):
 
     <root>/<table>/<pcol>=<value>/v=<tag>/part-*.parquet   partitioned tables
     <root>/<table>/v=<tag>/part-*.parquet                  unpartitioned tables
-    <root>/_manifest/version=<n>/part-*.parquet            one manifest per run
+    <root>/manifest/version=<n>/part-*.parquet             one manifest per run
 
 A manifest version lists, for every table, the leaf directory holding each
 partition, plus the run log rows of the run that wrote it. Readers use the
@@ -86,7 +86,7 @@ class SnapshotStore:
         if self._empty:
             return None
         try:
-            return spark.read.schema(MANIFEST_READ).parquet(f"{self.root}/_manifest")
+            return spark.read.schema(MANIFEST_READ).parquet(f"{self.root}/manifest")
         except AnalysisException:
             return None
 
@@ -314,7 +314,7 @@ class Transaction:
             rows.append(("run", None, None, None, r.job, r.step, _as_dt(r.run_ts) or run_ts, _as_dt(r.low), _as_dt(r.high),
                          r.extracted, r.inserted, r.updated))
         manifest = self.spark.createDataFrame(rows, MANIFEST).withColumn("version", F.lit(self.version).cast("bigint"))
-        manifest.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{self.store.root}/_manifest")
+        manifest.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{self.store.root}/manifest")
         self.store._empty = False
         self.committed = True
         return self.version
