@@ -47,6 +47,8 @@ MANIFEST = T.StructType([
     T.StructField("extracted", T.LongType()),
     T.StructField("inserted", T.LongType()),
     T.StructField("updated", T.LongType()),
+    T.StructField("key_min", T.LongType()),  # key range of a leaf (partitioned tables)
+    T.StructField("key_max", T.LongType()),
 ])
 
 MANIFEST_READ = T.StructType(MANIFEST.fields + [T.StructField("version", T.LongType())])
@@ -91,43 +93,40 @@ class SnapshotStore:
             return None
 
     def current_version(self, spark: SparkSession) -> int:
-        return self._current(spark)[0]
+        return self._current(spark).version
 
     def leaves(self, spark: SparkSession, version: int | None = None) -> dict[str, dict[str, str]]:
         """table -> {partition value -> leaf} of a version (metadata only;
         one entry per partition)."""
-        return self._current(spark, version)[1]
+        return self._current(spark, version).leaves
 
-    def _current(self, spark: SparkSession, version: int | None = None
-                 ) -> tuple[int, dict[str, dict[str, str]], dict[str, int]]:
-        """(version, leaves, last stream epochs) in one query: the highest
-        version is a scalar subquery of the same manifest read."""
+    def _current(self, spark: SparkSession, version: int | None = None) -> Snapshot:
+        """Leaves, key ranges and last stream epochs of a version (default:
+        the highest) in one query: the version is a scalar subquery of the
+        same manifest read."""
         m = self._manifest(spark)
         if m is None:
-            return 0, {}, {}
+            return Snapshot(0, {}, {}, {})
         wanted = F.lit(version) if version is not None else m.agg(F.max("version")).scalar()
         rows = m.where((F.col("version") == wanted) & F.col("kind").isin("leaf", "epoch")) \
-            .select("version", "kind", "table", "part", "leaf", "job", "step").collect()
-        out: dict[str, dict[str, str]] = {}
-        epochs: dict[str, int] = {}
+            .select("version", "kind", "table", "part", "leaf", "job", "step", "key_min", "key_max").collect()
+        snap = Snapshot(int(rows[0].version) if rows else (version or 0), {}, {}, {})
         for r in rows:
             if r.kind == "leaf":
-                out.setdefault(r.table, {})[r.part] = r.leaf
+                snap.leaves.setdefault(r.table, {})[r.part] = r.leaf
+                snap.ranges.setdefault(r.table, {})[r.part] = (r.key_min, r.key_max)
             else:
-                epochs[r.job] = int(r.step)
-        if rows:
-            return int(rows[0].version), out, epochs
-        if version is not None:
-            return version, out, epochs
-        v = m.agg(F.max("version")).first()[0]  # a version with no leaves at all
-        return int(v or 0), out, epochs
+                snap.epochs[r.job] = int(r.step)
+        if not rows and version is None:
+            snap.version = int(m.agg(F.max("version")).first()[0] or 0)  # a version with no leaves
+        return snap
 
     def run_log(self, spark: SparkSession) -> DataFrame:
         """All runs ever published (job, step, bounds, counts)."""
         m = self._manifest(spark)
         if m is None:
             return spark.createDataFrame([], MANIFEST_READ)
-        return m.where(F.col("kind") == "run").drop("kind", "part", "leaf")
+        return m.where(F.col("kind") == "run").drop("kind", "part", "leaf", "key_min", "key_max")
 
     # --- reads ----------------------------------------------------------------
     def table_root(self, name: str) -> str:
@@ -162,8 +161,16 @@ class SnapshotStore:
         return df.select(*schema.fieldNames())
 
     def begin(self, spark: SparkSession, run_ts) -> Transaction:
-        version, leaves, epochs = self._current(spark)
-        return Transaction(self, spark, version, leaves, run_ts, epochs=epochs)
+        snap = self._current(spark)
+        return Transaction(self, spark, snap.version, snap.leaves, run_ts, epochs=snap.epochs, base_ranges=snap.ranges)
+
+
+@dataclass
+class Snapshot:
+    version: int
+    leaves: dict[str, dict[str, str]]  # table -> partition -> leaf
+    ranges: dict[str, dict[str, tuple]]  # table -> partition -> (key_min, key_max)
+    epochs: dict[str, int]  # stream job -> last published epoch
 
 
 @dataclass
@@ -179,6 +186,8 @@ class Transaction:
     replaced: set[str] = field(default_factory=set)  # tables rewritten in full
     runs: list[RunLog] = field(default_factory=list)
     epochs: dict[str, int] = field(default_factory=dict)  # stream job -> last published epoch
+    base_ranges: dict[str, dict[str, tuple]] = field(default_factory=dict)
+    new_ranges: dict[str, dict[str, tuple]] = field(default_factory=dict)
     committed: bool = False
 
     def __post_init__(self):
@@ -193,6 +202,14 @@ class Transaction:
         out.update(self.new_leaves.get(name, {}))
         return out
 
+    def ranges_of(self, name: str) -> dict[str, tuple]:
+        """partition -> (key_min, key_max) of the leaves ``leaves_of`` gives."""
+        if name in self.replaced:
+            return dict(self.new_ranges.get(name, {}))
+        out = dict(self.base_ranges.get(name, {}))
+        out.update(self.new_ranges.get(name, {}))
+        return out
+
     def read(self, name: str, parts: list[str] | None = None) -> DataFrame:
         return self.store.read(self.spark, name, self.leaves_of(name), parts)
 
@@ -200,7 +217,7 @@ class Transaction:
         layout = LAYOUT.get(name)
         return (layout.partition_by, layout.partition_source) if layout and layout.partition_by else (None, None)
 
-    def _write(self, name: str, df: DataFrame) -> tuple[dict[str, str], int]:
+    def _write(self, name: str, df: DataFrame) -> tuple[dict[str, str], int, dict[str, tuple]]:
         """Append ``df`` as new leaves of ``name``; returns partition -> leaf
         for the partitions that received rows, and the row count (both
         observed during the write, no second pass).
@@ -225,15 +242,28 @@ class Transaction:
             (out.sortWithinPartitions(pcol, "v", key)
              .write.mode("append").partitionBy(pcol, "v").parquet(root))
             got = obs.get
-            return {p: f"{pcol}={p}/v={self.tag}" for p in got.get("parts") or []}, int(got.get("rows") or 0)
+            written = {p: f"{pcol}={p}/v={self.tag}" for p in got.get("parts") or []}
+            return written, int(got.get("rows") or 0), self._key_ranges(name, written)
         out = out.withColumn("v", F.lit(self.tag)).observe(obs, F.count(F.lit(1)).alias("rows"))
         out.write.mode("append").partitionBy("v").parquet(root)
         rows = int(obs.get.get("rows") or 0)
-        return ({"": f"v={self.tag}"} if rows > 0 else {}), rows
+        return ({"": f"v={self.tag}"} if rows > 0 else {}), rows, {}
+
+    def _key_ranges(self, name: str, written: dict[str, str]) -> dict[str, tuple]:
+        """Key range of each new leaf: one aggregate over the key and time
+        columns of just these leaves. Kept in the manifest, it lets a merge
+        skip whole partitions before listing or opening any file."""
+        if not written:
+            return {}
+        layout = LAYOUT[name]
+        part = F.coalesce(F.to_date(F.col(layout.partition_source)).cast("string"), F.lit(NULL_PART))
+        back = self.store.read(self.spark, name, leaves=written)
+        got = back.groupBy(part.alias("p")).agg(F.min(layout.key).alias("lo"), F.max(layout.key).alias("hi")).collect()
+        return {r.p: (r.lo, r.hi) for r in got}
 
     def replace(self, name: str, df: DataFrame) -> int:
         """Full replacement (staging tables, the users history); returns rows."""
-        self.new_leaves[name], rows = self._write(name, df)
+        self.new_leaves[name], rows, self.new_ranges[name] = self._write(name, df)
         self.replaced.add(name)
         return rows
 
@@ -242,13 +272,18 @@ class Transaction:
         rows of ``df``; other partitions keep their leaves."""
         if parts is None:
             return self.replace(name, df)
-        written, rows = self._write(name, df)
-        leaves = {p: leaf for p, leaf in self.leaves_of(name).items() if p not in set(parts)}
-        leaves.update(written)
-        self.new_leaves[name] = leaves
-        self.replaced.add(name)
+        written, rows, ranges = self._write(name, df)
+        keep = set(self.leaves_of(name)) - set(parts)
+        self._publish_parts(name, keep, written, ranges)
         return rows
 
+    def _publish_parts(self, name: str, keep: set[str], written: dict[str, str], ranges: dict[str, tuple]) -> None:
+        """New leaf set of ``name``: the kept partitions plus the written ones."""
+        leaves, old_ranges = self.leaves_of(name), self.ranges_of(name)
+        self.new_leaves[name] = {p: leaves[p] for p in keep} | written
+        self.new_ranges[name] = {p: old_ranges.get(p, (None, None)) for p in keep} | ranges
+        self.replaced.add(name)
+
     def merge(self, name: str, staged: DataFrame, key: str, *, check_unique: bool = True) -> dict[str, int]:
         """Upsert ``staged`` into partitioned history ``name`` by ``key``,
         rewriting only the partitions that hold a staged key or receive a
@@ -267,11 +302,18 @@ class Transaction:
         # is the proof of their size
         kb = F.broadcast(keys) if extracted <= max_broadcast_rows(keys) else keys
         current = self.leaves_of(name)
+        ranges = self.ranges_of(name)
         touched = set(bounds.parts)
         if bounds.lo is not None:
-            # partitions holding staged keys: key-range filter (parquet min/max
-            # skips row groups), then a key-only semi-join on broadcast keys
-            hist = self.read(name)
+            # partitions that can hold staged keys: the manifest's key range of
+            # each leaf prunes whole partitions; inside them a key-range filter
+            # (parquet min/max skips row groups) and a key-only semi-join on the
+            # broadcast keys find the ones that do
+            def may_hold(p: str) -> bool:
+                lo, hi = ranges.get(p, (None, None))
+                return lo is None or hi is None or (hi >= bounds.lo and lo <= bounds.hi)
+
+            hist = self.read(name, parts=[p for p in current if may_hold(p)])
             rng = hist.where(F.col(key).between(F.lit(bounds.lo), F.lit(bounds.hi)))
             hit = (rng.select(key, F.coalesce(F.to_date(F.col(src)).cast("string"), F.lit(NULL_PART)).alias("_p"))
                    .join(kb, key, "left_semi").select("_p").distinct())
@@ -280,11 +322,8 @@ class Transaction:
         before, after = Observation(f"before_{name}_{self.tag}"), Observation(f"kept_{name}_{self.tag}")
         old = old.observe(before, F.count(F.lit(1)).alias("n"))
         kept = old.join(kb, key, "left_anti").observe(after, F.count(F.lit(1)).alias("n"))
-        written, _ = self._write(name, kept.unionByName(staged.select(*SCHEMAS[name].fieldNames())))
-        leaves = {p: leaf for p, leaf in current.items() if p not in touched}
-        leaves.update(written)
-        self.new_leaves[name] = leaves
-        self.replaced.add(name)
+        written, _, new_ranges = self._write(name, kept.unionByName(staged.select(*SCHEMAS[name].fieldNames())))
+        self._publish_parts(name, set(current) - touched, written, new_ranges)
         updated = int(before.get.get("n", 0)) - int(after.get.get("n", 0))
         return {"extracted": extracted, "inserted": extracted - updated, "updated": updated}
 
@@ -305,14 +344,16 @@ class Transaction:
         names = set(self.base_leaves) | set(self.new_leaves)
         rows = []
         for name in sorted(names):
+            ranges = self.ranges_of(name)
             for part, leaf in sorted(self.leaves_of(name).items()):
-                rows.append(("leaf", name, part, leaf, None, None, None, None, None, None, None, None))
+                lo, hi = ranges.get(part, (None, None))
+                rows.append(("leaf", name, part, leaf, None, None, None, None, None, None, None, None, lo, hi))
         for job, epoch in sorted(self.epochs.items()):
-            rows.append(("epoch", None, None, None, job, str(epoch), None, None, None, None, None, None))
+            rows.append(("epoch", None, None, None, job, str(epoch), None, None, None, None, None, None, None, None))
         run_ts = _as_dt(self.run_ts)
         for r in self.runs:
             rows.append(("run", None, None, None, r.job, r.step, _as_dt(r.run_ts) or run_ts, _as_dt(r.low), _as_dt(r.high),
-                         r.extracted, r.inserted, r.updated))
+                         r.extracted, r.inserted, r.updated, None, None))
         manifest = self.spark.createDataFrame(rows, MANIFEST).withColumn("version", F.lit(self.version).cast("bigint"))
         manifest.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{self.store.root}/manifest")
         self.store._empty = False

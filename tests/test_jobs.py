@@ -184,3 +184,25 @@ def test_three_nights_of_sessions_and_users_equal_operator_sequence(spark, store
     assert same(store.read(spark, "sessions_history"), hist_s)
     assert same(store.read(spark, "users_history"), hist_u)
     assert store.run_log(spark).where("job = 'capture_sessions'").count() == 3
+
+
+def test_merge_opens_only_partitions_whose_key_range_overlaps(spark, store, monkeypatch):
+    seed(spark, store, "statements_history", fx.statements_history(spark, SF_SMALL))
+    txn = store.begin(spark, fx.RUN_TS)
+    ranges = txn.ranges_of("statements_history")
+    assert ranges and all(lo is not None and lo <= hi for lo, hi in ranges.values())
+    seen = []
+    original = SnapshotStore.read
+
+    def spy(self, spark_, name, leaves=None, parts=None, since=None):
+        seen.append(parts)
+        return original(self, spark_, name, leaves, parts, since)
+
+    monkeypatch.setattr(SnapshotStore, "read", spy)
+    staged = capture.extract_statements(fx.statements_src(spark, SF_SMALL), "2024-01-20 00:00:00", "2024-01-25 00:00:00")
+    lo = staged.agg({"statementid": "min"}).first()[0]
+    txn.merge("statements_history", staged, "statementid")
+    probe = seen[0]  # the partition probe for staged keys
+    assert probe is not None
+    assert set(probe) == {p for p, (a, b) in ranges.items() if b >= lo}
+    assert len(probe) < len(ranges)
