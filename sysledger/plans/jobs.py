@@ -60,14 +60,17 @@ def _stage(txn: Transaction, name: str, df: DataFrame) -> tuple[DataFrame, int]:
     return txn.read(name), n
 
 
-def _capture(txn: Transaction, job: str, source: DataFrame, run_ts, history: str, staging: str, extract) -> RunLog:
+def capture_into(txn: Transaction, job: str, source: DataFrame, run_ts, history: str, staging: str, extract,
+                 step: str = "merge") -> RunLog:
+    """One capture inside a transaction: watermark from the history, open
+    window up to the run time cut to seconds, stage, merge, log."""
     low = history_watermark(txn, history)
     high = _second(_ts(run_ts))
     staged, n = _stage(txn, staging, extract(source, low, high))
     counts = txn.merge(history, staged, LAYOUT[history].key)
     if counts["extracted"] != n:
         raise RuntimeError(f"{job}: staged {n} rows but merged {counts['extracted']}")
-    entry = RunLog(job, "merge", _ts(run_ts), low, high, n, counts["inserted"], counts["updated"])
+    entry = RunLog(job, step, _ts(run_ts), low, high, n, counts["inserted"], counts["updated"])
     txn.log(entry)
     return entry
 
@@ -75,7 +78,7 @@ def _capture(txn: Transaction, job: str, source: DataFrame, run_ts, history: str
 def capture_statements(spark: SparkSession, store: SnapshotStore, source: DataFrame, run_ts) -> DataFrame:
     """B1: statements that ended since the last capture, upserted."""
     txn = store.begin(spark, run_ts)
-    entry = _capture(txn, "capture_statements", source, run_ts, "statements_history", "statements_new",
+    entry = capture_into(txn, "capture_statements", source, run_ts, "statements_history", "statements_new",
                      capture.extract_statements)
     txn.commit()
     return _metrics(spark, [entry])
@@ -84,7 +87,7 @@ def capture_statements(spark: SparkSession, store: SnapshotStore, source: DataFr
 def capture_sessions(spark: SparkSession, store: SnapshotStore, source: DataFrame, run_ts) -> DataFrame:
     """B2: sessions that started since the last capture, upserted."""
     txn = store.begin(spark, run_ts)
-    entry = _capture(txn, "capture_sessions", source, run_ts, "sessions_history", "sessions_new",
+    entry = capture_into(txn, "capture_sessions", source, run_ts, "sessions_history", "sessions_new",
                      capture.extract_sessions)
     txn.commit()
     return _metrics(spark, [entry])
@@ -134,7 +137,7 @@ def capture_sessions_users(spark: SparkSession, store: SnapshotStore, sessions_s
     """B4: sessions then users in one run; published together, so the user
     rules always see the sessions of the same run."""
     txn = store.begin(spark, run_ts)
-    first = _capture(txn, "capture_sessions", sessions_source, run_ts, "sessions_history", "sessions_new",
+    first = capture_into(txn, "capture_sessions", sessions_source, run_ts, "sessions_history", "sessions_new",
                      capture.extract_sessions)
     logs = [first] + _sync(txn, users_source, run_ts, require_users=require_users)
     txn.commit()

@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import capture
-from ..plans.jobs import history_watermark
-from ..schemas import LAYOUT, SESSIONS, STATEMENTS
+from ..plans.jobs import capture_into
+from ..schemas import SESSIONS, STATEMENTS
 from ..sinks.store import RunLog, SnapshotStore
 
 # Source layouts as exported (booleans still text; sessions carry no status).
@@ -54,12 +54,7 @@ def capture_batch(spark: SparkSession, store: SnapshotStore, kind: str, batch: D
     # published, which every manifest version carries forward
     if epoch_id <= txn.published_epoch(job):
         return None
-    low = history_watermark(txn, history)
-    high = run_ts.replace(microsecond=0)
-    n = txn.replace(staging, extract(batch, low, high))
-    counts = txn.merge(history, txn.read(staging), LAYOUT[history].key)
-    entry = RunLog(job, f"epoch={epoch_id}", run_ts, low, high, n, counts["inserted"], counts["updated"])
-    txn.log(entry)
+    entry = capture_into(txn, job, batch, run_ts, history, staging, extract, step=f"epoch={epoch_id}")
     txn.mark_epoch(job, epoch_id)
     txn.commit()
     return entry
