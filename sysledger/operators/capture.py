@@ -98,7 +98,12 @@ def merge_upsert(history: DataFrame, staged: DataFrame, key: str, *, check_uniqu
 
     Both merges of the jobs overwrite all non-key columns, so the merge is
     ``history`` minus the staged keys, plus the staged rows. Null keys never
-    match (history rows with a null key stay, staged ones are inserted)."""
+    match (history rows with a null key stay, staged ones are inserted).
+
+    ``staged`` is evaluated twice (key count for the broadcast check, then
+    the merge): stage an expensive source first, as the jobs do. This form
+    rewrites the whole history; ``SnapshotStore`` transactions rewrite only
+    the partitions that hold staged keys."""
     if dedupe_by:
         staged = latest_per_key(staged, key, dedupe_by)
         check_unique = False
