@@ -60,13 +60,17 @@ def _stage(txn: Transaction, name: str, df: DataFrame) -> tuple[DataFrame, int]:
     return txn.read(name), n
 
 
-def capture_into(txn: Transaction, job: str, source: DataFrame, run_ts, history: str, staging: str, extract,
+def capture_into(txn: Transaction, job: str, source, run_ts, history: str, staging: str, extract,
                  step: str = "merge") -> RunLog:
     """One capture inside a transaction: watermark from the history, open
-    window up to the run time cut to seconds, stage, merge, log."""
+    window up to the run time cut to seconds, stage, merge, log. ``source``
+    is a DataFrame or a callable ``(low, high) -> DataFrame``."""
     low = history_watermark(txn, history)
     high = _second(_ts(run_ts))
-    staged, n = _stage(txn, staging, extract(source, low, high))
+    # a source may be built for the window (e.g. a parallel JDBC read of just
+    # these rows); the extract's filter then repeats the window exactly
+    rows = source(low, high) if callable(source) else source
+    staged, n = _stage(txn, staging, extract(rows, low, high))
     counts = txn.merge(history, staged, LAYOUT[history].key)
     if counts["extracted"] != n:
         raise RuntimeError(f"{job}: staged {n} rows but merged {counts['extracted']}")

@@ -57,3 +57,24 @@ def read_remote(spark: SparkSession, url: str, query: str, *, properties: dict[s
             .option("numPartitions", str(num_partitions))
         )
     return reader.load()
+
+
+def windowed_source(spark: SparkSession, url: str, table: str, ts_col: str, *, properties: dict[str, str] | None = None,
+                    partition_column: str | None = None, num_partitions: int = 8):
+    """A source for the capture jobs: ``(low, high) -> DataFrame`` reading
+    only the window's rows. With ``partition_column`` the database is first
+    asked for that column's bounds inside the window (one small query), then
+    the window is read as ``num_partitions`` parallel range queries."""
+    def make(low, high) -> DataFrame:
+        query = window_query(table, "*", ts_col, low, high)
+        if partition_column:
+            bounds = read_remote(spark, url, f"SELECT MIN({partition_column}) AS LO, MAX({partition_column}) AS HI "
+                                             f"FROM ({query}) window_rows", properties=properties).first()
+            lo, hi = bounds[0], bounds[1]
+            if lo is not None:
+                df = read_remote(spark, url, query, properties=properties, partition_column=partition_column,
+                                 lower_bound=lo, upper_bound=int(hi) + 1, num_partitions=num_partitions)
+                return df.toDF(*[c.lower() for c in df.columns])
+        df = read_remote(spark, url, query, properties=properties)
+        return df.toDF(*[c.lower() for c in df.columns])
+    return make

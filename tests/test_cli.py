@@ -49,3 +49,21 @@ def test_capture_from_jdbc_source_pushes_the_window(spark, tmp_path):
     plan = capture.extract_window(src, "endtime", "2024-01-01 00:00:00", "2024-01-02 00:00:00") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*IsNotNull(endtime), *GreaterThan(endtime" in plan
+
+
+def test_capture_reads_the_window_as_parallel_range_queries(spark, tmp_path):
+    root = f"{checkpoint_dir(spark)}/cli-{uuid.uuid4().hex[:8]}"
+    url = f"jdbc:derby:memory:cli{uuid.uuid4().hex[:8]};create=true"
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    src = fx.statements_src(spark, SF_SMALL)
+    src.toDF(*[c.upper() for c in src.columns]).write.format("jdbc").option("url", url) \
+        .option("dbtable", "NC_ALL_STATEMENTS").options(**driver).save()
+    props = tmp_path / "db.properties"
+    props.write_text("driver=org.apache.derby.jdbc.EmbeddedDriver\n")
+    args = ["capture-statements", "--store", f"{root}/store", "--source", url, "--jdbc-table", "NC_ALL_STATEMENTS",
+            "--jdbc-properties", str(props), "--jdbc-partition-column", "STATEMENTID", "--jdbc-num-partitions", "4",
+            "--run-ts", fx.RUN_TS]
+    assert main(args, spark=spark) == 0
+    got = SnapshotStore(f"{root}/store").read(spark, "statements_history")
+    want = capture.extract_statements(src, "2000-01-01 00:00:00", "2024-01-25 00:00:00")
+    assert same(got, want)

@@ -30,3 +30,19 @@ def test_windowed_parallel_extract_equals_local_filter(spark):
     assert staged.exceptAll(local).count() == 0 and local.exceptAll(staged).count() == 0
     assert staged.count() == 299
     assert staged.where(F.col("iscancelable").isNull()).count() == 0
+
+
+def test_windowed_source_splits_only_the_window(spark):
+    from sysledger.sources.remote import windowed_source
+
+    url = f"jdbc:derby:memory:sl{uuid.uuid4().hex[:8]};create=true"
+    src = fx.statements_src(spark, SF_SMALL)
+    src.toDF(*[c.upper() for c in src.columns]).write.format("jdbc").option("url", url) \
+        .option("dbtable", "NC_ALL_STATEMENTS").options(**DRIVER).save()
+    make = windowed_source(spark, url, "NC_ALL_STATEMENTS", "ENDTIME", properties=DRIVER,
+                           partition_column="STATEMENTID", num_partitions=4)
+    low, high = "2024-01-14 22:58:18", "2024-01-25 00:00:00"
+    rows = make(low, high)
+    assert rows.rdd.getNumPartitions() == 4
+    assert capture.extract_statements(rows, low, high).count() == 299
+    assert rows.count() == 299  # the database sent only the window
