@@ -47,6 +47,20 @@ def scans(plan: str) -> list[str]:
     return out
 
 
+def tree_line(line: str, width: int = 150) -> str:
+    """Keep the tree prefix and the operator with its key arguments."""
+    m = re.match(r"^([\s:+\-|]*)(\S+)(.*)$", line)
+    if not m:
+        return line[:width]
+    prefix, op, rest = m.groups()
+    if op == "FileScan":
+        cols = re.search(r"ReadSchema: struct<([^>\]]*)", rest)
+        pushed = re.search(r"PushedFilters: \[([^\]]*)\]", rest)
+        rest = " parquet" + (f" read=[{cols.group(1)}]" if cols else "") + (f" pushed=[{pushed.group(1)}]" if pushed else "")
+    out = f"{prefix}{op}{rest}"
+    return out if len(out) <= width else out[: width - 3] + "..."
+
+
 def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     import __spark_entry__ as E
@@ -69,6 +83,11 @@ def main(argv: list[str]) -> None:
         s = shape(plan)
         sc = "; ".join(sorted(set(scans(plan))))
         lines.append(f"| `{name}` | " + " | ".join(str(v) for v in s.values()) + f" | {sc} |")
+    lines += ["", "## Plan trees of the headline queries", "",
+              "Operator lines of the physical plan (expressions and long argument lists cut).", ""]
+    for name in ("list_tables", "table_sizes", "merge_statements", "merge_sessions", "sync_users", "relation_stats"):
+        plan = E.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        lines += [f"### {name}", "", "```"] + [tree_line(x) for x in plan.splitlines() if x.strip()] + ["```", ""]
     (ROOT / "PLANS.md").write_text("\n".join(lines) + "\n")
     print(f"wrote {ROOT / 'PLANS.md'}")
 
