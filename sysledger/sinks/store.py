@@ -304,28 +304,35 @@ class Transaction:
         current = self.leaves_of(name)
         ranges = self.ranges_of(name)
         touched = set(bounds.parts)
+        updated = matched_keys = 0
         if bounds.lo is not None:
-            # partitions that can hold staged keys: the manifest's key range of
-            # each leaf prunes whole partitions; inside them a key-range filter
-            # (parquet min/max skips row groups) and a key-only semi-join on the
-            # broadcast keys find the ones that do
+            # history rows holding staged keys, counted per partition in one
+            # job: the manifest's key range of each leaf prunes whole
+            # partitions, a key-range filter skips row groups by parquet
+            # min/max, and a key-only semi-join on the staged keys finds the
+            # rows. One aggregate gives the partitions, the matched rows and
+            # the matched keys (exact under task retries, unlike accumulators
+            # in a shuffle stage).
             def may_hold(p: str) -> bool:
                 lo, hi = ranges.get(p, (None, None))
                 return lo is None or hi is None or (hi >= bounds.lo and lo <= bounds.hi)
 
             hist = self.read(name, parts=[p for p in current if may_hold(p)])
             rng = hist.where(F.col(key).between(F.lit(bounds.lo), F.lit(bounds.hi)))
-            hit = (rng.select(key, F.coalesce(F.to_date(F.col(src)).cast("string"), F.lit(NULL_PART)).alias("_p"))
-                   .join(kb, key, "left_semi").select("_p").distinct())
-            touched |= {r._p for r in hit.collect()}
+            part = F.coalesce(F.to_date(F.col(src)).cast("string"), F.lit(NULL_PART))
+            hit = (rng.select(key, part.alias("_p")).join(kb, key, "left_semi")
+                   .groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.collect_set("_p").alias("ps"))
+                   .agg(F.sum("c").alias("rows"), F.count(F.lit(1)).alias("keys"),
+                        F.array_distinct(F.flatten(F.collect_list("ps"))).alias("parts"))).first()
+            touched |= set(hit.parts or [])
+            updated, matched_keys = int(hit.rows or 0), int(hit.keys or 0)
         old = self.read(name, parts=sorted(p for p in touched if p in current))
-        before, after = Observation(f"before_{name}_{self.tag}"), Observation(f"kept_{name}_{self.tag}")
-        old = old.observe(before, F.count(F.lit(1)).alias("n"))
-        kept = old.join(kb, key, "left_anti").observe(after, F.count(F.lit(1)).alias("n"))
+        kept = old.join(kb, key, "left_anti")
         written, _, new_ranges = self._write(name, kept.unionByName(staged.select(*SCHEMAS[name].fieldNames())))
         self._publish_parts(name, set(current) - touched, written, new_ranges)
-        updated = int(before.get.get("n", 0)) - int(after.get.get("n", 0))
-        return {"extracted": extracted, "inserted": extracted - updated, "updated": updated}
+        # MERGE counts: every history row of a staged key is updated; a staged
+        # row whose key matches none is inserted
+        return {"extracted": extracted, "inserted": extracted - matched_keys, "updated": updated}
 
     def log(self, entry: RunLog) -> None:
         self.runs.append(entry)
