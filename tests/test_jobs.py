@@ -206,3 +206,15 @@ def test_merge_opens_only_partitions_whose_key_range_overlaps(spark, store, monk
     assert probe is not None
     assert set(probe) == {p for p, (a, b) in ranges.items() if b >= lo}
     assert len(probe) < len(ranges)
+
+
+def test_user_sync_job_after_separate_session_capture(spark, store):
+    seed(spark, store, "sessions_history", align_schema(fx.sessions_history(spark, SF_SMALL), SESSIONS))
+    seed(spark, store, "users_history", fx.users_history(spark, SF_SMALL))
+    jobs.capture_sessions(spark, store, fx.sessions_src(spark, SF_SMALL), fx.RUN_TS)  # B2
+    metrics = {r.step: r for r in jobs.sync_users(spark, store, fx.users_src(spark, SF_SMALL), fx.RUN_TS).collect()}  # B3
+    staged = store.read(spark, "sessions_new")
+    want = users.sync_users(fx.users_history(spark, SF_SMALL), fx.staged_users(spark, SF_SMALL), staged, fx.RUN_TS)
+    assert same(store.read(spark, "users_history"), want)
+    assert metrics["extract_users"].extracted == fx.users_src(spark, SF_SMALL).count()
+    assert metrics["update_changed"].updated == 28 and metrics["insert_new"].inserted == 23
