@@ -133,3 +133,12 @@ def test_exported_relation_stats_read_back(spark):
     back = read_relation_stats(spark, path)
     a, b = table_sizes(back, ordered=False), table_sizes(stats, ordered=False)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_upper_bound_is_the_run_time_cut_to_the_second(spark):
+    """D2: a row ending after the cut second but before the exact run time
+    is not extracted; stamps written by the run keep full precision."""
+    src = _stmts(spark, [(1, 1, 1, 0, "a", None, T("2024-01-24 23:59:59.9"), True),
+                         (2, 1, 1, 0, "b", None, T("2024-01-25 00:00:00.2"), True)])
+    got = capture.extract_statements(src, "2000-01-01 00:00:00", capture.upper_bound("2024-01-25 00:00:00.5"))
+    assert [r.statementid for r in got.collect()] == [1]

@@ -218,3 +218,21 @@ def test_user_sync_job_after_separate_session_capture(spark, store):
     assert same(store.read(spark, "users_history"), want)
     assert metrics["extract_users"].extracted == fx.users_src(spark, SF_SMALL).count()
     assert metrics["update_changed"].updated == 28 and metrics["insert_new"].inserted == 23
+
+
+def test_rerunning_sessions_users_with_same_time_can_lower_activity(spark, store):
+    """D5: the second run stages only the last second's sessions, and the
+    activity step overwrites (never maximises): those users' activity can
+    only stay or move back."""
+    seed(spark, store, "users_history", fx.users_history(spark, SF_SMALL))
+    ses, usr = fx.sessions_src(spark, SF_SMALL), fx.users_src(spark, SF_SMALL)
+    jobs.capture_sessions_users(spark, store, ses, usr, "2024-01-20 00:00:00")
+    first = {r.username: r.last_activity_time for r in store.read(spark, "users_history").collect()}
+    m = {(r.job, r.step): r for r in jobs.capture_sessions_users(spark, store, ses, usr, "2024-01-20 00:00:00").collect()}
+    second = {r.username: r.last_activity_time for r in store.read(spark, "users_history").collect()}
+    restaged = {r.username for r in store.read(spark, "sessions_new").collect()}
+    assert m[("capture_sessions", "merge")].extracted == len(store.read(spark, "sessions_new").collect()) <= 1
+    assert m[("sync_users", "last_activity")].updated == len(restaged & set(second))
+    changed = {u for u in first if second[u] != first[u]}
+    assert changed <= restaged
+    assert all(second[u] < first[u] for u in changed)
