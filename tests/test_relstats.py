@@ -21,3 +21,22 @@ def test_size_rule_counts_bytes_widths_and_arrays(spark):
 def test_empty_relation_has_size_zero(spark):
     df = spark.createDataFrame([], "id long, txt string")
     assert relation_stats(df, owner="o", database="d", schema="s", relation="r").first().uncompressed_size == 0
+
+
+def test_estimated_size_from_a_file_sample(spark):
+    import uuid
+
+    from conftest import SF_MID
+
+    from sysledger import fixtures as fx
+    from sysledger.session import checkpoint_dir
+    from sysledger.sources.relstats import relation_stats_estimated
+
+    path = f"{checkpoint_dir(spark)}/docs-{uuid.uuid4().hex[:8]}"
+    docs = fx.table(spark, SF_MID, "documents")
+    docs.repartition(16, "doc_id").write.parquet(path)
+    exact = relation_stats(spark.read.parquet(path), owner="o", database="d", schema="s", relation="r").first()
+    full = relation_stats_estimated(spark, path, owner="o", database="d", schema="s", relation="r", every_nth_file=1).first()
+    est = relation_stats_estimated(spark, path, owner="o", database="d", schema="s", relation="r", every_nth_file=2).first()
+    assert full.uncompressed_size == exact.uncompressed_size
+    assert abs(est.uncompressed_size - exact.uncompressed_size) <= 0.25 * exact.uncompressed_size
