@@ -103,9 +103,11 @@ def listing(spark: SparkSession, args) -> DataFrame:
         return sizing.table_sizes(read_catalog(spark, "relstats", f"{args.catalog.rstrip('/')}/relstats"))
     store = _store(spark, args)
     if what == "sessions":
-        return listings.list_sessions_history(store.read(spark, "sessions_history", since=args.since), since=args.since)
+        hist = store.read(spark, "sessions_history", since=args.since, since_col="starttime")
+        return listings.list_sessions_history(hist, since=args.since)
     if what == "statements":
-        return listings.list_statements_history(store.read(spark, "statements_history", since=args.since), since=args.since)
+        hist = store.read(spark, "statements_history", since=args.since, since_col="starttime")
+        return listings.list_statements_history(hist, since=args.since)
     return listings.list_users_history(store.read(spark, "users_history"), ordered=True)
 
 

@@ -323,7 +323,8 @@ def q_job_list_sessions_since(spark: SparkSession, sf: str) -> DataFrame:
     only the date partitions from the bound on are read."""
     store = _seeded(spark, sf, "sessions_history")
     jobs.capture_sessions(spark, store, fx.sessions_src(spark, sf), fx.RUN_TS)
-    return listings.list_sessions_history(store.read(spark, "sessions_history", since=fx.SINCE), since=fx.SINCE)
+    hist = store.read(spark, "sessions_history", since=fx.SINCE, since_col="starttime")
+    return listings.list_sessions_history(hist, since=fx.SINCE)
 
 
 def q_job_sync_users(spark: SparkSession, sf: str) -> DataFrame:

@@ -133,17 +133,19 @@ class SnapshotStore:
         return f"{self.root}/{name}"
 
     def read(self, spark: SparkSession, name: str, leaves: dict[str, str] | None = None,
-             parts: list[str] | None = None, since=None) -> DataFrame:
-        """Current snapshot of ``name``: optionally only some partitions, or
-        only the partitions that can hold times after ``since`` (older leaves
-        are never listed; rows still need the caller's exact filter)."""
+             parts: list[str] | None = None, since=None, since_col: str | None = None) -> DataFrame:
+        """Current snapshot of ``name``: optionally only some partitions, or,
+        for a reach-back bound ``since_col > since`` on the column the table
+        is partitioned by, only the partitions that can hold such rows (older
+        leaves are never listed; rows still need the caller's exact filter).
+        A bound on another column prunes nothing."""
         schema = SCHEMAS[name]
         layout = LAYOUT.get(name)
         pcol = layout.partition_by if layout else None
         if leaves is None:
             leaves = self.leaves(spark).get(name, {})
         first_day = None
-        if since is not None and pcol:
+        if since is not None and pcol and (since_col or layout.partition_source) == layout.partition_source:
             first_day = (since if isinstance(since, dt.datetime) else dt.datetime.fromisoformat(str(since))).date().isoformat()
 
         def keep(part: str) -> bool:

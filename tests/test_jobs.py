@@ -161,7 +161,10 @@ def test_compact_selected_partitions_keeps_the_others(spark, store):
 def test_read_since_skips_older_partitions(spark, store):
     seed(spark, store, "statements_history", fx.statements_history(spark, SF_SMALL))
     all_rows = store.read(spark, "statements_history")
-    recent = store.read(spark, "statements_history", since="2024-01-10 12:00:00")
+    recent = store.read(spark, "statements_history", since="2024-01-10 12:00:00", since_col="endtime")
+    # a bound on a column the table is not partitioned by prunes nothing
+    assert store.read(spark, "statements_history", since="2024-01-10 12:00:00", since_col="starttime").count() \
+        == all_rows.count()
     assert recent.where("endtime < timestamp_ntz'2024-01-10 00:00:00'").count() == 0
     want = all_rows.where("endtime > timestamp_ntz'2024-01-10 12:00:00'")
     assert same(recent.where("endtime > timestamp_ntz'2024-01-10 12:00:00'"), want)
