@@ -35,3 +35,16 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["statementid", "xactionid", "sessionid", "retrynum", "statement", "starttime", "endtime",
                           "iscancelable"]
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if not n.startswith("job_") and n not in ("compact", "export_text")])
+def test_column_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute("describe " + E.oracle_sql()[name]).fetchall()}
+    assert spark_types == duck_types
