@@ -1,8 +1,10 @@
 """The registered queries: each reference report/job step applied to the
 catalog and activity tables derived from the provided parquet tables.
 
-Every builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over
-whole tables. Fixed times of the scenario are in ``sysledger.fixtures``.
+Every builder takes ``(spark, sf_dir)`` and returns a DataFrame over whole
+tables: lazy for the operators, and for the nightly jobs the published
+table after the job has run. Fixed times of the scenario are in
+``sysledger.fixtures``.
 """
 
 from __future__ import annotations
