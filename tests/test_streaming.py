@@ -52,3 +52,21 @@ def test_replayed_epoch_is_skipped(spark):
     assert capture_batch(spark, store, "statements", batch, RUN, 0, "s") is None
     assert store.current_version(spark) == v
     assert store.read(spark, "statements_history").schema == STATEMENTS
+
+
+def test_session_exports_stream_equals_one_shot(spark):
+    from sysledger.streaming.capture_stream import SESSION_SOURCE
+
+    root = default_root(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    store = SnapshotStore(f"{root}/store", new=True)
+    src = fx.sessions_src(spark, SF_SMALL).select(*[F.col(f.name).cast(f.dataType) for f in SESSION_SOURCE.fields])
+    cuts = ["2000-01-01", "2024-01-12", "2030-01-01"]
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+        src.where((F.col("starttime") >= F.lit(a).cast("timestamp_ntz")) & (F.col("starttime") < F.lit(b).cast("timestamp_ntz"))) \
+            .coalesce(1).write.parquet(f"{root}/exports/export_{i}")
+    q = start_capture_stream(spark, store, "sessions", f"{root}/exports/*", clock=lambda e: RUN,
+                             max_files_per_trigger=1, available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    assert same(store.read(spark, "sessions_history"), capture.extract_sessions(src, "2000-01-01 00:00:00", RUN))
+    assert store.run_log(spark).where("job = 'stream_sessions'").count() == 2
