@@ -165,7 +165,7 @@ def set_user_attributes(history: DataFrame, edits: DataFrame) -> DataFrame:
 # --- fused sync -----------------------------------------------------------
 
 def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: DataFrame, run_ts, *,
-                       users_rows: int | None = None) -> DataFrame:
+                       users_rows: int | None = None, sessions_rows: int | None = None) -> DataFrame:
     """All five steps in one plan. Returns the new history plus one flag
     column per step (``_upd``, ``_ins``, ``_act``, ``_del``, ``_clr``)
     telling whether that step's statement touched the row.
@@ -176,12 +176,16 @@ def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: D
     userids whose revocation is cleared gets its own check."""
     now = ts_literal(run_ts)
     activity = session_activity(sessions_new, run_ts)
-    # a caller that already counted the source (the job, while staging it)
-    # passes the count; otherwise one job counts both sides here
-    if users_rows is not None:
-        users_fit, acts_fit = users_rows <= max_broadcast_rows(users_new), fits_broadcast(activity)
-    else:
-        users_fit, acts_fit = fits_broadcast_all(users_new, activity)
+    # a caller that already counted the staged users / sessions (the jobs,
+    # while staging them) passes the counts: the activity has at most one
+    # row per staged session. Sides without a count are counted here, in
+    # one job.
+    users_fit = None if users_rows is None else users_rows <= max_broadcast_rows(users_new)
+    acts_fit = None if sessions_rows is None else sessions_rows <= max_broadcast_rows(activity)
+    unknown = [df for df, fit in ((users_new, users_fit), (activity, acts_fit)) if fit is None]
+    counted = iter(fits_broadcast_all(*unknown)) if unknown else iter(())
+    users_fit = next(counted) if users_fit is None else users_fit
+    acts_fit = next(counted) if acts_fit is None else acts_fit
 
     def user_side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if users_fit else df

@@ -97,7 +97,8 @@ def capture_sessions(spark: SparkSession, store: SnapshotStore, source: DataFram
     return _metrics(spark, [entry])
 
 
-def _sync(txn: Transaction, users_source: DataFrame, run_ts, *, require_users: bool) -> list[RunLog]:
+def _sync(txn: Transaction, users_source: DataFrame, run_ts, *, require_users: bool,
+          sessions_rows: int | None = None) -> list[RunLog]:
     staged, n = _stage(txn, "users_new", capture.extract_users(users_source))
     if require_users and n == 0:
         raise RuntimeError("sync_users: the source returned no users; refusing to mark every user deleted")
@@ -109,7 +110,7 @@ def _sync(txn: Transaction, users_source: DataFrame, run_ts, *, require_users: b
         raise RuntimeError(f"sync_users: username {dup.name!r} appears twice in the source")
     obs = Observation(f"sync_users_{txn.tag}")
     flagged = users.sync_users_flagged(txn.read("users_history"), staged, txn.read("sessions_new"), run_ts,
-                                       users_rows=n)
+                                       users_rows=n, sessions_rows=sessions_rows)
     sums = [F.coalesce(F.sum(F.col(c).cast("long")), F.lit(0)).alias(c) for c in ("_upd", "_ins", "_act", "_del", "_clr")]
     txn.replace("users_history", flagged.observe(obs, *sums).select(*users.HIST_COLUMNS))
     got = obs.get
@@ -143,7 +144,7 @@ def capture_sessions_users(spark: SparkSession, store: SnapshotStore, sessions_s
     txn = store.begin(spark, run_ts)
     first = capture_into(txn, "capture_sessions", sessions_source, run_ts, "sessions_history", "sessions_new",
                      capture.extract_sessions)
-    logs = [first] + _sync(txn, users_source, run_ts, require_users=require_users)
+    logs = [first] + _sync(txn, users_source, run_ts, require_users=require_users, sessions_rows=first.extracted)
     txn.commit()
     return _metrics(spark, logs)
 
