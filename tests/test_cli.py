@@ -67,3 +67,27 @@ def test_capture_reads_the_window_as_parallel_range_queries(spark, tmp_path):
     got = SnapshotStore(f"{root}/store").read(spark, "statements_history")
     want = capture.extract_statements(src, "2000-01-01 00:00:00", "2024-01-25 00:00:00")
     assert same(got, want)
+
+
+def test_history_listings_and_compaction_from_the_store(spark, tmp_path):
+    root = f"{checkpoint_dir(spark)}/cli-{uuid.uuid4().hex[:8]}"
+    fx.sessions_src(spark, SF_SMALL).write.parquet(f"{root}/src/sessions")
+    fx.users_src(spark, SF_SMALL).write.parquet(f"{root}/src/users")
+    store_root = f"{root}/store"
+    args = ["capture-sessions-users", "--store", store_root, "--sessions", f"{root}/src/sessions",
+            "--users", f"{root}/src/users", "--run-ts", fx.RUN_TS]
+    assert main(args, spark=spark) == 0
+    store = SnapshotStore(store_root)
+    sessions = store.read(spark, "sessions_history")
+    assert main(["list", "sessions", "--store", store_root, "--since", fx.SINCE, "--out", f"{root}/ls"], spark=spark) == 0
+    from sysledger.operators import listings
+
+    want = listings.list_sessions_history(sessions, since=fx.SINCE)
+    assert same(read_export(spark, f"{root}/ls", want.schema), want)
+    assert main(["list", "users", "--store", store_root, "--out", f"{root}/lu"], spark=spark) == 0
+    users = listings.list_users_history(store.read(spark, "users_history"))
+    assert same(read_export(spark, f"{root}/lu", users.schema), users)
+    v = store.current_version(spark)
+    assert main(["compact", "--store", store_root, "--table", "sessions_history", "--rows-per-file", "100"], spark=spark) == 0
+    assert store.current_version(spark) == v + 1
+    assert same(store.read(spark, "sessions_history"), sessions)
