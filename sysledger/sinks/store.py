@@ -92,6 +92,36 @@ class SnapshotStore:
         except AnalysisException:
             return None
 
+    def _head(self, spark: SparkSession) -> int | None:
+        """The version the last commit named in ``head`` (a one-row hint)."""
+        if self._empty:
+            return None
+        try:
+            rows = spark.read.schema("version bigint").parquet(f"{self.root}/head").collect()
+        except AnalysisException:
+            return None
+        return int(rows[0].version) if rows else None
+
+    def _version_written(self, spark: SparkSession, version: int) -> bool:
+        try:
+            spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={version}")
+            return True
+        except AnalysisException:
+            return False
+
+    def _at_head(self, spark: SparkSession) -> Snapshot | None:
+        """Snapshot of the head version, read from its own directory only;
+        None when there is no head or a later version exists (a commit whose
+        head update did not happen), so the caller lists all versions."""
+        v = self._head(spark)
+        if v is None or self._version_written(spark, v + 1):
+            return None
+        rows = (spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={v}")
+                .where(F.col("kind").isin("leaf", "epoch"))
+                .select(F.lit(v).alias("version"), "kind", "table", "part", "leaf", "job", "step", "key_min", "key_max")
+                .collect())
+        return self._snapshot(rows, v)
+
     def current_version(self, spark: SparkSession) -> int:
         return self._current(spark).version
 
@@ -102,23 +132,33 @@ class SnapshotStore:
 
     def _current(self, spark: SparkSession, version: int | None = None) -> Snapshot:
         """Leaves, key ranges and last stream epochs of a version (default:
-        the highest) in one query: the version is a scalar subquery of the
-        same manifest read."""
+        the newest). The newest is found through ``head`` in two small reads;
+        without a usable head, all versions are listed and the highest is a
+        scalar subquery of the same manifest read."""
+        if version is None:
+            snap = self._at_head(spark)
+            if snap is not None:
+                return snap
         m = self._manifest(spark)
         if m is None:
             return Snapshot(0, {}, {}, {})
         wanted = F.lit(version) if version is not None else m.agg(F.max("version")).scalar()
         rows = m.where((F.col("version") == wanted) & F.col("kind").isin("leaf", "epoch")) \
             .select("version", "kind", "table", "part", "leaf", "job", "step", "key_min", "key_max").collect()
-        snap = Snapshot(int(rows[0].version) if rows else (version or 0), {}, {}, {})
+        snap = self._snapshot(rows, int(rows[0].version) if rows else (version or 0))
+        if not rows and version is None:
+            snap.version = int(m.agg(F.max("version")).first()[0] or 0)  # a version with no leaves
+        return snap
+
+    @staticmethod
+    def _snapshot(rows, version: int) -> Snapshot:
+        snap = Snapshot(version, {}, {}, {})
         for r in rows:
             if r.kind == "leaf":
                 snap.leaves.setdefault(r.table, {})[r.part] = r.leaf
                 snap.ranges.setdefault(r.table, {})[r.part] = (r.key_min, r.key_max)
             else:
                 snap.epochs[r.job] = int(r.step)
-        if not rows and version is None:
-            snap.version = int(m.agg(F.max("version")).first()[0] or 0)  # a version with no leaves
         return snap
 
     def run_log(self, spark: SparkSession) -> DataFrame:
@@ -366,6 +406,10 @@ class Transaction:
         manifest = self.spark.createDataFrame(rows, MANIFEST).withColumn("version", F.lit(self.version).cast("bigint"))
         manifest.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{self.store.root}/manifest")
         self.store._empty = False
+        # the commit point is the manifest write above; head only lets readers
+        # skip listing all versions (missing or stale, they list instead)
+        self.spark.createDataFrame([(self.version,)], "version bigint").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.store.root}/head")
         self.committed = True
         return self.version
 
