@@ -102,25 +102,25 @@ class SnapshotStore:
             return None
         return int(rows[0].version) if rows else None
 
-    def _version_written(self, spark: SparkSession, version: int) -> bool:
-        try:
-            spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={version}")
-            return True
-        except AnalysisException:
-            return False
-
     def _at_head(self, spark: SparkSession) -> Snapshot | None:
-        """Snapshot of the head version, read from its own directory only;
-        None when there is no head or a later version exists (a commit whose
-        head update did not happen), so the caller lists all versions."""
+        """Snapshot of the head version, read from its own directory only.
+
+        A commit writes head before its manifest, so head is never older
+        than the newest published version. It is newer only after a crash
+        between the two writes; that version's directory is then missing,
+        and None sends the caller to list all versions."""
         v = self._head(spark)
-        if v is None or self._version_written(spark, v + 1):
+        if v is None:
             return None
-        rows = (spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={v}")
-                .where(F.col("kind").isin("leaf", "epoch"))
-                .select(F.lit(v).alias("version"), "kind", "table", "part", "leaf", "job", "step", "key_min", "key_max")
-                .collect())
-        return self._snapshot(rows, v)
+        try:
+            rows = (spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={v}")
+                    .where(F.col("kind").isin("leaf", "epoch"))
+                    .select(F.lit(v).alias("version"), "kind", "table", "part", "leaf", "job", "step", "key_min",
+                            "key_max")
+                    .collect())
+        except AnalysisException:
+            return None
+        return self._snapshot(rows, v) if rows else None
 
     def current_version(self, spark: SparkSession) -> int:
         return self._current(spark).version
@@ -403,13 +403,14 @@ class Transaction:
         for r in self.runs:
             rows.append(("run", None, None, None, r.job, r.step, _as_dt(r.run_ts) or run_ts, _as_dt(r.low), _as_dt(r.high),
                          r.extracted, r.inserted, r.updated, None, None))
+        # head first: it names this version so readers skip listing all
+        # versions; if the manifest write below fails, head names a missing
+        # version and readers list instead. The manifest write is the commit.
+        self.spark.createDataFrame([(self.version,)], "version bigint").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.store.root}/head")
         manifest = self.spark.createDataFrame(rows, MANIFEST).withColumn("version", F.lit(self.version).cast("bigint"))
         manifest.coalesce(1).write.mode("append").partitionBy("version").parquet(f"{self.store.root}/manifest")
         self.store._empty = False
-        # the commit point is the manifest write above; head only lets readers
-        # skip listing all versions (missing or stale, they list instead)
-        self.spark.createDataFrame([(self.version,)], "version bigint").coalesce(1) \
-            .write.mode("overwrite").parquet(f"{self.store.root}/head")
         self.committed = True
         return self.version
 

@@ -241,13 +241,13 @@ def test_rerunning_sessions_users_with_same_time_can_lower_activity(spark, store
     assert all(second[u] < first[u] for u in changed)
 
 
-def test_head_names_the_newest_version_and_a_stale_head_is_not_trusted(spark, store, monkeypatch):
+def test_head_names_the_newest_version_and_a_head_ahead_is_not_trusted(spark, store, monkeypatch):
     seed(spark, store, "statements_history", fx.statements_history(spark, SF_SMALL))
     jobs.capture_statements(spark, store, fx.statements_src(spark, SF_SMALL), fx.RUN_TS)
     assert store._head(spark) == 2 == store.current_version(spark)
-    # a crash between the manifest write and the head update leaves head behind
-    spark.createDataFrame([(1,)], "version bigint").coalesce(1).write.mode("overwrite").parquet(f"{store.root}/head")
-    assert store.current_version(spark) == 2  # version 2 exists past the head: listed instead
+    # a crash between the head update and the manifest write leaves head ahead
+    spark.createDataFrame([(3,)], "version bigint").coalesce(1).write.mode("overwrite").parquet(f"{store.root}/head")
+    assert store.current_version(spark) == 2  # version 3 was never written: all versions are listed
     assert store.leaves(spark) == store.leaves(spark, version=2)
     jobs.capture_statements(spark, store, fx.statements_src(spark, SF_SMALL), "2024-01-26 00:00:00")
     assert store._head(spark) == 3 == store.current_version(spark)
