@@ -6,16 +6,33 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_prefix, exact_dedup, hash_tree
+from . import bpe_prefix, exact_dedup, hash_tree, ordinal_quality, parity_join, risk_rules, temperature_mix
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op4_ordinal_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return ordinal_quality.score(docs, ordinal_quality.fit(docs, ordinal_quality.graded(table(spark, sf, "labels"))))
+
+
 def op5_hash_tree(spark: SparkSession, sf: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf, "documents"), hash_tree.layout(5, 2, 4))
 
 
+def op6_risk_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return risk_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op7_parity_join(spark: SparkSession, sf: str) -> DataFrame:
+    return parity_join.jaccard_components(table(spark, sf, "documents"), percent=90, width=3)
+
+
+def op8_temperature_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return temperature_mix.mix(table(spark, sf, "documents"), max_repeats=2.0)
+
+
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
@@ -24,5 +41,5 @@ def op10_bpe_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_prefix.round_trip(table(spark, sf, "documents"), WORD_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op5_hash_tree, op9_exact_dedup, op10_bpe_prefix)}
+QUERIES = {f.__name__: f for f in (op4_ordinal_quality, op5_hash_tree, op6_risk_rules, op7_parity_join, op8_temperature_mix, op9_exact_dedup, op10_bpe_prefix)}
 ORACLE: dict[str, str] = {}
