@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,15 @@ from ..session import ensure_checkpoint_dir
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A whole table. Python workers are told where this package lies, so a
+    session that was started elsewhere finds it too."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if ROOT not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join(filter(None, [*known, ROOT]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
