@@ -6,10 +6,34 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_prefix, exact_dedup, hash_tree, ordinal_quality, parity_join, risk_rules, temperature_mix
+from . import (
+    bpe_prefix,
+    exact_dedup,
+    hash_tree,
+    license_scan,
+    ordinal_quality,
+    parity_join,
+    risk_rules,
+    temperature_mix,
+    token_scan,
+    warc_derive,
+)
 from .common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return token_scan.token_counts(table(spark, sf, "documents"), BYTE_BPE, public_tokenizers.PATTERN, separator=50256)
+
+
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(license_scan.with_paths(table(spark, sf, "documents")))
+
+
+def op3_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
+    return warc_derive.derivatives(warc_derive.response_records(table(spark, sf, "pages")))
 
 
 def op4_ordinal_quality(spark: SparkSession, sf: str) -> DataFrame:
@@ -41,5 +65,9 @@ def op10_bpe_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_prefix.round_trip(table(spark, sf, "documents"), WORD_BPE)
 
 
-QUERIES = {f.__name__: f for f in (op4_ordinal_quality, op5_hash_tree, op6_risk_rules, op7_parity_join, op8_temperature_mix, op9_exact_dedup, op10_bpe_prefix)}
+QUERIES = {f.__name__: f for f in (
+    op1_separator_scan, op2_license_scan, op3_warc_derivatives, op4_ordinal_quality, op5_hash_tree, op6_risk_rules,
+    op7_parity_join, op8_temperature_mix, op9_exact_dedup, op10_bpe_prefix)}
+# SQL cannot state these: files, fitted models, checksums and encoders. Their
+# tests hold them against brute force.
 ORACLE: dict[str, str] = {}
