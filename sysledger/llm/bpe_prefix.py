@@ -18,15 +18,17 @@ one is merged first).
 
 from __future__ import annotations
 
+import gc
 import hashlib
+import itertools
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +38,24 @@ END = ""
 # Unicode White_Space; str.split() also cuts at the four separators below.
 WHITE = "\t-\r \x85\xa0  -     　"
 SPLIT_ONLY_BY_PYTHON = "\x1c\x1d\x1e\x1f"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+
+# Letters and digits of Unicode versions after Python's tables
+# that the tokenizers library knows, and its lower case of them (first and
+# last code point; first, last, distance).
+LATER_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7),
+    (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C),
+    (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+LATER_DIGITS = [
+    (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
+]
+LATER_LOWER = [
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1),
+    (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC), (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+]
 
 
 def byte_alphabet() -> list[str]:
@@ -47,55 +66,65 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def unicode_class(kind: str) -> str:
+    """Ranges of the characters whose general category starts with ``kind``,
+    as they stand inside the brackets of a pattern."""
+    codes = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == kind]
+    runs = [[c for _, c in run] for _, run in itertools.groupby(enumerate(codes), lambda x: x[1] - x[0])]
+    return "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs)
+
+
 class WordEncoder:
     """Ids of one pre-token by the prefix programme."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str):
         self.suffix = suffix
         self.ids = vocab
-        self.rank: dict[tuple[str, str], int] = {}
+        self.rank: dict[int, int] = {}  # by left id << 20 | right id, like fits
         self.parts: dict[str, tuple[str, str]] = {}
         for i, (a, b) in enumerate(merges):
-            self.rank.setdefault((a, b), i)
+            self.rank.setdefault(vocab[a] << 20 | vocab[b], i)
             self.parts.setdefault(a + b, (a, b))
-        self.right: dict[str, list[tuple[str, int]]] = {}
-        self.left: dict[str, list[tuple[str, int]]] = {}
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.right: dict[str, list[tuple[int, int]]] = {}
+        self.left: dict[str, list[tuple[int, int]]] = {}
+        self.names = {i: t for t, i in vocab.items()}
+        self.fits: dict[int, bool] = {}  # by left id << 20 | right id
         self.automaton = ahocorasick.Automaton()
         made = {a + b for a, b in merges}
         for token in vocab:
             base = len(token.removesuffix(suffix)) == 1
             if base or (token in made and self._whole(token)):
                 plain = token.removesuffix(suffix) + (END if token.endswith(suffix) else "")
-                self.automaton.add_word(plain, (token, len(plain)))
+                self.automaton.add_word(plain, (vocab[token], len(plain)))
         self.automaton.make_automaton()
 
-    def _spine(self, token: str, side: int) -> list[tuple[str, int]]:
+    def _spine(self, token: str, side: int) -> list[tuple[int, int]]:
         """The symbols at one end of a token, top first, each with the rank of
         the merge that takes it into the one above."""
         out, up = [], NEVER
         while True:
-            out.append((token, up))
+            out.append((self.ids[token], up))
             if token not in self.parts:
                 return out
-            pair = self.parts[token]
-            up, token = self.rank[pair], pair[side]
+            a, b = self.parts[token]
+            up, token = self.rank[self.ids[a] << 20 | self.ids[b]], (a, b)[side]
 
-    def _right(self, token: str) -> list[tuple[str, int]]:
+    def _right(self, token: str) -> list[tuple[int, int]]:
         if token not in self.right:
             self.right[token] = self._spine(token, 1)
         return self.right[token]
 
-    def _left(self, token: str) -> list[tuple[str, int]]:
+    def _left(self, token: str) -> list[tuple[int, int]]:
         if token not in self.left:
             self.left[token] = self._spine(token, 0)
         return self.left[token]
 
     def _joins(self, l: str, r: str, until: int) -> bool:
         """Whether a merge of rank below ``until`` crosses the border l | r."""
+        ranks = self.rank
         for x, up_x in self._right(l):
             for y, up_y in self._left(r):
-                rank = self.rank.get((x, y), NEVER)
+                rank = ranks.get(x << 20 | y, NEVER)
                 if rank < until and rank < up_x and rank <= up_y:
                     return True
         return False
@@ -104,30 +133,40 @@ class WordEncoder:
         """Whether the token's own text encodes to it: its two parts meet
         untouched when their merge comes."""
         a, b = self.parts[token]
-        return not self._joins(a, b, self.rank[a, b])
-
-    def compatible(self, l: str, r: str) -> bool:
-        found = self.fits.get((l, r))
-        if found is None:
-            if len(self.fits) > 1_000_000:
-                self.fits.clear()
-            found = self.fits[l, r] = not self._joins(l, r, NEVER)
+        return not self._joins(a, b, self.rank[self.ids[a] << 20 | self.ids[b]])
+
+    def compatible(self, l: int, r: int) -> bool:
+        if len(self.fits) > 2_000_000:
+            self.fits.clear()
+        found = self.fits[l << 20 | r] = not self._joins(self.names[l], self.names[r], NEVER)
         return found
 
-    def tokens(self, word: str) -> list[str]:
-        """``word`` is a pre-token in the byte alphabet."""
+    def tokens(self, word: str) -> list[int]:
+        """Ids of ``word``, a pre-token in the byte alphabet."""
         text = word + END
-        last: list[str | None] = [None] * (len(text) + 1)
+        last = [-1] * (len(text) + 1)
         size = [0] * (len(text) + 1)
+        fits = self.fits
         for end, (token, length) in self.automaton.iter(text):
-            to, start = end + 1, end + 1 - length
-            if last[to] is None and (start == 0 or (last[start] is not None and self.compatible(last[start], token))):
+            to = end + 1
+            if last[to] < 0:
+                start = to - length
+                if start:
+                    before = last[start]
+                    if before < 0:
+                        continue
+                    fit = fits.get(before << 20 | token)
+                    if not (self.compatible(before, token) if fit is None else fit):
+                        continue
                 last[to], size[to] = token, length
         out, at = [], len(text)
         while at:
+            if last[at] < 0:
+                raise ValueError(f"no encoding of {word!r} in this vocabulary")
             out.append(last[at])
             at -= size[at]
-        return out[::-1]
+        out.reverse()
+        return out
 
 
 class Tokenizer:
@@ -147,22 +186,41 @@ class Tokenizer:
         self.word = WordEncoder(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.pieces = regex.compile(split["pattern"]["Regex"])
+        # classes by Python's own Unicode tables, the version that the
+        # tokenizers library matches; the regex module's are newer
+        letters, digits = ("".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in more) for more in (LATER_LETTERS, LATER_DIGITS))
+        self.later_lower = {c: c + by for a, b, by in LATER_LOWER for c in range(a, b + 1)}
+        pattern = split["pattern"]["Regex"]
+        for name, content in ((r"\s", WHITE), (r"\p{L}", unicode_class("L") + letters), (r"\p{N}", unicode_class("N") + digits)):
+            pattern = pattern.replace(name, content)
+        self.pieces = re.compile(pattern)
         self.white = re.compile(f"[{WHITE}]+")
-        self.alphabet = byte_alphabet()
+        self.alphabet = dict(enumerate(byte_alphabet()))
         self.strings = {i: s for s, i in [*model["vocab"].items(), *self.special.items()]}
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.piece_cache: dict[str, tuple[int, ...]] = {}
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
         """Ids of a run without white space; pre-tokens never span white
         space, so a text's ids are its runs' ids in a row."""
+        if chunk.isalpha():  # one word, as nearly all runs are, but for the mark behind them
+            return self._piece(chunk)
+        if chunk[:-1].isalpha() and chunk[-1] in ".,":
+            return (*self._piece(chunk[:-1]), *self._piece(chunk[-1]))
         if not chunk.isascii():
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")  # one character at a time: no final sigma
-        ids: list[int] = []
-        for piece in self.pieces.findall(chunk.lower()):
-            mapped = "".join([self.alphabet[b] for b in piece.encode()])
-            ids += [self.word.ids[t] for t in self.word.tokens(mapped)]
-        return tuple(ids)
+            chunk = chunk.translate(self.later_lower)
+        return tuple([i for piece in self.pieces.findall(chunk) for i in self._piece(piece)])
+
+    def _piece(self, piece: str) -> tuple[int, ...]:
+        ids = self.piece_cache.get(piece)
+        if ids is None:
+            mapped = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.alphabet)
+            ids = tuple(self.word.tokens(mapped))
+            if len(piece) < 200:
+                if len(self.piece_cache) >= CACHE_WORDS:
+                    self.piece_cache.clear()
+                self.piece_cache[piece] = ids
+        return ids
 
     def chunks(self, text: str) -> Iterator[tuple[int, ...]]:
         parts = self.special_cut.split(text) if "<|" in text else [text]
@@ -170,6 +228,10 @@ class Tokenizer:
             if part in self.special:
                 yield (self.special[part],)
                 continue
+            if not part.isascii():
+                # lower case goes by single characters: no final sigma
+                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+            part = part.lower()
             odd = any(c in part for c in SPLIT_ONLY_BY_PYTHON)
             for chunk in self.white.split(part) if odd else part.split():
                 ids = self.cache.get(chunk)
@@ -195,6 +257,9 @@ _LOADED: dict[str, Tokenizer] = {}
 def _tokenizer(content: str) -> Tokenizer:
     key = hashlib.sha256(content.encode()).hexdigest()
     if key not in _LOADED:
+        # the caches are large and live as long as the worker: let the
+        # collector look at them seldom
+        gc.set_threshold(200_000, 20, 100)
         _LOADED[key] = Tokenizer(content)
     return _LOADED[key]
 
