@@ -9,7 +9,10 @@ are read whole.
 
 The expected grade is the sum of the tail probabilities P(grade >= j). A
 document is kept if its tail probability for the top grade reaches
-``keep_tail``.
+``keep_tail``, or a lower cut if that would cost good documents: a fifth of
+the rated ones is held out of a first fit, and the cut is lowered until no more
+than ``good_loss`` of the held-out top grade falls below it. The model that is
+used is then fitted on all of them.
 
 The fit takes at most ``max_train`` rated documents (those with the least hash
 of the id, so the choice is the same at every run); only their hashed features
@@ -50,6 +53,7 @@ class Settings:
     l2: float = 1.0
     iterations: int = 50
     keep_tail: float = 0.5
+    good_loss: float = 0.005
 
 
 def word_features(word: str, dims: int) -> tuple[int, ...]:
@@ -94,6 +98,7 @@ class Model:
     weights: np.ndarray  # float32, one for each hashed feature
     thresholds: np.ndarray  # ascending, one for each grade above the lowest
     grades: int
+    cut: float = 0.5  # the least tail probability of the top grade that is kept
 
     def tails(self, scores: np.ndarray) -> np.ndarray:
         """P(grade >= j) for j = 1.. as columns."""
@@ -170,6 +175,21 @@ def fit_arrays(rows: list[np.ndarray], grades: np.ndarray, settings: Settings) -
     return Model(weights, p[k] + np.concatenate([[0.0], np.cumsum(np.exp(p[k + 1:]))]), levels)
 
 
+def fit_with_cut(rows: list[np.ndarray], grades: np.ndarray, settings: Settings) -> Model | None:
+    """The model of all rows with the cut of a model of four fifths of them."""
+    model = fit_arrays(rows, grades, settings)
+    if model is None:
+        return None
+    model.cut = settings.keep_tail
+    held = np.arange(len(rows)) % 5 == 4
+    part = fit_arrays([r for r, h in zip(rows, held, strict=True) if not h], grades[~held], settings)
+    good = [r for r, h, g in zip(rows, held, grades, strict=True) if h and g == model.grades - 1]
+    if good and part is not None and part.grades == model.grades:
+        tails = np.sort(part.tails(np.array([part.weights[r].sum() for r in good]))[:, -1])
+        model.cut = min(model.cut, float(tails[int(settings.good_loss * len(good))]))
+    return model
+
+
 def graded(labels: DataFrame) -> DataFrame:
     """Grades from the ratings quality 0/1 and toxic 0/1: 0 for low quality,
     1 for good but toxic, 2 for good. Null ratings drop out."""
@@ -193,7 +213,7 @@ def fit(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings()) ->
     sample = texts.mapInArrow(work, "grade int, ids array<int>").toArrow()
     flat = sample.column("ids").combine_chunks()
     rows = [np.asarray(r.values) for r in flat] if len(sample) else []
-    return fit_arrays(rows, np.asarray(sample.column("grade").to_numpy(), dtype=np.int64), settings)
+    return fit_with_cut(rows, np.asarray(sample.column("grade").to_numpy(), dtype=np.int64), settings)
 
 
 class Scorer:
@@ -220,11 +240,11 @@ class Scorer:
         return total + float(self.weights[share_features(text, found, len(distinct), self.dims)].sum())
 
 
-def _scored(docs: DataFrame, model: Model | None, keep_tail: float, columns: list[str], only_kept: bool) -> DataFrame:
+def _scored(docs: DataFrame, model: Model | None, columns: list[str], only_kept: bool) -> DataFrame:
     """``docs`` (its ``columns``; text is the last of the ones sent) with the
     scores behind them, or its kept rows as they are."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(None if model is None else (model.weights, model.thresholds))
+    held = spark.sparkContext.broadcast(None if model is None else (model.weights, model.thresholds, model.cut))
     sent = docs.select(*columns, F.col("text").alias("__scored_text"))
     extra = "" if only_kept else ", expected_grade double, tail_probability double, kept boolean"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:-1]) + extra
@@ -240,7 +260,7 @@ def _scored(docs: DataFrame, model: Model | None, keep_tail: float, columns: lis
             else:
                 tails = _logistic(np.array([scorer.score(t or "") for t in texts]).reshape(-1, 1) - held.value[1][None, :])
                 grade, top = pa.array(tails.sum(axis=1)), pa.array(tails[:, -1])
-                kept = tails[:, -1] >= keep_tail
+                kept = tails[:, -1] >= held.value[2]
             if only_kept:
                 yield pa.RecordBatch.from_arrays(own, names=columns).filter(pa.array(kept))
             else:
@@ -250,11 +270,11 @@ def _scored(docs: DataFrame, model: Model | None, keep_tail: float, columns: lis
     return sent.mapInArrow(work, schema)
 
 
-def score(docs: DataFrame, model: Model | None, settings: Settings = Settings()) -> DataFrame:
+def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, expected_grade, tail_probability and kept for every row."""
-    return _scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, settings.keep_tail, ["doc_id"], False)
+    return _scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, ["doc_id"], False)
 
 
-def select_rows(docs: DataFrame, model: Model | None, settings: Settings = Settings()) -> DataFrame:
+def select_rows(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    return _scored(docs, model, settings.keep_tail, docs.columns, True)
+    return _scored(docs, model, docs.columns, True)

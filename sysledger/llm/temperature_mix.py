@@ -147,10 +147,11 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     sized, sources = plan(docs, **options)
     rows = sized.join(sources, "src").withColumn("block", block_of())
     rows = rows.select("*", F.explode(passes()).alias("epoch"))
-    place = (F.col("epoch") + draw_of(F.col("epoch"))) * F.col("source_tokens") / F.col("quota")
+    # a source's passes take the draws from 0 to its epochs and the cut
+    place = (F.col("epoch") + draw_of(F.col("epoch"))) / (F.col("epochs") + F.coalesce("cut", F.lit(0.0)) + 1e-12)
     return rows.select(
         "doc_id", F.when(~F.col("src.unnamed"), F.col("src.name")).alias("source"), F.col("tokens").alias("n_tokens"),
-        "weight", "block", "epoch", F.when(F.col("quota") > 0, place).otherwise(0.0).alias("place"))
+        "weight", "block", "epoch", place.alias("place"))
 
 
 def repeat_rows(docs: DataFrame, **options) -> DataFrame:
