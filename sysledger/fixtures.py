@@ -92,7 +92,7 @@ def functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_partkey") + 500000).alias("fileid"),
         F.col("p_name").alias("funcname"),
         F.col("p_brand").alias("funcowner"),
-        ts_literal("2014-03-04 12:08:05").alias("creationtime"),
+        ts_literal("2023-06-30 08:15:42").alias("creationtime"),
         F.when(size % 2 == 0, "row").otherwise("partition").alias("funcrunnerkind"),
         F.concat(F.lit("select * from "), F.col("p_name"), F.lit("(on t)")).alias("funchelp_usagesyntax"),
         F.col("p_type").alias("funchelp_shortdesc"),
@@ -111,14 +111,15 @@ def functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def relstats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Relation statistics source: one size row per line item."""
+    """Relation statistics source: one size row per line item, under the
+    line's own supplier and part, so the report's groups grow with the data."""
     flag = F.col("l_returnflag")
     return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("owner_"), _s(_mod("l_suppkey", 5))).alias("owner_name"),
+        F.concat(F.lit("owner_"), _s(F.col("l_suppkey"))).alias("owner_name"),
         F.when(flag == "A", "relation").when(flag == "N", "index").otherwise(F.lit(None).cast("string")).alias("object_type"),
         F.concat(F.lit("db_"), _s(_mod("l_linenumber", 2))).alias("database"),
-        F.concat(F.lit("schema_"), _s(_mod("l_partkey", 3))).alias("schema"),
-        F.concat(F.lit("rel_"), _s(_mod("l_partkey", 20))).alias("relation"),
+        F.concat(F.lit("schema_"), _s(F.col("l_suppkey"))).alias("schema"),
+        F.concat(F.lit("rel_"), _s(F.col("l_partkey"))).alias("relation"),
         F.when(F.col("l_linestatus") == "F", "none").otherwise("high").alias("compression_level"),
         (F.col("l_orderkey") * 4099 + F.col("l_partkey") * 7 + F.col("l_linenumber")).alias("uncompressed_size"),
     )
@@ -143,82 +144,83 @@ def statements_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sessions_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nc_all_sessions as extracted: every fourth event opens a session
-    (the statements' sessionid points at it); open sessions every 7th."""
+    """nc_all_sessions as extracted: four events in a row are a session (the
+    statements' sessionid points at it), from the first to after the last of
+    them; every 7th is still open."""
     eid = F.col("event_id")
-    ts = F.col("ts").cast("timestamp_ntz")
-    uid = F.col("user_id")
-    null_long = F.lit(None).cast("bigint")
-    return (
-        table(spark, sf_dir, "events")
-        .where(eid % 4 == 0)
-        .select(
-            eid.alias("sessionid"),
-            F.concat(F.lit("user_"), _s(uid)).alias("username"),
-            F.concat(F.lit("10.0.0."), _s(uid % 250)).alias("clientip"),
-            F.concat(F.lit("db_"), _s(eid % 2)).alias("dbname"),
-            ts.alias("starttime"),
-            F.when(eid % 28 == 0, F.lit(None).cast("timestamp_ntz"))
-            .otherwise(F.timestamp_add("SECOND", eid % 3600, ts)).alias("endtime"),
-            null_long.alias("parentsessionid"),
-            null_long.alias("parentstatementid"),
-            null_long.alias("parenttransactionid"),
-            null_long.alias("parentretrynumber"),
-        )
+    sid = F.col("sessionid")
+    null_ts, null_long = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("bigint")
+    spans = table(spark, sf_dir, "events").groupBy((eid - eid % 4).alias("sessionid")).agg(
+        F.min("user_id").alias("uid"), F.min(F.col("ts").cast("timestamp_ntz")).alias("first"),
+        F.max(F.col("ts").cast("timestamp_ntz")).alias("last"))
+    return spans.select(
+        "sessionid",
+        F.concat(F.lit("user_"), _s(F.col("uid"))).alias("username"),
+        F.concat(F.lit("10.0.0."), _s(F.col("uid") % 250)).alias("clientip"),
+        F.concat(F.lit("db_"), _s(F.floor(sid / 4) % 2)).alias("dbname"),
+        F.col("first").alias("starttime"),
+        F.when(sid % 28 == 0, null_ts).otherwise(F.timestamp_add("SECOND", sid % 3600, F.col("last"))).alias("endtime"),
+        null_long.alias("parentsessionid"),
+        null_long.alias("parentstatementid"),
+        null_long.alias("parenttransactionid"),
+        null_long.alias("parentretrynumber"),
     )
 
 
 def users_src(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nc_all_users as extracted (booleans as text): dropped users,
-    users recreated with a new id, renamed users keeping their id."""
+    """nc_all_users as extracted (booleans as text): all customers, some
+    recreated with a new id, some renamed keeping their id; and the nations,
+    which the history does not know yet."""
     k = F.col("c_custkey")
     nk = F.col("c_nationkey")
-    return (
-        table(spark, sf_dir, "customer")
-        .where(k % 13 != 5)
-        .select(
-            (F.lit(16384) + k + F.when(k % 17 == 3, F.lit(1000000)).otherwise(F.lit(0))).cast("int").alias("userid"),
-            F.when(k % 29 == 7, F.concat(F.lit("renamed_"), _s(k)))
-            .otherwise(F.concat(F.lit("user_"), _s(k))).alias("username"),
-            F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("{sandbox,public}")).alias("schemapath"),
-            F.when(nk == 0, "t").otherwise("f").alias("cancreaterole"),
-            F.when(nk == 1, "t").otherwise("f").alias("cancreatedb"),
-            F.lit("t").alias("autoinheritgrouppriv"),
-            F.when(nk < 5, nk).otherwise(F.lit(-1)).alias("connlimit"),
-        )
+    people = table(spark, sf_dir, "customer").select(
+        (F.lit(16384) + k + F.when(k % 17 == 3, F.lit(1000000)).otherwise(F.lit(0))).cast("int").alias("userid"),
+        F.when(k % 29 == 7, F.concat(F.lit("renamed_"), _s(k)))
+        .otherwise(F.concat(F.lit("user_"), _s(k))).alias("username"),
+        F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("{sandbox,public}")).alias("schemapath"),
+        F.when(nk == 0, "t").otherwise("f").alias("cancreaterole"),
+        F.when(nk == 1, "t").otherwise("f").alias("cancreatedb"),
+        F.lit("t").alias("autoinheritgrouppriv"),
+        F.when(nk < 5, nk).otherwise(F.lit(-1)).cast("int").alias("connlimit"),
     )
+    offices = table(spark, sf_dir, "nation").select(
+        (F.lit(900000000) + F.col("n_nationkey")).cast("int"), F.concat(F.lit("office_"), _s(F.col("n_nationkey"))),
+        F.lit(None).cast("string"), F.lit("f"), F.lit("f"), F.lit("t"), F.lit(-1))
+    return people.union(offices)
 
 
 def users_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The users history before a run: some users not yet captured,
-    deleted and revoked users, DBA columns filled in."""
+    """The users history before a run: all customers, with deleted and
+    revoked ones and DBA columns filled in; and the suppliers, which the
+    source does not have any more."""
     k = F.col("c_custkey")
     nk = F.col("c_nationkey")
-    null_ts = F.lit(None).cast("timestamp_ntz")
-    return (
-        table(spark, sf_dir, "customer")
-        .where(k % 7 != 4)
-        .select(
-            (F.lit(16384) + k).cast("int").alias("userid"),
-            F.concat(F.lit("user_"), _s(k)).alias("username"),
-            F.when(k % 4 == 0, F.lit(None).cast("string"))
-            .when(k % 5 == 0, F.lit("{public}"))
-            .otherwise(F.lit("{sandbox,public}")).alias("schemapath"),
-            nk.isin(0, 2).alias("cancreaterole"),
-            (nk == 1).alias("cancreatedb"),
-            F.lit(True).alias("autoinheritgrouppriv"),
-            F.when(nk < 5, nk).otherwise(F.lit(-1)).alias("connlimit"),
-            ts_literal("2023-12-01 00:00:00").alias("first_captured_time"),
-            ts_literal("2024-01-23 00:00:00").alias("last_activity_time"),
-            F.when(k % 19 == 2, ts_literal("2023-12-20 01:03:35")).otherwise(null_ts).alias("delete_time"),
-            F.when(k % 3 == 1, ts_literal("2024-01-16 00:00:00")).otherwise(null_ts).alias("connect_revoked_time"),
-            (k % 23 == 0).alias("exempt_activity_flag"),
-            F.when(k % 2 == 0, k).otherwise(F.lit(None).cast("bigint")).alias("security_unique_id"),
-            F.when(k % 2 == 0, F.concat(F.col("c_name"), F.lit("@example.com")))
-            .otherwise(F.lit(None).cast("string")).alias("email_address"),
-            F.col("c_name").alias("full_username"),
-        )
+    sk = F.col("s_suppkey")
+    null_ts, null_text = F.lit(None).cast("timestamp_ntz"), F.lit(None).cast("string")
+    first, last = ts_literal("2023-12-01 00:00:00"), ts_literal("2024-01-23 00:00:00")
+    deleted, revoked = ts_literal("2023-12-20 01:03:35"), ts_literal("2024-01-16 00:00:00")
+    people = table(spark, sf_dir, "customer").select(
+        (F.lit(16384) + k).cast("int").alias("userid"),
+        F.concat(F.lit("user_"), _s(k)).alias("username"),
+        F.when(k % 4 == 0, null_text).when(k % 5 == 0, F.lit("{public}")).otherwise(F.lit("{sandbox,public}")).alias("schemapath"),
+        nk.isin(0, 2).alias("cancreaterole"),
+        (nk == 1).alias("cancreatedb"),
+        F.lit(True).alias("autoinheritgrouppriv"),
+        F.when(nk < 5, nk).otherwise(F.lit(-1)).cast("int").alias("connlimit"),
+        first.alias("first_captured_time"),
+        last.alias("last_activity_time"),
+        F.when(k % 19 == 2, deleted).otherwise(null_ts).alias("delete_time"),
+        F.when(k % 3 == 1, revoked).otherwise(null_ts).alias("connect_revoked_time"),
+        (k % 23 == 0).alias("exempt_activity_flag"),
+        F.when(k % 2 == 0, k).otherwise(F.lit(None).cast("bigint")).alias("security_unique_id"),
+        F.when(k % 2 == 0, F.concat(F.col("c_name"), F.lit("@example.com"))).otherwise(null_text).alias("email_address"),
+        F.col("c_name").alias("full_username"),
     )
+    firms = table(spark, sf_dir, "supplier").select(
+        (F.lit(800000000) + sk).cast("int"), F.concat(F.lit("firm_"), _s(sk)), F.lit("{public}"), F.lit(False), F.lit(False), F.lit(True),
+        F.lit(-1), first, last, F.when(sk % 3 == 0, deleted).otherwise(null_ts), null_ts, F.lit(False), F.lit(None).cast("bigint"),
+        null_text, F.col("s_name"))
+    return people.union(firms)
 
 
 # --- derived states used by the scenarios -------------------------------

@@ -80,6 +80,8 @@ def to_bool(c: Column | str, name: str | None = None) -> Column:
 
 
 _MB = 1024 * 1024
+# the largest size that rounds to 99,999,999.999999 MB
+_MOST_BYTES = (10**14 * _MB - _MB // 2 - 1) // 10**6
 
 
 def bytes_to_mb(c: Column | str) -> Column:
@@ -87,11 +89,15 @@ def bytes_to_mb(c: Column | str) -> Column:
 
     ``round(s * 10^6 / 2^20)`` is computed as an integer division in
     decimal(38,0), so sums beyond the bigint range stay exact; a result
-    above 99,999,999.999999 fails (ANSI cast) rather than wrap."""
+    above 99,999,999.999999 fails by itself, whatever the session's settings
+    say about overflow."""
     s = _col(c).cast("decimal(38,0)")
     scaled = s * F.lit(1_000_000).cast("decimal(38,0)") + F.lit(_MB // 2).cast("decimal(38,0)")
     micros = F.floor(scaled / F.lit(_MB).cast("decimal(38,0)"))
-    return (micros.cast("decimal(38,0)") * F.lit(Decimal("0.000001"))).cast("decimal(14,6)")
+    mb = (micros.cast("decimal(38,0)") * F.lit(Decimal("0.000001"))).cast("decimal(14,6)")
+    too_large = F.abs(s) > F.lit(_MOST_BYTES).cast("decimal(38,0)")
+    lost = _col(c).isNotNull() & (s.isNull() | too_large)
+    return F.when(lost, F.raise_error(F.concat(F.lit("size does not fit decimal(14,6): "), _col(c).cast("string"))).cast("decimal(14,6)")).otherwise(mb)
 
 
 def object_label(c: Column | str) -> Column:

@@ -104,7 +104,8 @@ def _sync(txn: Transaction, users_source: DataFrame, run_ts, *, require_users: b
         raise RuntimeError("sync_users: the source returned no users; refusing to mark every user deleted")
     # one aggregate: a username staged twice fails the run (the update
     # would pick an arbitrary row); the row count sizes the user side
-    per_name = staged.groupBy("username").agg(F.count(F.lit(1)).alias("c"))
+    # null names never match a row, so they are no duplicates of each other
+    per_name = staged.where(F.col("username").isNotNull()).groupBy("username").agg(F.count(F.lit(1)).alias("c"))
     dup = per_name.agg(F.max_by("username", "c").alias("name"), F.max("c").alias("top")).first()
     if dup.top is not None and dup.top > 1:
         raise RuntimeError(f"sync_users: username {dup.name!r} appears twice in the source")

@@ -16,6 +16,23 @@ CUT = "timestamp '2024-01-15 00:00:00'"
 MERGE_LOW = "timestamp '2024-01-10 00:00:00'"
 SINCE = "timestamp '2024-01-20 00:00:00'"
 
+# What the staged sessions say of each username.
+_PER_USER = f"""
+select username, max(starttime) as last_start, max(coalesce(endtime, {RUN_TS})) as last_end
+ from {{sessions}} where username is not null group by username"""
+
+# Rows of users with the three facts that the session and deletion rules need.
+_FACTS = """
+select r.*, p.last_end, coalesce(r.userid not in (select userid from users_new where userid is not null), false) as absent,
+ coalesce(bool_or(r.connect_revoked_time < p.last_start) over (partition by r.userid) and r.userid is not null, false) as cleared
+ from {rows} r left join {per_user} p using (username)"""
+
+_SYNCED = f"""
+select * exclude (last_end, absent, cleared) replace (coalesce(last_end, last_activity_time) as last_activity_time,
+  if(absent and delete_time is null, {RUN_TS}, delete_time) as delete_time, if(cleared, null, connect_revoked_time) as connect_revoked_time),
+ last_end is not null as act, absent and delete_time is null as del, cleared as clr
+ from {{facts}}"""
+
 FX = {
     "fx_schemas": """
 select n_nationkey as schemaid, 'db_' || cast(n_regionkey % 2 as varchar(8)) as dbname,
@@ -33,44 +50,49 @@ select o_orderkey as viewid, cast(o_orderkey % 27 as int) as schemaid, 'view_' |
  o_orderdate + interval '1' day * (o_orderkey % 30) as lastmodtime from orders""",
     "fx_funcs": """
 select p_partkey as funcid, cast(p_partkey % 27 as int) as schemaid, p_partkey + 500000 as fileid, p_name as funcname, p_brand as funcowner,
- timestamp '2014-03-04 12:08:05' as creationtime, case when p_size % 2 = 0 then 'row' else 'partition' end as funcrunnerkind,
+ timestamp '2023-06-30 08:15:42' as creationtime, case when p_size % 2 = 0 then 'row' else 'partition' end as funcrunnerkind,
  'select * from ' || p_name || '(on t)' as funchelp_usagesyntax, p_type as funchelp_shortdesc, cast(null as varchar(8)) as funchelp_longdesc,
  '*' as funchelp_inputcols, '*' as funchelp_outputcols, p_brand as funchelp_author, '1.' || cast(p_size as varchar(8)) as funcversion, '6.20' as apiversion,
  p_size % 2 = 0 as funcsupports_row, p_size % 2 = 1 as funcsupports_partition, p_size % 3 = 0 as funcsupports_multiple_input,
  false as funcsupports_graph, p_size % 7 = 0 as funcsupports_collaborative_planning from part""",
     "fx_relstats": """
-select 'owner_' || cast(l_suppkey % 5 as varchar(8)) as owner_name,
+select 'owner_' || cast(l_suppkey as varchar(20)) as owner_name,
  case when l_returnflag = 'A' then 'relation' when l_returnflag = 'N' then 'index' else null end as object_type,
- 'db_' || cast(l_linenumber % 2 as varchar(8)) as database, 'schema_' || cast(l_partkey % 3 as varchar(8)) as schema,
- 'rel_' || cast(l_partkey % 20 as varchar(8)) as relation, case when l_linestatus = 'F' then 'none' else 'high' end as compression_level,
+ 'db_' || cast(l_linenumber % 2 as varchar(8)) as database, 'schema_' || cast(l_suppkey as varchar(20)) as schema,
+ 'rel_' || cast(l_partkey as varchar(20)) as relation, case when l_linestatus = 'F' then 'none' else 'high' end as compression_level,
  l_orderkey * 4099 + l_partkey * 7 + l_linenumber as uncompressed_size from lineitem""",
     "fx_statements_src": """
 select event_id as statementid, event_id + 1000000 as xactionid, (event_id - event_id % 4) as sessionid, cast(event_id % 3 as int) as retrynum,
  props as statement, ts as starttime, case when event_id % 11 = 0 then null else ts + interval '1' second * (event_id % 600) end as endtime,
  case when event_id % 2 = 0 then 't' else 'f' end as iscancelable from events""",
     "fx_sessions_src": """
-select event_id as sessionid, 'user_' || cast(user_id as varchar(20)) as username, '10.0.0.' || cast(user_id % 250 as varchar(8)) as clientip,
- 'db_' || cast(event_id % 2 as varchar(8)) as dbname, ts as starttime, case when event_id % 28 = 0 then null else ts + interval '1' second * (event_id % 3600) end as endtime,
+select sid as sessionid, 'user_' || cast(uid as varchar) as username, '10.0.0.' || cast(uid % 250 as varchar) as clientip,
+ 'db_' || cast((sid // 4) % 2 as varchar) as dbname, first_ts as starttime,
+ if(sid % 28 = 0, null, last_ts + interval '1' second * (sid % 3600)) as endtime,
  cast(null as bigint) as parentsessionid, cast(null as bigint) as parentstatementid, cast(null as bigint) as parenttransactionid, cast(null as bigint) as parentretrynumber
- from events where event_id % 4 = 0""",
+ from (select event_id - event_id % 4 as sid, min(user_id) as uid, min(ts) as first_ts, max(ts) as last_ts from events group by 1)""",
     "fx_users_src": """
 select cast(16384 + c_custkey + case when c_custkey % 17 = 3 then 1000000 else 0 end as int) as userid,
  case when c_custkey % 29 = 7 then 'renamed_' || cast(c_custkey as varchar(20)) else 'user_' || cast(c_custkey as varchar(20)) end as username,
  case when c_custkey % 3 = 0 then null else '{sandbox,public}' end as schemapath,
  case when c_nationkey = 0 then 't' else 'f' end as cancreaterole, case when c_nationkey = 1 then 't' else 'f' end as cancreatedb,
- 't' as autoinheritgrouppriv, case when c_nationkey < 5 then c_nationkey else -1 end as connlimit
- from customer where c_custkey % 13 <> 5""",
+ 't' as autoinheritgrouppriv, cast(case when c_nationkey < 5 then c_nationkey else -1 end as int) as connlimit
+ from customer
+ union all select cast(900000000 + n_nationkey as int), 'office_' || cast(n_nationkey as varchar), null, 'f', 'f', 't', -1 from nation""",
     "fx_users_hist": """
 select cast(16384 + c_custkey as int) as userid, 'user_' || cast(c_custkey as varchar(20)) as username,
  case when c_custkey % 4 = 0 then null when c_custkey % 5 = 0 then '{public}' else '{sandbox,public}' end as schemapath,
  c_nationkey in (0, 2) as cancreaterole, c_nationkey = 1 as cancreatedb, true as autoinheritgrouppriv,
- case when c_nationkey < 5 then c_nationkey else -1 end as connlimit,
+ cast(case when c_nationkey < 5 then c_nationkey else -1 end as int) as connlimit,
  timestamp '2023-12-01 00:00:00' as first_captured_time, timestamp '2024-01-23 00:00:00' as last_activity_time,
  case when c_custkey % 19 = 2 then timestamp '2023-12-20 01:03:35' else null end as delete_time,
  case when c_custkey % 3 = 1 then timestamp '2024-01-16 00:00:00' else null end as connect_revoked_time,
  c_custkey % 23 = 0 as exempt_activity_flag, case when c_custkey % 2 = 0 then c_custkey else null end as security_unique_id,
  case when c_custkey % 2 = 0 then c_name || '@example.com' else null end as email_address, c_name as full_username
- from customer where c_custkey % 7 <> 4""",
+ from customer
+ union all select cast(800000000 + s_suppkey as int), 'firm_' || cast(s_suppkey as varchar), '{public}', false, false, true, -1,
+ timestamp '2023-12-01 00:00:00', timestamp '2024-01-23 00:00:00', if(s_suppkey % 3 = 0, timestamp '2023-12-20 01:03:35', null),
+ null, false, null, null, s_name from supplier""",
     # statement and session histories as captured up to the cut
     "st_hist": f"""
 select statementid, xactionid, sessionid, retrynum, statement, starttime, endtime, iscancelable::boolean as iscancelable
@@ -146,43 +168,20 @@ select case when u1.chg then n.userid else u1.userid end as userid, u1.username,
  case when u1.chg then null else u1.delete_time end as delete_time,
  u1.connect_revoked_time, u1.exempt_activity_flag, u1.security_unique_id, u1.email_address, u1.full_username
  from u1 left join users_new n on u1.username = n.username""",
-    # 2: insert ... from users_new left outer join history on username where history.username is null
-    "h2_ins": f"""
-select src.userid, src.username, src.schemapath, src.cancreaterole, src.cancreatedb, src.autoinheritgrouppriv,
- src.connlimit, {RUN_TS} as first_captured_time, {RUN_TS} as last_activity_time, cast(null as timestamp) as delete_time,
- cast(null as timestamp) as connect_revoked_time, false as exempt_activity_flag, cast(null as bigint) as security_unique_id,
- cast(null as varchar) as email_address, cast(null as varchar) as full_username
- from users_new src left outer join h1 cur on (cur.username = src.username) where cur.username is null""",
-    "h2": "select * from h1 union all select * from h2_ins",
-    # 3: update set last_activity_time = act.last_activity_time from (history x sessions_new grouped) act where username =
-    "v3": f"""
-select cur.userid, cur.username, max(coalesce(ses.endtime, {RUN_TS})) as last_activity_time
- from h2 cur, se_rules ses where ses.username = cur.username group by cur.userid, cur.username""",
-    "h3": """
-select h.* replace (coalesce((select max(v3.last_activity_time) from v3 where v3.username = h.username), h.last_activity_time)
- as last_activity_time),
- exists (select 1 from v3 where v3.username = h.username) as act from h2 h""",
-    # 4: update set delete_time = now() from (history left join users_new on userid where new is null) act
-    #    where userid = act.userid and delete_time is null
-    "v4": """
-select cur.userid from h3 cur left outer join users_new src on (cur.userid = src.userid) where src.userid is null""",
-    "h4": f"""
-select h.* exclude (act) replace (case when h.delete_time is null and h.userid in (select userid from v4) then {RUN_TS}
- else h.delete_time end as delete_time),
- coalesce(h.delete_time is null and h.userid in (select userid from v4), false) as del, act from h3 h""",
-    # 5: update set connect_revoked_time = null from (history x sessions_new where username = and revoked < starttime) act
-    #    where userid = act.userid
-    "v5": """
-select cur.userid from h4 cur, se_rules ses
- where cur.username = ses.username and cur.connect_revoked_time < ses.starttime""",
-    "h5": """
-select h.* replace (case when h.userid in (select userid from v5) then null else h.connect_revoked_time end
- as connect_revoked_time),
- coalesce(h.userid in (select userid from v5), false) as clr from h4 h""",
+    # The rules of the sync as facts about each row, in one derivation: who is
+    # new, what the staged sessions say of a username, whether the id is still
+    # in the source, and whether an id has a row to be cleared.
+    "newcomers": f"""
+select *, {RUN_TS} as first_captured_time, {RUN_TS} as last_activity_time, false as exempt_activity_flag
+ from users_new anti join h1 using (username)""",
+    "roster": "from h1 union all by name from newcomers",
+    "per_user": _PER_USER.format(sessions="se_rules"),
+    "facts": _FACTS.format(rows="roster", per_user="per_user"),
+    "synced": _SYNCED.format(facts="facts"),
 }
 
 FX["se_merged_new"] = FX["se_merged"].replace("se_overlap", "se_new")
-_SESSION_STEPS = ["v3", "h3", "v4", "h4", "v5", "h5"]
+_SESSION_STEPS = ["per_user", "facts", "synced"]
 
 
 def _rename_chain(body: str, prefix: str, sessions: str) -> str:
@@ -214,9 +213,8 @@ _DEPS = {
     "se_bounds": ["se_hist"], "se_new": ["fx_sessions_src", "se_bounds"],
     "se_overlap": ["fx_sessions_src"], "se_rules": ["fx_sessions_src"],
     "st_merged": ["st_hist", "st_new"], "se_merged": ["se_hist", "se_overlap"],
-    "u1": ["fx_users_hist", "users_new"], "h1": ["u1", "users_new"], "h2_ins": ["users_new", "h1"],
-    "h2": ["h1", "h2_ins"], "v3": ["h2", "se_rules"], "h3": ["h2", "v3"], "v4": ["h3", "users_new"],
-    "h4": ["h3", "v4"], "v5": ["h4", "se_rules"], "h5": ["h4", "v5"],
+    "u1": ["fx_users_hist", "users_new"], "h1": ["u1", "users_new"], "newcomers": ["users_new", "h1"],
+    "roster": ["h1", "newcomers"], "per_user": ["se_rules"], "facts": ["roster", "per_user", "users_new"], "synced": ["facts"],
     "se_merged_new": ["se_hist", "se_new"],
 }
 for _n in _SESSION_STEPS:
@@ -239,37 +237,20 @@ def sql(body: str, *needs: str) -> str:
 
 
 def _single_step(step: str) -> str:
-    """Users history after only one of the five statements."""
+    """Users history after only one of the five rules: the same facts, about
+    the rows of the history before the run."""
     if step == "update":
         return sql(f"select {USER_COLS} from h1", "h1")
     if step == "insert":
         return sql(f"""
-select * from fx_users_hist union all
-select src.userid, src.username, src.schemapath, src.cancreaterole, src.cancreatedb, src.autoinheritgrouppriv,
- src.connlimit, {RUN_TS}, {RUN_TS}, null, null, false, null, null, null
- from users_new src left outer join fx_users_hist cur on (cur.username = src.username) where cur.username is null""",
-                   "fx_users_hist", "users_new")
-    if step == "activity":
-        return sql(f"""
-select h.* replace (coalesce(act.last_activity_time, h.last_activity_time) as last_activity_time)
- from fx_users_hist h left join (
-   select cur.username, max(coalesce(ses.endtime, {RUN_TS})) as last_activity_time
-     from fx_users_hist cur, se_rules ses where ses.username = cur.username
-    group by cur.userid, cur.username) act on act.username = h.username""", "fx_users_hist", "se_rules")
-    if step == "delete":
-        return sql(f"""
-select h.* replace (case when h.delete_time is null and h.userid in (
-   select cur.userid from fx_users_hist cur left outer join users_new src on (cur.userid = src.userid)
-    where src.userid is null) then {RUN_TS} else h.delete_time end as delete_time)
- from fx_users_hist h""", "fx_users_hist", "users_new")
-    if step == "revoke":
-        return sql("""
-select h.* replace (case when h.userid in (
-   select cur.userid from fx_users_hist cur, se_rules ses
-    where cur.username = ses.username and cur.connect_revoked_time < ses.starttime)
-   then null else h.connect_revoked_time end as connect_revoked_time)
- from fx_users_hist h""", "fx_users_hist", "se_rules")
-    raise KeyError(step)
+select {USER_COLS} from (from fx_users_hist union all by name (
+ select *, {RUN_TS} as first_captured_time, {RUN_TS} as last_activity_time, false as exempt_activity_flag
+  from users_new anti join fx_users_hist using (username)))""", "fx_users_hist", "users_new")
+    changed = {"activity": f"coalesce(last_end, last_activity_time) as last_activity_time",
+               "delete": f"if(absent and delete_time is null, {RUN_TS}, delete_time) as delete_time",
+               "revoke": "if(cleared, null, connect_revoked_time) as connect_revoked_time"}[step]
+    return sql(f"select {USER_COLS} from (select * replace ({changed}) from ({_FACTS.format(rows='fx_users_hist', per_user='per_user')}))",
+               "fx_users_hist", "per_user", "users_new")
 
 
 def _size_of(table: str, parts: list[str], schema: str) -> str:
@@ -356,11 +337,11 @@ select 'sessions', (select count(1) from se_overlap),
     "users_last_activity": _single_step("activity"),
     "users_soft_delete": _single_step("delete"),
     "users_clear_revoked": _single_step("revoke"),
-    "sync_users": sql(f"select {USER_COLS} from h5", "h5"),
+    "sync_users": sql(f"select {USER_COLS} from synced", "synced"),
     "sync_user_counts": sql("""
-select (select count(*) from u1 where chg) as updated, (select count(*) from h2_ins) as inserted,
- (select count(*) from h5 where act) as activity_set, (select count(*) from h5 where del) as soft_deleted,
- (select count(*) from h5 where clr) as revoke_cleared""", "u1", "h2_ins", "h5"),
+select (select count(*) from u1 where chg) as updated, (select count(*) from newcomers) as inserted,
+ (select count(*) from synced where act) as activity_set, (select count(*) from synced where del) as soft_deleted,
+ (select count(*) from synced where clr) as revoke_cleared""", "u1", "newcomers", "synced"),
     "set_user_attributes": sql("""
 select h.* replace (case when e.username is not null then e.full_username else h.full_username end as full_username,
  case when e.username is not null then e.exempt_activity_flag else h.exempt_activity_flag end as exempt_activity_flag)
@@ -384,9 +365,9 @@ select statementid, sessionid, starttime, endtime, epoch_us(endtime) - epoch_us(
  from fx_statements_src where endtime is not null and epoch_us(endtime) - epoch_us(starttime) >= cast(300 as bigint) * 1000000""",
                         "fx_statements_src"),
     "inactive_users": sql(f"""
-select userid, username, last_activity_time, first_captured_time from h5
+select userid, username, last_activity_time, first_captured_time from synced
  where delete_time is null and connect_revoked_time is null and not coalesce(exempt_activity_flag, false)
-   and coalesce(last_activity_time, first_captured_time) < {RUN_TS} - interval '1' day""", "h5"),
+   and coalesce(last_activity_time, first_captured_time) < {RUN_TS} - interval '1' day""", "synced"),
     "capture_gaps": sql("""
 select gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) as gap_us from (
   select lag(starttime) over (order by starttime) as gap_start, starttime as gap_end
@@ -394,7 +375,7 @@ select gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) as gap_us fro
  where gap_start is not null and epoch_us(gap_end) - epoch_us(gap_start) > cast(3600 as bigint) * 1000000""", "fx_sessions_src"),
     "job_capture_statements": sql("select * from st_merged", "st_merged"),
     "job_capture_sessions": sql("select * from se_merged_new", "se_merged_new"),
-    "job_sync_users": sql(f"select {USER_COLS} from b4_h5", "b4_h5"),
+    "job_sync_users": sql(f"select {USER_COLS} from b4_synced", "b4_synced"),
     "job_list_sessions_since": sql(f"""
 select sessionid, username, clientip, dbname, starttime, endtime, parentsessionid, parentstatementid,
  parenttransactionid, parentretrynumber, status from se_merged_new where starttime > {SINCE}""", "se_merged_new"),
@@ -404,11 +385,11 @@ select sessionid, username, clientip, dbname, starttime, endtime, parentsessioni
         + """
 union all select 'sync_users', 'extract_users', (select count(1) from users_new), null, null
 union all select 'sync_users', 'update_changed', null, 0, (select count(*) from u1 where chg)
-union all select 'sync_users', 'insert_new', null, (select count(*) from h2_ins), 0
-union all select 'sync_users', 'last_activity', null, 0, (select count(*) from b4_h5 where act)
-union all select 'sync_users', 'soft_delete', null, 0, (select count(*) from b4_h5 where del)
-union all select 'sync_users', 'clear_revoked', null, 0, (select count(*) from b4_h5 where clr)""",
-        "st_new", "st_hist", "se_new", "se_hist", "users_new", "u1", "h2_ins", "b4_h5"),
+union all select 'sync_users', 'insert_new', null, (select count(*) from newcomers), 0
+union all select 'sync_users', 'last_activity', null, 0, (select count(*) from b4_synced where act)
+union all select 'sync_users', 'soft_delete', null, 0, (select count(*) from b4_synced where del)
+union all select 'sync_users', 'clear_revoked', null, 0, (select count(*) from b4_synced where clr)""",
+        "st_new", "st_hist", "se_new", "se_hist", "users_new", "u1", "newcomers", "b4_synced"),
     "compact": sql("select * from st_merged", "st_merged"),
     "export_text": None,
 }

@@ -52,11 +52,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's spark.checkpoint.dir; only when it is unset (local
-    tests) make a fresh scratch folder for this process."""
+    """Use the cluster's spark.checkpoint.dir; only when it is unset and the
+    master is local (tests) make a fresh scratch folder for this process. On a
+    cluster every executor would write to a disk of its own."""
     found = checkpoint_dir(spark)
     if found:
         return found
+    master = spark.conf.get("spark.master", "") or ""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     found = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:
         spark.sparkContext.setCheckpointDir(found)

@@ -74,37 +74,3 @@ def relation_stats(df: DataFrame, *, owner: str, database: str, schema: str, rel
         F.lit(compression_level).alias("compression_level"),
         F.col("uncompressed_size"),
     )
-
-
-def relation_stats_estimated(spark: SparkSession, path: str, *, owner: str, database: str, schema: str,
-                             relation: str, every_nth_file: int = 10, compression_level: str = "none",
-                             object_type: str = "relation") -> DataFrame:
-    """Estimated statistics row for a parquet relation, without reading all
-    of it: the row count comes from the file footers, and the bytes per row
-    are measured exactly on about one file in ``every_nth_file`` (chosen by
-    a hash of the path, so the choice is deterministic), then scaled to all
-    rows.
-
-    Files are listed with the binary-file source selecting only the path, so
-    no file content is read for the listing; the sample is chosen on the
-    executors and only its paths reach the driver. With ``every_nth_file=1``
-    the result equals ``relation_stats``."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("recursiveFileLookup", "true").load(path).select("path"))
-    n = max(1, every_nth_file)
-    picked = files.where(F.pmod(F.xxhash64("path"), F.lit(n)) == 0) if n > 1 else files
-    sample = sorted(r.path for r in picked.collect())
-    all_rows = spark.read.parquet(path)
-    total = all_rows.count()  # answered from parquet footers
-    part = spark.read.schema(all_rows.schema).parquet(*sample) if sample else all_rows.limit(0)
-    measured = part.agg(relation_size(part).alias("b"), F.count(F.lit(1)).alias("n")).first()
-    size = 0 if not measured.n else int(round(measured.b * total / measured.n))
-    return spark.range(1).select(
-        F.lit(owner).alias("owner_name"),
-        F.lit(object_type).alias("object_type"),
-        F.lit(database).alias("database"),
-        F.lit(schema).alias("schema"),
-        F.lit(relation).alias("relation"),
-        F.lit(compression_level).alias("compression_level"),
-        F.lit(size).cast("bigint").alias("uncompressed_size"),
-    )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
+
 from sysledger.sources.relstats import relation_stats
 
 
@@ -23,20 +25,18 @@ def test_empty_relation_has_size_zero(spark):
     assert relation_stats(df, owner="o", database="d", schema="s", relation="r").first().uncompressed_size == 0
 
 
-def test_estimated_size_from_a_file_sample(spark):
-    import uuid
-
-    from conftest import SF_MID
+@pytest.mark.parametrize("name", ["documents", "pages", "conversations", "orders", "part", "customer"])
+def test_each_given_table_is_exact(spark, name):
+    """One-file relations: every value of every row counts."""
+    from conftest import SF_SMALL
 
     from sysledger import fixtures as fx
-    from sysledger.session import checkpoint_dir
-    from sysledger.sources.relstats import relation_stats_estimated
-
-    path = f"{checkpoint_dir(spark)}/docs-{uuid.uuid4().hex[:8]}"
-    docs = fx.table(spark, SF_MID, "documents")
-    docs.repartition(16, "doc_id").write.parquet(path)
-    exact = relation_stats(spark.read.parquet(path), owner="o", database="d", schema="s", relation="r").first()
-    full = relation_stats_estimated(spark, path, owner="o", database="d", schema="s", relation="r", every_nth_file=1).first()
-    est = relation_stats_estimated(spark, path, owner="o", database="d", schema="s", relation="r", every_nth_file=2).first()
-    assert full.uncompressed_size == exact.uncompressed_size
-    assert abs(est.uncompressed_size - exact.uncompressed_size) <= 0.25 * exact.uncompressed_size
+
+    df = fx.table(spark, SF_SMALL, name)
+    widths = {"bigint": 8, "int": 4, "double": 8, "timestamp_ntz": 8, "timestamp": 8, "date": 4, "boolean": 1, "float": 4}
+    want = 0
+    for row in df.collect():
+        for value, (_, kind) in zip(row, df.dtypes, strict=True):
+            if value is not None:
+                want += len(value.encode()) if kind == "string" else widths[kind]
+    assert relation_stats(df, owner="o", database="d", schema="s", relation=name).first().uncompressed_size == want

@@ -129,26 +129,22 @@ def test_set_user_attributes_edits_only_named_users(spark):
     assert (out["b"].full_username, out["b"].exempt_activity_flag) == (None, False)
 
 
-# Sample users listing (six rows in username order; names and e-mails invented).
-GOLDEN = [
-    (16389, "backend", None, False, False, True, -1, "2014-03-04 12:08:05.002987", None, True, "System Account"),
-    (16400, "ckent", "{sandbox,public}", False, False, True, -1, "2014-08-19 16:20:32", None, False, "Clark Kent"),
-    (16393, "db_admin", None, True, True, True, -1, "2014-08-20 14:19:29", None, True, "System Account"),
-    (16398, "dduck", "{sandbox,public}", False, False, True, -1, "2014-03-04 12:08:05.002987",
-     "2014-03-19 01:03:35.281722", False, "Donald Duck"),
-    (16394, "etl", None, False, False, True, -1, "2014-08-20 18:31:00", None, True, "ETL - Development"),
-    (16442, "xwing", "{sandbox,public}", False, False, True, -1, "2014-08-18 15:45:59", None, False, "Xavier Wing"),
+# A users listing: one row of each kind, in username order.
+LISTED = [
+    (501, "batch", None, False, False, True, 4, "2024-02-01 00:00:00.25", None, True, "Nightly batch"),
+    (77, "hr_reader", "{hr}", False, False, False, 0, "2024-02-03 10:20:30", None, False, "Reader of HR"),
+    (9, "ops", "{ops,public}", True, False, True, -1, "2024-01-31 23:59:59.999999", None, True, None),
+    (310, "trainee", "{public}", False, True, True, 1, "2024-01-05 07:00:00", "2024-01-20 12:00:00.5", False, "A trainee"),
 ]
 
 
-def test_golden_users_listing_order_and_columns(spark):
-    first = T("2014-03-04 12:08:05.002987")
-    rows = [(u, n, p, cr, cd, ai, cl, first, T(last), T(d) if d else None, None, ex, None,
-             f"{n}@example.com" if n in ("ckent", "dduck", "xwing") else None, full)
-            for (u, n, p, cr, cd, ai, cl, last, d, ex, full) in GOLDEN]
+def test_users_listing_order_and_columns(spark):
+    first = T("2023-11-11 11:11:11.111111")
+    rows = [(u, n, p, cr, cd, ai, cl, first, T(last), T(d) if d else None, None, ex, None, f"{n}@example.com", full)
+            for (u, n, p, cr, cd, ai, cl, last, d, ex, full) in LISTED]
     h = spark.createDataFrame(list(reversed(rows)), USERS_HISTORY)
     out = listings.list_users_history(h, ordered=True)
     assert out.columns == listings.USER_HISTORY_COLUMNS
     got = [tuple(r) for r in out.collect()]
-    assert [g[1] for g in got] == ["backend", "ckent", "db_admin", "dduck", "etl", "xwing"]
-    assert got[3][9] == T("2014-03-19 01:03:35.281722")
+    assert [g[1] for g in got] == ["batch", "hr_reader", "ops", "trainee"]
+    assert got[3][9] == T("2024-01-20 12:00:00.5")
