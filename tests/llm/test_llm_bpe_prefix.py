@@ -1,0 +1,69 @@
+import hashlib
+import random
+import unicodedata
+
+import public_tokenizers
+import pytest
+from corpus_cases import edge_docs, edge_rows, empty_docs, documents
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer as Library
+
+from sysledger.llm.bpe_prefix import Tokenizer, decode, encode, round_trip
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def both():
+    with open(PATH, encoding="utf-8") as f:
+        return Tokenizer(f.read()), Library.from_file(PATH)
+
+
+def same(both, text):
+    mine, library = both
+    ids = mine.encode(text)
+    assert ids == library.encode(text, add_special_tokens=False).ids
+    assert mine.decode(ids) == library.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([*"abcdeinorst'.,!AIS 019\n\tßéüñ日本語ไทยΣςİ", "<|endoftext|>", "'re", "the", "\x1c", "\x85", "ﬁ", "e\u0301"]), max_size=60).map("".join))
+def test_ids_and_text_equal_the_library(both, text):
+    same(both, text)
+
+
+def test_words_of_all_kinds(both):
+    rng = random.Random(3)
+    for _ in range(300):
+        same(both, "".join(rng.choice("aeinrsthlo") for _ in range(rng.randrange(1, 80))))
+    same(both, "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa")
+    same(both, "ab" * 5000)
+
+
+def test_every_character_class(both):
+    for c in [*range(0x20, 0x3000, 7), *range(0xA700, 0xABFF, 5), *range(0x10000, 0x1FFFF, 97)]:
+        if unicodedata.category(chr(c)) != "Cs":
+            same(both, f"a{chr(c) * 2}1!{chr(c)}?")
+
+
+def test_documents(spark, both):
+    _, library = both
+    texts = {r.doc_id: r.text for r in documents(spark).collect()}
+    for r in round_trip(documents(spark), PATH).collect():
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_edges(spark, both):
+    _, library = both
+    rows = round_trip(edge_docs(spark), PATH).collect()
+    want = sorted(len(library.encode(r[1] or "", add_special_tokens=False).ids) for r in edge_rows())
+    assert sorted(r.n_tokens for r in rows) == want
+    ids = encode(edge_docs(spark), PATH)
+    assert sorted(len(r.ids) for r in ids.collect()) == want
+    texts = {hashlib.sha256(r.text.encode()).hexdigest() for r in decode(ids, PATH).collect()}
+    assert texts == {r.decoded_sha256 for r in rows}
+    assert round_trip(empty_docs(spark), PATH).collect() == []

@@ -1,0 +1,68 @@
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+from corpus_cases import documents, edge_docs, edge_rows, empty_docs
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sysledger.llm.exact_dedup import drop_copies, exact_dedup, rice_decode, rice_encode, rice_parameter
+
+
+def expected(rows):
+    """doc_id, keep_id, group_size, sha for every row, and kept per class."""
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]+", " ", text or "")].append(doc_id)
+    out = []
+    for norm, ids in groups.items():
+        keep = min((i for i in ids if i is not None), default=None)
+        out += [(i, keep, len(ids), hashlib.sha256(norm.encode()).hexdigest()) for i in ids]
+    return out
+
+
+def check(rows, result):
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in result) == Counter(expected(rows))
+    kept = Counter(r.text_sha256 for r in result if r.kept)
+    assert set(kept.values()) <= {1} and len(kept) == len({r.text_sha256 for r in result})
+    assert all(r.doc_id == r.keep_id for r in result if r.kept)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.integers(0, (1 << 40) - 1), min_size=1, max_size=300), st.integers(0, 40))
+def test_rice_round_trip(values, k):
+    v = np.array(sorted(values), dtype=np.uint64)
+    k = max(k, rice_parameter(1 << 40, len(v)) - 8)
+    assert (rice_decode(rice_encode(v, k), len(v), k) == v).all()
+
+
+def test_matches_brute_force(spark):
+    docs = documents(spark)
+    check([(r.doc_id, r.text) for r in docs.collect()], exact_dedup(docs).collect())
+
+
+def test_edges(spark):
+    check([(r[0], r[1]) for r in edge_rows()], exact_dedup(edge_docs(spark)).collect())
+    assert exact_dedup(empty_docs(spark)).collect() == []
+
+
+def test_colliding_fingerprints_are_verified(spark):
+    # few bits: nearly every row is a suspect, the texts still decide
+    docs = spark.range(500).selectExpr("id as doc_id", "concat('text ', cast(id % 480 as string)) as text")
+    check([(r.doc_id, r.text) for r in docs.collect()], exact_dedup(docs, slack_bits=0, filter_bits=1 << 16).collect())
+
+
+def test_hot_text(spark):
+    docs = spark.range(4000).selectExpr("id as doc_id", "if(id % 3 = 0, 'hot text', cast(id as string)) as text")
+    check([(r.doc_id, r.text) for r in docs.collect()], exact_dedup(docs).collect())
+
+
+def test_drop_copies_keeps_columns(spark):
+    docs = edge_docs(spark)
+    left = drop_copies(docs)
+    assert left.columns == docs.columns
+    rows = left.collect()
+    norms = [re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "") for r in rows]
+    assert len(norms) == len(set(norms)) == len({re.sub(r"[\x20\x09-\x0D]+", " ", r[1] or "") for r in edge_rows()})
+    assert {r.doc_id for r in rows if r.text and r.text.startswith("same")} == {10}
