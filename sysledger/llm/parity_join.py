@@ -20,14 +20,28 @@ of them in more than one; the j parts that follow the equal ones are different
 parts, so one of these differs in one bit at most and has three equal quarters.
 
 Equal sets are put together first, so a text with any number of copies is one
-member. Within a bucket not all pairs are compared. A round compares all
-members with a few partners (1, then 8, 64 and so on for each bucket, taken by
-hash class), which then leave the bucket; members that are already connected
-are not compared. Rounds end when each bucket is one component or empty;
-buckets of up to four members finish with their unconnected pairs at once. So
-no link between different components is missed, and a bucket of copies that
-are linked to their first partner costs a pass over its members.
-Verification compares the sets themselves.
+member. Within a bucket (the members that share a key) not all pairs are
+compared:
+
+- A bucket of up to four members is its pairs, but for connected ones.
+- The members of a larger one are compared with its head, and described by
+  their differences E(x) = x xor p from a pivot p: the set of what more than
+  half of the head's members have. x xor y = E(x) xor E(y), so with
+  q = (1 - t)/(1 + t) two are linked iff |E(x) xor E(y)| <= q (|x| + |y|).
+  Let f(x) = |E(x)| - q |x|. If f(x) + f(y) <= 0 they are linked, and then
+  both are linked with the member of least f, which is all that is noted.
+  Else a linked pair shares at least (|E(x)| + |E(y)| - K) / 2 elements, with
+  K the most that it may differ in. In any one order of the elements, the one
+  with the smaller E then has a shared element among its first K/2 + 1, and
+  the other has it among its first K + 1 (prefix filter). The order is by
+  rarity among the members, so these are mostly elements that nobody shares.
+  Up to a thousand members that meet in an element are counted against each
+  other in a task, on their short differences; more are a bucket of the next
+  round, with a pivot of its own.
+
+Rounds end when no bucket is left that holds two components. No link between
+different components is missed, and what a round moves is proportional to the
+members' differences, not to pairs. Verification compares the sets themselves.
 
 Texts: A-Z in lower case, words ``[^\\x20\\x09-\\x0D]+``; of fewer than three
 words the whole sequence is the one shingle; without words the set is empty
@@ -42,6 +56,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,7 +66,8 @@ from .common import materialise, scratch
 BAND_RATIO = 1.4
 SKETCH_BITS_PER_SHINGLE = 16
 SMALL_BUCKET = 4
-PARTNERS = 8  # times as many in each round
+TASK_BUCKET = 1000
+ROWS_PER_CALL = 20_000
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # --- shingles ---------------------------------------------------------------
@@ -191,6 +207,46 @@ def keys_of(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate([band_keys(shingles, b, bands) for b in bands.of(len(shingles))]).view(np.int64)
 
 
+# --- a filter of fixed size over keys ----------------------------------------
+
+FILTER_BITS = 1 << 27
+SEGMENT_BITS = 1 << 16
+
+
+def _positions(keys: np.ndarray) -> np.ndarray:
+    return (keys.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+
+
+def _key_filter(keys: DataFrame) -> bytes:
+    """A bitmap of FILTER_BITS / 8 bytes, whatever the input; it comes to the
+    driver as segments."""
+    at = F.pmod(F.col("key"), F.lit(FILTER_BITS))  # FILTER_BITS is a power of two: the low bits
+    segments = (keys.select((at / SEGMENT_BITS).cast("int").alias("segment"), (at % SEGMENT_BITS).cast("int").alias("bit"))
+                .distinct().groupBy("segment").applyInPandas(_segment, "segment int, bits binary"))
+    have = {r.segment: bytes(r.bits) for r in segments.collect()}
+    return b"".join(have.get(i, bytes(SEGMENT_BITS // 8)) for i in range(FILTER_BITS // SEGMENT_BITS))
+
+
+def _segment(rows: pd.DataFrame) -> pd.DataFrame:
+    bits = np.zeros(SEGMENT_BITS, dtype=np.uint8)
+    bits[rows["bit"].to_numpy()] = 1
+    return pd.DataFrame({"segment": [int(rows["segment"].iloc[0])], "bits": [np.packbits(bits).tobytes()]})
+
+
+def _pass_keys(bitmap):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(bitmap.value, dtype=np.uint8)
+        for batch in batches:
+            lists = batch.column(1)
+            keys = lists.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
+            at = _positions(keys)
+            hit = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[hit])), pa.array(keys[hit])], ["print", "key"])
+
+    return work
+
+
 # --- the join ---------------------------------------------------------------
 
 
@@ -259,6 +315,125 @@ def components(nodes: DataFrame, links: DataFrame, folder: str) -> DataFrame:
     return nodes.join(state, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+def _heads(open_: DataFrame, seed: int) -> DataFrame:
+    """(key, p): a member of each bucket, the same one for many buckets of
+    like members, as it is the least by one hash."""
+    return open_.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), "node", "root")).alias("p"))
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, x, y): the two sets beside each pair."""
+    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    return with_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+
+
+def _deltas(percent: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size_p, size, linked, delta = [], [], [], []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                e = np.setxor1d(a, b, assume_unique=True)
+                size_p.append(len(a))
+                size.append(len(b))
+                linked.append((100 + percent) * len(e) <= (100 - percent) * (len(a) + len(b)))
+                delta.append(e.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(size_p, pa.int64()), pa.array(size, pa.int64()), pa.array(linked, pa.bool_()),
+                 pa.array(delta, pa.list_(pa.int64()))], ["p", "node", "size_p", "size", "linked", "e"])
+
+    return work
+
+
+def _pivot_round(many: DataFrame, sets: DataFrame, percent: int, seed: int, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(links, next buckets) of the larger buckets, as the module says."""
+    heads = _heads(many, seed).select("key", F.col("p.node").alias("a"))
+    met = many.join(heads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    star = materialise(_with_sets(met, sets).mapInArrow(
+        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>"), "star", folder)
+    links = star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))
+    # move the pivot to what most of its members have; the head is a member too
+    counts = star.groupBy("p").agg(F.count("*").alias("m"), F.min("size_p").alias("size_p"))
+    usual = (star.select("p", F.explode("e").alias("e")).groupBy("p", "e").agg(F.count("*").alias("n"))
+             .join(counts, "p").where("2 * n > m + 1").groupBy("p").agg(F.collect_list("e").alias("usual")))
+    counts = counts.join(usual, "p", "left").select("p", "size_p", F.coalesce("usual", F.array().cast("array<long>")).alias("usual"))
+    members = star.select("p", "node", "size", "e").union(
+        counts.select("p", F.col("p").alias("node"), F.col("size_p").alias("size"), F.array().cast("array<long>").alias("e")))
+    members = members.join(counts.select("p", "usual"), "p").select(
+        "p", "node", "size", F.concat(F.array_except("e", "usual"), F.array_except("usual", "e")).alias("e"))
+    roots = many.groupBy("node").agg(F.min("root").alias("root"))
+    members = materialise(members.join(roots, "node"), "members", folder)
+    # f in whole numbers: times (100 + percent)
+    f = (100 + percent) * F.size("e") - (100 - percent) * F.col("size")
+    low = members.groupBy("p").agg(F.min(F.struct(f.alias("f"), "node")).alias("low"))
+    implied = members.select("p", "node", f.alias("f")).join(low, "p").where("node <> low.node and f + low.f <= 0").select(
+        F.col("low.node").alias("a"), F.col("node").alias("b"))
+    # prefixes by rarity; elements that no other member has take up places
+    elements = members.select("p", "node", F.explode("e").alias("e"))
+    seen = elements.groupBy("p", "e").agg(F.count("*").alias("n")).where("n > 1")
+    shared = elements.join(seen, ["p", "e"]).groupBy("p", "node").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("common"))
+    most = F.floor((100 - percent) * F.col("size") / percent).cast("int")  # the most that x can differ in from a linked set
+    place = F.col("at") + F.col("alone")
+    chosen = (members.join(shared, ["p", "node"])
+              .select("p", "node", "root", most.alias("most"), (F.size("e") - F.size("common")).alias("alone"), F.posexplode("common").alias("at", "c"))
+              .where(place <= F.col("most")).select("p", "c.e", "node", "root", (place <= F.floor(F.col("most") / 2)).alias("first")))
+    useful = chosen.groupBy("p", "e").agg(
+        F.count("*").alias("n"), F.max("first").alias("first"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("first and r0 < r1")
+    chosen = materialise(chosen.join(useful.select("p", "e", "n"), ["p", "e"]), "chosen", folder)
+    # many small buckets make one call, of bounded size
+    calls = max(16, -(-chosen.count() // ROWS_PER_CALL))
+    inside = (chosen.where(F.col("n") <= TASK_BUCKET).select("p", F.col("e").alias("met"), "node", "root")
+              .join(members.select("p", "node", "size", "e"), ["p", "node"])
+              .withColumn("call", F.pmod(F.xxhash64("p", "met"), F.lit(calls)))
+              .groupBy("call").applyInPandas(_inside(percent), "a long, b long"))
+    left = chosen.where(F.col("n") > TASK_BUCKET).select("node", F.xxhash64("p", "e").alias("key")).distinct()
+    return links.union(implied).union(inside.distinct()), left
+
+
+def _bucket_links(node, root, sizes, deltas, percent: int) -> Iterator[tuple[int, int]]:
+    """Links that join components among the members of one bucket: the pairs
+    are counted here, at most one link a member comes out."""
+    m, lengths = len(node), np.array([len(d) for d in deltas])
+    element, row = np.concatenate(deltas), np.repeat(np.arange(m), lengths)
+    order = np.argsort(element, kind="stable")
+    element, row = element[order], row[order]
+    common = np.zeros((m, m), dtype=np.int32)
+    cuts = np.append(np.append(0, np.flatnonzero(np.diff(element)) + 1), len(element))
+    for at in np.flatnonzero(np.diff(cuts) > 1):
+        rows = row[cuts[at]:cuts[at + 1]]
+        common[np.ix_(rows, rows)] += 1
+    differ = lengths[:, None] + lengths[None, :] - 2 * common
+    linked = (100 + percent) * differ <= (100 - percent) * (sizes[:, None] + sizes[None, :])
+    linked &= root[:, None] < root[None, :]
+    of = {r: r for r in root.tolist()}
+
+    def top(r):
+        while of[r] != r:
+            r = of[r]
+        return r
+
+    for i, j in zip(*np.nonzero(linked), strict=True):
+        a, b = top(int(root[i])), top(int(root[j]))
+        if a != b:
+            of[a] = b
+            yield int(node[i]), int(node[j])
+
+
+def _inside(percent: int):
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["p", "met"], kind="stable")
+        p, met = rows["p"].to_numpy(), rows["met"].to_numpy()
+        node, root, sizes, deltas = rows["node"].to_numpy(), rows["root"].to_numpy(), rows["size"].to_numpy(), rows["e"].to_list()
+        cuts = [0, *(np.flatnonzero((p[1:] != p[:-1]) | (met[1:] != met[:-1])) + 1).tolist(), len(rows)]
+        out = []
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if len(set(root[i:j].tolist())) > 1:
+                out += _bucket_links(node[i:j], root[i:j], sizes[i:j], deltas[i:j], percent)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return work
+
+
 def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles,
     component_id (the smallest doc_id reachable by links)."""
@@ -270,13 +445,14 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     # equal sets: the smallest id stands for all of them
     named = rows.where("doc_id is not null and n_shingles > 0")
     heads = materialise(named.groupBy("print").agg(F.min("doc_id").alias("node")), "heads", folder)
-    members = named.join(heads, (named["print"] == heads["print"]) & (named["doc_id"] == heads["node"]), "left_semi")
-    keyed = members.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key"))
 
-    # buckets with more than one member
-    shared = (keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-              .where("low < high").select("key"))
-    buckets = materialise(keyed.join(shared, "key").distinct(), "buckets", folder)
+    # keys that different sets share; the few rows with such keys are then
+    # found by a filter of fixed size, so keys are shuffled once
+    keyed = named.select(F.xxhash64("print").alias("set"), F.explode("keys").alias("key"))
+    shared = materialise(keyed.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low < high").select("key"), "shared", folder)
+    bitmap = spark.sparkContext.broadcast(_key_filter(shared))
+    likely = named.select("print", "keys").mapInArrow(_pass_keys(bitmap), "print binary, key long").distinct()
+    buckets = materialise(likely.join(shared, "key").join(heads, "print").select("node", "key").distinct(), "buckets", folder)
 
     nodes = buckets.select("node").distinct()
     wanted = materialise(nodes, "wanted", folder)
@@ -290,7 +466,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     while True:
         i += 1
         here = f"{folder}/round-{i}"
-        # members whose bucket still has several components and untried partners
+        # members of the buckets that still hold several components
         rooted = buckets.join(found, "node")
         state = rooted.groupBy("key").agg(
             F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 < r1").select("key", "n")
@@ -299,21 +475,11 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
             break
         few = open_.where(F.col("n") <= SMALL_BUCKET)
         other = few.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-        pairs = few.join(other, "key").where("node < b and root <> root_b").select(F.col("node").alias("a"), "b")
-        # large buckets: one partner of each hash class meets all members
-        many = open_.where(F.col("n") > SMALL_BUCKET).withColumn(
-            "class", F.pmod(F.xxhash64("node", F.lit(i)), F.lit(min(PARTNERS ** (i - 1), 512))))
-        partner = many.groupBy("key", "class").agg(F.min(F.struct("node", "root")).alias("p")).select(
-            "key", F.col("p.node").alias("a"), F.col("p.root").alias("root_a"))
-        met = many.join(partner, "key").where("node <> a and root <> root_a")
-        pairs = pairs.union(met.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))).distinct()
-        with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-        with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-        new = materialise(with_b.mapInArrow(_verify(percent), "a long, b long"), "new", here)
+        pairs = few.join(other, "key").where("node < b and root <> root_b").select(F.col("node").alias("a"), "b").distinct()
+        more, left = _pivot_round(open_.where(F.col("n") > SMALL_BUCKET), sets, percent, i, here)
+        new = materialise(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long").union(more), "new", here)
+        buckets = materialise(left, "buckets", here)
         links = new if links is None else materialise(links.union(new), "all-links", here)
-        # small buckets are done; in large ones the partners have met all others
-        left = many.join(partner.withColumnRenamed("a", "node"), ["key", "node"], "left_anti")
-        buckets = materialise(left.select("node", "key"), "buckets", here)
         if not buckets.limit(1).count():
             break
         found = materialise(components(wanted, links, here), "found", here)
