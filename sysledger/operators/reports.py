@@ -23,14 +23,27 @@ def statement_attribution(statements: DataFrame, sessions: DataFrame, users: Dat
         F.max("userid").alias("userid"),
         F.max(F.col("delete_time").isNotNull()).alias("user_deleted"),
     )
-    out = (
-        statements.select("statementid", "sessionid", "starttime", "endtime")
-        .join(sess, "sessionid", "left")
-        .join(broadcast_if_small(user_side), "username", "left")
-    )
+    # statements without a user (no session, or a session that is not known)
+    # go round the second join: their common null would be one partition
+    found = statements.select("statementid", "sessionid", "starttime", "endtime").join(sess, "sessionid", "left")
+    named = found.where(F.col("username").isNotNull()).join(broadcast_if_small(user_side), "username", "left")
+    nameless = found.where(F.col("username").isNull()).select(
+        "*", F.lit(None).cast("int").alias("userid"), F.lit(None).cast("boolean").alias("user_deleted"))
+    out = named.unionByName(nameless)
     return out.select("statementid", "sessionid", "username", "dbname", "userid", "user_deleted", "starttime", "endtime")
 
 
+def statements_matching(statements: DataFrame, sessions: DataFrame, users: DataFrame, patterns: list[str]) -> DataFrame:
+    """Statements whose text holds one of the ``patterns`` (regular
+    expressions, any case), with their user as in ``statement_attribution``.
+    Only the statements that match are joined."""
+    text = F.lower(F.col("statement"))
+    hit = F.lit(False)
+    for p in patterns:
+        hit = hit | text.rlike(p.lower())
+    return statement_attribution(statements.where(hit), sessions, users)
+
+
 def long_running(statements: DataFrame, min_seconds: int) -> DataFrame:
     """Finished statements that ran at least ``min_seconds``."""
     dur = F.timestamp_diff("MICROSECOND", F.col("starttime"), F.col("endtime"))
@@ -100,6 +113,8 @@ MAX_RUN_SPACING_HOURS = 72
 
 
 def run_gaps(run_log: DataFrame, max_hours: int = MAX_RUN_SPACING_HOURS) -> DataFrame:
-    """Pairs of consecutive runs of the same job more than ``max_hours``
-    apart, from a store's run log."""
-    return capture_gaps(run_log, "run_ts", max_hours * 3600, by=["job"])
+    """Pairs of consecutive runs of the same job ``max_hours`` apart or more,
+    from a store's run log: runs must be less than that apart."""
+    # times are whole microseconds, so "at least" is "more than" one less
+    wide = capture_gaps(run_log, "run_ts", max_hours * 3600 - 1, by=["job"])
+    return wide.where(F.col("gap_us") >= F.lit(max_hours * 3_600_000_000))

@@ -208,9 +208,12 @@ def sync_users_flagged(history: DataFrame, users_new: DataFrame, sessions_new: D
     # later session: the userids are reduced to a distinct set (partial
     # aggregation, so a userid shared by many rows stays cheap) and joined
     # back map-side after a size check
-    revoked_before = F.coalesce(F.col("connect_revoked_time") < F.col("_ls"), F.lit(False))
-    cleared = out.where(revoked_before & F.col("userid").isNotNull()).select(F.col("userid").alias("_cid")).distinct()
-    out = out.join(broadcast_if_small(cleared), F.col("userid") == F.col("_cid"), "left")
+    # new rows are never revoked, so the set comes from the refreshed history
+    # alone, by three narrow columns; Spark sees its size when it has run
+    narrow = base_old.where(F.col("connect_revoked_time").isNotNull() & F.col("userid").isNotNull()).select(
+        "userid", "username", "connect_revoked_time").join(acts.select("username", "_ls"), "username")
+    cleared = narrow.where(F.col("connect_revoked_time") < F.col("_ls")).select(F.col("userid").alias("_cid")).distinct()
+    out = out.join(cleared, F.col("userid") == F.col("_cid"), "left")
     act = F.col("_la").isNotNull()
     gone = F.col("userid").isNotNull() & F.col("_sid").isNull() & F.col("delete_time").isNull()
     clr = F.col("_cid").isNotNull()

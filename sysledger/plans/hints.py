@@ -18,8 +18,8 @@ _WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
     T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8,
 }
-# Assumed width of a variable-length value (strings in catalogs are short
-# names; long text is never broadcast).
+# Assumed width of a variable-length value where only rows are known;
+# ``fits_broadcast`` measures the strings themselves.
 _VAR_WIDTH = 48
 
 
@@ -42,25 +42,39 @@ def max_broadcast_rows(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
     return max(1, max_bytes // row_width(df.schema))
 
 
+def _size(df: DataFrame) -> DataFrame:
+    """One row: rows and bytes of all strings, by partial aggregation."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)).cast("long") for f in df.schema.fields
+            if isinstance(f.dataType, T.StringType)]
+    total = F.coalesce(F.sum(sum(text, F.lit(0).cast("long"))), F.lit(0))
+    return df.agg(F.count(F.lit(1)).alias("n"), total.alias("text"))
+
+
+def _fits(df: DataFrame, n: int, text: int, max_bytes: int) -> bool:
+    """Rows at their fixed width plus the measured bytes of the strings."""
+    strings = sum(isinstance(f.dataType, T.StringType) for f in df.schema.fields)
+    return n * (row_width(df.schema) - strings * _VAR_WIDTH) + text <= max_bytes
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most the rows the budget allows.
+    """True when ``df`` fits the budget by its row count and the bytes of its
+    strings.
 
-    An exact count with partial aggregation: every task counts its own rows
-    and only one number per task moves. (``limit(bound+1).count()`` would
-    funnel up to bound+1 rows per task into a single reducer when the side
-    turns out large.)"""
-    return df.count() <= max_broadcast_rows(df, max_bytes)
+    An exact sum with partial aggregation: every task adds up its own rows
+    and only two numbers per task move."""
+    r = _size(df).first()
+    return _fits(df, r.n, r.text, max_bytes)
 
 
 def fits_broadcast_all(*dfs: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> list[bool]:
     """``fits_broadcast`` for several independent sides in one Spark job
-    (one count per side, unioned)."""
-    counts = None
+    (one row per side, unioned)."""
+    sizes = None
     for i, df in enumerate(dfs):
-        one = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(i).alias("i"), "n")
-        counts = one if counts is None else counts.unionByName(one)
-    got = {r.i: r.n for r in counts.collect()}
-    return [got[i] <= max_broadcast_rows(df, max_bytes) for i, df in enumerate(dfs)]
+        one = _size(df).select(F.lit(i).alias("i"), "n", "text")
+        sizes = one if sizes is None else sizes.unionByName(one)
+    got = {r.i: r for r in sizes.collect()}
+    return [_fits(df, got[i].n, got[i].text, max_bytes) for i, df in enumerate(dfs)]
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:

@@ -61,7 +61,7 @@ def _stage(txn: Transaction, name: str, df: DataFrame) -> tuple[DataFrame, int]:
 
 
 def capture_into(txn: Transaction, job: str, source, run_ts, history: str, staging: str, extract,
-                 step: str = "merge") -> RunLog:
+                 step: str = "merge", dedupe_by: str | None = None) -> RunLog:
     """One capture inside a transaction: watermark from the history, open
     window up to the run time cut to seconds, stage, merge, log. ``source``
     is a DataFrame or a callable ``(low, high) -> DataFrame``."""
@@ -70,7 +70,10 @@ def capture_into(txn: Transaction, job: str, source, run_ts, history: str, stagi
     # a source may be built for the window (e.g. a parallel JDBC read of just
     # these rows); the extract's filter then repeats the window exactly
     rows = source(low, high) if callable(source) else source
-    staged, n = _stage(txn, staging, extract(rows, low, high))
+    wanted = extract(rows, low, high)
+    if dedupe_by:
+        wanted = capture.latest_per_key(wanted, LAYOUT[history].key, dedupe_by)
+    staged, n = _stage(txn, staging, wanted)
     counts = txn.merge(history, staged, LAYOUT[history].key)
     if counts["extracted"] != n:
         raise RuntimeError(f"{job}: staged {n} rows but merged {counts['extracted']}")
@@ -79,11 +82,14 @@ def capture_into(txn: Transaction, job: str, source, run_ts, history: str, stagi
     return entry
 
 
-def capture_statements(spark: SparkSession, store: SnapshotStore, source: DataFrame, run_ts) -> DataFrame:
-    """B1: statements that ended since the last capture, upserted."""
+def capture_statements(spark: SparkSession, store: SnapshotStore, source: DataFrame, run_ts, *,
+                       keep_last_retry: bool = False) -> DataFrame:
+    """B1: statements that ended since the last capture, upserted. A statement
+    that was retried is several rows of one ``statementid``: an error, unless
+    ``keep_last_retry`` asks for the one of the highest ``retrynum``."""
     txn = store.begin(spark, run_ts)
     entry = capture_into(txn, "capture_statements", source, run_ts, "statements_history", "statements_new",
-                     capture.extract_statements)
+                     capture.extract_statements, dedupe_by="retrynum" if keep_last_retry else None)
     txn.commit()
     return _metrics(spark, [entry])
 
@@ -138,6 +144,18 @@ def sync_users(spark: SparkSession, store: SnapshotStore, users_source: DataFram
     return _metrics(spark, logs)
 
 
+def edit_users(spark: SparkSession, store: SnapshotStore, edits: DataFrame, run_ts) -> DataFrame:
+    """Manual DBA edits applied to the stored users history. ``edits`` has
+    username and any of the DBA columns."""
+    txn = store.begin(spark, run_ts)
+    n = edits.count()
+    txn.replace("users_history", users.set_user_attributes(txn.read("users_history"), edits))
+    entry = RunLog("edit_users", "edits", _ts(run_ts), extracted=n)
+    txn.log(entry)
+    txn.commit()
+    return _metrics(spark, [entry])
+
+
 def capture_sessions_users(spark: SparkSession, store: SnapshotStore, sessions_source: DataFrame,
                            users_source: DataFrame, run_ts, *, require_users: bool = False) -> DataFrame:
     """B4: sessions then users in one run; published together, so the user

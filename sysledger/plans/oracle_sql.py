@@ -264,6 +264,17 @@ select '{job}' as job, 'merge' as step, (select count(1) from {new}) as extracte
  (select count(1) from {new} n where not exists (select 1 from {hist} h where h.{key} = n.{key})) as inserted,
  (select count(1) from {hist} h where exists (select 1 from {new} n where n.{key} = h.{key})) as updated"""
 
+# DBA edits of building-segment customers, all five columns
+_EDITED = sql(f"""
+select {USER_COLS} from (
+ select h.* replace (if(hit, e.full_username, h.full_username) as full_username, if(hit, true, h.exempt_activity_flag) as exempt_activity_flag,
+   if(hit, e.revoked, h.connect_revoked_time) as connect_revoked_time, if(hit, e.code, h.security_unique_id) as security_unique_id,
+   if(hit, e.mail, h.email_address) as email_address)
+  from fx_users_hist h left join (
+   select true as hit, 'user_' || cast(c_custkey as varchar) as username, c_name || ' (' || c_mktsegment || ')' as full_username,
+          if(c_nationkey < 12, {RUN_TS}, null) as revoked, c_custkey + 5000000 as code, 'staff' || cast(c_custkey as varchar) || '@example.org' as mail
+     from customer where c_mktsegment = 'BUILDING') e on e.username = h.username)""", "fx_users_hist")
+
 ORACLE: dict[str, str] = {
     "list_schemas": sql("""
 select * from fx_schemas where schemaname not like 'nc_temp%'""", "fx_schemas"),
@@ -342,13 +353,27 @@ select 'sessions', (select count(1) from se_overlap),
 select (select count(*) from u1 where chg) as updated, (select count(*) from newcomers) as inserted,
  (select count(*) from synced where act) as activity_set, (select count(*) from synced where del) as soft_deleted,
  (select count(*) from synced where clr) as revoke_cleared""", "u1", "newcomers", "synced"),
-    "set_user_attributes": sql("""
-select h.* replace (case when e.username is not null then e.full_username else h.full_username end as full_username,
- case when e.username is not null then e.exempt_activity_flag else h.exempt_activity_flag end as exempt_activity_flag)
- from fx_users_hist h left join (
-   select 'user_' || cast(c_custkey as varchar) as username, c_name || ' (' || c_mktsegment || ')' as full_username,
-          true as exempt_activity_flag
-     from customer where c_mktsegment = 'BUILDING') e on e.username = h.username""", "fx_users_hist"),
+    "set_user_attributes": _EDITED,
+    "job_edit_users": _EDITED,
+    "statements_matching": sql("""
+select s.statementid, s.sessionid, se.username, se.dbname, u.userid, u.user_deleted, s.starttime, s.endtime
+ from (from fx_statements_src where regexp_matches(lower(statement), '"k": *[0-9]*7[^0-9]|drop +table')) s
+ left join fx_sessions_src se on se.sessionid = s.sessionid
+ left join (select username, max(userid) as userid, bool_or(delete_time is not null) as user_deleted
+              from fx_users_hist group by username) u on u.username = se.username""",
+                               "fx_statements_src", "fx_sessions_src", "fx_users_hist"),
+    "time_text": sql("""
+select statementid, strftime(endtime, '%m/%d/%Y %H:%M:%S') as shown, date_trunc('second', endtime) as back from fx_statements_src""",
+                     "fx_statements_src"),
+    "run_gaps": """
+select job, gap_start, gap_end, epoch_us(gap_end) - epoch_us(gap_start) as gap_us from (
+  select job, lag(run_ts) over (partition by job order by run_ts) as gap_start, run_ts as gap_end
+    from (select 'capture_' || o_orderpriority as job, cast(o_orderdate as timestamp) + interval '1' hour * (o_orderkey % 24) as run_ts from orders))
+ where gap_start is not null and epoch_us(gap_end) - epoch_us(gap_start) >= cast(72 as bigint) * 3600000000""",
+    "job_capture_retried": sql("""
+select statementid, xactionid, sessionid, if(fresh and retrynum = 2, 3, retrynum)::int as retrynum,
+ statement || if(fresh and retrynum = 2, ' -- again', '') as statement, starttime, endtime, iscancelable
+ from (select *, statementid in (select statementid from st_new) as fresh from st_merged)""", "st_merged", "st_new"),
     "align_schema": sql("""
 select sessionid, username, clientip, dbname, starttime, endtime, cast(null as bigint) as parentsessionid,
  cast(null as bigint) as parentstatementid, cast(null as bigint) as parenttransactionid,
@@ -394,3 +419,7 @@ union all select 'sync_users', 'clear_revoked', null, 0, (select count(*) from b
     "export_text": None,
 }
 ORACLE["export_text"] = ORACLE["list_tables"]
+ORACLE["job_sync_users_alone"] = ORACLE["job_sync_users"]
+ORACLE["relation_sizes"] = """
+select owner_name as "owner", 'table' as "tbl/idx", database, schema, relation as "name", compression_level as "cmp lvl",
+ (uncompressed_size / (1024 * 1024))::decimal(14,6) as "MB Uncompressed" from (""" + ORACLE["relation_stats"] + ")"

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures as fx
-from ..functions.expr import to_bool
+from ..functions.expr import format_second, parse_second, to_bool
 from ..operators import capture, listings, reports, sizing, users
 from ..schemas import SESSIONS, SESSIONS_PRE_620, align_schema
 from ..session import ensure_checkpoint_dir
@@ -220,6 +220,9 @@ def user_edits(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("username"),
         F.concat(F.col("c_name"), F.lit(" ("), F.col("c_mktsegment"), F.lit(")")).alias("full_username"),
         F.lit(True).alias("exempt_activity_flag"),
+        F.when(F.col("c_nationkey") < 12, F.lit(fx.RUN_TS).cast("timestamp_ntz")).alias("connect_revoked_time"),
+        (F.col("c_custkey") + 5000000).alias("security_unique_id"),
+        F.concat(F.lit("staff"), F.col("c_custkey").cast("string"), F.lit("@example.org")).alias("email_address"),
     )
 
 
@@ -273,6 +276,25 @@ def q_capture_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return reports.capture_gaps(all_sessions(spark, sf), "starttime", GAP_SECONDS)
 
 
+SUSPECT_PATTERNS = [r'"k": *[0-9]*7[^0-9]', r"drop +table"]
+
+
+def q_statements_matching(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements whose text matches a pattern, with their user."""
+    return reports.statements_matching(all_statements(spark, sf), all_sessions(spark, sf), fx.users_history(spark, sf), SUSPECT_PATTERNS)
+
+
+def q_time_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Statement times as display text and back to whole seconds."""
+    return fx.statements_src(spark, sf).select(
+        "statementid", format_second("endtime").alias("shown"), parse_second(format_second("endtime")).alias("back"))
+
+
+def q_relation_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """The size report fed by the measured relations."""
+    return sizing.table_sizes(q_relation_stats(spark, sf))
+
+
 # --- the nightly jobs over a snapshot store ------------------------------
 #
 # Each builder runs the job eagerly into a fresh store under the session's
@@ -334,6 +356,46 @@ def q_job_sync_users(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(spark, "users_history")
 
 
+def q_job_sync_users_alone(spark: SparkSession, sf: str) -> DataFrame:
+    """The user sync by itself, after a session capture of its own."""
+    store = _seeded(spark, sf, "sessions_history", "users_history")
+    jobs.capture_sessions(spark, store, fx.sessions_src(spark, sf), fx.RUN_TS)
+    jobs.sync_users(spark, store, fx.users_src(spark, sf), fx.RUN_TS)
+    return store.read(spark, "users_history")
+
+
+def q_job_edit_users(spark: SparkSession, sf: str) -> DataFrame:
+    """DBA edits applied to the stored users history."""
+    store = _seeded(spark, sf, "users_history")
+    jobs.edit_users(spark, store, user_edits(spark, sf), fx.RUN_TS)
+    return store.read(spark, "users_history")
+
+
+def retried_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """The statements source with every third statement tried a second time."""
+    src = fx.statements_src(spark, sf)
+    again = src.where(F.col("retrynum") == 2).select(
+        *[F.col("retrynum") + F.lit(1) if c == "retrynum" else F.concat("statement", F.lit(" -- again")) if c == "statement" else F.col(c)
+          for c in src.columns]).toDF(*src.columns)
+    return src.union(again)
+
+
+def q_job_capture_retried(spark: SparkSession, sf: str) -> DataFrame:
+    """The statement capture over a source with retries, the last one kept."""
+    store = _seeded(spark, sf, "statements_history")
+    jobs.capture_statements(spark, store, retried_statements(spark, sf), fx.RUN_TS, keep_last_retry=True)
+    return store.read(spark, "statements_history")
+
+
+def q_run_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Consecutive runs 72 hours apart or more, over the run log that a
+    capture at each order date of a clerk's orders would have left."""
+    runs = fx.table(spark, sf, "orders").select(
+        F.concat(F.lit("capture_"), F.col("o_orderpriority")).alias("job"),
+        F.timestamp_add("HOUR", F.col("o_orderkey") % 24, F.col("o_orderdate").cast("timestamp_ntz")).alias("run_ts"))
+    return reports.run_gaps(runs).select("job", "gap_start", "gap_end", "gap_us")
+
+
 def q_job_metrics(spark: SparkSession, sf: str) -> DataFrame:
     cols = ["job", "step", "extracted", "inserted", "updated"]
     return _b1(spark, sf)[1].select(*cols).unionByName(_b4(spark, sf)[1].select(*cols))

@@ -53,6 +53,13 @@ MANIFEST = T.StructType([
 
 MANIFEST_READ = T.StructType(MANIFEST.fields + [T.StructField("version", T.LongType())])
 
+def _only_missing(e: AnalysisException) -> None:
+    """A path that is not there means an empty store; any other fault of a
+    read must not be taken for one."""
+    if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        raise e
+
+
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -89,7 +96,8 @@ class SnapshotStore:
             return None
         try:
             return spark.read.schema(MANIFEST_READ).parquet(f"{self.root}/manifest")
-        except AnalysisException:
+        except AnalysisException as e:
+            _only_missing(e)
             return None
 
     def _head(self, spark: SparkSession) -> int | None:
@@ -98,7 +106,8 @@ class SnapshotStore:
             return None
         try:
             rows = spark.read.schema("version bigint").parquet(f"{self.root}/head").collect()
-        except AnalysisException:
+        except AnalysisException as e:
+            _only_missing(e)
             return None
         return int(rows[0].version) if rows else None
 
@@ -118,7 +127,8 @@ class SnapshotStore:
                     .select(F.lit(v).alias("version"), "kind", "table", "part", "leaf", "job", "step", "key_min",
                             "key_max")
                     .collect())
-        except AnalysisException:
+        except AnalysisException as e:
+            _only_missing(e)
             return None
         return self._snapshot(rows, v) if rows else None
 
@@ -362,12 +372,14 @@ class Transaction:
             hist = self.read(name, parts=[p for p in current if may_hold(p)])
             rng = hist.where(F.col(key).between(F.lit(bounds.lo), F.lit(bounds.hi)))
             part = F.coalesce(F.to_date(F.col(src)).cast("string"), F.lit(NULL_PART))
-            hit = (rng.select(key, part.alias("_p")).join(kb, key, "left_semi")
-                   .groupBy(key).agg(F.count(F.lit(1)).alias("c"), F.collect_set("_p").alias("ps"))
-                   .agg(F.sum("c").alias("rows"), F.count(F.lit(1)).alias("keys"),
-                        F.array_distinct(F.flatten(F.collect_list("ps"))).alias("parts"))).first()
-            touched |= set(hit.parts or [])
-            updated, matched_keys = int(hit.rows or 0), int(hit.keys or 0)
+            # one row for each touched date leaves the executors; a key in
+            # several rows or dates is counted once by its smallest row
+            found = rng.select(key, part.alias("_p")).join(kb, key, "left_semi").groupBy(key, "_p").agg(F.count(F.lit(1)).alias("c"))
+            first = found.groupBy(key).agg(F.min("_p").alias("_first"))
+            hit = (found.join(first, key).groupBy("_p").agg(
+                F.sum("c").alias("rows"), F.sum((F.col("_p") == F.col("_first")).cast("long")).alias("keys"))).collect()
+            touched |= {r._p for r in hit}
+            updated, matched_keys = sum(r["rows"] for r in hit), sum(r["keys"] for r in hit)
         old = self.read(name, parts=sorted(p for p in touched if p in current))
         kept = old.join(kb, key, "left_anti")
         written, _, new_ranges = self._write(name, kept.unionByName(staged.select(*SCHEMAS[name].fieldNames())))
@@ -390,6 +402,17 @@ class Transaction:
         """Publish every table of this run at once (one-task manifest write)."""
         if self.committed:
             raise RuntimeError("transaction already committed")
+        # Tables are independent of each other: another run may have published
+        # others in between (the nightly jobs overlap), and its leaves are
+        # taken over. Only a change of a table that this run wrote is a
+        # conflict; the run then fails without effect and is run again.
+        now = self.store._current(self.spark)
+        if now.version != self.base_version:
+            clash = sorted(n for n in self.new_leaves if now.leaves.get(n, {}) != self.base_leaves.get(n, {}))
+            if clash:
+                raise RuntimeError(f"another run published {clash} meanwhile; run this one again")
+            self.base_leaves, self.base_ranges, self.version = now.leaves, now.ranges, now.version + 1
+            self.epochs = now.epochs | self.epochs
         names = set(self.base_leaves) | set(self.new_leaves)
         rows = []
         for name in sorted(names):
