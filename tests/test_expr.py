@@ -112,3 +112,16 @@ def test_size_report_order_and_null_placement(spark):
     got = [(r["owner"], r["database"], r["name"], r["tbl/idx"]) for r in table_sizes(df).collect()]
     assert got == [("a", "d2", "r5", "table"), ("a", "d2", "r3", "index"), ("a", "d2", "r6", "table"),
                    ("a", None, "r4", "table"), ("b", "d1", "r1", "table"), (None, "d1", "r2", "table")]
+
+
+def test_bytes_to_mb_overflow_fails_without_ansi(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        most = 10**14 * 2**20 // 10**6
+        df = spark.sql(f"select cast({most - 2**20} as decimal(38,0)) as s")
+        assert df.select(X.bytes_to_mb("s").alias("mb")).first().mb is not None
+        with pytest.raises(Exception, match="does not fit"):
+            spark.sql(f"select cast({most + 2**20} as decimal(38,0)) as s").select(X.bytes_to_mb("s")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -46,3 +46,30 @@ def test_size_report_aggregates_before_shuffle(spark):
 def test_sync_users_pre_aggregates_sessions(spark):
     p = plan(E.queries()["sync_users"](spark, SF_SMALL))
     assert "partial_max" in p
+
+
+def test_few_rows_with_long_strings_are_not_broadcast(spark):
+    from sysledger.plans.hints import fits_broadcast, fits_broadcast_all
+
+    df = spark.range(20).selectExpr("id", "repeat('x', 100000) as path")
+    assert fits_broadcast(df, max_bytes=4_000_000)
+    assert not fits_broadcast(df, max_bytes=1_000_000)
+    assert fits_broadcast_all(df, spark.range(20).toDF("id"), max_bytes=1_000_000) == [False, True]
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark):
+    from sysledger import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())

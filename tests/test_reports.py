@@ -86,5 +86,8 @@ def test_run_gaps_flags_runs_more_than_72h_apart(spark):
     runs = [("capture_statements", dt.datetime(2024, 1, d, 1, 2)) for d in (1, 2, 3, 7, 8)] + \
            [("capture_sessions", dt.datetime(2024, 1, d, 1, 0)) for d in (1, 4, 5)]
     log = spark.createDataFrame(runs, "job string, run_ts timestamp_ntz")
-    got = [(r.job, r.gap_start.day, r.gap_end.day) for r in reports.run_gaps(log).collect()]
-    assert got == [("capture_statements", 3, 7)]
+    got = sorted((r.job, r.gap_start.day, r.gap_end.day) for r in reports.run_gaps(log).collect())
+    # runs must be less than 72 hours apart, so exactly 72 is reported
+    assert got == [("capture_sessions", 1, 4), ("capture_statements", 3, 7)]
+    close = [("j", dt.datetime(2024, 1, 1)), ("j", dt.datetime(2024, 1, 3, 23, 59, 59, 999999))]
+    assert reports.run_gaps(spark.createDataFrame(close, "job string, run_ts timestamp_ntz")).count() == 0

@@ -40,16 +40,16 @@ def test_fused_equals_sequential_steps(spark):
 
 def test_counts_match_measured_branch_coverage(spark):
     got = sc.q_sync_user_counts(spark, SF_MID).first().asDict()
-    assert got == {"updated": 270, "inserted": 238, "activity_set": 147, "soft_deleted": 94, "revoke_cleared": 44}
+    assert got == {"updated": 344, "inserted": 77, "activity_set": 107, "soft_deleted": 68, "revoke_cleared": 34}
     out = sc.q_sync_users(spark, SF_MID)
-    assert out.count() == 1524
-    assert out.select("userid").distinct().count() == 1485
+    assert out.count() == 1677
+    assert out.select("userid").distinct().count() == 1628
 
 
 def test_last_activity_can_move_backwards(spark):
     before = fx.users_history(spark, SF_MID).select("username", F.col("last_activity_time").alias("b"))
     after = sc.q_sync_users(spark, SF_MID).select("username", F.col("last_activity_time").alias("a"))
-    assert before.join(after, "username").where("a < b").count() == 21
+    assert before.join(after, "username").where("a < b").count() == 25
 
 
 def test_dba_columns_never_change(spark):
