@@ -22,6 +22,7 @@ import gc
 import hashlib
 import itertools
 import json
+import operator
 import re
 import sys
 import unicodedata
@@ -33,12 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NEVER = 1 << 60
+FIRST, SECOND, THIRD = map(operator.itemgetter, (0, 1, 2))
 # stands for the end-of-word mark behind a word's last symbol
 END = ""
 # Unicode White_Space; str.split() also cuts at the four separators below.
 WHITE = "\t-\r \x85\xa0  -     　"
 SPLIT_ONLY_BY_PYTHON = "\x1c\x1d\x1e\x1f"
-CACHE_WORDS = 600_000
+CACHE_WORDS = 700_000
 
 # Letters and digits of Unicode versions after Python's tables
 # that the tokenizers library knows, and its lower case of them (first and
@@ -169,6 +171,22 @@ class WordEncoder:
         return out
 
 
+class Cache(dict):
+    """What ``make`` gives for a string, kept for short ones; emptied when
+    full, so that it is bounded."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, text: str):
+        made = self.make(text)
+        if len(text) < 200:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[text] = made
+        return made
+
+
 class Tokenizer:
     """Text to ids and back, as the vocabulary file says: special strings are
     cut out first; the rest is put into NFC and lower case and split into
@@ -197,55 +215,68 @@ class Tokenizer:
         self.white = re.compile(f"[{WHITE}]+")
         self.alphabet = dict(enumerate(byte_alphabet()))
         self.strings = {i: s for s, i in [*model["vocab"].items(), *self.special.items()]}
-        self.cache: dict[str, tuple[int, ...]] = {}
-        self.piece_cache: dict[str, tuple[int, ...]] = {}
+        self.runs = Cache(self._run)
+        self.pieces_seen = Cache(self._piece)
+        self.rendered = Cache(self._render)
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+    def _run(self, run: str) -> tuple[int, ...]:
         """Ids of a run without white space; pre-tokens never span white
         space, so a text's ids are its runs' ids in a row."""
-        if chunk.isalpha():  # one word, as nearly all runs are, but for the mark behind them
-            return self._piece(chunk)
-        if chunk[:-1].isalpha() and chunk[-1] in ".,":
-            return (*self._piece(chunk[:-1]), *self._piece(chunk[-1]))
-        if not chunk.isascii():
-            chunk = chunk.translate(self.later_lower)
-        return tuple([i for piece in self.pieces.findall(chunk) for i in self._piece(piece)])
+        if run.isalpha():  # one word, as nearly all runs are, but for the mark behind them
+            return self.pieces_seen[run]
+        if run[:-1].isalpha() and run[-1] in ".,":
+            return self.pieces_seen[run[:-1]] + self.pieces_seen[run[-1]]
+        if not run.isascii():
+            run = run.translate(self.later_lower)
+        return tuple([i for piece in self.pieces.findall(run) for i in self.pieces_seen[piece]])
 
     def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = self.piece_cache.get(piece)
-        if ids is None:
-            mapped = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = tuple(self.word.tokens(mapped))
-            if len(piece) < 200:
-                if len(self.piece_cache) >= CACHE_WORDS:
-                    self.piece_cache.clear()
-                self.piece_cache[piece] = ids
-        return ids
-
-    def chunks(self, text: str) -> Iterator[tuple[int, ...]]:
+        mapped = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.alphabet)
+        return tuple(self.word.tokens(mapped))
+
+    def _render(self, run: str) -> tuple[int, str, str]:
+        """A run's number of tokens, its ids and its decoded text."""
+        ids = self._run(run)
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+    def split(self, text: str) -> Iterator[tuple[list[str], int | None]]:
+        """A text's runs in their normal form, or the id of a special string."""
         parts = self.special_cut.split(text) if "<|" in text else [text]
         for part in parts:
             if part in self.special:
-                yield (self.special[part],)
+                yield [], self.special[part]
                 continue
             if not part.isascii():
                 # lower case goes by single characters: no final sigma
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             part = part.lower()
             odd = any(c in part for c in SPLIT_ONLY_BY_PYTHON)
-            for chunk in self.white.split(part) if odd else part.split():
-                ids = self.cache.get(chunk)
-                if ids is None:
-                    ids = self._chunk(chunk)
-                    if len(chunk) < 200:
-                        if len(self.cache) >= CACHE_WORDS:
-                            self.cache.clear()
-                        self.cache[chunk] = ids
-                if ids:
-                    yield ids
+            yield [r for r in self.white.split(part) if r] if odd else part.split(), None
 
     def encode(self, text: str) -> list[int]:
-        return [i for ids in self.chunks(text) for i in ids]
+        out: list[int] = []
+        for runs, special in self.split(text):
+            if special is not None:
+                out.append(special)
+            for ids in map(self.runs.__getitem__, runs):
+                out += ids
+        return out
+
+    def digests(self, text: str) -> tuple[int, str, str]:
+        """Number of tokens, and the SHA-256 of the ids (decimal, joined by a
+        space) and of the decoded text."""
+        n, ids, decoded = 0, [], []
+        for runs, special in self.split(text):
+            if special is not None:
+                n += 1
+                ids.append(str(special))
+                decoded.append(self.strings[special])
+            elif runs:
+                found = list(map(self.rendered.__getitem__, runs))
+                n += sum(map(FIRST, found))
+                ids += map(SECOND, found)
+                decoded += map(THIRD, found)
+        return n, hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(" ".join(decoded).encode()).hexdigest()
 
     def decode(self, ids) -> str:
         return " ".join([self.strings[i] for i in ids])
@@ -305,23 +336,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _tokenizer(content.value)
-        written: dict[tuple[int, ...], tuple[str, str]] = {}
         for batch in batches:
-            n, a, b = [], [], []
-            for x in batch.column(1).to_pylist():
-                count, ids_text, decoded = 0, [], []
-                for ids in t.chunks(x or ""):
-                    both = written.get(ids)
-                    if both is None:
-                        if len(written) >= CACHE_WORDS:
-                            written.clear()
-                        both = written[ids] = (" ".join(map(str, ids)), t.decode(ids))
-                    count += len(ids)
-                    ids_text.append(both[0])
-                    decoded.append(both[1])
-                n.append(count)
-                a.append(hashlib.sha256(" ".join(ids_text).encode()).hexdigest())
-                b.append(hashlib.sha256(" ".join(decoded).encode()).hexdigest())
+            n, a, b = zip(*[t.digests(x or "") for x in batch.column(1).to_pylist()], strict=True) if batch.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
