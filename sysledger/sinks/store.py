@@ -12,7 +12,9 @@ highest version. A run writes new leaves (never touching published ones)
 and then writes its manifest as a single one-task write; that write is the
 commit point. A run that dies before it leaves only unreferenced leaves,
 so executor or driver loss never exposes partial data, and a retry takes
-a fresh tag. Single writer per store is assumed (one nightly job).
+a fresh tag. Tables are independent: runs that overlap on different tables
+both publish, and a run whose own table changed meanwhile fails and is run
+again.
 
 Merges rewrite only the partitions holding staged keys, so a night's cost
 is the staging size plus the touched partitions, not the whole history.
@@ -35,7 +37,7 @@ from ..schemas import LAYOUT, SCHEMAS, align_schema
 from ..session import checkpoint_dir
 
 MANIFEST = T.StructType([
-    T.StructField("kind", T.StringType()),  # 'leaf', 'run' or 'epoch'
+    T.StructField("kind", T.StringType()),  # 'leaf' or 'run'
     T.StructField("table", T.StringType()),
     T.StructField("part", T.StringType()),  # partition value as text, '' if unpartitioned
     T.StructField("leaf", T.StringType()),  # path relative to the table root
@@ -123,7 +125,7 @@ class SnapshotStore:
             return None
         try:
             rows = (spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={v}")
-                    .where(F.col("kind").isin("leaf", "epoch"))
+                    .where((F.col("kind") == "leaf"))
                     .select(F.lit(v).alias("version"), "kind", "table", "part", "leaf", "job", "step", "key_min",
                             "key_max")
                     .collect())
@@ -141,7 +143,7 @@ class SnapshotStore:
         return self._current(spark, version).leaves
 
     def _current(self, spark: SparkSession, version: int | None = None) -> Snapshot:
-        """Leaves, key ranges and last stream epochs of a version (default:
+        """Leaves and key ranges of a version (default:
         the newest). The newest is found through ``head`` in two small reads;
         without a usable head, all versions are listed and the highest is a
         scalar subquery of the same manifest read."""
@@ -151,9 +153,9 @@ class SnapshotStore:
                 return snap
         m = self._manifest(spark)
         if m is None:
-            return Snapshot(0, {}, {}, {})
+            return Snapshot(0, {}, {})
         wanted = F.lit(version) if version is not None else m.agg(F.max("version")).scalar()
-        rows = m.where((F.col("version") == wanted) & F.col("kind").isin("leaf", "epoch")) \
+        rows = m.where((F.col("version") == wanted) & (F.col("kind") == "leaf")) \
             .select("version", "kind", "table", "part", "leaf", "job", "step", "key_min", "key_max").collect()
         snap = self._snapshot(rows, int(rows[0].version) if rows else (version or 0))
         if not rows and version is None:
@@ -162,13 +164,10 @@ class SnapshotStore:
 
     @staticmethod
     def _snapshot(rows, version: int) -> Snapshot:
-        snap = Snapshot(version, {}, {}, {})
+        snap = Snapshot(version, {}, {})
         for r in rows:
-            if r.kind == "leaf":
-                snap.leaves.setdefault(r.table, {})[r.part] = r.leaf
-                snap.ranges.setdefault(r.table, {})[r.part] = (r.key_min, r.key_max)
-            else:
-                snap.epochs[r.job] = int(r.step)
+            snap.leaves.setdefault(r.table, {})[r.part] = r.leaf
+            snap.ranges.setdefault(r.table, {})[r.part] = (r.key_min, r.key_max)
         return snap
 
     def run_log(self, spark: SparkSession) -> DataFrame:
@@ -214,7 +213,7 @@ class SnapshotStore:
 
     def begin(self, spark: SparkSession, run_ts) -> Transaction:
         snap = self._current(spark)
-        return Transaction(self, spark, snap.version, snap.leaves, run_ts, epochs=snap.epochs, base_ranges=snap.ranges)
+        return Transaction(self, spark, snap.version, snap.leaves, run_ts, base_ranges=snap.ranges)
 
 
 @dataclass
@@ -222,7 +221,6 @@ class Snapshot:
     version: int
     leaves: dict[str, dict[str, str]]  # table -> partition -> leaf
     ranges: dict[str, dict[str, tuple]]  # table -> partition -> (key_min, key_max)
-    epochs: dict[str, int]  # stream job -> last published epoch
 
 
 @dataclass
@@ -237,7 +235,6 @@ class Transaction:
     new_leaves: dict[str, dict[str, str]] = field(default_factory=dict)
     replaced: set[str] = field(default_factory=set)  # tables rewritten in full
     runs: list[RunLog] = field(default_factory=list)
-    epochs: dict[str, int] = field(default_factory=dict)  # stream job -> last published epoch
     base_ranges: dict[str, dict[str, tuple]] = field(default_factory=dict)
     new_ranges: dict[str, dict[str, tuple]] = field(default_factory=dict)
     committed: bool = False
@@ -391,13 +388,6 @@ class Transaction:
     def log(self, entry: RunLog) -> None:
         self.runs.append(entry)
 
-    def published_epoch(self, job: str) -> int:
-        """Last epoch of stream ``job`` published before this run (-1: none)."""
-        return self.epochs.get(job, -1)
-
-    def mark_epoch(self, job: str, epoch_id: int) -> None:
-        self.epochs[job] = epoch_id
-
     def commit(self) -> int:
         """Publish every table of this run at once (one-task manifest write)."""
         if self.committed:
@@ -412,7 +402,6 @@ class Transaction:
             if clash:
                 raise RuntimeError(f"another run published {clash} meanwhile; run this one again")
             self.base_leaves, self.base_ranges, self.version = now.leaves, now.ranges, now.version + 1
-            self.epochs = now.epochs | self.epochs
         names = set(self.base_leaves) | set(self.new_leaves)
         rows = []
         for name in sorted(names):
@@ -420,8 +409,6 @@ class Transaction:
             for part, leaf in sorted(self.leaves_of(name).items()):
                 lo, hi = ranges.get(part, (None, None))
                 rows.append(("leaf", name, part, leaf, None, None, None, None, None, None, None, None, lo, hi))
-        for job, epoch in sorted(self.epochs.items()):
-            rows.append(("epoch", None, None, None, job, str(epoch), None, None, None, None, None, None, None, None))
         run_ts = _as_dt(self.run_ts)
         for r in self.runs:
             rows.append(("run", None, None, None, r.job, r.step, _as_dt(r.run_ts) or run_ts, _as_dt(r.low), _as_dt(r.high),

@@ -95,7 +95,7 @@ def test_sessions_users_run_matches_operators(spark, store):
     expected = users.sync_users(fx.users_history(spark, SF_SMALL), fx.staged_users(spark, SF_SMALL), staged, fx.RUN_TS)
     assert same(store.read(spark, "users_history"), expected)
     assert by_step[("sync_users", "insert_new")].inserted == 30
-    assert by_step[("sync_users", "soft_delete")].updated == 9
+    assert by_step[("sync_users", "soft_delete")].updated == 6
     assert by_step[("capture_sessions", "merge")].extracted == staged.count()
 
 
