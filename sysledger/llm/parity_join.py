@@ -213,8 +213,10 @@ FILTER_BITS = 1 << 27
 SEGMENT_BITS = 1 << 16
 
 
-def _positions(keys: np.ndarray) -> np.ndarray:
-    return (keys.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+def _hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys a filter holds (and a few more that it does not)."""
+    at = (keys.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
+    return ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def _key_filter(keys: DataFrame) -> bytes:
@@ -240,13 +242,56 @@ def _pass_keys(bitmap):
             lists = batch.column(1)
             keys = lists.flatten().to_numpy()
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
-            at = _positions(keys)
-            hit = ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+            hit = _hits(bits, _short(keys).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[hit])), pa.array(keys[hit])], ["print", "key"])
 
     return work
 
 
+# --- keys that occur twice ----------------------------------------------------
+
+SHORT_BITS = 44
+ROWS_PER_OWNER = 100_000
+
+
+def _short(keys: np.ndarray) -> np.ndarray:
+    return keys.view(np.uint64) >> np.uint64(64 - SHORT_BITS)
+
+
+def _send_keys(owners: int):
+    """A task's short keys, sorted, by owner, as gaps. A key that the task
+    itself holds twice has a gap of zero."""
+    starts = np.array([(o << SHORT_BITS) // owners for o in range(owners)], dtype=np.uint64)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = [batch.column(0).flatten().to_numpy() for batch in batches]
+        keys = np.sort(_short(np.concatenate(lists))) if lists else np.zeros(0, dtype=np.uint64)
+        out = []
+        for owner, part in enumerate(np.split(keys, np.searchsorted(keys, starts[1:]))):
+            if len(part):
+                gaps = np.diff(part - starts[owner], prepend=np.uint64(0))
+                wide = bool(gaps.max() >> np.uint64(32))
+                out.append((owner, wide, gaps.astype("<u8" if wide else "<u4").tobytes()))
+        if out:
+            owner, wide, gaps = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int32()), pa.array(wide, pa.bool_()), pa.array(gaps, pa.binary())],
+                                             ["owner", "wide", "gaps"])
+
+    return work
+
+
+def _twice(owners: int):
+    """The short keys that an owner gets twice."""
+
+    def work(messages: pd.DataFrame) -> pd.DataFrame:
+        parts = [np.cumsum(np.frombuffer(g, dtype="<u8" if w else "<u4").astype(np.uint64)) for w, g in zip(messages["wide"], messages["gaps"], strict=True)]
+        keys = np.sort(np.concatenate(parts))
+        start = (int(messages["owner"].iloc[0]) << SHORT_BITS) // owners
+        return pd.DataFrame({"key": np.unique(keys[1:][keys[1:] == keys[:-1]]).astype(np.int64) + start})
+
+    return work
+
+
 # --- the join ---------------------------------------------------------------
 
 
@@ -267,11 +312,41 @@ def _sketch(percent: int, width: int):
     return work
 
 
-def _sets(width: int):
+SHORT_SKETCH = 512
+
+
+def _short_sketch(shingles: np.ndarray) -> np.ndarray:
+    """The parity sketch of SHORT_SKETCH places, as 64-bit words."""
+    counts = np.bincount((_mix(shingles) % np.uint64(SHORT_SKETCH)).astype(np.int64), minlength=SHORT_SKETCH)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and short sketches do not rule out: the
+    Hamming distance of two sketches is no more than the sets differ in. Only
+    these pairs' sets are shipped."""
+    def side(node: str) -> DataFrame:
+        return sets.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col("sketch").alias(f"s_{node}"))
+
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    total = F.col("n_a") + F.col("n_b")
+    words = [F.bit_count(F.get("s_a", F.lit(i)).bitwiseXOR(F.get("s_b", F.lit(i)))) for i in range(SHORT_SKETCH // 64)]
+    return near.where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                      & ((100 + percent) * sum(words[1:], words[0]) <= (100 - percent) * total)).select("a", "b").distinct()
+
+
+def _sets(width: int, bitmap):
+    """The sets of the documents whose id is in the filter."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(bitmap.value, dtype=np.uint8)
         for batch in batches:
-            sets = [shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+            ids = batch.column(0).fill_null(0).to_numpy()
+            batch = batch.filter(pa.array(_hits(bits, ids) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
+            sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([_short_sketch(x) for x in sets], pa.list_(pa.int64())),
+                 pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "n", "sketch", "shingles"])
 
     return work
 
@@ -446,19 +521,24 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     named = rows.where("doc_id is not null and n_shingles > 0")
     heads = materialise(named.groupBy("print").agg(F.min("doc_id").alias("node")), "heads", folder)
 
-    # keys that different sets share; the few rows with such keys are then
-    # found by a filter of fixed size, so keys are shuffled once
-    keyed = named.select(F.xxhash64("print").alias("set"), F.explode("keys").alias("key"))
-    shared = materialise(keyed.groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high")).where("low < high").select("key"), "shared", folder)
-    bitmap = spark.sparkContext.broadcast(_key_filter(shared))
+    # Keys that occur twice: tasks send the owners of key ranges their sorted
+    # short keys as gaps of four bytes, the owners answer with what they got
+    # twice. A filter of fixed size then picks the few rows that have such
+    # keys; only these are shuffled as rows.
+    owners = max(8, -(-named.count() // ROWS_PER_OWNER))
+    sent = named.select("keys").mapInArrow(_send_keys(owners), "owner int, wide boolean, gaps binary")
+    twice = sent.groupBy("owner").applyInPandas(_twice(owners), "key long")
+    bitmap = spark.sparkContext.broadcast(_key_filter(materialise(twice, "twice", folder)))
     likely = named.select("print", "keys").mapInArrow(_pass_keys(bitmap), "print binary, key long").distinct()
-    buckets = materialise(likely.join(shared, "key").join(heads, "print").select("node", "key").distinct(), "buckets", folder)
+    likely = materialise(likely.join(heads, "print").select("node", "key"), "likely", folder)
+    shared = likely.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    buckets = materialise(likely.join(shared, "key").select("node", "key"), "buckets", folder)
 
     nodes = buckets.select("node").distinct()
     wanted = materialise(nodes, "wanted", folder)
-    sets = materialise(
-        texts.join(wanted, F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(_sets(width), "node long, shingles binary").distinct(),
-        "sets", folder)
+    # a filter again, so that no other text is shuffled
+    chosen = spark.sparkContext.broadcast(_key_filter(wanted.select(F.col("node").alias("key"))))
+    sets = materialise(texts.mapInArrow(_sets(width, chosen), "node long, n long, sketch array<long>, shingles binary").distinct(), "sets", folder)
 
     links: DataFrame | None = None
     found = wanted.select("node", F.col("node").alias("root"))
@@ -477,6 +557,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
         other = few.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
         pairs = few.join(other, "key").where("node < b and root <> root_b").select(F.col("node").alias("a"), "b").distinct()
         more, left = _pivot_round(open_.where(F.col("n") > SMALL_BUCKET), sets, percent, i, here)
+        pairs = materialise(_possible(pairs, sets, percent), "pairs", here)
         new = materialise(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long").union(more), "new", here)
         buckets = materialise(left, "buckets", here)
         links = new if links is None else materialise(links.union(new), "all-links", here)
