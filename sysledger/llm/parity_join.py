@@ -23,7 +23,7 @@ Equal sets are put together first, so a text with any number of copies is one
 member. Within a bucket (the members that share a key) not all pairs are
 compared:
 
-- A bucket of up to four members is its pairs, but for connected ones.
+- A bucket of up to eight members is its pairs, but for connected ones.
 - The members of a larger one are compared with its head, and described by
   their differences E(x) = x xor p from a pivot p: the set of what more than
   half of the head's members have. x xor y = E(x) xor E(y), so with
@@ -65,7 +65,7 @@ from .common import materialise, scratch
 
 BAND_RATIO = 1.4
 SKETCH_BITS_PER_SHINGLE = 16
-SMALL_BUCKET = 4
+SMALL_BUCKET = 8
 TASK_BUCKET = 1000
 ROWS_PER_CALL = 20_000
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -299,15 +299,16 @@ def _sketch(percent: int, width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
-            sizes, prints, keys = [], [], []
+            sizes, prints, keys, short = [], [], [], []
             for text, named in zip(batch.column(1).to_pylist(), batch.column(0).is_valid().to_pylist(), strict=True):
                 s = shingle_set(text, width)
                 sizes.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 keys.append(keys_of(s, bands) if len(s) and named else None)
+                short.append(_short_sketch(s))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "print", "keys"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                 pa.array(short, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "keys", "sketch"])
 
     return work
 
@@ -321,12 +322,12 @@ def _short_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that sizes and short sketches do not rule out: the
     Hamming distance of two sketches is no more than the sets differ in. Only
     these pairs' sets are shipped."""
     def side(node: str) -> DataFrame:
-        return sets.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col("sketch").alias(f"s_{node}"))
+        return short.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col("sketch").alias(f"s_{node}"))
 
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     total = F.col("n_a") + F.col("n_b")
@@ -343,10 +344,8 @@ def _sets(width: int, bitmap):
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy()
             batch = batch.filter(pa.array(_hits(bits, ids) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
-            sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([_short_sketch(x) for x in sets], pa.list_(pa.int64())),
-                 pa.array([x.tobytes() for x in sets], pa.binary())], ["node", "n", "sketch", "shingles"])
+            sets = [shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
     return work
 
@@ -425,7 +424,7 @@ def _pivot_round(many: DataFrame, sets: DataFrame, percent: int, seed: int, fold
     heads = _heads(many, seed).select("key", F.col("p.node").alias("a"))
     met = many.join(heads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     star = materialise(_with_sets(met, sets).mapInArrow(
-        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>"), "star", folder)
+        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>").distinct(), "star", folder)
     links = star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))
     # move the pivot to what most of its members have; the head is a member too
     counts = star.groupBy("p").agg(F.count("*").alias("m"), F.min("size_p").alias("size_p"))
@@ -515,7 +514,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     spark: SparkSession = docs.sparkSession
     folder = scratch(spark, "parity-join")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialise(texts.mapInArrow(_sketch(percent, width), "doc_id long, n_shingles long, print binary, keys array<long>"), "sketches", folder)
+    rows = materialise(texts.mapInArrow(_sketch(percent, width), "doc_id long, n_shingles long, print binary, keys array<long>, sketch array<long>"), "sketches", folder)
 
     # equal sets: the smallest id stands for all of them
     named = rows.where("doc_id is not null and n_shingles > 0")
@@ -532,16 +531,25 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     likely = named.select("print", "keys").mapInArrow(_pass_keys(bitmap), "print binary, key long").distinct()
     likely = materialise(likely.join(heads, "print").select("node", "key"), "likely", folder)
     shared = likely.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    buckets = materialise(likely.join(shared, "key").select("node", "key"), "buckets", folder)
-
-    nodes = buckets.select("node").distinct()
+    buckets = materialise(likely.join(shared, "key").select("node", "key"), "shared", folder)
+    # pairs of small buckets that sizes and short sketches do not rule out; only
+    # their sets and those of the large buckets' members are fetched
+    short = materialise(named.select("print", "doc_id", F.col("n_shingles").alias("n"), "sketch").join(heads, "print")
+                        .where("doc_id = node").select("node", "n", "sketch").distinct(), "short", folder)
+    members = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("members")), "key")
+    small = members.where(F.col("members") <= SMALL_BUCKET)
+    pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
+    pairs = materialise(_possible(pairs.distinct(), short, percent), "first-pairs", folder)
+    buckets = materialise(members.where(F.col("members") > SMALL_BUCKET).select("node", "key"), "buckets", folder)
+
+    nodes = buckets.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     wanted = materialise(nodes, "wanted", folder)
     # a filter again, so that no other text is shuffled
     chosen = spark.sparkContext.broadcast(_key_filter(wanted.select(F.col("node").alias("key"))))
-    sets = materialise(texts.mapInArrow(_sets(width, chosen), "node long, n long, sketch array<long>, shingles binary").distinct(), "sets", folder)
+    sets = materialise(texts.mapInArrow(_sets(width, chosen), "node long, shingles binary"), "sets", folder)
 
-    links: DataFrame | None = None
-    found = wanted.select("node", F.col("node").alias("root"))
+    links = materialise(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long"), "first-links", folder)
+    found = materialise(components(wanted, links, f"{folder}/first"), "found", folder)
     i = 0
     while True:
         i += 1
@@ -557,16 +565,15 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
         other = few.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
         pairs = few.join(other, "key").where("node < b and root <> root_b").select(F.col("node").alias("a"), "b").distinct()
         more, left = _pivot_round(open_.where(F.col("n") > SMALL_BUCKET), sets, percent, i, here)
-        pairs = materialise(_possible(pairs, sets, percent), "pairs", here)
+        pairs = materialise(_possible(pairs, short, percent), "pairs", here)
         new = materialise(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long").union(more), "new", here)
         buckets = materialise(left, "buckets", here)
-        links = new if links is None else materialise(links.union(new), "all-links", here)
+        links = materialise(links.union(new), "all-links", here)
         if not buckets.limit(1).count():
             break
         found = materialise(components(wanted, links, here), "found", here)
 
-    if links is not None:
-        found = components(wanted, links, f"{folder}/last")
+    found = components(wanted, links, f"{folder}/last")
     roots = heads.join(found, "node", "left").select("print", F.coalesce("root", "node").alias("root"))
     return rows.join(roots, "print", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
