@@ -37,7 +37,10 @@ compared:
   rarity among the members, so these are mostly elements that nobody shares.
   Up to a thousand members that meet in an element are counted against each
   other in a task, on their short differences; more are a bucket of the next
-  round, with a pivot of its own.
+  round, with a pivot of its own. Then every element is had by half of the
+  bucket at most, so buckets shrink. Where the next buckets would be more rows
+  than the pairs of the bucket's blocks (of half a task), or hold more than
+  three quarters of it, those pairs of blocks are compared instead.
 
 Rounds end when no bucket is left that holds two components. No link between
 different components is missed, and what a round moves is proportional to the
@@ -422,46 +425,71 @@ def _deltas(percent: int):
 def _pivot_round(many: DataFrame, sets: DataFrame, percent: int, seed: int, folder: str) -> tuple[DataFrame, DataFrame]:
     """(links, next buckets) of the larger buckets, as the module says."""
     heads = _heads(many, seed).select("key", F.col("p.node").alias("a"))
-    met = many.join(heads, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    star = materialise(_with_sets(met, sets).mapInArrow(
-        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>").distinct(), "star", folder)
-    links = star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b"))
+    # g: what shares a pivot; from the second round on a bucket of its own, or
+    # the buckets that it was narrowed to would be one again
+    group = F.col("a") if seed == 1 else F.col("key")
+    met = many.join(heads, "key").where("node <> a").select(group.alias("g"), "a", F.col("node").alias("b")).distinct()
+    if seed > 1:
+        met = materialise(met, "met", folder)
+    star = _with_sets(met.select("a", "b").distinct(), sets).mapInArrow(
+        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>").distinct()
+    if seed > 1:
+        star = star.join(met.select("g", F.col("a").alias("p"), F.col("b").alias("node")), ["p", "node"])
+    else:
+        star = star.withColumn("g", F.col("p"))
+    star = materialise(star, "star", folder)
+    links = star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
     # move the pivot to what most of its members have; the head is a member too
-    counts = star.groupBy("p").agg(F.count("*").alias("m"), F.min("size_p").alias("size_p"))
-    usual = (star.select("p", F.explode("e").alias("e")).groupBy("p", "e").agg(F.count("*").alias("n"))
-             .join(counts, "p").where("2 * n > m + 1").groupBy("p").agg(F.collect_list("e").alias("usual")))
-    counts = counts.join(usual, "p", "left").select("p", "size_p", F.coalesce("usual", F.array().cast("array<long>")).alias("usual"))
-    members = star.select("p", "node", "size", "e").union(
-        counts.select("p", F.col("p").alias("node"), F.col("size_p").alias("size"), F.array().cast("array<long>").alias("e")))
-    members = members.join(counts.select("p", "usual"), "p").select(
-        "p", "node", "size", F.concat(F.array_except("e", "usual"), F.array_except("usual", "e")).alias("e"))
+    counts = star.groupBy("g").agg(F.count("*").alias("m"), F.min("p").alias("p"), F.min("size_p").alias("size_p"))
+    usual = (star.select("g", F.explode("e").alias("e")).groupBy("g", "e").agg(F.count("*").alias("n"))
+             .join(counts, "g").where("2 * n > m + 1").groupBy("g").agg(F.collect_list("e").alias("usual")))
+    counts = counts.join(usual, "g", "left").select("g", "p", "size_p", F.coalesce("usual", F.array().cast("array<long>")).alias("usual"))
+    members = star.select("g", "node", "size", "e").union(
+        counts.select("g", F.col("p").alias("node"), F.col("size_p").alias("size"), F.array().cast("array<long>").alias("e")))
+    members = members.join(counts.select("g", "usual"), "g").select(
+        "g", "node", "size", F.concat(F.array_except("e", "usual"), F.array_except("usual", "e")).alias("e"))
     roots = many.groupBy("node").agg(F.min("root").alias("root"))
     members = materialise(members.join(roots, "node"), "members", folder)
     # f in whole numbers: times (100 + percent)
     f = (100 + percent) * F.size("e") - (100 - percent) * F.col("size")
-    low = members.groupBy("p").agg(F.min(F.struct(f.alias("f"), "node")).alias("low"))
-    implied = members.select("p", "node", f.alias("f")).join(low, "p").where("node <> low.node and f + low.f <= 0").select(
+    low = members.groupBy("g").agg(F.min(F.struct(f.alias("f"), "node")).alias("low"))
+    implied = members.select("g", "node", f.alias("f")).join(low, "g").where("node <> low.node and f + low.f <= 0").select(
         F.col("low.node").alias("a"), F.col("node").alias("b"))
     # prefixes by rarity; elements that no other member has take up places
-    elements = members.select("p", "node", F.explode("e").alias("e"))
-    seen = elements.groupBy("p", "e").agg(F.count("*").alias("n")).where("n > 1")
-    shared = elements.join(seen, ["p", "e"]).groupBy("p", "node").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("common"))
+    elements = members.select("g", "node", F.explode("e").alias("e"))
+    seen = elements.groupBy("g", "e").agg(F.count("*").alias("n")).where("n > 1")
+    shared = elements.join(seen, ["g", "e"]).groupBy("g", "node").agg(F.sort_array(F.collect_list(F.struct("n", "e"))).alias("common"))
     most = F.floor((100 - percent) * F.col("size") / percent).cast("int")  # the most that x can differ in from a linked set
     place = F.col("at") + F.col("alone")
-    chosen = (members.join(shared, ["p", "node"])
-              .select("p", "node", "root", most.alias("most"), (F.size("e") - F.size("common")).alias("alone"), F.posexplode("common").alias("at", "c"))
-              .where(place <= F.col("most")).select("p", "c.e", "node", "root", (place <= F.floor(F.col("most") / 2)).alias("first")))
-    useful = chosen.groupBy("p", "e").agg(
+    chosen = (members.join(shared, ["g", "node"])
+              .select("g", "node", "root", most.alias("most"), (F.size("e") - F.size("common")).alias("alone"), F.posexplode("common").alias("at", "c"))
+              .where(place <= F.col("most")).select("g", "c.e", "node", "root", (place <= F.floor(F.col("most") / 2)).alias("first")))
+    useful = chosen.groupBy("g", "e").agg(
         F.count("*").alias("n"), F.max("first").alias("first"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("first and r0 < r1")
-    chosen = materialise(chosen.join(useful.select("p", "e", "n"), ["p", "e"]), "chosen", folder)
+    chosen = materialise(chosen.join(useful.select("g", "e", "n"), ["g", "e"]), "chosen", folder)
+    # groups whose large buckets hardly narrow them, or are more rows than the
+    # group's pairs of blocks
+    large = chosen.where(F.col("n") > TASK_BUCKET)
+    sizes = members.groupBy("g").agg(F.count("*").alias("rows"), F.countDistinct("node").alias("nodes")).withColumn(
+        "blocks", F.ceil(F.col("rows") / max(1, TASK_BUCKET // 2)))
+    wide = materialise(large.groupBy("g").agg(F.count("*").alias("over"), F.max("n").alias("widest")).join(sizes, "g")
+                       .where("over >= rows * blocks or 4 * widest > 3 * nodes").select("g", "blocks"), "wide", folder)
+    small = chosen.where(F.col("n") <= TASK_BUCKET).select("g", F.col("e").alias("met"), "node", "root")
+    left = large.join(wide, "g", "left_anti").select("node", F.xxhash64("g", "e").alias("key"))
+    if seed == 1:  # the links of this round may close them; else they are one bucket of the next
+        left = left.union(members.join(wide, "g", "left_semi").select("node", F.xxhash64("g").alias("key")))
+    else:
+        block = F.pmod(F.xxhash64("node", F.lit(seed)), F.col("blocks"))
+        met_blocks = members.join(wide, "g").select("g", "node", "root", "blocks", block.alias("own"), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+        small = small.join(wide, "g", "left_anti").unionByName(met_blocks.select(
+            "g", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("met"), "node", "root"))
     # many small buckets make one call, of bounded size
-    calls = max(16, -(-chosen.count() // ROWS_PER_CALL))
-    inside = (chosen.where(F.col("n") <= TASK_BUCKET).select("p", F.col("e").alias("met"), "node", "root")
-              .join(members.select("p", "node", "size", "e"), ["p", "node"])
-              .withColumn("call", F.pmod(F.xxhash64("p", "met"), F.lit(calls)))
+    calls = max(16, -(-small.count() // ROWS_PER_CALL))
+    inside = (small.join(members.select("g", "node", "size", "e"), ["g", "node"])
+              .withColumn("call", F.pmod(F.xxhash64("g", "met"), F.lit(calls)))
               .groupBy("call").applyInPandas(_inside(percent), "a long, b long"))
-    left = chosen.where(F.col("n") > TASK_BUCKET).select("node", F.xxhash64("p", "e").alias("key")).distinct()
-    return links.union(implied).union(inside.distinct()), left
+    return links.union(implied).union(inside.distinct()), left.distinct()
 
 
 def _bucket_links(node, root, sizes, deltas, percent: int) -> Iterator[tuple[int, int]]:
@@ -495,10 +523,10 @@ def _bucket_links(node, root, sizes, deltas, percent: int) -> Iterator[tuple[int
 
 def _inside(percent: int):
     def work(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["p", "met"], kind="stable")
-        p, met = rows["p"].to_numpy(), rows["met"].to_numpy()
+        rows = rows.sort_values(["g", "met"], kind="stable")
+        g, met = rows["g"].to_numpy(), rows["met"].to_numpy()
         node, root, sizes, deltas = rows["node"].to_numpy(), rows["root"].to_numpy(), rows["size"].to_numpy(), rows["e"].to_list()
-        cuts = [0, *(np.flatnonzero((p[1:] != p[:-1]) | (met[1:] != met[:-1])) + 1).tolist(), len(rows)]
+        cuts = [0, *(np.flatnonzero((g[1:] != g[:-1]) | (met[1:] != met[:-1])) + 1).tolist(), len(rows)]
         out = []
         for i, j in zip(cuts, cuts[1:], strict=False):
             if len(set(root[i:j].tolist())) > 1:

@@ -77,6 +77,24 @@ def test_large_group_of_unlike_copies(spark, monkeypatch, task_bucket):
     assert len({r.component_id for r in got}) > 20
 
 
+def test_family_of_two_wordings_at_many_places(spark, monkeypatch):
+    """One template with 25 places of two wordings each: hardly a pair is
+    linked, and every element is had by half of the family."""
+    monkeypatch.setattr(parity_join, "TASK_BUCKET", 10)
+    rng = random.Random(5)
+    texts = []
+    for _ in range(60):
+        words = [f"w{i}" for i in range(400)]
+        for place in range(25):
+            words[16 * place + 3] = f"{'ab'[rng.randrange(2)]}{place}"
+        texts.append(" ".join(words))
+    near = texts[7].split(" ")  # one more, linked with the eighth
+    near[8] = "other"
+    rows = [(i, t) for i, t in enumerate([*texts, " ".join(near)])]
+    got = {r.doc_id: r.component_id for r in check(spark, spark.createDataFrame(rows, "doc_id long, text string"), 90, 3)}
+    assert got[60] == got[7] and len(set(got.values())) > 20
+
+
 def test_edges(spark):
     check(spark, edge_docs(spark), 90, 3)
     assert jaccard_components(empty_docs(spark)).collect() == []
