@@ -8,7 +8,9 @@ Each section evaluates 32 exponents in one aggregate over the sources' totals;
 only those 32 rows come to the driver, never the sources.
 
 The weights are realised as block permutations. A source's documents are dealt
-to blocks of about ``block_tokens`` tokens by a hash of the id. A source with
+to blocks of about ``block_tokens`` tokens, but no fewer than BLOCKS_PER_SOURCE
+blocks, by a hash of the id, so that the quota is met to about a thousandth (or
+a document, in sources of fewer documents) whatever the source's size. A source with
 quota q_i x budget is passed over in whole epochs as often as it fits; in each
 epoch its blocks are permuted by a draw of (source, epoch, block). The rest of
 the quota is the longest start of one more permuted epoch that does not exceed
@@ -41,6 +43,7 @@ from .common import materialise, scratch, unit_draw, words
 POINTS = 32
 ROUNDS = 6
 BLOCKS_PER_RUN = 4096
+BLOCKS_PER_SOURCE = 1000
 SEED = 20240115
 
 
@@ -108,7 +111,7 @@ def plan(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: float
     whole = F.floor(quota / F.greatest(F.col("tokens"), F.lit(1)) + 1e-9)
     sources = totals.select(
         "src", F.col("tokens").alias("source_tokens"), F.lit(a).alias("exponent"), weight.alias("weight"), quota.alias("quota"),
-        F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(1)).cast("long").alias("blocks"),
+        F.greatest(F.ceil(F.col("tokens") / block_tokens), F.lit(BLOCKS_PER_SOURCE)).cast("long").alias("blocks"),
         F.when(F.col("tokens") > 0, whole).otherwise(1).cast("int").alias("epochs"))
     sources = sources.withColumn("rest", F.when(F.col("source_tokens") > 0, F.col("quota") - F.col("epochs") * F.col("source_tokens")).otherwise(0.0))
 

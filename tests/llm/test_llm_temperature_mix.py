@@ -54,6 +54,20 @@ def test_any_start_of_the_mix_has_the_weights(spark):
         assert abs(half[s] / whole[s] - 0.5) < 0.25
 
 
+def test_small_sources_meet_their_quota_with_production_parameters(spark):
+    docs = spark.range(2800).selectExpr(
+        "id as doc_id", "repeat('a b c d e ', 10 + cast(id % 7 as int)) as text",
+        "case when id < 1000 then 'a' when id < 1900 then 'b' else concat('c', id % 2) end as source")
+    _, sources = plan(docs, max_repeats=2.0)
+    quota = {r.src.name: (r.quota, r.source_tokens) for r in sources.collect()}
+    tokens = Counter()
+    for r in mix(docs, max_repeats=2.0).collect():
+        tokens[r.source] += r.n_tokens
+    assert max(q / n for q, n in quota.values()) > 1.5
+    for s, (q, n) in quota.items():
+        assert q - 0.02 * n <= tokens[s] <= q + 1e-6
+
+
 def test_impossible_budget(spark):
     with pytest.raises(ValueError):
         plan(uneven(spark), max_repeats=2.0, budget_tokens=100_000)
