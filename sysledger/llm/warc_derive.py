@@ -16,7 +16,7 @@ the digest and length of its own block; the response's own digests are passed
 on as they are, and ``digest_ok`` says whether its payload digest holds.
 
 Plain text: scripts, styles, templates, comments and the head but its title
-are left out; block elements end lines; character references are resolved;
+are left out (a head without end tag ends where content begins); block elements end lines; character references are resolved;
 white space runs become one space; empty lines go.
 
 Defined cases: null or empty bytes, and bytes that are no response record,
@@ -43,7 +43,11 @@ SCHEMA = ("page_id long, record_id string, warc_type string, refers_to string, t
           "block_digest string, content_length long, digest_ok boolean, block string, record binary")
 
 SKIPPED = re.compile(r"<!--.*?(?:-->|$)|<(script|style|template|noscript)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
-HEAD = re.compile(r"<head\b[^>]*>.*?(?:</head\s*>|(?=<body\b)|$)", re.S | re.I)
+# </head> and <body> may be left out: a tag that cannot stand in a head, or
+# text outside of its elements, ends it
+HEAD = re.compile(
+    r"<head\b[^>]*>(?:\s+|<title\b[^>]*>.*?(?:</title\s*>|$)|</?(?:meta|link|base|basefont|bgsound|title|script|style|template|noscript)\b[^>]*>"
+    r"|<![^>]*>)*+(?:</head\s*>)?", re.S | re.I)
 TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|$)", re.S | re.I)
 BLOCK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|"

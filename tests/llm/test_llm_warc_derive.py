@@ -53,6 +53,15 @@ def test_plain_text():
     assert plain_text("a < b and c > d") == "a < b and c > d"
 
 
+def test_pages_without_optional_tags():
+    assert plain_text("<html><head><title>x</title><h1>Title</h1><p>All of the text.</p></html>") == "x\nTitle\nAll of the text."
+    assert plain_text("<head><meta charset=utf-8>\n<link rel=a href=b><title>x</title><base href=c><p>text</p>") == "x\ntext"
+    assert plain_text("<head><title>x</title>Bare text<p>more</p>") == "x\nBare text\nmore"
+    assert plain_text("<head><title>x</title><style>a{}</style><script>f()</script><body><p>text") == "x\ntext"
+    assert plain_text("<header>top</header><p>text") == "top\ntext"
+    assert plain_text("<head><title>x") == "x"
+
+
 def response(payload, http="HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=iso-8859-1", **extra):
     block = http.encode() + b"\r\n\r\n" + payload
     fields = [("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x>"), ("WARC-Target-URI", "http://e.org/"), ("WARC-Date", "2024-01-01T00:00:00Z")]
