@@ -10,8 +10,12 @@ good" is rejected if the exact binomial tail P(Bin(n, risk) <= k) is at most
 the first that fails; a fixed sequence needs no correction within itself, and
 the division by the number of sequences (Bonferroni) covers the rest. So with
 probability 1 - ``error`` no stratum loses more than ``risk`` of its good
-documents to any score. A stratum with too few labels gets no cutoff: nothing
-is rejected there but by the base rule.
+documents to any score. Strata with fewer labels than could ever pass are
+tested together as one pooled stratum, which counts among the sequences; its
+cutoffs hold in each of them, and the promise holds for their good documents
+taken together. Which strata are pooled depends on label counts only. Where
+even the pool is too small, and in strata without any label, there is no
+cutoff: nothing is rejected but by the base rule.
 
 Column functions only. Texts are read once; statistics are narrow rows.
 
@@ -23,6 +27,8 @@ other columns are not read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,6 +95,11 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.aggregate(counts, F.struct(first.alias("term"), first.alias("total")), add, lambda s: F.exp(s["total"]))
 
 
+def least_labels(risk: float, each: float) -> int:
+    """The fewest good documents that can prove anything: with none above."""
+    return math.ceil(math.log(each) / math.log1p(-risk))
+
+
 def cutoffs(good: DataFrame, risk: float = 0.001, error: float = 0.05) -> DataFrame:
     """stratum and one cutoff for each score (null: none is safe), from rows
     of good documents: stratum and a column for each score."""
@@ -116,6 +127,20 @@ def cutoffs(good: DataFrame, risk: float = 0.001, error: float = 0.05) -> DataFr
     return best.groupBy("stratum").agg(*[F.max(F.when(F.col("score") == s, F.col("cutoff"))).alias(f"{s}_cutoff") for s in SCORES])
 
 
+def pooled_cutoffs(good: DataFrame, risk: float = 0.001, error: float = 0.05) -> DataFrame:
+    """``cutoffs`` of every stratum; those with too few rows share the ones of
+    their pool."""
+    counts = materialise(good.groupBy("stratum").agg(F.count("*").alias("n")), "strata")
+    least = least_labels(risk, error / (len(SCORES) * (counts.count() + 1)))
+    few = F.col("n") < least
+    groups = counts.select(F.col("stratum").alias("__of"), F.struct(few.alias("pooled"), F.when(~few, F.col("stratum")).alias("name")).alias("__group"))
+    grouped = good.join(groups, F.col("stratum").eqNullSafe(F.col("__of"))).select(F.col("__group").alias("stratum"), *SCORES)
+    # the sequences are those of the strata with enough rows and of the pool
+    found = cutoffs(grouped, risk, error)
+    return groups.join(found, F.col("__group").eqNullSafe(F.col("stratum"))).select(
+        F.col("__of").alias("stratum"), *[f"{s}_cutoff" for s in SCORES])
+
+
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.001, error: float = 0.05) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept and the stratum's cutoffs for every row of ``docs``.
@@ -125,7 +150,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     good = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
             .agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id"))
     holdout = rows.where("not base_failed").join(good, "doc_id", "left_semi")
-    found = materialise(cutoffs(holdout, risk, error), "cutoffs")
+    found = materialise(pooled_cutoffs(holdout, risk, error), "cutoffs")
     found = found.withColumnRenamed("stratum", "__stratum")
     beyond = F.lit(False)
     for s in SCORES:

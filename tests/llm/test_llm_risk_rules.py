@@ -69,3 +69,19 @@ def test_cutoffs_keep_the_promise(spark):
         want = step / STEPS
     assert found["a"].symbols_cutoff == want
     assert found["a"].lines_cutoff == 0.0
+
+
+def test_planted_bad_documents_go_in_small_strata(spark):
+    """Too few labels in b, c and d (each 250 good ones at a risk of 0.01),
+    but enough of them together; e has none."""
+    rows, marks = [], []
+    for lang, good in (("a", 700), ("b", 250), ("c", 250), ("d", 250), ("e", 20)):
+        for i in range(good + 10):
+            bad = i >= good
+            rows.append((len(rows), " ".join(f"{lang}{i}x{j}" + ("##&&##&&" if bad else "") for j in range(12)), lang))
+            if lang != "e":
+                marks.append((len(rows) - 1, 0 if bad else 1))
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(marks, "doc_id long, quality int")
+    kept = {r.doc_id: r.kept for r in judge(docs, marked, risk=0.01).collect()}
+    assert all(kept[i] == (q == 1) for i, q in marks)
+    assert all(kept[i] for i, _, lang in rows if lang == "e")
