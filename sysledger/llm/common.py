@@ -48,3 +48,42 @@ def words(text: Column) -> Column:
 def unit_draw(*columns: Column) -> Column:
     """A number in (0, 1) that the columns' values decide."""
     return (F.shiftrightunsigned(F.xxhash64(*columns), 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+
+
+HOT_SHARE = 1000
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_bytes(df: DataFrame) -> int:
+    """Bytes that a written table takes in a broadcast: 16 a value (a slot and
+    its share of the row) and the bytes of its strings, as measured."""
+    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    return df.agg(F.coalesce(F.sum(sum(text, F.lit(16 * len(df.columns) + 16).cast("long"))), F.lit(0))).first()[0]
+
+
+def join_totals(rows: DataFrame, totals: DataFrame, keys: list[str], n: int, folder: str, name: str = "totals",
+                how: str = "left", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows`` joined (``how``: left or inner) with one row of ``totals`` a
+    key (nulls match), where ``totals.n`` is the number of rows that hold the
+    key and ``n`` the number of all of them. Totals of ``limit`` measured bytes
+    at most are broadcast. Of larger ones, the keys of a thousandth of the rows
+    or more are broadcast, a thousand at most; the others are shuffled, so no
+    task gets more than a thousandth of the rows for one key."""
+    totals = materialise(totals, name, folder)
+    others = [c for c in totals.columns if c not in (*keys, "n")]
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"__{tag}_{c}") for c in (*keys, *others)], F.lit(True).alias(f"__{tag}"))
+
+    def same(tag: str) -> list[Column]:
+        return [F.col(k).eqNullSafe(F.col(f"__{tag}_{k}")) for k in keys]
+
+    def result(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(*rows.columns, *[F.col(f"__{tag}_{c}").alias(c) for c in others])
+
+    if broadcast_bytes(totals) <= limit:
+        return result(rows.join(F.broadcast(side(totals, "all")), same("all"), how), "all")
+    often = F.col("n") * HOT_SHARE >= n
+    marked = rows.join(F.broadcast(side(totals.where(often), "hot")), same("hot"), "left")
+    rare = marked.where("__hot is null").select(*rows.columns).join(side(totals.where(~often), "cold"), same("cold"), how)
+    return result(marked.where("__hot"), "hot").unionByName(result(rare, "cold"))

@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     bpe_prefix,
+    equal_average,
     exact_dedup,
+    filter_audit,
     hash_tree,
     license_scan,
+    line_dedup,
     ordinal_quality,
     parity_join,
     risk_rules,
@@ -65,9 +68,22 @@ def op10_bpe_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return bpe_prefix.round_trip(table(spark, sf, "documents"), WORD_BPE)
 
 
+def op11_equal_average(spark: SparkSession, sf: str) -> DataFrame:
+    found = equal_average.product_codes(table(spark, sf, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.line_digests(table(spark, sf, "documents"), min_chars=40, min_docs=5)
+
+
+def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_separator_scan, op2_license_scan, op3_warc_derivatives, op4_ordinal_quality, op5_hash_tree, op6_risk_rules,
-    op7_parity_join, op8_temperature_mix, op9_exact_dedup, op10_bpe_prefix)}
+    op7_parity_join, op8_temperature_mix, op9_exact_dedup, op10_bpe_prefix, op11_equal_average, op12_line_dedup, op13_filter_audit)}
 # SQL cannot state these: files, fitted models, checksums and encoders. Their
 # tests hold them against brute force.
 ORACLE: dict[str, str] = {}

@@ -1,0 +1,109 @@
+import hashlib
+import math
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from corpus_cases import SF
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sysledger.llm.equal_average import nearest, product_codes
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, error string, v string, n string, part string"
+
+
+def expected(rows, parts=8, entries=16, rounds=6, scale=4096):
+    """The contract by a full search over plain Python lists."""
+    kept = [(i, [math.floor(scale * float(np.float32(x))) for x in v], lab) for i, v, lab in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    length = next((len(v) for _, v, _ in kept if v and len(v) % parts == 0), 0)
+    kept = [r for r in kept if len(r[1]) == length] if length else []
+    d = length // parts
+    cut = [[v[p * d:(p + 1) * d] for p in range(parts)] for _, v, _ in kept]
+    books = [[list(c[p]) for c in cut[:entries]] for p in range(parts)]
+
+    def assign(part, book):
+        away = [sum((a - b) ** 2 for a, b in zip(part, e, strict=True)) for e in book]
+        return away.index(min(away)), min(away)
+
+    for _ in range(rounds):
+        for p in range(parts):
+            of = defaultdict(list)
+            for c in cut:
+                of[assign(c[p], books[p])[0]].append(c[p])
+            for e, members in of.items():
+                books[p][e] = [sum(x) // len(members) for x in zip(*members, strict=True)]
+    found = [[assign(c[p], books[p]) for p in range(parts)] for c in cut]
+    by_label = defaultdict(int)
+    for (_, _, lab), f in zip(kept, found, strict=True):
+        by_label[lab] += sum(x for _, x in f)
+    sha = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return sorted(((i, lab, "".join(f"{c:02x}" for c, _ in f), sum(x for _, x in f), by_label[lab], sha)
+                   for (i, _, lab), f in zip(kept, found, strict=True)), key=repr)
+
+
+def got(df):
+    return sorted(((r.vec_id, r.label, r.code, r.error, r.label_error, r.codebooks_sha256) for r in df.collect()), key=repr)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(1, 9), st.integers(1, 20), st.integers(0, 2**31), st.sampled_from([1, 3, 100, 1 << 26]))
+def test_search_equals_full_search(d, k, seed, size):
+    rng = np.random.default_rng(seed)
+    rows, entries = rng.integers(-size, size + 1, (50, d)), rng.integers(-size, size + 1, (k, d))
+    entries[k // 2] = entries[0]  # a tie
+    away = ((rows[:, None] - entries[None]) ** 2).sum(axis=2)
+    found, best, computed = nearest(rows, entries)
+    assert (found == away.argmin(axis=1)).all() and (best == away.min(axis=1)).all() and computed <= rows.shape[0] * k
+
+
+def test_search_looks_at_few_entries():
+    rng = np.random.default_rng(1)
+    entries = np.sort(rng.integers(0, 10_000, (256, 1)), axis=0) + rng.integers(0, 40, (256, 4))
+    assert nearest(entries[rng.integers(0, 256, 2000)] + 1, entries)[2] < 2000 * 20
+
+
+def test_matches_brute_force(spark):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    assert got(product_codes(vectors)) == expected([(r.vec_id, r.embedding, r.label) for r in vectors.collect()])
+
+
+def edge_rows():
+    rng = np.random.default_rng(3)
+    vec = [[float(x) for x in rng.normal(0, 1, 16)] for _ in range(60)]
+    rows = [(i, v, None if i % 3 == 0 else i % 2) for i, v in enumerate(vec)]
+    rows += [(100, vec[0], 1), (100, vec[1], 1), (100, vec[1], 1), (None, vec[2], None), (None, None, 5)]  # repeats, no id, no vector
+    rows += [(-5, [float("nan")] + vec[0][1:], 1), (-4, [float("inf")] + vec[0][1:], 1), (-3, [None] + vec[0][1:], 1), (-2, [], 1), (-1, vec[0][:15], 1)]
+    rows += [(200 + i, [1.5] * 16, 7) for i in range(40)]  # one vector many times
+    return rows + [(300, vec[0] + vec[0], 2)]  # another length
+
+
+def test_edges(spark):
+    rows = edge_rows()
+    df = spark.createDataFrame([(*r, "x", "x", "x", "x", "x") for r in rows], SCHEMA)
+    assert got(product_codes(df)) == expected(rows)
+    few = rows[:5]
+    assert got(product_codes(df.limit(0))) == []
+    assert got(product_codes(spark.createDataFrame([(*r, "", "", "", "", "") for r in few], SCHEMA))) == expected(few)
+    with pytest.raises(Exception, match="would not fit"):
+        product_codes(spark.createDataFrame([(1, [1e30] * 16, 1, "", "", "", "", "")], SCHEMA)).collect()
+
+
+def test_text_labels_and_other_names(spark):
+    rows = [(i, [float(i % 7)] * 8, "even" if i % 2 == 0 else None) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, kind string")
+    found = product_codes(df, id_col="id", vector_col="vec", label_col="kind")
+    assert got(found) == expected(rows)
+    assert found.schema["label"].dataType.simpleString() == "string"
+
+
+def test_hot_label_without_broadcast(spark, monkeypatch):
+    from sysledger.llm import common
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    totals = df.groupBy("k").agg(F.sum("id").alias("s"), F.count("*").alias("n"))
+    out = common.join_totals(df, totals, ["k"], 3000, common.scratch(spark, "t"), limit=0)
+    sums = {r.k: r.s for r in totals.collect()}
+    assert sorted((r.id, r.k, r.s) for r in out.collect()) == sorted((i, -1 if i % 3 == 0 else i, sums[-1 if i % 3 == 0 else i]) for i in range(3000))

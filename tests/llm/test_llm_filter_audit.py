@@ -1,0 +1,100 @@
+import re
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+from corpus_cases import documents, edge_docs, edge_rows, empty_docs, labels
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sysledger.llm.filter_audit import audit, filter_audit, subset_states, text_mask
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def fails(rows):
+    """The failing letters of each (doc_id, text, lang)."""
+    least = {}
+    for doc_id, text, _ in rows:
+        if doc_id is not None:
+            least[text or ""] = min(doc_id, least.get(text or "", doc_id))
+    out = []
+    for doc_id, text, _ in rows:
+        t = text or ""
+        words = WORD.findall(t)
+        failed = set()
+        if len(words) < 100:
+            failed.add("A")
+        if 100 * len(set(words)) < 80 * len(words):
+            failed.add("B")
+        if 100 * len(re.findall("[A-Z]", t)) > 10 * len(t):
+            failed.add("C")
+        if re.search(r"[#$%&*|]", t):
+            failed.add("D")
+        if doc_id is not None and doc_id > least[t]:
+            failed.add("E")
+        out.append(failed)
+    return out
+
+
+def expected(rows, marks):
+    good = {i for i, q, _ in marks if q == 1 and i is not None}
+    toxic = {i for i, _, x in marks if x == 1 and i is not None}
+    failed = fails(rows)
+    out, removed_by = [], Counter()
+    for part in {lang or "" for _, _, lang in rows}:
+        mine = [(r[0], f) for r, f in zip(rows, failed, strict=True) if (r[2] or "") == part]
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, letter in enumerate(order, 1):
+                gone, left = [x for x in left if letter in x[1]], [x for x in left if letter not in x[1]]
+                removed_by[part, letter] += len(gone)
+                out.append([part, "".join(order), step, len(left), len(gone), sum(letter in f for _, f in mine) - len(gone),
+                            sum(f == {letter} for _, f in mine), sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone)])
+    return Counter((*r, removed_by[r[0], r[1][r[2] - 1]]) for r in out)
+
+
+def check(docs, marks, rows, label_rows):
+    found = filter_audit(docs, marks)
+    assert found.columns == ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    assert Counter(tuple(r) for r in found.collect()) == expected(rows, label_rows)
+
+
+def test_matches_brute_force(spark):
+    docs, marks = documents(spark), labels(spark)
+    check(docs, marks, [(r.doc_id, r.text, r.lang) for r in docs.collect()], [(r.doc_id, r.quality, r.toxic) for r in marks.collect()])
+
+
+def test_edges(spark):
+    marks = [(1, 1, 0), (1, 0, 1), (3, None, None), (None, 1, 1), (8, 1, 0), (10, 1, 1), (11, 0, 1), (9, 0, 1), (999, 1, 1)]
+    df = spark.createDataFrame([(*m, "x") for m in marks], "doc_id long, quality int, toxic int, mask string")
+    check(edge_docs(spark), df, [(r[0], r[1], r[2]) for r in edge_rows()], marks)
+    check(edge_docs(spark), df.limit(0), [(r[0], r[1], r[2]) for r in edge_rows()], [])
+    assert filter_audit(empty_docs(spark), df).collect() == []
+
+
+def test_hot_copies(spark):
+    rows = [(i, "copy " * 120 if i % 3 == 0 else f"text {i}", "en" if i % 5 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    marks = [(i, i % 2, int(i % 7 == 0)) for i in range(0, 3000, 2)]
+    check(df, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), rows, marks)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.integers(0, 31), st.integers(0, 9)))
+def test_walk_equals_direct_sums(cells):
+    masks = np.array(sorted(cells), dtype=np.int64)
+    counts = np.array([[cells[m], 1, 2] for m in sorted(cells)], dtype=np.int64).reshape(-1, 3)
+    states = subset_states(masks, counts, 5)
+    for subset in range(32):
+        assert (states[subset] == counts[masks & subset == 0].sum(axis=0)).all()
+    # removals of an order add up to what the whole set removes
+    for i in range(0, 600, 5):
+        assert sum(r[3] for r in audit(masks, counts)[i:i + 5]) == states[0][0] - states[31][0]
+
+
+def test_text_mask():
+    assert text_mask(b"", 0) == 1
+    assert text_mask(b"A a", 3) == 1 + 4
+    assert text_mask(("é" * 9 + "A").encode(), 10) == 1  # 10 % of code points is not more
+    assert text_mask(b"w\x85 " * 100, 300) == 2  # \x85 is no white space

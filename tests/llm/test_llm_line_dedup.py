@@ -1,0 +1,79 @@
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from corpus_cases import documents, edge_docs, edge_rows, empty_docs, with_clashes
+
+from sysledger.llm import common, line_dedup
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), line.strip(SPACES))
+
+
+def expected(rows, min_chars=40, min_docs=5):
+    holders = defaultdict(set)
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if doc_id is not None and len(key(line)) >= min_chars:
+                holders[key(line)].add(doc_id)
+    gone = {k: max(ids) for k, ids in holders.items() if len(ids) >= min_docs}
+    out = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if key(x) not in gone or gone[key(x)] == doc_id]
+        out.append((doc_id, len(lines), len(lines) - len(left), hashlib.sha256("\n".join(left).encode()).hexdigest()))
+    return Counter(out)
+
+
+def check(spark, rows, **options):
+    df = with_clashes(spark.createDataFrame([(i, t, "x", "y", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long"))
+    assert Counter(tuple(r) for r in line_dedup.line_digests(df, **options).collect()) == expected(rows, **options)
+
+
+LINE = "This line is a Passage that Many documents hold, word by word."
+
+
+def cases():
+    other = "\n".join(f"line {i} of a document by itself, long enough to count {i}" for i in range(5))
+    rows = [(i, f"{other} {i}\n  {LINE.upper() if i % 2 else LINE}\t\n{i}") for i in range(40)]
+    rows += [(7, LINE), (39, f"{LINE}\n{LINE}\nx"), (39, f"{LINE}\n{LINE}\nx"), (None, f"a\n{LINE}\n"), (None, LINE)]  # repeats, no id
+    rows += [(50 + i, "É" * 40 + "\nshort") for i in range(5)] + [(60 + i, "é" * 40 + "\nshort") for i in range(4)]  # no other case folding
+    rows += [(70 + i, "\U0001f642" * 39 + "\n" + "\U0001f642" * 40) for i in range(6)]  # code points, not bytes
+    rows += [(80, "z" * 45 + "\n" + "z" * 45), (81, "\n".join(["z" * 45] * 9)), (82, "z" * 45), (83, "z" * 45)]  # four documents only
+    rows += [(90 + i, "\n\n") for i in range(9)] + [(100, None), (101, ""), (102, "\r\n \x0b"), (103, LINE + "\x1c"), (104, "\xa0" + LINE)]
+    return rows + [(200, "\n".join([LINE, "own"] * 20_000))]
+
+
+def test_matches_brute_force(spark):
+    docs = documents(spark)
+    check(spark, [(r.doc_id, r.text) for r in docs.collect()])
+
+
+@pytest.mark.parametrize("limit", [common.BROADCAST_BYTES, -1])
+def test_cases(spark, monkeypatch, limit):
+    # the second run takes the shuffled ways of all joins
+    monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", limit)
+    whole = common.join_totals
+    monkeypatch.setattr(line_dedup, "join_totals", lambda *a, **k: whole(*a, **k, limit=limit))
+    check(spark, cases())
+    check(spark, cases(), min_chars=1, min_docs=2)
+
+
+def test_edges(spark):
+    rows = [(r[0], r[1]) for r in edge_rows()]
+    assert Counter(tuple(r) for r in line_dedup.line_digests(edge_docs(spark)).collect()) == expected(rows)
+    assert line_dedup.line_dedup(empty_docs(spark)).collect() == []
+
+
+def test_hot_line(spark):
+    rows = [(i, f"{LINE}\nown line of document number {i}, which nobody else has" if i % 3 == 0 else f"text {i}") for i in range(3000)]
+    check(spark, rows)
+
+
+def test_no_python_in_plan(spark):
+    plan = line_dedup.line_dedup(documents(spark))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|Cartesian", plan)

@@ -5,7 +5,7 @@ from corpus_cases import SF, components, shingles
 
 def test_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14))
     assert E.queries()["pipeline"] is corpus_pipeline.run
 
 
