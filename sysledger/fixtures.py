@@ -125,7 +125,7 @@ def relstats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def statements_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+def statements_src(spark: SparkSession, sf_dir: str, text: F.Column | None = None) -> DataFrame:
     """nc_all_statements as extracted: booleans still text, running
     statements (null endtime) every 11th event."""
     eid = F.col("event_id")
@@ -135,7 +135,7 @@ def statements_src(spark: SparkSession, sf_dir: str) -> DataFrame:
         (eid + 1000000).alias("xactionid"),
         (eid - eid % 4).alias("sessionid"),
         (eid % 3).cast("int").alias("retrynum"),
-        F.col("props").alias("statement"),
+        (F.col("props") if text is None else text).alias("statement"),
         ts.alias("starttime"),
         F.when(eid % 11 == 0, F.lit(None).cast("timestamp_ntz"))
         .otherwise(F.timestamp_add("SECOND", eid % 600, ts)).alias("endtime"),
@@ -223,6 +223,51 @@ def users_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.union(firms)
 
 
+def user_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which userid each customer's name had when: some were recreated with a
+    new id after half a day, some renamed, some dropped."""
+    k = F.col("c_custkey")
+    name, uid = F.concat(F.lit("user_"), _s(k)), (F.lit(16384) + k).cast("int")
+    first, none = ts_literal("2023-12-01 00:00:00"), F.lit(None).cast("timestamp_ntz")
+
+    def span(n, i, start, end):
+        return F.struct(n.alias("username"), i.alias("userid"), start.alias("valid_from"), end.alias("valid_to"))
+
+    gone, back, renamed = ts_literal("2024-01-08 12:00:00"), ts_literal("2024-01-09 00:00:00"), ts_literal("2024-01-12 00:00:00")
+    spans = (
+        F.when(k % 17 == 3, F.array(span(name, uid, first, gone), span(name, (uid + 1000000).cast("int"), back, none)))
+        .when(k % 29 == 7, F.array(span(name, uid, first, renamed), span(F.concat(F.lit("renamed_"), _s(k)), uid, renamed, none)))
+        .when(k % 19 == 2, F.array(span(name, uid, first, ts_literal("2024-01-17 00:00:00"))))
+        .otherwise(F.array(span(name, uid, first, none)))
+    )
+    return table(spark, sf_dir, "customer").select(F.inline(spans))
+
+
+def statements_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statements with SQL as their text: four kinds of call whose
+    literals, comments and spacing differ from event to event."""
+    eid, uid, kind = _s(F.col("event_id")), _s(F.col("user_id")), F.col("event_type")
+    text = (
+        F.when(_mod("event_id", 4) == 0, F.concat(F.lit("select "), kind, F.lit(" from sales where id = "), uid, F.lit(" and v > "), eid, F.lit(".5")))
+        .when(_mod("event_id", 4) == 1, F.concat(F.lit("INSERT INTO log VALUES ("), eid, F.lit(", '"), kind, F.lit("', "), uid, F.lit(", "),
+                                                 _s(_mod("event_id", 7)), F.lit(")")))
+        .when(_mod("event_id", 4) == 2, F.concat(F.lit("Select  *\n from t"), _s(_mod("event_id", 3)), F.lit(" where k in (1, 2, "), eid,
+                                                 F.lit(") /* run "), eid, F.lit(" -- it's */")))
+        .otherwise(F.concat(F.lit("update acct set note = 'it''s -- "), F.col("props"), F.lit("' where id="), uid, F.lit(" -- done "), eid))
+    )
+    return statements_src(spark, sf_dir, text)
+
+
+def search_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of search patterns (LIKE): one for each part."""
+    k = F.col("p_partkey")
+    return table(spark, sf_dir, "part").select(
+        k.alias("pattern_id"),
+        F.when(k % 3 == 0, F.concat(F.lit("%FROM sales where id = "), _s(k), F.lit(" and%")))
+        .when(k % 3 == 1, F.concat(F.lit("update%-- done "), _s(k)))
+        .otherwise(F.concat(F.lit("%values ("), _s(k), F.lit(", '_l%"))).alias("pattern"))
+
+
 # --- derived states used by the scenarios -------------------------------
 
 def staged_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,3 +291,12 @@ def sessions_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session history captured up to the history cut."""
     src = sessions_src(spark, sf_dir)
     return src.where(F.col("starttime") <= ts_literal(HISTORY_CUT)).withColumn("status", F.lit("PASSED"))
+
+
+# Statements that reached the source after the window that should have had them.
+LATE_EVERY, LATE_PLACE = 13, 5
+
+
+def statements_history_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statement history that never got the late statements."""
+    return statements_history(spark, sf_dir).where(F.col("statementid") % LATE_EVERY != LATE_PLACE)

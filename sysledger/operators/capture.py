@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import EMPTY_HISTORY_WATERMARK, open_interval, to_bool, to_second, ts_literal
-from ..plans.hints import broadcast_if_small
+from ..plans.hints import broadcast_if_small, max_broadcast_rows
 from ..schemas import SESSIONS, STATEMENTS, USERS, align_schema
 
 
@@ -46,13 +46,16 @@ def extract_window(source: DataFrame, ts_col: str, low, high) -> DataFrame:
     return source.where(open_interval(ts_col, low_c, high_c))
 
 
-def extract_statements(source: DataFrame, low, high) -> DataFrame:
-    """Statements that ended inside the window, typed for staging
-    (``iscancelable`` arrives as text)."""
-    rows = extract_window(source, "endtime", low, high)
+def typed_statements(rows: DataFrame) -> DataFrame:
+    """Statement rows typed for staging (``iscancelable`` arrives as text)."""
     return align_schema(rows.withColumn("iscancelable", to_bool("iscancelable", "iscancelable")), STATEMENTS)
 
 
+def extract_statements(source: DataFrame, low, high) -> DataFrame:
+    """Statements that ended inside the window, typed for staging."""
+    return typed_statements(extract_window(source, "endtime", low, high))
+
+
 # Status of every captured session (fixed value).
 SESSION_STATUS = "PASSED"
 
@@ -102,8 +105,8 @@ def merge_upsert(history: DataFrame, staged: DataFrame, key: str, *, check_uniqu
 
     ``staged`` is evaluated twice (key count for the broadcast check, then
     the merge): stage an expensive source first, as the jobs do. This form
-    rewrites the whole history; ``SnapshotStore`` transactions rewrite only
-    the partitions that hold staged keys."""
+    rewrites the whole history; ``Tables.stage_merge`` rewrites only the
+    partitions that hold staged keys."""
     if dedupe_by:
         staged = latest_per_key(staged, key, dedupe_by)
         check_unique = False
@@ -112,6 +115,26 @@ def merge_upsert(history: DataFrame, staged: DataFrame, key: str, *, check_uniqu
     return append_rows(kept, staged)
 
 
+def missed_rows(source: DataFrame, history: DataFrame, key: str, ts_col: str, watermark) -> DataFrame:
+    """Source rows at or below the ``watermark`` whose key the history does not
+    hold: they became visible after the window that should have had them, and
+    no later window will. (A row whose time is null waits; one without a key
+    cannot be looked up.)
+
+    The source keeps some days, the history years: so the late rows' keys go to
+    the history, not the other way. Their range skips files and row groups,
+    then a semi-join keeps the keys that are there: with a broadcast of the
+    late keys if their count allows it, else shuffled, where Spark itself puts
+    a Bloom filter of the smaller side on the history's scan. Only keys that are
+    in both sides reach the anti-join."""
+    late = source.where((F.col(ts_col) <= ts_literal(watermark)) & F.col(key).isNotNull())
+    keys = late.select(key).distinct()
+    b = late.agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    side = F.broadcast if b.n <= max_broadcast_rows(keys) else (lambda df: df)
+    held = history.where(F.col(key).between(F.lit(b.lo), F.lit(b.hi))).select(key).join(side(keys), key, "left_semi").distinct()
+    return late.join(side(held), key, "left_anti")
+
+
 def merge_counts(history: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """One row: rows extracted (staged), inserted and updated by the merge.
 

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as fx
 from ..functions.expr import format_second, parse_second, to_bool
-from ..operators import capture, listings, reports, sizing, users
+from ..operators import capture, intervals, listings, reports, sizing, spans, users, workload
 from ..schemas import SESSIONS, SESSIONS_PRE_620, align_schema
 from ..session import ensure_checkpoint_dir
 from ..sinks.export import export_text, read_export
-from ..sinks.store import SnapshotStore, default_root
+from ..sinks.tables import Tables, default_root
+from ..sources.catalog import read_mixed
 from ..sources.relstats import relation_stats
 from . import jobs
 
@@ -295,42 +296,123 @@ def q_relation_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return sizing.table_sizes(q_relation_stats(spark, sf))
 
 
-# --- the nightly jobs over a snapshot store ------------------------------
+def q_attribution_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Each statement with the userid that its user's name had at its time."""
+    return spans.attribute_as_of(all_statements(spark, sf), all_sessions(spark, sf), fx.user_spans(spark, sf))
+
+
+def q_user_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """The spans of the history before the run, advanced by the run's list."""
+    return spans.advance_spans(spans.spans_of(fx.users_history(spark, sf)), fx.staged_users(spark, sf), fx.RUN_TS)
+
+
+def q_missed_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements that the history never got though their time has passed."""
+    history = fx.statements_history_with_gaps(spark, sf)
+    low = capture.watermark_value(history, "endtime")
+    return capture.typed_statements(capture.missed_rows(fx.statements_src(spark, sf), history, "statementid", "endtime", low))
+
+
+SESSION_GAP_SECONDS = 6 * 3600
+
+
+def q_closed_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals.closed_sessions(all_sessions(spark, sf), all_statements(spark, sf), fx.RUN_TS, SESSION_GAP_SECONDS)
+
+
+def q_user_activity(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals.user_activity(all_sessions(spark, sf), fx.RUN_TS)
+
+
+INACTIVE_SECONDS = 12 * 3600
+
+
+def q_inactive_stretches(spark: SparkSession, sf: str) -> DataFrame:
+    return intervals.inactive_stretches(all_sessions(spark, sf), fx.users_history(spark, sf), fx.RUN_TS, INACTIVE_SECONDS)
+
+
+LONG_QUANTILE = 0.95
+LONG_LEAST_STATEMENTS = 20
+
+
+def q_unusually_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements above the 95 % duration of their database and user."""
+    owned = workload.owned_statements(all_statements(spark, sf), all_sessions(spark, sf))
+    by = ["dbname", "username"]
+    limits = workload.duration_thresholds(workload.duration_sketches(owned), by, LONG_QUANTILE)
+    return workload.unusually_long(owned, limits, by, LONG_LEAST_STATEMENTS)
+
+
+def q_pattern_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """Statements that match a table of patterns, one for each part."""
+    return workload.match_patterns(fx.statements_sql(spark, sf), "statement", "statementid", fx.search_patterns(spark, sf))
+
+
+SHAPES_SHOWN = 20
+
+
+def q_statement_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """The shapes that used most time, by database and over all."""
+    return workload.shape_report(workload.owned_statements(fx.statements_sql(spark, sf), all_sessions(spark, sf)), SHAPES_SHOWN)
+
+
+# --- the nightly jobs over their tables ---------------------------------
 #
-# Each builder runs the job eagerly into a fresh store under the session's
+# Each builder runs the job eagerly into fresh tables under the session's
 # shared checkpoint folder (a scratch folder only when the session has
 # none, as in tests), then returns the published table lazily.
 
 
-def fresh_store(spark: SparkSession) -> SnapshotStore:
+def fresh_tables(spark: SparkSession) -> Tables:
     ensure_checkpoint_dir(spark)
-    return SnapshotStore(default_root(spark, f"sysledger_runs/{uuid.uuid4().hex}"), new=True)
+    return Tables(default_root(spark, f"sysledger_runs/{uuid.uuid4().hex}"))
+
 
+SEEDS = {"statements_history": fx.statements_history, "sessions_history": fx.sessions_history, "users_history": fx.users_history}
 
-def _seeded(spark: SparkSession, sf: str, *names: str) -> SnapshotStore:
-    """A store holding the histories as captured up to the history cut."""
-    store = fresh_store(spark)
-    txn = store.begin(spark, fx.HISTORY_CUT)
-    if "statements_history" in names:
-        txn.merge("statements_history", fx.statements_history(spark, sf), "statementid")
-    if "sessions_history" in names:
-        txn.merge("sessions_history", align_schema(fx.sessions_history(spark, sf), SESSIONS), "sessionid")
-    if "users_history" in names:
-        txn.replace("users_history", fx.users_history(spark, sf))
-    txn.commit()
-    return store
 
+def _seeded(spark: SparkSession, sf: str, *names: str) -> Tables:
+    """Tables holding the histories as captured up to the history cut."""
+    tables = fresh_tables(spark)
+    for name in names:
+        tables.seed(spark, name, SEEDS[name](spark, sf))
+    return tables
 
-def _b1(spark: SparkSession, sf: str) -> tuple[SnapshotStore, DataFrame]:
+
+def _b1(spark: SparkSession, sf: str) -> tuple[Tables, DataFrame]:
     store = _seeded(spark, sf, "statements_history")
     return store, jobs.capture_statements(spark, store, fx.statements_src(spark, sf), fx.RUN_TS)
 
 
-def _b4(spark: SparkSession, sf: str) -> tuple[SnapshotStore, DataFrame]:
+def _b4(spark: SparkSession, sf: str) -> tuple[Tables, DataFrame]:
     store = _seeded(spark, sf, "sessions_history", "users_history")
     return store, jobs.capture_sessions_users(spark, store, fx.sessions_src(spark, sf), fx.users_src(spark, sf), fx.RUN_TS)
 
 
+def q_job_user_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """The user spans that the nightly run keeps."""
+    return _b4(spark, sf)[0].read(spark, "user_spans")
+
+
+def q_job_reconcile_statements(spark: SparkSession, sf: str) -> DataFrame:
+    """Late statements merged into a history that never got them."""
+    store = fresh_tables(spark)
+    store.seed(spark, "statements_history", fx.statements_history_with_gaps(spark, sf))
+    jobs.reconcile_statements(spark, store, fx.statements_src(spark, sf), fx.RUN_TS)
+    return store.read(spark, "statements_history")
+
+
+def q_mixed_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Session history in files of two versions: the files of three sessions
+    out of four lack the 6.20 columns. Every row is read."""
+    path = f"{fresh_tables(spark).root}/mixed_sessions"
+    rows = align_schema(fx.sessions_history(spark, sf), SESSIONS).withColumn("parentsessionid", F.col("sessionid") - 4)
+    turn = F.floor(F.col("sessionid") / 4) % 4
+    rows.where(turn < 3).select(*SESSIONS_PRE_620.fieldNames()).write.mode("append").parquet(path)
+    rows.where(turn == 3).write.mode("append").parquet(path)
+    return read_mixed(spark, path, SESSIONS)
+
+
 def q_job_capture_statements(spark: SparkSession, sf: str) -> DataFrame:
     store, _ = _b1(spark, sf)
     return store.read(spark, "statements_history")
@@ -409,7 +491,7 @@ def q_compact(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_export_text(spark: SparkSession, sf: str) -> DataFrame:
     listing = q_list_tables(spark, sf)
-    path = f"{fresh_store(spark).root}/export/list_tables"
+    path = f"{fresh_tables(spark).root}/export/list_tables"
     export_text(listing, path)
     return read_export(spark, path, listing.schema)
 

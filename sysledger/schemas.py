@@ -77,6 +77,14 @@ USER_COMPARED_COLUMNS = [c for c in USER_SOURCE_COLUMNS if c != "username"]
 USER_DBA_COLUMNS = ["connect_revoked_time", "exempt_activity_flag", "security_unique_id",
                     "email_address", "full_username"]
 
+# Which name a userid had when (valid_to not included, null while it lasts).
+USER_SPANS = T.StructType([
+    _field("username", T.StringType()),
+    _field("userid", T.IntegerType()),
+    _field("valid_from", T.TimestampNTZType()),
+    _field("valid_to", T.TimestampNTZType()),
+])
+
 RELATION_STATS = T.StructType([
     _field("owner_name", T.StringType()),
     _field("object_type", T.StringType()),
@@ -102,20 +110,24 @@ class Layout:
 
 LAYOUT = {
     "statements_new": Layout(key="statementid"),
+    "statements_late": Layout(key="statementid"),
     "statements_history": Layout(key="statementid", partition_by="end_date", partition_source="endtime"),
     "sessions_new": Layout(key="sessionid", replicated=True),
     "sessions_history": Layout(key="sessionid", partition_by="start_date", partition_source="starttime"),
     "users_new": Layout(key="username", replicated=True),
     "users_history": Layout(key="username", replicated=True),
+    "user_spans": Layout(key="username"),
 }
 
 SCHEMAS = {
     "statements_new": STATEMENTS,
+    "statements_late": STATEMENTS,
     "statements_history": STATEMENTS,
     "sessions_new": SESSIONS,
     "sessions_history": SESSIONS,
     "users_new": USERS,
     "users_history": USERS_HISTORY,
+    "user_spans": USER_SPANS,
 }
 
 

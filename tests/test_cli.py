@@ -13,7 +13,7 @@ from sysledger.operators import capture
 from sysledger.plans import scenarios as sc
 from sysledger.session import checkpoint_dir
 from sysledger.sinks.export import read_export
-from sysledger.sinks.store import SnapshotStore
+from sysledger.sinks.tables import Tables
 
 
 def same(a, b):
@@ -40,7 +40,7 @@ def test_capture_from_jdbc_source_pushes_the_window(spark, tmp_path):
     args = ["capture-statements", "--store", f"{root}/store", "--source", url, "--jdbc-table", "NC_ALL_STATEMENTS",
             "--jdbc-properties", str(props), "--run-ts", fx.RUN_TS]
     assert main(args, spark=spark) == 0
-    store = SnapshotStore(f"{root}/store")
+    store = Tables(f"{root}/store")
     got = store.read(spark, "statements_history")
     want = capture.extract_statements(fx.statements_src(spark, SF_SMALL), "2000-01-01 00:00:00", "2024-01-25 00:00:00")
     assert same(got, want)
@@ -64,7 +64,7 @@ def test_capture_reads_the_window_as_parallel_range_queries(spark, tmp_path):
             "--jdbc-properties", str(props), "--jdbc-partition-column", "STATEMENTID", "--jdbc-num-partitions", "4",
             "--run-ts", fx.RUN_TS]
     assert main(args, spark=spark) == 0
-    got = SnapshotStore(f"{root}/store").read(spark, "statements_history")
+    got = Tables(f"{root}/store").read(spark, "statements_history")
     want = capture.extract_statements(src, "2000-01-01 00:00:00", "2024-01-25 00:00:00")
     assert same(got, want)
 
@@ -77,7 +77,7 @@ def test_history_listings_and_compaction_from_the_store(spark, tmp_path):
     args = ["capture-sessions-users", "--store", store_root, "--sessions", f"{root}/src/sessions",
             "--users", f"{root}/src/users", "--run-ts", fx.RUN_TS]
     assert main(args, spark=spark) == 0
-    store = SnapshotStore(store_root)
+    store = Tables(store_root)
     sessions = store.read(spark, "sessions_history")
     assert main(["list", "sessions", "--store", store_root, "--since", fx.SINCE, "--out", f"{root}/ls"], spark=spark) == 0
     from sysledger.operators import listings
@@ -87,7 +87,57 @@ def test_history_listings_and_compaction_from_the_store(spark, tmp_path):
     assert main(["list", "users", "--store", store_root, "--out", f"{root}/lu"], spark=spark) == 0
     users = listings.list_users_history(store.read(spark, "users_history"))
     assert same(read_export(spark, f"{root}/lu", users.schema), users)
-    v = store.current_version(spark)
+    before = set(sessions.inputFiles())
     assert main(["compact", "--store", store_root, "--table", "sessions_history", "--rows-per-file", "100"], spark=spark) == 0
-    assert store.current_version(spark) == v + 1
-    assert same(store.read(spark, "sessions_history"), sessions)
+    assert not before & set(store.read(spark, "sessions_history").inputFiles())
+    assert same(store.read(spark, "sessions_history"), fx.sessions_src(spark, SF_SMALL).where("starttime < timestamp_ntz'2024-01-25'")
+                .selectExpr("*", "'PASSED' as status"))
+
+
+def test_user_commands_and_run_gaps(spark, tmp_path):
+    root = f"{checkpoint_dir(spark)}/cli-{uuid.uuid4().hex[:8]}"
+    fx.users_src(spark, SF_SMALL).write.parquet(f"{root}/src/users")
+    store_root = f"{root}/store"
+    store = Tables(store_root)
+    store.seed(spark, "users_history", fx.users_history(spark, SF_SMALL))
+    for night in ("2024-01-20 01:00:00", "2024-01-25 00:00:00.5"):
+        assert main(["sync-users", "--store", store_root, "--users", f"{root}/src/users", "--run-ts", night], spark=spark) == 0
+    assert store.read(spark, "users_history").where("username like 'office%'").count() == 25
+    sc.user_edits(spark, SF_SMALL).write.parquet(f"{root}/edits")
+    assert main(["edit-users", "--store", store_root, "--edits", f"{root}/edits"], spark=spark) == 0
+    assert store.read(spark, "users_history").where("email_address like 'staff%'").count() > 0
+    assert main(["run-gaps", "--store", store_root, "--out", f"{root}/gaps"], spark=spark) == 0
+    gaps = read_export(spark, f"{root}/gaps", "job string, gap_start timestamp_ntz, gap_end timestamp_ntz, gap_us long").collect()
+    assert [(r.job, r.gap_start.day, r.gap_end.day) for r in gaps] == [("sync_users", 20, 25)]
+
+
+def test_retries_late_rows_and_the_whole_catalog_over_jdbc(spark, tmp_path):
+    root = f"{checkpoint_dir(spark)}/cli-{uuid.uuid4().hex[:8]}"
+    url = f"jdbc:derby:memory:cli{uuid.uuid4().hex[:8]};create=true"
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    props = tmp_path / "db.properties"
+    props.write_text("driver=org.apache.derby.jdbc.EmbeddedDriver\n")
+
+    def put(df, name):
+        df.toDF(*[c.upper() for c in df.columns]).write.format("jdbc").option("url", url).option("dbtable", name).options(**driver).save()
+
+    put(fx.schemas(spark, SF_SMALL), "NC_ALL_SCHEMAS")
+    put(fx.tables(spark, SF_SMALL), "NC_ALL_TABLES")
+    put(fx.relstats(spark, SF_SMALL).toDF("OWNER_NAME", "OBJECT_TYPE", "DATABASE", "SCHEMA_NAME", "RELATION", "COMPRESSION_LEVEL", "UNCOMPRESSED_SIZE"),
+        "SIZES")
+    jdbc = ["--jdbc-properties", str(props), "--catalog", url, "--catalog-schema", "APP"]
+    assert main(["list", "tables", "--out", f"{root}/tables", *jdbc], spark=spark) == 0
+    want = sc.q_list_tables(spark, SF_SMALL)
+    assert same(read_export(spark, f"{root}/tables", want.schema), want)
+    sizes = "(SELECT S.*, S.SCHEMA_NAME AS \"SCHEMA\" FROM SIZES S) sized"
+    assert main(["list", "sizes", "--out", f"{root}/sizes", "--jdbc-table", sizes, *jdbc], spark=spark) == 0
+    want = sc.q_table_sizes(spark, SF_SMALL)
+    assert same(read_export(spark, f"{root}/sizes", want.schema), want)
+
+    put(sc.retried_statements(spark, SF_SMALL), "NC_ALL_STATEMENTS")
+    store = Tables(f"{root}/store")
+    store.seed(spark, "statements_history", fx.statements_history_with_gaps(spark, SF_SMALL))
+    source = ["--store", f"{root}/store", "--source", url, "--jdbc-table", "NC_ALL_STATEMENTS", "--jdbc-properties", str(props), "--run-ts", fx.RUN_TS]
+    assert main(["capture-statements", *source, "--keep-last-retry"], spark=spark) == 0
+    got = store.read(spark, "statements_history")
+    assert got.where("retrynum = 3").count() > 0 and got.groupBy("statementid").count().where("count > 1").count() == 0

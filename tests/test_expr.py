@@ -125,3 +125,38 @@ def test_bytes_to_mb_overflow_fails_without_ansi(spark):
             spark.sql(f"select cast({most + 2**20} as decimal(38,0)) as s").select(X.bytes_to_mb("s")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_export_tells_null_from_empty_text(spark):
+    import uuid
+
+    from sysledger.session import checkpoint_dir
+    from sysledger.sinks.export import export_text, read_export
+
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "a|b\"c"), (4, " ")], "id int, name string")
+    path = f"{checkpoint_dir(spark)}/export-{uuid.uuid4().hex[:8]}"
+    export_text(df, path)
+    assert sorted(map(tuple, read_export(spark, path, df.schema).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_files_of_mixed_versions_read_as_one_table(spark):
+    import uuid
+
+    from sysledger.schemas import SESSIONS, SESSIONS_PRE_620
+    from sysledger.session import checkpoint_dir
+    from sysledger.sources.catalog import read_mixed
+
+    path = f"{checkpoint_dir(spark)}/mixed-{uuid.uuid4().hex[:8]}"
+    old = spark.range(5).selectExpr("cast(id as int) as sessionid", "'old' as username", "'x' as dba_note")  # narrower, fewer, one more
+    new = spark.range(5, 9).selectExpr("id as sessionid", "'new' as username", "id as parentsessionid")
+    old.write.mode("append").parquet(path)
+    new.write.mode("append").parquet(path)
+    got = read_mixed(spark, path, SESSIONS)
+    assert got.schema.fieldNames() == SESSIONS.fieldNames()
+    rows = sorted((r.sessionid, r.username, r.parentsessionid, r.status) for r in got.collect())
+    assert rows == [(i, "old", None, None) for i in range(5)] + [(i, "new", i, None) for i in range(5, 9)]
+    old.withColumn("sessionid", old["sessionid"].cast("long")).write.mode("append").parquet(f"{path}-b")
+    new.write.mode("append").parquet(f"{path}-b")
+    extra = read_mixed(spark, f"{path}-b", SESSIONS_PRE_620, keep_extra=True)
+    assert set(extra.columns) == {*SESSIONS_PRE_620.fieldNames(), "dba_note", "parentsessionid"}
+    assert sorted((r.sessionid, r.dba_note) for r in extra.collect())[:6] == [(i, "x") for i in range(5)] + [(5, None)]

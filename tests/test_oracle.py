@@ -49,3 +49,15 @@ def test_column_types_match_oracle(spark, duck, name):
                    for f in df.schema.fields}
     duck_types = {r[0]: r[1] for r in duck.execute("describe " + E.oracle_sql()[name]).fetchall()}
     assert spark_types == duck_types
+
+
+@pytest.mark.parametrize("absent", ["ahocorasick", "tiktoken", "public_tokenizers", "sysledger.llm", "corpus_pipeline"])
+def test_the_rest_is_registered_without_the_corpus_part(absent):
+    """In a fresh interpreter where one of its imports fails."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"import sys; sys.modules[{absent!r}] = None; import __spark_entry__ as E; print(len(E.queries()), bool(E.CORPUS_MISSING), 'pipeline' in E.queries())"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[1], check=True).stdout.split()
+    assert out == [str(len(QUERIES)), "True", "False"]
