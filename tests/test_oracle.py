@@ -51,7 +51,7 @@ def test_column_types_match_oracle(spark, duck, name):
     assert spark_types == duck_types
 
 
-@pytest.mark.parametrize("absent", ["ahocorasick", "tiktoken", "public_tokenizers", "sysledger.llm", "corpus_pipeline"])
+@pytest.mark.parametrize("absent", ["ahocorasick", "public_tokenizers", "sysledger.llm", "corpus_pipeline"])
 def test_the_rest_is_registered_without_the_corpus_part(absent):
     """In a fresh interpreter where one of its imports fails."""
     import subprocess
