@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, materialise, scratch
+from .common import BROADCAST_BYTES, SPACES, broadcast_bytes, materialise, scratch
 
 ROWS_PER_SENDER = 250_000
 ROWS_PER_OWNER = 250_000
@@ -239,14 +239,26 @@ def exact_dedup(docs: DataFrame, slack_bits: int = 16, filter_bits: int = 1 << 2
 
 
 def drop_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each class of equal texts, all its columns."""
-    keep = exact_dedup(docs, **options).where("kept").select(
-        F.col("keep_id").alias("__keep_id"), F.unhex("text_sha256").alias("__digest"), "group_size")
-    keyed = docs.withColumn("__digest", F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256)))
-    found = keyed.join(keep.withColumnRenamed("group_size", "__size"), "__digest").where(
-        F.col("doc_id").cast("long").eqNullSafe(F.col("__keep_id")))
-    # only rows that repeat both id and text are left over; they lie in
-    # classes of more than one row
-    alone = found.where("__size = 1")
-    copies = found.where("__size > 1").dropDuplicates(["__digest"])
-    return alone.unionByName(copies).select(*docs.columns)
+    """``docs`` with one row of each class of equal texts, all its columns.
+
+    What goes is named by narrow rows, (doc_id, digest), which are broadcast if
+    their measured size allows it: then no text is shuffled. Rows that repeat
+    both the id and the text of a row that stays are told apart in a second
+    step, on these rows alone."""
+    folder = scratch(docs.sparkSession, "drop-copies")
+    named = [F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__digest")]
+    copies = materialise(exact_dedup(docs, **options).where("group_size > 1"), "copies", folder)
+    gone = materialise(copies.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(*named).distinct(), "gone", folder)
+    heads = copies.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy(*named).count()
+    repeated = materialise(heads.where(F.col("count") > 1).select("__id", "__digest"), "repeated", folder)
+    digest = F.unhex(F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    keyed = docs.withColumn("__own", digest)
+
+    def same(df: DataFrame) -> tuple[DataFrame, Column]:
+        side = F.broadcast(df) if broadcast_bytes(df) <= BROADCAST_BYTES else df
+        return side, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__digest"))
+
+    kept = keyed.join(*same(gone), "left_anti")
+    once = kept.join(*same(repeated), "left_anti")
+    again = kept.join(*same(repeated), "left_semi").dropDuplicates(["__own"])
+    return once.unionByName(again).select(*docs.columns)

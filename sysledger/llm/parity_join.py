@@ -12,12 +12,25 @@ so every linked pair has an equal part. A document emits its parts' keys in
 its own band, and in the next one if it is large enough to be the smaller
 partner there. Documents that share a key are compared.
 
-A part with no more than one odd bit says little, so it is joined with the
-part after it, cut in four: it emits four keys, each of itself and three
-quarters of the next. Nothing is lost: if j parts are equal and all of them are
-that thin, the other K + 1 - j parts differ in K bits at most, so at most j - 1
-of them in more than one; the j parts that follow the equal ones are different
-parts, so one of these differs in one bit at most and has three equal quarters.
+A key must tell more documents apart than there are, or unrelated ones meet by
+chance: of n rows, it needs log2(n) + ``SLACK_BITS`` bits. So parts are that many
+bits' worth of places wide (only the odd ones are ever held), and one odd bit
+says enough. As that may be a phrase that many documents use, a part with fewer
+than ``ODD_BITS`` is joined with parts that follow, and there are E parts more
+than K + 1 so that empty ones can be left out. No link is lost:
+
+- Let part i differ in d_i bits, K at most in all. In a ring, the K + 1 + E
+  numbers 1 - d_i sum up to 1 + E or more, so there are at least 1 + E places
+  from which on all partial sums are 1 or more (cycle lemma). At such a place
+  the part is equal, the next one differs in one bit at most, and the next two
+  in two at most: of two halves of the next one is equal, and of three thirds
+  of the one after it one is.
+- A document with at most E empty parts emits nothing at these. At most E of a
+  pair's places are lost by that, so one is left, at a part that is not empty.
+- A part with enough odd bits is a key. Another emits two, each with a half of
+  the next part, and where such a key still has too few, three in its place,
+  each with a third of the part after that. What is equal on both sides decides
+  which.
 
 Equal sets are put together first, so a text with any number of copies is one
 member. Within a bucket (the members that share a key) not all pairs are
@@ -64,10 +77,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch
+from .common import BROADCAST_BYTES, broadcast_bytes, materialise, scratch
 
 BAND_RATIO = 1.4
-SKETCH_BITS_PER_SHINGLE = 16
+SLACK_BITS = 10
+ODD_BITS = 2
+SPARE_PARTS = 0.15  # E is this share of K + 1, and MORE_PARTS
+MORE_PARTS = 3
 SMALL_BUCKET = 8
 TASK_BUCKET = 1000
 ROWS_PER_CALL = 20_000
@@ -175,39 +191,46 @@ class Bands:
         return out
 
 
-def band_keys(shingles: np.ndarray, band: int, bands: Bands) -> np.ndarray:
+def bits_needed(rows: int) -> float:
+    return float(np.log2(max(rows, 1))) + SLACK_BITS
+
+
+def band_keys(shingles: np.ndarray, band: int, bands: Bands, need: float) -> np.ndarray:
     """The keys that a set emits in a band."""
-    parts = bands.most(band) + 1
-    # d places, the same for all sets of the band, a multiple of the parts
-    width = -(-SKETCH_BITS_PER_SHINGLE * bands.low(band + 1) // parts)
-    width += -width % 4
+    most = bands.most(band)
+    spare = int(np.ceil(SPARE_PARTS * (most + 1))) + MORE_PARTS if most else 0
+    parts = most + 1 + spare
+    width = 6 * int(np.ceil(2**need / 6))  # halves and thirds are whole
     place, flips = np.unique(_mix(shingles ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(width * parts), return_counts=True)
     odd = place[flips % 2 == 1]
     tag = _mix(np.array([(band << 32) + parts], dtype=np.uint64))[0]
     seal = _mix((odd + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + tag)
-    part = (odd // np.uint64(width)).astype(np.int64)
-    quarter = ((odd % np.uint64(width)) * np.uint64(4) // np.uint64(width)).astype(np.int64)
-    by_quarter = np.zeros(parts * 4, dtype=np.uint64)
-    np.bitwise_xor.at(by_quarter, part * 4 + quarter, seal)
-    by_quarter = by_quarter.reshape(parts, 4)
-    by_part = np.bitwise_xor.reduce(by_quarter, axis=1)
-    number = np.arange(parts, dtype=np.uint64)
-    thin = np.bincount(part, minlength=parts) <= 1
-    if parts == 1:
-        thin[:] = False  # the whole sketch; there is no next part
-    keys = [_mix(by_part[~thin] + _mix(number[~thin] * np.uint64(8) + tag))]
-    at = np.flatnonzero(thin)
+    by_half, by_third = np.zeros((parts, 2), dtype=np.uint64), np.zeros((parts, 3), dtype=np.uint64)
+    half = (odd // np.uint64(width // 2)).astype(np.int64)
+    np.bitwise_xor.at(by_half.reshape(-1), half, seal)
+    np.bitwise_xor.at(by_third.reshape(-1), (odd // np.uint64(width // 3)).astype(np.int64), seal)
+    by_part = by_half[:, 0] ^ by_half[:, 1]
+    n_half = np.bincount(half, minlength=parts * 2).reshape(parts, 2)
+    n_part = n_half.sum(axis=1)
+    number = np.arange(parts, dtype=np.uint64) * np.uint64(16)
+    full = (n_part >= ODD_BITS) | (parts == 1)  # one part is the whole sketch
+    keys = [_mix(by_part[full] + _mix(number[full] + tag))]
+    empty = n_part == 0
+    at = np.flatnonzero(~full & ~empty if empty.sum() <= spare else ~full)
     if len(at):
         own = _mix(by_part[at] + tag)
-        following = (at + 1) % parts
-        for q in range(4):
-            rest = by_part[following] ^ by_quarter[following, q]
-            keys.append(_mix(own + rest + _mix(number[at] * np.uint64(8) + np.uint64(q + 1) + tag)))
+        one, two = (at + 1) % parts, (at + 2) % parts
+        for h in range(2):
+            longer = _mix(own + by_half[one, h] + _mix(number[at] + np.uint64(1 + h) + tag))
+            short = n_part[at] + n_half[one, h] < ODD_BITS
+            keys.append(longer[~short])
+            for t in range(3):
+                keys.append(_mix(longer[short] + by_third[two[short], t] + np.uint64(4 + t)))
     return np.concatenate(keys)
 
 
-def keys_of(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    return np.concatenate([band_keys(shingles, b, bands) for b in bands.of(len(shingles))]).view(np.int64)
+def keys_of(shingles: np.ndarray, bands: Bands, need: float = bits_needed(1 << 20)) -> np.ndarray:
+    return np.concatenate([band_keys(shingles, b, bands, need) for b in bands.of(len(shingles))]).view(np.int64)
 
 
 # --- a filter of fixed size over keys ----------------------------------------
@@ -298,7 +321,7 @@ def _twice(owners: int):
 # --- the join ---------------------------------------------------------------
 
 
-def _sketch(percent: int, width: int):
+def _sketch(percent: int, width: int, need: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
@@ -307,7 +330,7 @@ def _sketch(percent: int, width: int):
                 s = shingle_set(text, width)
                 sizes.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                keys.append(keys_of(s, bands) if len(s) and named else None)
+                keys.append(keys_of(s, bands, need) if len(s) and named else None)
                 short.append(_short_sketch(s))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
@@ -542,7 +565,8 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     spark: SparkSession = docs.sparkSession
     folder = scratch(spark, "parity-join")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = materialise(texts.mapInArrow(_sketch(percent, width), "doc_id long, n_shingles long, print binary, keys array<long>, sketch array<long>"), "sketches", folder)
+    need = bits_needed(docs.count())
+    rows = materialise(texts.mapInArrow(_sketch(percent, width, need), "doc_id long, n_shingles long, print binary, keys array<long>, sketch array<long>"), "sketches", folder)
 
     # equal sets: the smallest id stands for all of them
     named = rows.where("doc_id is not null and n_shingles > 0")
@@ -609,7 +633,10 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
 
 def drop_near_copies(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """``docs`` with one document of each component (the one the component is
-    named after), all its columns. Documents without words or id stay."""
-    found = materialise(jaccard_components(docs, percent, width), "near-copies")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    named after), all its columns. Documents without words or id stay. The ids
+    that go are broadcast if their number allows it, so texts stay where they
+    are; else both sides are shuffled."""
+    found = jaccard_components(docs, percent, width)
+    gone = materialise(found.where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
+    side = F.broadcast(gone) if broadcast_bytes(gone) <= BROADCAST_BYTES else gone
+    return docs.join(side, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

@@ -107,3 +107,38 @@ def test_drop_near_copies(spark):
     left = drop_near_copies(docs)
     assert left.columns == docs.columns
     assert {r.doc_id for r in left.collect()} == set(components(sets, 80).values())
+
+
+@pytest.mark.parametrize("percent, rows", [(80, 1000), (80, 10**10), (90, 10**6)])
+def test_linked_pairs_share_a_key_at_every_table_size(percent, rows):
+    """Pairs that differ in exactly the most they may, where no key is to spare."""
+    rng = np.random.default_rng(rows % 997)
+    bands, need = Bands(percent), parity_join.bits_needed(rows)
+    for n in [*range(2, 40), 60, 111, 300, 900]:
+        for _ in range(20):
+            base = np.unique(rng.integers(0, 1 << 63, 3 * n + 9).astype(np.uint64))
+            rng.shuffle(base)
+            most = 2 * n * (100 - percent) // (100 + percent)
+            drop = int(rng.integers(0, most + 1))
+            a, b = base[:n], base[drop:n]
+            add = 0
+            while 100 * (n - drop) >= percent * (n + add + 1):
+                add += 1
+            b = np.concatenate([b, base[n:n + add]])
+            if len(b) and 100 * (n - drop) >= percent * (n + add):
+                assert len(np.intersect1d(keys_of(np.sort(a), bands, need), keys_of(np.sort(b), bands, need))), (n, drop, add)
+
+
+def test_shared_keys_grow_with_the_rows_not_with_their_square():
+    """Unrelated sets meet by chance in few keys, at every number of them."""
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, int(rng.integers(20, 600))).astype(np.uint64)) for _ in range(4000)]
+    bands = Bands(80)
+    shared, emitted = {}, {}
+    for n in (1000, 2000, 4000):
+        keys = [np.unique(keys_of(s, bands, parity_join.bits_needed(n))) for s in sets[:n]]
+        every = np.concatenate(keys)
+        _, counts = np.unique(every, return_counts=True)
+        shared[n], emitted[n] = int(counts[counts > 1].sum()), len(every)
+    assert emitted[4000] < 0.9 * sum(map(len, sets))
+    assert shared[4000] < 0.1 * 4000 and shared[4000] < 4 * max(shared[2000], 40) < 16 * max(shared[1000], 40)
