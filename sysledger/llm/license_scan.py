@@ -1,23 +1,34 @@
-"""Licence scan: header lines against templates, then inheritance by folder.
-
-1. Every line of a file is a vector of its words, weighted by tf x idf, with
-   idf over the collection of templates (a word of no template gets the idf of
-   a word that one template at most would have). Its licence is the template
-   with the highest cosine, if that reaches ``threshold``.
-2. Lines that cannot reach it are never scored: of each template, the heaviest
-   words are marked until the rest alone has a norm below ``threshold`` of the
-   whole. A line without any marked word of a template then has a lower cosine
-   with it, so lines without any marked word are left out without loss.
-3. Lines that repeat are scored once; vectors are sparse rows (line, word).
-4. A file's own licence is that of its best line. Licence files (by name:
-   LICENSE, LICENCE, COPYING, NOTICE, with any extension) lend theirs to their
-   folder. A file without an own licence takes that of the nearest folder
-   above it that has one: folders, not files, are joined with their ancestors.
-
-Column functions only. The templates are a fixed list below; what is sent to
-every task is made from them alone.
-
-Defined cases: a null or empty text has no lines; a null path is a file at the
+"""Licence scan: headers and licence files against templates, then inheritance
+by folder.
+
+1. A file's units are its sentences (lines, cut where a sentence ends), its
+   paragraphs of several lines (a file's header is one, without its comment
+   signs), and, of a licence file, the whole text. Licence files are known by
+   name: LICENSE, LICENCE, COPYING, NOTICE, with any extension.
+2. A unit is a vector of its words, (1 + ln tf) x idf, with idf over the
+   templates: titles, one-line notices, standard headers and whole texts
+   (``license_texts``). A word of no template has the mean idf of the
+   templates' words. The
+   unit's licence is that of the template with the highest cosine, if that
+   reaches ``threshold``.
+3. An ``SPDX-License-Identifier`` line names its licence itself: the first
+   identifier of it that the templates know, without ``-only``, ``-or-later``
+   and ``+``.
+4. Only units with a licence word (``LICENCE_WORDS``: licence, permission,
+   warranty, GPL, CC0 and the like; every template has one) are scored, so that
+   the German "mit" is no licence. Texts without any are not cut into units.
+5. Units that repeat are scored once; vectors are sparse rows (unit, word).
+6. A file's own licence is what an identifier names, or that of its best unit.
+   Licence files lend theirs to their folder. A file without an own licence
+   takes that of the nearest folder above it that has one: folders, not files,
+   are joined with their ancestors.
+
+Column functions only. The templates are a fixed list; what is sent to every
+task is made from them alone. A unit that a third of all files hold is one row
+after a sum in the scan's tasks, and its licence comes back by a broadcast
+(``common.join_totals``).
+
+Defined cases: a null or empty text has no units; a null path is a file at the
 root that inherits from the root; ties between templates or licence files go
 to the name that sorts last; rows that repeat are files each; an empty table
 gives an empty result; other columns are not read.
@@ -32,87 +43,79 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch
-
-# Notices by which licences are declared, under the public
-# licence identifiers.
-TEMPLATES = [
-    ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Artistic-2.0", "Distributed under the Artistic License 2.0."),
-    ("BSD-2-Clause", "Redistribution and use permitted under the BSD 2-Clause License."),
-    ("BSD-3-Clause", "Redistribution and use permitted under the BSD 3-Clause License."),
-    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
-    ("EPL-2.0", "Made available under the Eclipse Public License 2.0."),
-    ("EUPL-1.2", "Licensed under the European Union Public Licence, version 1.2."),
-    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("ISC", "Released under the ISC License."),
-    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-    ("MPL-2.0", "This source is subject to the terms of the Mozilla Public License, version 2.0."),
-    ("Unlicense", "Free and unencumbered software released into the public domain, the Unlicense."),
-    ("Zlib", "Released under the zlib License."),
-]
-THRESHOLD = 0.75
+from .common import join_totals, materialise, scratch
+from .license_texts import TEMPLATES
+
+THRESHOLD = 0.65
+LICENCE_WORDS = (r"(?i)licen[cs]e|spdx|gpl|creative commons|\bcc[ -]?(?:by|0)|public domain|permission|permitted|redistribut|warrant|copyright"
+                 r"|no event|this software")
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 # a word: letters and digits, and dots between digits (2.0)
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
+# what comments begin and end lines with
+COMMENT = r"(?m)^[ \t]*(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--+)[ \t]*|[ \t]*(?:\*+/|--+>)[ \t]*$"
+SENTENCE_END = r"(?<=[.;!])[ \t]+(?=[A-Z(])"
+PARAGRAPH_END = r"\n[ \t\r]*\n"
+SPDX = r"(?i)spdx-license-identifier:[ \t]*([^\n]*)"
+SPDX_ID = r"[a-z0-9][a-z0-9.-]*"
+SPDX_TAIL = r"-only$|-or-later$|[+]$"
 
 
 class Model:
     """Weights of the templates' words."""
 
-    def __init__(self, templates: list[tuple[str, str]], threshold: float):
-        counts = {name: Counter(re.findall(WORD, text.lower())) for name, text in templates}
-        df = Counter(w for c in counts.values() for w in c)
+    def __init__(self, templates: list[tuple[str, str]]):
+        counts = [(name, Counter(re.findall(WORD, text.lower()))) for name, text in templates]
+        df = Counter(w for _, c in counts for w in c)
         n = len(counts)
-        self.idf = {w: math.log((n + 1) / (k + 1)) + 1 for w, k in sorted(df.items())}
-        self.other = math.log((n + 1) / 2) + 1
-        self.rows: list[tuple[str, str, float]] = []  # (word, template, weight of unit length)
-        self.marked: set[str] = set()
-        for name, c in counts.items():
-            weights = {w: k * self.idf[w] for w, k in c.items()}
+        self.idf = {w: math.log((n + 1) / (k + 1)) + 0.1 for w, k in sorted(df.items())}
+        self.other = sum(k * self.idf[w] for w, k in df.items()) / sum(df.values())
+        self.rows: list[tuple[str, int, str, float]] = []  # (word, template, licence, weight of unit length)
+        for number, (name, c) in enumerate(counts):
+            weights = {w: (1 + math.log(k)) * self.idf[w] for w, k in c.items()}
             norm = math.sqrt(sum(x * x for x in weights.values()))
-            self.rows += [(w, name, x / norm) for w, x in sorted(weights.items())]
-            rest = 1.0
-            for w, x in sorted(weights.items(), key=lambda e: (-self.idf[e[0]], e[0])):
-                if math.sqrt(max(0.0, rest)) < threshold - 1e-9:
-                    break
-                self.marked.add(w)
-                rest -= (x / norm) ** 2
+            self.rows += [(w, number, name, x / norm) for w, x in sorted(weights.items())]
+        self.names = {name.lower(): name for name, _ in templates}
+
 
+def units_of(text: Column, whole: Column) -> Column:
+    """The units of a text; ``whole``: whether the text itself is one."""
+    bare = F.regexp_replace(text, COMMENT, "")
+    sentences = F.flatten(F.transform(F.split(bare, "\n"), lambda line: F.split(line, SENTENCE_END)))
+    paragraphs = F.filter(F.split(bare, PARAGRAPH_END), lambda p: F.trim(p).contains("\n"))
+    return F.concat(sentences, paragraphs, F.when(whole, F.array(bare)).otherwise(F.array().cast("array<string>")))
 
-def _marked(line: Column, model: Model) -> Column:
-    return F.lower(line).rlike(r"(?<![a-z0-9])(" + "|".join(re.escape(w) for w in sorted(model.marked)) + r")(?![a-z0-9])")
+
+def spdx_licence(text: Column, names: dict[str, str]) -> Column:
+    """What the first identifier line of a text names, if the templates know it."""
+    said = F.regexp_extract_all(F.lower(F.regexp_extract(text, SPDX, 1)), F.lit(SPDX_ID), F.lit(0))
+    known = F.transform(said, lambda w: F.regexp_replace(w, SPDX_TAIL, ""))
+    table = F.create_map(*[F.lit(x) for pair in sorted(names.items()) for x in pair])
+    return F.get(F.filter(F.transform(known, lambda w: F.try_element_at(table, w)), lambda n: n.isNotNull()), F.lit(0))
 
 
 def _words(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0))
 
 
-def score_lines(lines: DataFrame, model: Model, threshold: float) -> DataFrame:
-    """line_id, licence, score of the distinct ``lines`` (line_id, line) whose
-    best cosine reaches the threshold."""
-    spark = lines.sparkSession
-    weights = spark.createDataFrame(model.rows, "word string, licence string, weight double")
+def score_units(units: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """unit_id, n, licence, score of the distinct ``units`` (unit_id, n, unit)
+    whose best cosine reaches the threshold."""
+    spark = units.sparkSession
+    weights = spark.createDataFrame(model.rows, "word string, template int, licence string, weight double")
     idf = spark.createDataFrame(list(model.idf.items()), "word string, idf double")
-    tf = lines.select("line_id", F.explode(_words(F.col("line"))).alias("word")).groupBy("line_id", "word").agg(F.count("*").alias("tf"))
+    tf = units.select("unit_id", F.explode(_words(F.col("unit"))).alias("word")).groupBy("unit_id", "word").agg(F.count("*").alias("tf"))
     vector = tf.join(F.broadcast(idf), "word", "left").select(
-        "line_id", "word", (F.col("tf") * F.coalesce("idf", F.lit(model.other))).alias("x"))
-    # the length of a line and its products with the templates in one sum
-    terms = vector.join(F.broadcast(weights.groupBy("word").agg(F.collect_list(F.struct("licence", "weight")).alias("in"))), "word", "left")
-    norm = terms.groupBy("line_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = (terms.select("line_id", "x", F.explode("in").alias("t")).groupBy("line_id", "t.licence").agg(F.sum(F.col("x") * F.col("t.weight")).alias("dot")))
+        "unit_id", "word", ((1 + F.log("tf")) * F.coalesce("idf", F.lit(model.other))).alias("x"))
+    inside = weights.groupBy("word").agg(F.collect_list(F.struct("template", "weight")).alias("in"))  # one word's templates: a fixed list
+    terms = vector.join(F.broadcast(inside), "word", "left")
+    norm = terms.groupBy("unit_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
+    dots = terms.select("unit_id", "x", F.explode("in").alias("t")).groupBy("unit_id", "t.template").agg(F.sum(F.col("x") * F.col("t.weight")).alias("dot"))
     cosine = F.round(F.col("dot") / F.col("norm"), 9)  # so that equal ones tie
-    return dots.join(norm, "line_id").select("line_id", "licence", cosine.alias("score")).where(F.col("score") >= threshold).groupBy("line_id").agg(
-        F.max(F.struct("score", "licence")).alias("best")).select("line_id", "best.licence", "best.score")
+    named = weights.select("template", "licence").distinct()
+    best = dots.join(norm, "unit_id").select("unit_id", "template", cosine.alias("score")).where(F.col("score") >= threshold).join(
+        F.broadcast(named), "template").groupBy("unit_id").agg(F.max(F.struct("score", "licence")).alias("best"))
+    return units.select("unit_id", "n").join(best, "unit_id").select("unit_id", "n", "best.licence", "best.score")
 
 
 def inherit(files: DataFrame) -> DataFrame:
@@ -137,21 +140,27 @@ def inherit(files: DataFrame) -> DataFrame:
 def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """A row for each row of ``files`` (doc_id, path, text): doc_id, path,
     own_licence, own_score, licence, kind, licence_folder."""
-    model = Model(templates, threshold)
+    model = Model(templates)
     folder = scratch(files.sparkSession, "licences")
     path = F.coalesce(F.col("path"), F.lit(""))
-    hits = F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x: _marked(x, model))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    is_licence = F.regexp_extract(path, "([^/]*)$", 1).rlike(LICENCE_FILE)
+    units = F.when(text.rlike(LICENCE_WORDS), F.filter(units_of(text, is_licence), lambda x: x.rlike(LICENCE_WORDS)))
     rows = materialise(files.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "path", F.regexp_replace(path, "/?[^/]*$", "").alias("folder"),
-        F.regexp_extract(path, "([^/]*)$", 1).rlike(LICENCE_FILE).alias("is_licence_file"),
-        F.monotonically_increasing_id().alias("row_id"), hits.alias("hits")), "rows", folder)
-    found = rows.select("row_id", F.explode("hits").alias("line")).select("row_id", F.md5("line").alias("line_id"), "line")
-    # one row for each distinct line; copies of a frequent one are summed up first
-    distinct = found.groupBy("line_id").agg(F.first("line").alias("line"))
-    scored = materialise(score_lines(distinct, model, threshold), "lines", folder)
-    own = found.select("row_id", "line_id").join(scored, "line_id").groupBy("row_id").agg(F.max(F.struct("score", "licence")).alias("best")).select(
-        "row_id", F.col("best.licence").alias("own_licence"), F.col("best.score").alias("own_score"))
-    files_ = materialise(rows.drop("hits").join(own, "row_id", "left"), "files", folder)
+        F.col("doc_id").cast("long").alias("doc_id"), "path", F.regexp_replace(path, "/?[^/]*$", "").alias("folder"), is_licence.alias("is_licence_file"),
+        F.monotonically_increasing_id().alias("row_id"), spdx_licence(text, model.names).alias("named"), F.array_distinct(units).alias("units")),
+        "rows", folder)
+    found = rows.select("row_id", F.explode("units").alias("unit")).select("row_id", F.md5("unit").alias("unit_id"), "unit")
+    # one row for each distinct unit; copies of a frequent one are summed up first
+    distinct = materialise(found.groupBy("unit_id").agg(F.first("unit").alias("unit"), F.count("*").alias("n")), "units", folder)
+    scored = score_units(distinct, model, threshold)
+    holders = distinct.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    own = join_totals(found.select("row_id", "unit_id"), scored, ["unit_id"], holders, folder, "scored", "inner").groupBy("row_id").agg(
+        F.max(F.struct("score", "licence")).alias("best")).select("row_id", F.col("best.licence").alias("best_licence"), F.col("best.score").alias("best_score"))
+    by_name = F.col("named").isNotNull()
+    files_ = materialise(rows.drop("units").join(own, "row_id", "left").select(
+        "doc_id", "path", "folder", "is_licence_file", F.coalesce("named", "best_licence").alias("own_licence"),
+        F.when(by_name, F.lit(1.0)).otherwise(F.col("best_score")).alias("own_score")), "files", folder)
     return inherit(files_).select("doc_id", "path", "own_licence", "own_score", "licence", "kind", "licence_folder")
 
 
