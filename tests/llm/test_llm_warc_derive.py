@@ -1,9 +1,15 @@
+import gzip
 import hashlib
+import time
+import zlib
 from collections import Counter
 
+import pytest
+import zstandard
 from corpus_cases import SF, with_clashes
 
-from sysledger.llm.warc_derive import derivatives, derive, digest, parse, plain_text, response_records, serialise
+from sysledger.llm import warc_derive
+from sysledger.llm.warc_derive import Page, derivatives, derive, digest, parse, plain_text, response_records, serialise
 
 
 def pages(spark):
@@ -87,3 +93,72 @@ def test_edges(spark):
     bad = spark.createDataFrame([(1, None), (2, bytearray(b"")), (3, bytearray(b"no record")), (4, bytearray(serialise([("WARC-Type", "request")], b"GET")))],
                                 "page_id long, record binary")
     assert derivatives(bad).collect() == []
+
+
+HTML = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8"
+
+
+@pytest.mark.parametrize("piece", ["<p ", "<title ", "<a href=", "<html lang", "<!-- ", "<script>", "</", "<a x=\"", "<a x='", "<head>", "<style", "< ", "&#",
+                                   "<p x=\"'>", "<a href='\"", "<title>", "</title", "<meta "])
+def test_hostile_pages_take_linear_time(piece):
+    start = time.time()
+    Page(piece * (10_000_000 // len(piece))).text()
+    warc_derive._meta_charset((piece * (10_000_000 // len(piece))).encode())
+    assert time.time() - start < 8
+
+
+def test_quotes_and_odd_tags():
+    assert plain_text("<a title=\"x > y\" href=z>link</a>") == "link"
+    assert plain_text("<p title='a\"b>c'>t") == "t" and plain_text("<p title=it's>t<b>u") == "tu"
+    assert plain_text("<p title=\"open>t<p>u") == "t\nu"  # the quote never ends: an ordinary character
+    assert plain_text("1 <2 and 3> 1, a<b>c</b>") == "1 <2 and 3> 1, ac"
+    assert plain_text("x<!doctype html><?php echo?>y</>z<!-- <p> --><br/>w") == "xyz\nw"
+    assert plain_text("a<SCRIPT>if (a</b>c) '</p>'</Script >b<style>x") == "ab"
+    assert plain_text("<title>one</title><p>two<svg><title>three</title></svg>") == "one\ntwo\nthree"
+    page = Page("<HTML LANG='pt-BR'><a name=x><a class=\"a\" HREF = 'y'>z</a><a data-href=q></a><link href=u>")
+    assert (page.links, page.language) == (1, "pt-br")
+
+
+def test_transfer_and_content_codings():
+    text = "<title>T</title><p>" + "é text " * 5000
+    raw = text.encode()
+    plain = derive(response(raw, http=HTML))[1][7]
+    assert plain.startswith("T\né text")
+    codings = {"gzip": gzip.compress(raw), "x-gzip": gzip.compress(raw), "deflate": zlib.compress(raw), "zstd": zstandard.compress(raw),
+               "identity": raw, "deflate, gzip": gzip.compress(zlib.compress(raw)), "GZIP": gzip.compress(raw[:99]) + gzip.compress(raw[99:])}
+    for name, body in codings.items():
+        assert derive(response(body, http=f"{HTML}\r\nContent-Encoding: {name}"))[1][7] == plain, name
+    bare = zlib.compressobj(wbits=-15)
+    assert derive(response(bare.compress(raw) + bare.flush(), http=f"{HTML}\r\nContent-Encoding: deflate"))[1][7] == plain
+    zipped = gzip.compress(raw)
+    chunks = b"".join(b"%x;note=1\r\n%s\r\n" % (len(c), c) for c in (zipped[:10], zipped[10:500], zipped[500:])) + b"0\r\nTrailer: x\r\n\r\n"
+    meta, conversion = derive(response(chunks, http=f"{HTML}\r\nTransfer-Encoding: chunked\r\nContent-Encoding: gzip",
+                                       **{"WARC-Payload-Digest": digest(zipped)}))
+    assert conversion[7] == plain and conversion[6] is True and "undone: chunked" in meta[7] and "undone: gzip" in meta[7]
+    assert derive(response(raw, http=f"{HTML}\r\nTransfer-Encoding: chunked"))[1][7] == plain  # stored without its chunks
+    cut = derive(response(zipped[:-30], http=f"{HTML}\r\nContent-Encoding: gzip"))[1][7]
+    assert cut and plain.startswith(cut[:100])
+    for name, body in (("br", raw), ("gzip", b"no gzip"), ("zstd", b"no zstd"), ("made-up", raw)):
+        records = derive(response(body, http=f"{HTML}\r\nContent-Encoding: {name}"))
+        assert [r[1] for r in records] == ["metadata"] and f"not-undone: {name}" in records[0][7]
+
+
+def test_a_bomb_is_not_expanded(monkeypatch):
+    monkeypatch.setattr(warc_derive, "MAX_EXPANDED", 1000)
+    for coding, pack in (("gzip", gzip.compress), ("zstd", zstandard.compress)):
+        assert len(derive(response(pack(b"x" * 1001), http=f"{HTML}\r\nContent-Encoding: {coding}"))) == 1
+        assert derive(response(pack(b"x" * 1000), http=f"{HTML}\r\nContent-Encoding: {coding}"))[1][7] == "x" * 1000
+
+
+def test_media_types():
+    def http(kind):
+        return "HTTP/1.1 200 OK" + (f"\r\nContent-Type: {kind}" if kind else "")
+
+    png = b"\x89PNG\r\n\x1a\n<p>"
+    assert [r[1] for r in derive(response(png, http=http("image/png")))] == ["metadata"]
+    assert [r[1] for r in derive(response(b"%PDF", http=http("application/pdf")))] == ["metadata"]
+    text = b"a <b> c\r\n  d\n\ne &amp;"
+    assert derive(response(text, http=http("text/plain")))[1][7] == "a <b> c\n  d\n\ne &amp;"
+    assert derive(response(text, http=http("Application/JSON; x=y")))[1][7].startswith("a <b> c")
+    assert derive(response(b" <p>x", http=http(None)))[1][7] == "x" and derive(response(b"x <p>", http=http(None)))[1][7] == "x <p>"
+    assert derive(response(b"", http=http(None)))[1][7] == "" and derive(response(b"<p>x", http=http("application/xhtml+xml")))[1][7] == "x"
