@@ -10,7 +10,9 @@ good" is rejected if the exact binomial tail P(Bin(n, risk) <= k) is at most
 the first that fails; a fixed sequence needs no correction within itself, and
 the division by the number of sequences (Bonferroni) covers the rest. So with
 probability 1 - ``error`` no stratum loses more than ``risk`` of its good
-documents to any score. Strata with fewer labels than could ever pass are
+documents to any score. Any safe cutoff keeps that promise; the one is taken
+that gains most on labelled bad documents, a good one counting as ``price`` bad
+ones, so good documents go only where many bad ones do. Strata with fewer labels than could ever pass are
 tested together as one pooled stratum, which counts among the sequences; its
 cutoffs hold in each of them, and the promise holds for their good documents
 taken together. Which strata are pooled depends on label counts only. Where
@@ -20,7 +22,7 @@ cutoff: nothing is rejected but by the base rule.
 Column functions only. Texts are read once; statistics are narrow rows.
 
 Defined cases: a null text has no words; null labels are not used, of several
-labels of a document the lowest counts; a null language is a stratum of its
+labels of a document the lowest counts (1 is good, another bad); a null language is a stratum of its
 own; rows that repeat are judged each; an empty table gives an empty result;
 other columns are not read.
 """
@@ -100,57 +102,78 @@ def least_labels(risk: float, each: float) -> int:
     return math.ceil(math.log(each) / math.log1p(-risk))
 
 
-def cutoffs(good: DataFrame, risk: float = 0.001, error: float = 0.05) -> DataFrame:
-    """stratum and one cutoff for each score (null: none is safe), from rows
-    of good documents: stratum and a column for each score."""
-    # the lowest cutoff that a score does not exceed: step s means score <= s / STEPS
-    stepped = good.select("stratum", F.explode(F.array(*[
+def _ladders(rows: DataFrame) -> DataFrame:
+    """stratum, score, n, by_step: how many rows need each step of a score; step
+    s is the lowest cutoff s / STEPS that the score does not exceed."""
+    stepped = rows.select("stratum", F.explode(F.array(*[
         F.struct(F.lit(s).alias("score"), F.least(F.ceil(F.round(F.col(s) * STEPS, 9)), F.lit(STEPS)).cast("int").alias("step"))
         for s in SCORES])).alias("e")).select("stratum", "e.score", "e.step")
     counted = stepped.groupBy("stratum", "score", "step").agg(F.count("*").alias("n"))
-    ladder = counted.groupBy("stratum", "score").agg(
+    return counted.groupBy("stratum", "score").agg(
         F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("step", "n"))).alias("by_step"))  # at most STEPS + 1 entries
-    ladder = materialise(ladder, "ladder")
+
+
+def _above(by_step: str) -> Column:
+    """Rows of a ladder whose score exceeds the cutoff of ``step``."""
+    return F.aggregate(F.filter(F.map_entries(by_step), lambda e: e["key"] > F.col("step")), F.lit(0).cast("long"),
+                       lambda total, e: total + e["value"])
+
+
+def cutoffs(good: DataFrame, risk: float = 0.02, error: float = 0.05, bad: DataFrame | None = None, price: float = 20.0) -> DataFrame:
+    """stratum and one cutoff for each score (null: none is safe), from rows
+    of good documents: stratum and a column for each score. Without ``bad``
+    (rows of the same form) the lowest safe cutoff is taken, with it the safe
+    one that gains most: bad documents above it less ``price`` times the good
+    ones; of equal ones the mildest."""
+    ladder = materialise(_ladders(good), "ladder")
     each = error / max(1, ladder.count())
     tested = ladder.select(
         "stratum", "score", "n", "by_step",
-        F.explode(F.sequence(F.lit(STEPS - 1), F.lit(0), F.lit(-1))).alias("step"))
-    above = F.aggregate(F.filter(F.map_entries("by_step"), lambda e: e["key"] > F.col("step")),
-                        F.lit(0).cast("long"), lambda total, e: total + e["value"])
-    tested = tested.withColumn("k", above)
+        F.explode(F.sequence(F.lit(STEPS - 1), F.lit(0), F.lit(-1))).alias("step")).withColumn("k", _above("by_step"))
     # more than the expected share cannot pass; its long sum is not needed
     tail = F.when(F.col("k") <= F.col("n") * risk, binomial_tail(F.col("n"), F.col("k"), risk)).otherwise(F.lit(1.0))
     safe = (tail <= each).cast("int")
     down = Window.partitionBy("stratum", "score").orderBy(F.desc("step"))
     held = tested.withColumn("safe", F.min(safe).over(down)).where("safe = 1")
-    best = held.groupBy("stratum", "score").agg((F.min("step") / F.lit(float(STEPS))).alias("cutoff"))
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("score") == s, F.col("cutoff"))).alias(f"{s}_cutoff") for s in SCORES])
-
-
-def pooled_cutoffs(good: DataFrame, risk: float = 0.001, error: float = 0.05) -> DataFrame:
-    """``cutoffs`` of every stratum; those with too few rows share the ones of
-    their pool."""
+    if bad is None:
+        best = F.min("step")
+    else:
+        worse = _ladders(bad).select(F.col("stratum").alias("__of"), F.col("score").alias("__score"), F.col("by_step").alias("worse"))
+        held = held.join(worse, F.col("stratum").eqNullSafe(F.col("__of")) & (F.col("score") == F.col("__score")), "left")
+        gain = F.coalesce(F.when(F.col("worse").isNotNull(), _above("worse")), F.lit(0)) - price * F.col("k")
+        best = F.max(F.struct(gain.alias("gain"), "step"))["step"]
+    found = held.groupBy("stratum", "score").agg((best / F.lit(float(STEPS))).alias("cutoff"))
+    return found.groupBy("stratum").agg(*[F.max(F.when(F.col("score") == s, F.col("cutoff"))).alias(f"{s}_cutoff") for s in SCORES])
+
+
+def pooled_cutoffs(good: DataFrame, risk: float = 0.02, error: float = 0.05, bad: DataFrame | None = None, price: float = 20.0) -> DataFrame:
+    """``cutoffs`` of every stratum; those with too few good rows share the
+    ones of their pool."""
     counts = materialise(good.groupBy("stratum").agg(F.count("*").alias("n")), "strata")
     least = least_labels(risk, error / (len(SCORES) * (counts.count() + 1)))
     few = F.col("n") < least
     groups = counts.select(F.col("stratum").alias("__of"), F.struct(few.alias("pooled"), F.when(~few, F.col("stratum")).alias("name")).alias("__group"))
-    grouped = good.join(groups, F.col("stratum").eqNullSafe(F.col("__of"))).select(F.col("__group").alias("stratum"), *SCORES)
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.join(groups, F.col("stratum").eqNullSafe(F.col("__of"))).select(F.col("__group").alias("stratum"), *SCORES)
+
     # the sequences are those of the strata with enough rows and of the pool
-    found = cutoffs(grouped, risk, error)
+    found = cutoffs(grouped(good), risk, error, None if bad is None else grouped(bad), price)
     return groups.join(found, F.col("__group").eqNullSafe(F.col("stratum"))).select(
         F.col("__of").alias("stratum"), *[f"{s}_cutoff" for s in SCORES])
 
 
-def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.001, error: float = 0.05) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, error: float = 0.05,
+          price: float = 20.0) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept and the stratum's cutoffs for every row of ``docs``.
     ``labels``: doc_id, quality (1 is good)."""
     stats = materialise(text_statistics(docs, stratum), "text-statistics")
     rows = stats.select("*", base_failed().alias("base_failed"), *[c.alias(s) for s, c in scores().items()])
-    good = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-            .agg(F.min("quality").alias("quality")).where("quality = 1").select("doc_id"))
-    holdout = rows.where("not base_failed").join(good, "doc_id", "left_semi")
-    found = materialise(pooled_cutoffs(holdout, risk, error), "cutoffs")
+    marked = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+              .agg(F.min("quality").alias("quality")))
+    holdout = materialise(rows.where("not base_failed").join(marked, "doc_id").select("stratum", "quality", *SCORES), "holdout")
+    found = materialise(pooled_cutoffs(holdout.where("quality = 1"), risk, error, holdout.where("quality <> 1"), price), "cutoffs")
     found = found.withColumnRenamed("stratum", "__stratum")
     beyond = F.lit(False)
     for s in SCORES:

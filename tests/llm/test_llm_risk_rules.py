@@ -85,3 +85,25 @@ def test_planted_bad_documents_go_in_small_strata(spark):
     kept = {r.doc_id: r.kept for r in judge(docs, marked, risk=0.01).collect()}
     assert all(kept[i] == (q == 1) for i, q in marks)
     assert all(kept[i] for i, _, lang in rows if lang == "e")
+
+
+def test_the_gain_decides_among_safe_cutoffs(spark):
+    """2000 good rows up to 0.15, 400 bad ones from 0.2 to 0.6: the highest
+    cutoff that all bad ones exceed loses no good one."""
+    scores = "cast(0 as double) as lines, cast(0 as double) as repeats"
+    good = spark.range(2000).selectExpr("'a' as stratum", "(id % 16) / 100 as symbols", scores.split(", ")[0], scores.split(", ")[1])
+    bad = spark.range(400).selectExpr("'a' as stratum", "0.2 + id / 1000 as symbols", "cast(0 as double) as lines", "cast(0 as double) as repeats")
+    assert cutoffs(good, 0.02, 0.05, bad).first().symbols_cutoff == 0.19
+    # one good row in sixteen has 0.15: more than the risk, so nothing below is safe
+    assert cutoffs(good, 0.02, 0.05).first().symbols_cutoff == 0.15
+    assert cutoffs(good, 0.02, 0.05, bad.limit(0)).first().symbols_cutoff == 0.99  # nothing to gain
+
+
+def test_production_parameters_reject_bad_documents(spark):
+    """On the given table of a thousand documents."""
+    sf = "/root/testdata/sf0.01"
+    docs, marks = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = judge(docs, marks).join(marks, "doc_id").where("not base_failed").collect()
+    good, bad = [r.kept for r in rows if r.quality == 1], [r.kept for r in rows if r.quality == 0]
+    assert len(good) - sum(good) <= 0.02 * len(good)
+    assert sum(bad) <= 0.5 * len(bad), (sum(bad), len(bad))
