@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 NEVER = 1 << 60
 FIRST, SECOND, THIRD = map(operator.itemgetter, (0, 1, 2))
 # stands for the end-of-word mark behind a word's last symbol
@@ -40,7 +42,7 @@ END = ""
 # Unicode White_Space; str.split() also cuts at the four separators below.
 WHITE = "\t-\r \x85\xa0  -     　"
 SPLIT_ONLY_BY_PYTHON = "\x1c\x1d\x1e\x1f"
-CACHE_WORDS = 700_000
+CACHE_WORDS = 250_000
 
 # Letters and digits of Unicode versions after Python's tables
 # that the tokenizers library knows, and its lower case of them (first and
@@ -336,7 +338,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _tokenizer(content.value)
-        for batch in batches:
+        for batch in slices(batches):
             n, a, b = zip(*[t.digests(x or "") for x in batch.column(1).to_pylist()], strict=True) if batch.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],

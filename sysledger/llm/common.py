@@ -40,6 +40,14 @@ def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     return df.sparkSession.read.parquet(path)
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches cut into pieces of ``rows`` rows: what a task makes of a
+    piece's texts is gone before the next one."""
+    for batch in batches:
+        for start in range(0, max(batch.num_rows, 1), rows):
+            yield batch.slice(start, rows)
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; null has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

@@ -15,7 +15,8 @@ than ``good_loss`` of the held-out top grade falls below it. The model that is
 used is then fitted on all of them.
 
 The fit takes at most ``max_train`` rated documents (those with the least hash
-of the id, so the choice is the same at every run); only their hashed features
+of the id, so the choice is the same at every run), and of these a share by id
+if they have more than ``max_train_ids`` features; only the hashed features
 reach the driver. Scoring reads every document in one pass and adds up a
 weight for each distinct word.
 
@@ -39,16 +40,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise, slices
+
 WORD = re.compile(r"[^\W\d_]+")
 CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]{2}")
 SYMBOLS = "#*$%&|<>!{}[]=~^_"
-WORD_CACHE = 500_000
+WORD_CACHE = 200_000
 
 
 @dataclass(frozen=True)
 class Settings:
     dims: int = 1 << 18
     max_train: int = 10_000
+    max_train_ids: int = 30_000_000  # hashed features of all of them together
     min_documents: int = 8  # a feature of fewer rated documents gets no weight
     l2: float = 1.0
     iterations: int = 50
@@ -202,15 +206,20 @@ def fit(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings()) ->
     rated = (ratings.where("doc_id is not null and grade is not null").groupBy("doc_id").agg(F.min("grade").cast("int").alias("grade"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_train))
     # at most max_train rows of two numbers: small enough to go to every task
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rated), "doc_id").select("grade", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(rated), "doc_id").select("doc_id", "grade", "text")
     dims = settings.dims
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [features(t or "", dims) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["grade", "ids"])
-
-    sample = texts.mapInArrow(work, "grade int, ids array<int>").toArrow()
+        for batch in slices(batches):
+            found = [features(t or "", dims) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "grade", "ids"])
+
+    found = materialise(texts.mapInArrow(work, "doc_id long, grade int, ids array<int>"), "ratings")
+    total = found.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
+    if total > settings.max_train_ids:  # bounded in bytes too: a share of the rated rows, by their id
+        share = int(settings.max_train_ids / total * (1 << 20))
+        found = found.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < share)
+    sample = found.select("grade", "ids").toArrow()
     flat = sample.column("ids").combine_chunks()
     rows = [np.asarray(r.values) for r in flat] if len(sample) else []
     return fit_with_cut(rows, np.asarray(sample.column("grade").to_numpy(), dtype=np.int64), settings)
@@ -241,19 +250,21 @@ class Scorer:
 
 
 def _scored(docs: DataFrame, model: Model | None, columns: list[str], only_kept: bool) -> DataFrame:
-    """``docs`` (its ``columns``; text is the last of the ones sent) with the
-    scores behind them, or its kept rows as they are."""
+    """``docs`` (its ``columns``, and the text if that is not one of them) with
+    the scores behind them, or its kept rows as they are. Texts are sent once
+    and worked through in small pieces."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(None if model is None else (model.weights, model.thresholds, model.cut))
-    sent = docs.select(*columns, F.col("text").alias("__scored_text"))
+    sent = docs.select(*columns, *([] if "text" in columns else ["text"]))
+    at = sent.columns.index("text")
     extra = "" if only_kept else ", expected_grade double, tail_probability double, kept boolean"
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:-1]) + extra
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:len(columns)]) + extra
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None if held.value is None else Scorer(held.value[0])
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            own = batch.columns[:-1]
+        for batch in slices(batches):
+            texts = batch.column(at).to_pylist()
+            own = batch.columns[:len(columns)]
             if scorer is None:
                 kept = np.ones(len(texts), dtype=bool)
                 grade = top = pa.nulls(len(texts), pa.float64())

@@ -77,7 +77,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, broadcast_bytes, materialise, scratch
+from .common import BROADCAST_BYTES, broadcast_bytes, materialise, scratch, slices
 
 BAND_RATIO = 1.4
 SLACK_BITS = 10
@@ -264,7 +264,7 @@ def _segment(rows: pd.DataFrame) -> pd.DataFrame:
 def _pass_keys(bitmap):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, dtype=np.uint8)
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column(1)
             keys = lists.flatten().to_numpy()
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
@@ -278,6 +278,7 @@ def _pass_keys(bitmap):
 
 SHORT_BITS = 44
 ROWS_PER_OWNER = 100_000
+KEYS_PER_RUN = 2_000_000
 
 
 def _short(keys: np.ndarray) -> np.ndarray:
@@ -285,23 +286,32 @@ def _short(keys: np.ndarray) -> np.ndarray:
 
 
 def _send_keys(owners: int):
-    """A task's short keys, sorted, by owner, as gaps. A key that the task
-    itself holds twice has a gap of zero."""
+    """A task's short keys in sorted runs of bounded size, each cut by owner, as
+    gaps. A key that a run holds twice has a gap of zero."""
     starts = np.array([(o << SHORT_BITS) // owners for o in range(owners)], dtype=np.uint64)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = [batch.column(0).flatten().to_numpy() for batch in batches]
-        keys = np.sort(_short(np.concatenate(lists))) if lists else np.zeros(0, dtype=np.uint64)
+    def messages(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.sort(_short(np.concatenate(held)))
         out = []
         for owner, part in enumerate(np.split(keys, np.searchsorted(keys, starts[1:]))):
             if len(part):
                 gaps = np.diff(part - starts[owner], prepend=np.uint64(0))
                 wide = bool(gaps.max() >> np.uint64(32))
                 out.append((owner, wide, gaps.astype("<u8" if wide else "<u4").tobytes()))
-        if out:
-            owner, wide, gaps = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int32()), pa.array(wide, pa.bool_()), pa.array(gaps, pa.binary())],
-                                             ["owner", "wide", "gaps"])
+        owner, wide, gaps = zip(*out, strict=True) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(owner, pa.int32()), pa.array(wide, pa.bool_()), pa.array(gaps, pa.binary())],
+                                          ["owner", "wide", "gaps"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in slices(batches):
+            held.append(batch.column(0).flatten().to_numpy())
+            n += len(held[-1])
+            if n >= KEYS_PER_RUN:
+                yield messages(held)
+                held, n = [], 0
+        if held:
+            yield messages(held)
 
     return work
 
@@ -324,7 +334,7 @@ def _twice(owners: int):
 def _sketch(percent: int, width: int, need: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        for batch in batches:
+        for batch in slices(batches):
             sizes, prints, keys, short = [], [], [], []
             for text, named in zip(batch.column(1).to_pylist(), batch.column(0).is_valid().to_pylist(), strict=True):
                 s = shingle_set(text, width)
