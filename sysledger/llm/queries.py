@@ -22,6 +22,7 @@ from . import (
     warc_derive,
 )
 from .common import table
+from .oracle_sql import ORACLE  # noqa: F401  the queries that SQL can state
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -84,6 +85,3 @@ def op13_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_separator_scan, op2_license_scan, op3_warc_derivatives, op4_ordinal_quality, op5_hash_tree, op6_risk_rules,
     op7_parity_join, op8_temperature_mix, op9_exact_dedup, op10_bpe_prefix, op11_equal_average, op12_line_dedup, op13_filter_audit)}
-# SQL cannot state these: files, fitted models, checksums and encoders. Their
-# tests hold them against brute force.
-ORACLE: dict[str, str] = {}
