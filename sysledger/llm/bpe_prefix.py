@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import small_batches
 
 NEVER = 1 << 60
 FIRST, SECOND, THIRD = map(operator.itemgetter, (0, 1, 2))
@@ -42,7 +42,7 @@ END = ""
 # Unicode White_Space; str.split() also cuts at the four separators below.
 WHITE = "\t-\r \x85\xa0  -     　"
 SPLIT_ONLY_BY_PYTHON = "\x1c\x1d\x1e\x1f"
-CACHE_WORDS = 250_000
+CACHE_WORDS = 100_000
 
 # Letters and digits of Unicode versions after Python's tables
 # that the tokenizers library knows, and its lower case of them (first and
@@ -174,16 +174,20 @@ class WordEncoder:
 
 
 class Cache(dict):
-    """What ``make`` gives for a string, kept for short ones; emptied when
-    full, so that it is bounded."""
+    """What ``make`` gives for a string, kept for short ones, in two halves of
+    bounded size: a full one becomes the old one, and what is asked for again
+    moves on from there, so frequent strings stay."""
 
     def __init__(self, make):
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, text: str):
-        made = self.make(text)
+        made = self.old.get(text)
+        if made is None:
+            made = self.make(text)
         if len(text) < 200:
             if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[text] = made
         return made
@@ -238,7 +242,13 @@ class Tokenizer:
 
     def _render(self, run: str) -> tuple[int, str, str]:
         """A run's number of tokens, its ids and its decoded text."""
-        ids = self._run(run)
+        if run.isalpha():  # one word, kept here alone
+            ids = self._piece(run)
+        elif run[:-1].isalpha() and run[-1] in ".,":  # a word and the mark behind it
+            (n, ids, text), (m, more, mark) = self.rendered[run[:-1]], self.rendered[run[-1]]
+            return n + m, f"{ids} {more}", f"{text} {mark}"
+        else:
+            ids = self._run(run)
         return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def split(self, text: str) -> Iterator[tuple[list[str], int | None]]:
@@ -298,6 +308,7 @@ def _tokenizer(content: str) -> Tokenizer:
 
 
 def _vocabulary(docs: DataFrame, path: str):
+    small_batches(docs.sparkSession)
     with open(path, encoding="utf-8") as f:  # a file of fixed size beside the library, sent to the tasks once
         return docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -338,7 +349,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _tokenizer(content.value)
-        for batch in slices(batches):
+        for batch in batches:
             n, a, b = zip(*[t.digests(x or "") for x in batch.column(1).to_pylist()], strict=True) if batch.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
