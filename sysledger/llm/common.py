@@ -27,8 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BATCH_ROWS = 512
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers in batches of at most BATCH_ROWS rows.
+    Spark bounds a batch by rows alone, and its 10,000 rows are gigabytes where
+    texts are long. The setting holds for the session, as plans run later; one
+    that is lower stays."""
+    now = int(spark.conf.get(BATCH_SETTING, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder, one per call."""
+    small_batches(spark)
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
@@ -40,14 +55,6 @@ def materialise(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     return df.sparkSession.read.parquet(path)
 
 
-def slices(batches, rows: int = 512):
-    """Arrow batches cut into pieces of ``rows`` rows: what a task makes of a
-    piece's texts is gone before the next one."""
-    for batch in batches:
-        for start in range(0, max(batch.num_rows, 1), rows):
-            yield batch.slice(start, rows)
-
-
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, in order; null has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from .common import join_totals, materialise, scratch
 
 LIMIT = 1 << 30  # most that a part's length times a component may be
-BLOCK = 8192  # rows searched at a time
+BLOCK = 8192  # most rows searched at a time
 
 
 def nearest(rows: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
@@ -108,6 +108,20 @@ def _scaled(scale: int, parts: int):
     return work
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined or cut to at most BLOCK rows."""
+    held, n = [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, BLOCK):
+            held.append(batch.slice(start, BLOCK))
+            n += held[-1].num_rows
+            if n >= BLOCK:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=BLOCK)
+                held, n = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=BLOCK)
+
+
 def _matrix(batch: pa.RecordBatch, column: int, parts: int) -> np.ndarray:
     """(rows, parts, d) of a list column whose lists are all of one length."""
     lists = batch.column(column)
@@ -120,13 +134,12 @@ def _sums(codebooks: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, entries, d = codebooks.shape
         total = np.zeros((parts, entries, d + 1), dtype=np.int64)
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                rows = _matrix(batch.slice(start, BLOCK), 0, parts)
-                for p in range(parts):
-                    code, _, _ = nearest(rows[:, p], codebooks[p])
-                    total[p, :, 0] += np.bincount(code, minlength=entries)
-                    np.add.at(total[p, :, 1:], code, rows[:, p])
+        for block in _blocks(batches):
+            rows = _matrix(block, 0, parts)
+            for p in range(parts):
+                code, _, _ = nearest(rows[:, p], codebooks[p])
+                total[p, :, 0] += np.bincount(code, minlength=entries)
+                np.add.at(total[p, :, 1:], code, rows[:, p])
         p, e, i = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(e, pa.int32()), pa.array(i, pa.int32()),
                                           pa.array(total[p, e, i], pa.int64())], ["part", "entry", "place", "total"])
@@ -137,16 +150,14 @@ def _sums(codebooks: np.ndarray):
 def _codes(codebooks: np.ndarray):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = len(codebooks)
-        for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                block = batch.slice(start, BLOCK)
-                rows = _matrix(block, 2, parts)
-                found = [nearest(rows[:, p], codebooks[p]) for p in range(parts)]
-                codes = np.stack([f[0] for f in found], axis=1)
-                error = np.sum([f[1] for f in found], axis=0)
-                text = ["".join(f"{c:02x}" for c in row) for row in codes.tolist()]
-                yield pa.RecordBatch.from_arrays([block.column(0), block.column(1), pa.array(text, pa.string()), pa.array(error, pa.int64())],
-                                                 ["vec_id", "label", "code", "error"])
+        for block in _blocks(batches):
+            rows = _matrix(block, 2, parts)
+            found = [nearest(rows[:, p], codebooks[p]) for p in range(parts)]
+            codes = np.stack([f[0] for f in found], axis=1)
+            error = np.sum([f[1] for f in found], axis=0)
+            text = ["".join(f"{c:02x}" for c in row) for row in codes.tolist()]
+            yield pa.RecordBatch.from_arrays([block.column(0), block.column(1), pa.array(text, pa.string()), pa.array(error, pa.int64())],
+                                             ["vec_id", "label", "code", "error"])
 
     return work
 

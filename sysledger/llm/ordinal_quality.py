@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices
+from .common import materialise, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]{2}")
@@ -210,7 +210,7 @@ def fit(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings()) ->
     dims = settings.dims
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in batches:
             found = [features(t or "", dims) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "grade", "ids"])
 
@@ -251,9 +251,9 @@ class Scorer:
 
 def _scored(docs: DataFrame, model: Model | None, columns: list[str], only_kept: bool) -> DataFrame:
     """``docs`` (its ``columns``, and the text if that is not one of them) with
-    the scores behind them, or its kept rows as they are. Texts are sent once
-    and worked through in small pieces."""
+    the scores behind them, or its kept rows as they are. Texts are sent once."""
     spark = docs.sparkSession
+    small_batches(spark)
     held = spark.sparkContext.broadcast(None if model is None else (model.weights, model.thresholds, model.cut))
     sent = docs.select(*columns, *([] if "text" in columns else ["text"]))
     at = sent.columns.index("text")
@@ -262,7 +262,7 @@ def _scored(docs: DataFrame, model: Model | None, columns: list[str], only_kept:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None if held.value is None else Scorer(held.value[0])
-        for batch in slices(batches):
+        for batch in batches:
             texts = batch.column(at).to_pylist()
             own = batch.columns[:len(columns)]
             if scorer is None:

@@ -54,6 +54,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 SCHEMA = ("page_id long, record_id string, warc_type string, refers_to string, target_uri string, "
           "block_digest string, content_length long, digest_ok boolean, block string, record binary")
 
@@ -387,6 +389,7 @@ def derivatives(responses: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
+    small_batches(responses.sparkSession)
     return responses.select(F.col("page_id").cast("long").alias("page_id"), "record").mapInArrow(work, SCHEMA)
 
 
@@ -408,5 +411,6 @@ def response_records(pages: DataFrame, date: str = "2024-01-15T00:00:00Z") -> Da
                     ("Content-Type", "application/http; msgtype=response")], http + payload))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["page_id", "record"])
 
+    small_batches(pages.sparkSession)
     return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(
         work, "page_id long, record binary")
