@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, SPACES, broadcast_bytes, materialise, scratch
+from .common import BROADCAST_BYTES, SPACES, broadcast_bytes, join_totals, materialise, scratch
 
 ROWS_PER_SENDER = 250_000
 ROWS_PER_OWNER = 250_000
@@ -226,10 +226,10 @@ def exact_dedup(docs: DataFrame, slack_bits: int = 16, filter_bits: int = 1 << 2
                .select("digest", "group_size"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_id"))
     heads = suspects.groupBy("digest").agg(first.alias("head"))
-    found = materialise(classes.join(heads, "digest").select(
-        "digest", "group_size", F.col("head.doc_id").alias("keep_id"), F.col("head.row_id").alias("keep_row")), "classes", folder)
+    found = classes.join(heads, "digest").select(
+        "digest", F.col("group_size").alias("n"), "group_size", F.col("head.doc_id").alias("keep_id"), F.col("head.row_id").alias("keep_row"))
     single = F.col("group_size").isNull()
-    return rows.join(found, "digest", "left").select(
+    return join_totals(rows, found, ["digest"], n, folder, "classes").select(
         "doc_id",
         F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),

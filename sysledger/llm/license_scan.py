@@ -118,20 +118,22 @@ def score_units(units: DataFrame, model: Model, threshold: float) -> DataFrame:
     return units.select("unit_id", "n").join(best, "unit_id").select("unit_id", "n", "best.licence", "best.score")
 
 
-def inherit(files: DataFrame) -> DataFrame:
+def inherit(files: DataFrame, folder: str) -> DataFrame:
     """``files`` (folder, is_licence_file, own_licence, own_score and others)
-    with licence, kind (own, inherited, none) and licence_folder."""
+    with licence, kind (own, inherited, none) and licence_folder. A folder that
+    holds a large share of the files is not dealt to one task."""
     lent = files.where("is_licence_file and own_licence is not null").groupBy("folder").agg(
         F.max(F.struct("own_score", "own_licence")).alias("best")).select(F.col("folder").alias("above"), F.col("best.own_licence").alias("licence"))
-    folders = files.where("own_licence is null").select("folder").distinct()
+    folders = files.groupBy("folder").agg(F.count("*").alias("n"))
     parts = F.split("folder", "/")
     ancestors = folders.select("folder", F.explode(F.when(F.col("folder") == "", F.array(F.lit(0))).otherwise(
         F.sequence(F.lit(0), F.size(parts)))).alias("depth")).select(
         "folder", "depth", F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/").alias("above"))
-    near = ancestors.join(lent, "above").groupBy("folder").agg(F.max(F.struct("depth", "above", "licence")).alias("near")).select(
-        F.col("folder"), F.col("near.above").alias("licence_folder"), F.col("near.licence").alias("near_licence"))
+    near = ancestors.join(lent, "above").groupBy("folder").agg(F.max(F.struct("depth", "above", "licence")).alias("near"))
+    near = folders.join(near, "folder", "left").select(
+        "folder", "n", F.col("near.above").alias("licence_folder"), F.col("near.licence").alias("near_licence"))
     own = F.col("own_licence").isNotNull()
-    return files.join(near, "folder", "left").select(
+    return join_totals(files, near, ["folder"], files.count(), folder, "folders").select(
         *files.columns, F.coalesce("own_licence", "near_licence").alias("licence"),
         F.when(own, "own").when(F.col("near_licence").isNotNull(), "inherited").otherwise("none").alias("kind"),
         F.when(~own, F.col("licence_folder")).alias("licence_folder"))
@@ -161,7 +163,7 @@ def scan(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, thresho
     files_ = materialise(rows.drop("units").join(own, "row_id", "left").select(
         "doc_id", "path", "folder", "is_licence_file", F.coalesce("named", "best_licence").alias("own_licence"),
         F.when(by_name, F.lit(1.0)).otherwise(F.col("best_score")).alias("own_score")), "files", folder)
-    return inherit(files_).select("doc_id", "path", "own_licence", "own_score", "licence", "kind", "licence_folder")
+    return inherit(files_, folder).select("doc_id", "path", "own_licence", "own_score", "licence", "kind", "licence_folder")
 
 
 def with_paths(docs: DataFrame) -> DataFrame:

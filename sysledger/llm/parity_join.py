@@ -77,7 +77,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, broadcast_bytes, materialise, scratch, slices
+from .common import BROADCAST_BYTES, broadcast_bytes, join_totals, materialise, scratch
 
 BAND_RATIO = 1.4
 SLACK_BITS = 10
@@ -264,7 +264,7 @@ def _segment(rows: pd.DataFrame) -> pd.DataFrame:
 def _pass_keys(bitmap):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, dtype=np.uint8)
-        for batch in slices(batches):
+        for batch in batches:
             lists = batch.column(1)
             keys = lists.flatten().to_numpy()
             owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
@@ -304,7 +304,7 @@ def _send_keys(owners: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in slices(batches):
+        for batch in batches:
             held.append(batch.column(0).flatten().to_numpy())
             n += len(held[-1])
             if n >= KEYS_PER_RUN:
@@ -334,7 +334,7 @@ def _twice(owners: int):
 def _sketch(percent: int, width: int, need: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
-        for batch in slices(batches):
+        for batch in batches:
             sizes, prints, keys, short = [], [], [], []
             for text, named in zip(batch.column(1).to_pylist(), batch.column(0).is_valid().to_pylist(), strict=True):
                 s = shingle_set(text, width)
@@ -580,7 +580,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
 
     # equal sets: the smallest id stands for all of them
     named = rows.where("doc_id is not null and n_shingles > 0")
-    heads = materialise(named.groupBy("print").agg(F.min("doc_id").alias("node")), "heads", folder)
+    heads = materialise(named.groupBy("print").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "heads", folder)
 
     # Keys that occur twice: tasks send the owners of key ranges their sorted
     # short keys as gaps of four bytes, the owners answer with what they got
@@ -591,14 +591,15 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     twice = sent.groupBy("owner").applyInPandas(_twice(owners), "key long")
     bitmap = spark.sparkContext.broadcast(_key_filter(materialise(twice, "twice", folder)))
     likely = named.select("print", "keys").mapInArrow(_pass_keys(bitmap), "print binary, key long").distinct()
-    likely = materialise(likely.join(heads, "print").select("node", "key"), "likely", folder)
-    shared = likely.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
-    buckets = materialise(likely.join(shared, "key").select("node", "key"), "shared", folder)
+    likely = materialise(likely.join(heads.select("print", "node"), "print").select("node", "key"), "likely", folder)
+    # a key that a large group of near copies shares is not dealt to one task
+    counts = likely.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high")
+    members = materialise(join_totals(likely, counts.select("key", "n", F.col("n").alias("members")), ["key"], likely.count(), folder, "key-counts", "inner"),
+                          "members", folder)
     # pairs of small buckets that sizes and short sketches do not rule out; only
     # their sets and those of the large buckets' members are fetched
-    short = materialise(named.select("print", "doc_id", F.col("n_shingles").alias("n"), "sketch").join(heads, "print")
+    short = materialise(named.select("print", "doc_id", F.col("n_shingles").alias("n"), "sketch").join(heads.select("print", "node"), "print")
                         .where("doc_id = node").select("node", "n", "sketch").distinct(), "short", folder)
-    members = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("members")), "key")
     small = members.where(F.col("members") <= SMALL_BUCKET)
     pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
     pairs = materialise(_possible(pairs.distinct(), short, percent), "first-pairs", folder)
@@ -617,10 +618,10 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
         i += 1
         here = f"{folder}/round-{i}"
         # members of the buckets that still hold several components
-        rooted = buckets.join(found, "node")
-        state = rooted.groupBy("key").agg(
-            F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 < r1").select("key", "n")
-        open_ = materialise(rooted.join(state, "key").select("key", "node", "root", "n"), "open", here)
+        rooted = materialise(buckets.join(found, "node"), "rooted", here)
+        state = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 < r1")
+        open_ = materialise(join_totals(rooted, state.select("key", "n", F.col("n").alias("held")), ["key"], rooted.count(), here, "state", "inner")
+                            .select("key", "node", "root", F.col("held").alias("n")), "open", here)
         if not open_.limit(1).count():
             break
         few = open_.where(F.col("n") <= SMALL_BUCKET)
@@ -636,9 +637,12 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
         found = materialise(components(wanted, links, here), "found", here)
 
     found = components(wanted, links, f"{folder}/last")
-    roots = heads.join(found, "node", "left").select("print", F.coalesce("root", "node").alias("root"))
-    return rows.join(roots, "print", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"))
+    roots = heads.join(found, "node", "left").select("print", "n", F.coalesce("root", "node").alias("component_id"))
+    # a set that a large share of the rows has is not dealt to one task
+    narrow = named.select("doc_id", "n_shingles", "print")
+    placed = join_totals(narrow, roots, ["print"], narrow.count(), folder, "roots").select("doc_id", "n_shingles", "component_id")
+    alone = rows.where("doc_id is null or n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return placed.unionByName(alone)
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
