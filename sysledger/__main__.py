@@ -7,7 +7,9 @@
     python -m sysledger sync-users --store ROOT --users SRC [--require-users]
     python -m sysledger edit-users --store ROOT --edits SRC
     python -m sysledger reconcile-statements --store ROOT --source SRC
+    python -m sysledger refresh-sketches --store ROOT
     python -m sysledger run-gaps --store ROOT --out PATH [--max-hours 72]
+    python -m sysledger report REPORT --store ROOT --out PATH [--patterns SRC] [--quantile 0.95] [--hours N] [--top N]
     python -m sysledger compact --store ROOT --table NAME [--parts D1,D2]
 
 A source SRC is a parquet path, a table name, or ``jdbc:...`` with
@@ -27,7 +29,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import listings, reports, sizing
+from .operators import intervals, listings, reports, sizing, spans, workload
 from .plans import jobs
 from .sinks.export import export_text
 from .sinks.tables import Tables, default_root
@@ -121,6 +123,32 @@ def listing(spark: SparkSession, args) -> DataFrame:
     return listings.list_users_history(store.read(spark, "users_history"), ordered=True)
 
 
+REPORTS = ["attribution", "long-statements", "patterns", "shapes", "sessions", "activity", "inactive"]
+
+
+def report(spark: SparkSession, args) -> DataFrame:
+    """The documented uses over the stored histories, as of the run time."""
+    store, now = _store(spark, args), _run_ts(args)
+    statements, sessions = store.read(spark, "statements_history"), store.read(spark, "sessions_history")
+    what = args.report
+    if what == "attribution":
+        return spans.attribute_as_of(statements, sessions, store.read(spark, "user_spans"))
+    if what == "long-statements":
+        limits = workload.duration_thresholds(store.read(spark, "duration_sketches"), ["dbname", "username"], args.quantile)
+        return workload.unusually_long(workload.owned_statements(statements, sessions), limits, ["dbname", "username"], args.min_statements)
+    if what == "patterns":
+        hits = workload.match_patterns(statements, "statement", "statementid", read_catalog(spark, "patterns", args.patterns))
+        return hits.join(spans.attribute_as_of(statements.join(hits.select("statementid").distinct(), "statementid", "left_semi"), sessions,
+                                               store.read(spark, "user_spans")), "statementid")
+    if what == "shapes":
+        return workload.shape_report(workload.owned_statements(statements, sessions), args.top)
+    if what == "sessions":
+        return intervals.closed_sessions(sessions, statements, now, args.hours * 3600)
+    if what == "activity":
+        return intervals.user_activity(sessions, now)
+    return intervals.inactive_stretches(sessions, store.read(spark, "users_history"), now, args.hours * 3600)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="sysledger")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -160,6 +188,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     csu.add_argument("--sessions", required=True)
     csu.add_argument("--users", required=True)
     csu.add_argument("--require-users", action="store_true")
+    sub.add_parser("refresh-sketches", parents=[common])
+    rp = sub.add_parser("report", parents=[common])
+    rp.add_argument("report", choices=REPORTS)
+    rp.add_argument("--out", required=True)
+    rp.add_argument("--sep", default="|")
+    rp.add_argument("--patterns", help="table of pattern_id and pattern (LIKE), for the report of that name")
+    rp.add_argument("--quantile", type=float, default=0.95, help="long-statements: share of a group's statements that are not long")
+    rp.add_argument("--min-statements", type=int, default=20, help="long-statements: smaller groups have no threshold")
+    rp.add_argument("--hours", type=int, default=24, help="sessions: idle time that ends one; inactive: least stretch")
+    rp.add_argument("--top", type=int, default=20, help="shapes: places shown of each database")
     cp = sub.add_parser("compact", parents=[common])
     cp.add_argument("--table", required=True)
     cp.add_argument("--parts", help="comma-separated partition dates (default: all)")
@@ -173,6 +211,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.cmd == "list":
         export_text(listing(spark, args), args.out, args.sep)
         return 0
+    if args.cmd == "report":
+        if args.report == "patterns" and not args.patterns:
+            p.error("the report of patterns needs --patterns")
+        export_text(report(spark, args), args.out, args.sep)
+        return 0
     if args.cmd == "compact":
         parts = args.parts.split(",") if args.parts else None
         print(json.dumps({"files": jobs.compact(spark, _store(spark, args), args.table, args.rows_per_file, parts)}))
@@ -190,6 +233,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         metrics = jobs.reconcile_statements(spark, store, _source(spark, args, args.source, "nc_all_statements"), run_ts)
     elif args.cmd == "sync-users":
         metrics = jobs.sync_users(spark, store, _source(spark, args, args.users, "nc_all_users"), run_ts, require_users=args.require_users)
+    elif args.cmd == "refresh-sketches":
+        metrics = jobs.refresh_sketches(spark, store, run_ts)
     elif args.cmd == "edit-users":
         metrics = jobs.edit_users(spark, store, read_catalog(spark, "user_edits", args.edits), run_ts)
     elif args.cmd == "capture-sessions":

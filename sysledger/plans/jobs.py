@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import capture, spans, users
+from ..operators import capture, spans, users, workload
 from ..schemas import LAYOUT
 from ..sinks.tables import RunLog, Tables, as_time
 
@@ -170,6 +170,22 @@ def reconcile_statements(spark: SparkSession, tables: Tables, source: DataFrame,
                                                wanted, high=low))])
 
 
+def refresh_sketches(spark: SparkSession, tables: Tables, run_ts) -> DataFrame:
+    """Duration sketches of the days that runs have touched since the last
+    refresh (at first, of every day): only these days' statements are read, and
+    only these days' sketches are replaced."""
+    tables.recover(spark, "duration_sketches")
+    runs, days = tables.unseen(spark, "statements_history", "refresh_sketches")
+    first = not tables.read(spark, "duration_sketches").limit(1).count()
+    statements = tables.read(spark, "statements_history", parts=None if first else days)
+    owned = workload.owned_statements(statements, tables.read(spark, "sessions_history"))
+    staged = tables.stage_replacement(spark, "duration_sketches", workload.duration_sketches(owned), "refresh_sketches", None if first else days)
+    entry = RunLog("refresh_sketches", "sketches", as_time(run_ts), extracted=staged.rows)
+    tables.publish(spark, staged, [entry])
+    tables.mark_seen(spark, "refresh_sketches", runs)
+    return _metrics(spark, [entry])
+
+
 def edit_users(spark: SparkSession, tables: Tables, edits: DataFrame, run_ts) -> DataFrame:
     """Manual DBA edits applied to the stored users history. ``edits`` has
     username and any of the DBA columns."""

@@ -509,6 +509,10 @@ select statementid, sessionid, dbname, username, d as duration_us, threshold_us,
   select *, epoch_us(endtime) - epoch_us(starttime) as d, count(*) over (partition by dbname, username) as n,
    row_number() over (partition by dbname, username order by epoch_us(endtime) - epoch_us(starttime)) as place
    from owned where endtime is not null)) where n >= 20 and d > threshold_us""", "owned")
+ORACLE["job_thresholds"] = sql("""
+select dbname, username, count(*) as n, list(d order by d)[ceil(0.95 * count(*))::int] as threshold_us from (
+ select p.dbname, p.username, epoch_us(s.endtime) - epoch_us(s.starttime) as d
+  from st_merged s left join se_merged_new p using (sessionid) where s.endtime is not null) group by dbname, username""", "st_merged", "se_merged_new")
 ORACLE["pattern_matches"] = sql("""
 select s.statementid, p.pattern_id from fx_statements_sql s join (
  select p_partkey as pattern_id, case p_partkey % 3 when 0 then '%from sales where id = ' || p_partkey || ' and%'

@@ -402,6 +402,17 @@ def q_job_reconcile_statements(spark: SparkSession, sf: str) -> DataFrame:
     return store.read(spark, "statements_history")
 
 
+def q_job_thresholds(spark: SparkSession, sf: str) -> DataFrame:
+    """Thresholds from stored sketches: a refresh over the histories before the
+    run, the run, and a refresh of the days that it touched."""
+    store = _seeded(spark, sf, "statements_history", "sessions_history")
+    jobs.refresh_sketches(spark, store, fx.HISTORY_CUT)
+    jobs.capture_sessions(spark, store, fx.sessions_src(spark, sf), fx.RUN_TS)
+    jobs.capture_statements(spark, store, fx.statements_src(spark, sf), fx.RUN_TS)
+    jobs.refresh_sketches(spark, store, fx.RUN_TS)
+    return workload.duration_thresholds(store.read(spark, "duration_sketches"), ["dbname", "username"], LONG_QUANTILE)
+
+
 def q_mixed_sessions(spark: SparkSession, sf: str) -> DataFrame:
     """Session history in files of two versions: the files of three sessions
     out of four lack the 6.20 columns. Every row is read."""

@@ -85,6 +85,16 @@ USER_SPANS = T.StructType([
     _field("valid_to", T.TimestampNTZType()),
 ])
 
+# Durations of finished statements by the day they ended: a number and a
+# mergeable quantile sketch for each database and user.
+DURATION_SKETCHES = T.StructType([
+    _field("dbname", T.StringType()),
+    _field("username", T.StringType()),
+    _field("day", T.DateType()),
+    _field("n", T.LongType()),
+    _field("sketch", T.BinaryType()),
+])
+
 RELATION_STATS = T.StructType([
     _field("owner_name", T.StringType()),
     _field("object_type", T.StringType()),
@@ -117,6 +127,7 @@ LAYOUT = {
     "users_new": Layout(key="username", replicated=True),
     "users_history": Layout(key="username", replicated=True),
     "user_spans": Layout(key="username"),
+    "duration_sketches": Layout(key="username", partition_by="end_date", partition_source="day"),
 }
 
 SCHEMAS = {
@@ -128,6 +139,7 @@ SCHEMAS = {
     "users_new": USERS,
     "users_history": USERS_HISTORY,
     "user_spans": USER_SPANS,
+    "duration_sketches": DURATION_SKETCHES,
 }
 
 

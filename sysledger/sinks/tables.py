@@ -48,13 +48,13 @@ LOG = T.StructType([
     T.StructField("extracted", T.LongType()),
     T.StructField("inserted", T.LongType()),
     T.StructField("updated", T.LongType()),
-    # of the steps 'staged' and 'published'
+    # of the steps 'staged' and 'published'; of 'seen' the runs are the parts
     T.StructField("table", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("parts", T.ArrayType(T.StringType())),
 ])
 STAGING = {"statements_new", "statements_late", "sessions_new", "users_new"}
-STAGED, PUBLISHED = "staged", "published"
+STAGED, PUBLISHED, SEEN = "staged", "published", "seen"
 # How far before the run the newest rows of a history are looked for first.
 RECENT_DAYS = 30
 
@@ -266,6 +266,19 @@ class Tables:
         return bool(open_)
 
     # --- log --------------------------------------------------------------------
+    def unseen(self, spark: SparkSession, name: str, job: str) -> tuple[list[str], list[str]]:
+        """Runs that published partitions of ``name`` and that ``job`` has not
+        marked as seen, and those partitions."""
+        log = self._read(spark, self.path("run_log"), T.StructType([*LOG.fields, T.StructField("job", T.StringType())]))
+        runs = log.where((F.col("table") == name) & (F.col("step") == PUBLISHED)).select("run_id", "parts")
+        seen = log.where((F.col("job") == job) & (F.col("step") == SEEN)).select(F.explode("parts").alias("run_id"))
+        found = runs.join(seen, "run_id", "left_anti").collect()  # a row a run
+        return sorted(r.run_id for r in found), sorted({p for r in found for p in r.parts})
+
+    def mark_seen(self, spark: SparkSession, job: str, runs: list[str]) -> None:
+        if runs:
+            self._log(spark, job, [(uuid.uuid4().hex, SEEN, None, None, None, None, None, None, None, None, runs)])
+
     def _log(self, spark: SparkSession, job: str, rows: list[tuple]) -> None:
         # a folder for each job: appends of jobs that overlap do not meet
         spark.createDataFrame(rows, LOG).coalesce(1).write.mode("append").parquet(self.path(f"run_log/job={job}"))
@@ -273,4 +286,4 @@ class Tables:
     def run_log(self, spark: SparkSession) -> DataFrame:
         """The steps of all runs (job, step, bounds, counts)."""
         log = self._read(spark, self.path("run_log"), T.StructType([*LOG.fields, T.StructField("job", T.StringType())]))
-        return log.where(~F.col("step").isin(STAGED, PUBLISHED)).select("job", "step", "run_ts", "low", "high", "extracted", "inserted", "updated")
+        return log.where(~F.col("step").isin(STAGED, PUBLISHED, SEEN)).select("job", "step", "run_ts", "low", "high", "extracted", "inserted", "updated")

@@ -4,7 +4,7 @@
 
 For each query: shuffles (hash / range / single-partition exchanges),
 broadcasts, join strategies, windows, Python nodes, and the columns and
-filters each parquet scan reads. Store-backed job queries run their job
+filters each parquet scan reads. Job queries run their job
 first (their returned plan is the published-table read).
 """
 
@@ -38,8 +38,8 @@ def scans(plan: str) -> list[str]:
             continue
         loc = re.search(r"Location: \w+\([^)]*\)\[([^\],]*)", line)
         path = loc.group(1) if loc else "?"
-        # Spark shortens long locations; store leaves live under sysledger_runs/
-        table = "store" if ("sysledger_runs" in path or ".parquet" not in path) else Path(path).name
+        # Spark shortens long locations; the jobs' tables live under sysledger_runs/
+        table = "job table" if ("sysledger_runs" in path or ".parquet" not in path) else Path(path).name
         cols = re.search(r"ReadSchema: struct<([^>\]]*)", line)
         pushed = re.search(r"PushedFilters: \[([^\]]*)\]", line)
         names = ",".join(c.split(":")[0] for c in cols.group(1).split(",") if ":" in c) if cols else ""

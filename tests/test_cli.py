@@ -141,3 +141,45 @@ def test_retries_late_rows_and_the_whole_catalog_over_jdbc(spark, tmp_path):
     assert main(["capture-statements", *source, "--keep-last-retry"], spark=spark) == 0
     got = store.read(spark, "statements_history")
     assert got.where("retrynum = 3").count() > 0 and got.groupBy("statementid").count().where("count > 1").count() == 0
+
+
+def test_reports_over_the_stored_histories(spark, tmp_path):
+    root = f"{checkpoint_dir(spark)}/cli-{uuid.uuid4().hex[:8]}"
+    for name, df in (("statements", fx.statements_sql(spark, SF_SMALL)), ("sessions", fx.sessions_src(spark, SF_SMALL)), ("users", fx.users_src(spark, SF_SMALL)),
+                     ("patterns", fx.search_patterns(spark, SF_SMALL))):
+        df.write.parquet(f"{root}/src/{name}")
+    at = ["--store", f"{root}/store", "--run-ts", fx.RUN_TS]
+    assert main(["capture-sessions-users", *at, "--sessions", f"{root}/src/sessions", "--users", f"{root}/src/users"], spark=spark) == 0
+    assert main(["capture-statements", *at, "--source", f"{root}/src/statements"], spark=spark) == 0
+    assert main(["refresh-sketches", *at], spark=spark) == 0
+    held = Tables(f"{root}/store").read(spark, "statements_history").count()
+    counts = {}
+    for what in ("attribution", "long-statements", "patterns", "shapes", "sessions", "activity", "inactive"):
+        extra = ["--patterns", f"{root}/src/patterns"] if what == "patterns" else ["--min-statements", "5"] if what == "long-statements" else []
+        # the users were first captured by this run: nobody has been idle before it
+        extra += ["--run-ts", "2024-03-01 00:00:00"] if what == "inactive" else []
+        assert main(["report", what, *at, "--out", f"{root}/out/{what}", *extra], spark=spark) == 0
+        counts[what] = spark.read.option("header", "true").option("sep", "|").option("multiLine", "true").csv(f"{root}/out/{what}").count()
+    assert counts["attribution"] == held and counts["sessions"] == Tables(f"{root}/store").read(spark, "sessions_history").count()
+    assert all(counts.values()), counts
+
+
+def test_a_refresh_reads_and_writes_touched_days_only(spark, tmp_path):
+    from sysledger.operators import workload
+    from sysledger.plans import jobs
+
+    store = Tables(f"{checkpoint_dir(spark)}/sketches-{uuid.uuid4().hex[:8]}")
+    store.seed(spark, "sessions_history", sc.all_sessions(spark, SF_SMALL))
+    store.seed(spark, "statements_history", fx.statements_history(spark, SF_SMALL))
+    jobs.refresh_sketches(spark, store, fx.HISTORY_CUT)
+    before = {f for f in store.read(spark, "duration_sketches").inputFiles()}
+    jobs.capture_statements(spark, store, fx.statements_src(spark, SF_SMALL), fx.RUN_TS)
+    jobs.refresh_sketches(spark, store, fx.RUN_TS)
+    after = {f for f in store.read(spark, "duration_sketches").inputFiles()}
+    assert {f.split("end_date=")[1][:10] for f in before - after} == {"2024-01-14"}  # the watermark's day
+    again = jobs.refresh_sketches(spark, store, fx.RUN_TS).first()
+    assert again.extracted == 0 and {f for f in store.read(spark, "duration_sketches").inputFiles()} == after
+    owned = workload.owned_statements(store.read(spark, "statements_history"), store.read(spark, "sessions_history"))
+    whole = workload.duration_thresholds(workload.duration_sketches(owned), ["dbname"], 0.5).collect()
+    assert sorted(map(tuple, workload.duration_thresholds(store.read(spark, "duration_sketches"), ["dbname"], 0.5).select("dbname", "n").collect())) \
+        == sorted((r.dbname, r.n) for r in whole)
