@@ -261,14 +261,14 @@ def _segment(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"segment": [int(rows["segment"].iloc[0])], "bits": [np.packbits(bits).tobytes()]})
 
 
-def _pass_keys(bitmap):
+def _pass_keys(bitmap, width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, dtype=np.uint8)
         for batch in batches:
-            lists = batch.column(1)
-            keys = lists.flatten().to_numpy()
-            owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy())
-            hit = _hits(bits, _short(keys).view(np.int64))
+            held = [x or b"" for x in batch.column(1).to_pylist()]
+            keys = _unpacked(b"".join(held), width).view(np.int64)
+            owner = np.repeat(np.arange(len(held)), [len(x) // width for x in held])
+            hit = _hits(bits, keys)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[hit])), pa.array(keys[hit])], ["print", "key"])
 
     return work
@@ -276,38 +276,59 @@ def _pass_keys(bitmap):
 
 # --- keys that occur twice ----------------------------------------------------
 
-SHORT_BITS = 44
 ROWS_PER_OWNER = 100_000
 KEYS_PER_RUN = 2_000_000
+KEYS_PER_ROW_BITS = 9  # a document has some hundred keys
+KEY_SLACK_BITS = 12
 
 
-def _short(keys: np.ndarray) -> np.ndarray:
-    return keys.view(np.uint64) >> np.uint64(64 - SHORT_BITS)
+def key_width(rows: int) -> int:
+    """Bytes of a key as it is kept: enough that few of all keys are equal by
+    chance (those are compared in vain), at most seven."""
+    return min(7, int(np.ceil((np.log2(max(rows, 2)) + KEYS_PER_ROW_BITS + KEY_SLACK_BITS) / 8)))
 
 
-def _send_keys(owners: int):
-    """A task's short keys in sorted runs of bounded size, each cut by owner, as
-    gaps. A key that a run holds twice has a gap of zero."""
-    starts = np.array([(o << SHORT_BITS) // owners for o in range(owners)], dtype=np.uint64)
+def _packed(values: np.ndarray, width: int) -> bytes:
+    """Unsigned numbers as ``width`` bytes each."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
-    def messages(held: list[np.ndarray]) -> pa.RecordBatch:
-        keys = np.sort(_short(np.concatenate(held)))
+
+def _unpacked(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), dtype=np.uint8)
+    out[:, :width] = np.frombuffer(raw, dtype=np.uint8).reshape(-1, width)
+    return out.reshape(-1).view("<u8").astype(np.uint64)
+
+
+def _kept_keys(keys: np.ndarray, width: int) -> bytes:
+    """The first ``width`` bytes of the keys, each once."""
+    return _packed(np.unique(keys.view(np.uint64) >> np.uint64(64 - 8 * width)), width)
+
+
+def _send_keys(owners: int, width: int):
+    """A task's keys in sorted runs of bounded size, each cut by owner, as gaps
+    of as few bytes as the widest one needs. A key that a run holds twice has a
+    gap of zero."""
+    starts = np.array([(o << (8 * width)) // owners for o in range(owners)], dtype=np.uint64)
+
+    def messages(held: list[bytes]) -> pa.RecordBatch:
+        keys = np.sort(_unpacked(b"".join(held), width))
         out = []
         for owner, part in enumerate(np.split(keys, np.searchsorted(keys, starts[1:]))):
             if len(part):
                 gaps = np.diff(part - starts[owner], prepend=np.uint64(0))
-                wide = bool(gaps.max() >> np.uint64(32))
-                out.append((owner, wide, gaps.astype("<u8" if wide else "<u4").tobytes()))
-        owner, wide, gaps = zip(*out, strict=True) if out else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(owner, pa.int32()), pa.array(wide, pa.bool_()), pa.array(gaps, pa.binary())],
-                                          ["owner", "wide", "gaps"])
+                size = max(1, -(-int(gaps.max()).bit_length() // 8))
+                out.append((owner, size, _packed(gaps, size)))
+        owner, size, gaps = zip(*out, strict=True) if out else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(owner, pa.int32()), pa.array(size, pa.int32()), pa.array(gaps, pa.binary())],
+                                          ["owner", "size", "gaps"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            held.append(batch.column(0).flatten().to_numpy())
-            n += len(held[-1])
-            if n >= KEYS_PER_RUN:
+            for x in batch.column(0).to_pylist():
+                held.append(x or b"")
+                n += len(held[-1])
+            if n >= KEYS_PER_RUN * width:
                 yield messages(held)
                 held, n = [], 0
         if held:
@@ -316,13 +337,12 @@ def _send_keys(owners: int):
     return work
 
 
-def _twice(owners: int):
-    """The short keys that an owner gets twice."""
+def _twice(owners: int, width: int):
+    """The keys that an owner gets twice."""
 
     def work(messages: pd.DataFrame) -> pd.DataFrame:
-        parts = [np.cumsum(np.frombuffer(g, dtype="<u8" if w else "<u4").astype(np.uint64)) for w, g in zip(messages["wide"], messages["gaps"], strict=True)]
-        keys = np.sort(np.concatenate(parts))
-        start = (int(messages["owner"].iloc[0]) << SHORT_BITS) // owners
+        keys = np.sort(np.concatenate([np.cumsum(_unpacked(g, n), dtype=np.uint64) for n, g in zip(messages["size"], messages["gaps"], strict=True)]))
+        start = (int(messages["owner"].iloc[0]) << (8 * width)) // owners
         return pd.DataFrame({"key": np.unique(keys[1:][keys[1:] == keys[:-1]]).astype(np.int64) + start})
 
     return work
@@ -331,7 +351,7 @@ def _twice(owners: int):
 # --- the join ---------------------------------------------------------------
 
 
-def _sketch(percent: int, width: int, need: float):
+def _sketch(percent: int, width: int, need: float, key_bytes: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for batch in batches:
@@ -340,10 +360,10 @@ def _sketch(percent: int, width: int, need: float):
                 s = shingle_set(text, width)
                 sizes.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                keys.append(keys_of(s, bands, need) if len(s) and named else None)
+                keys.append(_kept_keys(keys_of(s, bands, need), key_bytes) if len(s) and named else None)
                 short.append(_short_sketch(s))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.binary()),
                  pa.array(short, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "keys", "sketch"])
 
     return work
@@ -437,6 +457,16 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return with_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
 
 
+def _with_heads(spokes: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
+    """``_with_sets`` of distinct pairs (a, b) whose a are few: their sets are
+    broadcast if their measured bytes allow it, so b's sets stay where they are."""
+    heads = materialise(sets.join(spokes.select(F.col("a").alias("node")).distinct(), "node", "left_semi"), "head-sets", folder)
+    side = heads.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    side = F.broadcast(side) if broadcast_bytes(heads) <= BROADCAST_BYTES else side
+    with_b = spokes.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    return with_b.join(side, "a").select("a", "b", "x", "y")
+
+
 def _deltas(percent: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -461,11 +491,9 @@ def _pivot_round(many: DataFrame, sets: DataFrame, percent: int, seed: int, fold
     # g: what shares a pivot; from the second round on a bucket of its own, or
     # the buckets that it was narrowed to would be one again
     group = F.col("a") if seed == 1 else F.col("key")
-    met = many.join(heads, "key").where("node <> a").select(group.alias("g"), "a", F.col("node").alias("b")).distinct()
-    if seed > 1:
-        met = materialise(met, "met", folder)
-    star = _with_sets(met.select("a", "b").distinct(), sets).mapInArrow(
-        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>").distinct()
+    met = materialise(many.join(heads, "key").where("node <> a").select(group.alias("g"), "a", F.col("node").alias("b")).distinct(), "met", folder)
+    star = _with_heads(materialise(met.select("a", "b").distinct(), "spokes", folder), sets, folder).mapInArrow(
+        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>")
     if seed > 1:
         star = star.join(met.select("g", F.col("a").alias("p"), F.col("b").alias("node")), ["p", "node"])
     else:
@@ -575,22 +603,24 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     spark: SparkSession = docs.sparkSession
     folder = scratch(spark, "parity-join")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    need = bits_needed(docs.count())
-    rows = materialise(texts.mapInArrow(_sketch(percent, width, need), "doc_id long, n_shingles long, print binary, keys array<long>, sketch array<long>"), "sketches", folder)
+    n = docs.count()
+    key_bytes = key_width(n)
+    rows = materialise(texts.mapInArrow(_sketch(percent, width, bits_needed(n), key_bytes),
+                                        "doc_id long, n_shingles long, print binary, keys binary, sketch array<long>"), "sketches", folder)
 
     # equal sets: the smallest id stands for all of them
     named = rows.where("doc_id is not null and n_shingles > 0")
     heads = materialise(named.groupBy("print").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "heads", folder)
 
     # Keys that occur twice: tasks send the owners of key ranges their sorted
-    # short keys as gaps of four bytes, the owners answer with what they got
+    # keys as gaps of two or three bytes, the owners answer with what they got
     # twice. A filter of fixed size then picks the few rows that have such
     # keys; only these are shuffled as rows.
     owners = max(8, -(-named.count() // ROWS_PER_OWNER))
-    sent = named.select("keys").mapInArrow(_send_keys(owners), "owner int, wide boolean, gaps binary")
-    twice = sent.groupBy("owner").applyInPandas(_twice(owners), "key long")
+    sent = named.select("keys").mapInArrow(_send_keys(owners, key_bytes), "owner int, size int, gaps binary")
+    twice = sent.groupBy("owner").applyInPandas(_twice(owners, key_bytes), "key long")
     bitmap = spark.sparkContext.broadcast(_key_filter(materialise(twice, "twice", folder)))
-    likely = named.select("print", "keys").mapInArrow(_pass_keys(bitmap), "print binary, key long").distinct()
+    likely = named.select("print", "keys").mapInArrow(_pass_keys(bitmap, key_bytes), "print binary, key long").distinct()
     likely = materialise(likely.join(heads.select("print", "node"), "print").select("node", "key"), "likely", folder)
     # a key that a large group of near copies shares is not dealt to one task
     counts = likely.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high")
@@ -629,7 +659,9 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
         pairs = few.join(other, "key").where("node < b and root <> root_b").select(F.col("node").alias("a"), "b").distinct()
         more, left = _pivot_round(open_.where(F.col("n") > SMALL_BUCKET), sets, percent, i, here)
         pairs = materialise(_possible(pairs, short, percent), "pairs", here)
-        new = materialise(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long").union(more), "new", here)
+        if pairs.limit(1).count():
+            more = more.union(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long"))
+        new = materialise(more, "new", here)
         buckets = materialise(left, "buckets", here)
         links = materialise(links.union(new), "all-links", here)
         if not buckets.limit(1).count():
