@@ -11,8 +11,10 @@ The expected grade is the sum of the tail probabilities P(grade >= j). A
 document is kept if its tail probability for the top grade reaches
 ``keep_tail``, or a lower cut if that would cost good documents: a fifth of
 the rated ones is held out of a first fit, and the cut is lowered until no more
-than ``good_loss`` of the held-out top grade falls below it. The model that is
-used is then fitted on all of them.
+than ``good_loss`` of the held-out top grade falls below it. Of fewer held-out
+ones than could show such a share (200 at 0.005) none falls below it: with few
+ratings the rule errs on the side of keeping. The model that is used is then
+fitted on all of them.
 
 The fit takes at most ``max_train`` rated documents (those with the least hash
 of the id, so the choice is the same at every run), and of these a share by id

@@ -4,7 +4,8 @@ from collections import Counter
 import numpy as np
 from corpus_cases import edge_docs, edge_rows, empty_docs
 
-from sysledger.llm.ordinal_quality import Settings, fit, fit_arrays, graded, score, select_rows
+from sysledger.llm import ordinal_quality
+from sysledger.llm.ordinal_quality import Model, Scorer, Settings, features, fit, fit_arrays, graded, score, select_rows
 
 MID = "/root/testdata/sf0.01"
 
@@ -47,6 +48,17 @@ def test_held_out_accuracy(spark):
     assert sum(low) / len(low) < 0.4
 
 
+def test_held_out_accuracy_with_more_ratings(spark):
+    """Two thousand ratings: the cut is a share of the held-out good ones."""
+    large = "/root/testdata/sf0.1"
+    docs, ratings = spark.read.parquet(f"{large}/documents.parquet"), graded(spark.read.parquet(f"{large}/labels.parquet"))
+    model = fit(docs, ratings.where("doc_id % 2 = 0"))
+    kept = {r.doc_id: r.kept for r in score(docs, model).collect()}
+    held = [(r.grade, kept[r.doc_id]) for r in ratings.where("doc_id % 2 = 1").collect()]
+    clean, low = [k for g, k in held if g == 2], [k for g, k in held if g == 0]
+    assert sum(clean) / len(clean) > 0.98 and sum(low) / len(low) < 0.05, (sum(clean), len(clean), sum(low), len(low))
+
+
 def test_edges(spark):
     ratings = spark.createDataFrame([(5, 1, 0), (8, 1, 0), (10, 0, 0), (12, 1, 1), (12, 1, None), (None, 0, 0), (77, 0, 0), (1, None, None)],
                                     "doc_id long, quality int, toxic int")
@@ -65,3 +77,44 @@ def test_nothing_rated(spark):
     model = fit(edge_docs(spark), graded(none))
     assert model is None
     assert all(r.kept and r.expected_grade is None for r in score(edge_docs(spark), model).collect())
+
+
+def test_scores_match_a_recomputation(spark, monkeypatch):
+    """Every score again from the features of the whole text, one by one."""
+    monkeypatch.setattr(ordinal_quality, "WORD_CACHE", 50)  # the cache is emptied many times
+    rng = np.random.default_rng(5)
+    dims = 4096
+    model = Model(rng.normal(size=dims).astype(np.float32), np.array([-1.0, 0.5]), 3, 0.4)
+    docs = edge_docs(spark).unionByName(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), allowMissingColumns=True)
+    texts = {}
+    for r in docs.select("doc_id", "text").collect():
+        texts.setdefault(r.doc_id, []).append(r.text)
+    scorer = Scorer(model.weights)
+    want = {}
+    for doc_id, found in texts.items():
+        for text in found:
+            ids = features(text or "", dims)
+            total = sum(float(model.weights[i]) for i in ids)
+            assert abs(scorer.score(text or "") - total) < 1e-3 * max(1, len(ids) ** 0.5)
+            tails = [1 / (1 + np.exp(-min(35, max(-35, total - t)))) for t in model.thresholds]
+            want.setdefault(doc_id, []).append((round(sum(tails), 2), round(tails[-1], 2)))
+    got = {}
+    for r in score(docs, model).collect():
+        assert r.kept == (r.tail_probability >= 0.4)
+        got.setdefault(r.doc_id, []).append((r.expected_grade, r.tail_probability))
+    assert set(got) == set(want)
+    for i in got:
+        assert np.allclose(sorted(got[i]), sorted(want[i]), atol=0.02), i
+
+
+def test_the_sample_is_bounded_in_features(spark):
+    docs, ratings = spark.read.parquet(f"{MID}/documents.parquet"), graded(spark.read.parquet(f"{MID}/labels.parquet"))
+    seen = []
+    real = ordinal_quality.fit_with_cut
+    try:
+        ordinal_quality.fit_with_cut = lambda rows, grades, settings: seen.append(sum(map(len, rows)))
+        fit(docs, ratings, Settings(max_train_ids=20_000))
+        fit(docs, ratings, Settings())
+    finally:
+        ordinal_quality.fit_with_cut = real
+    assert 5_000 < seen[0] < 60_000 < seen[1]

@@ -28,3 +28,36 @@ def test_stages(spark):
         if name in ("source mix", "bpe"):
             assert ids == seen
         seen = ids
+
+
+def test_run_equals_brute_force(spark):
+    """run() on the smallest tables against the stages by other means: the
+    classifier's verdicts as a set, plain loops for copies and near copies, the
+    mix's own passes, and the library's tokens."""
+    import hashlib
+    import re
+    from collections import Counter
+
+    from tokenizers import Tokenizer
+
+    from sysledger.llm import ordinal_quality, temperature_mix
+    from sysledger.llm.queries import WORD_BPE
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = ordinal_quality.fit(docs, ordinal_quality.graded(spark.read.parquet(f"{SF}/labels.parquet")))
+    kept = {r.doc_id for r in ordinal_quality.score(docs, model).collect() if r.kept}
+    first = {}
+    for r in sorted((r for r in docs.collect() if r.doc_id in kept), key=lambda r: r.doc_id):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", r.text or ""), r)
+    left = {r.doc_id: r.text for r in first.values()}
+    heads = {i for i, root in components({i: shingles(t, 5) for i, t in left.items()}, 80).items() if i == root}
+    passes = Counter(r.doc_id for r in temperature_mix.mix(docs.where(docs.doc_id.isin(list(heads))), max_repeats=2.0).collect())
+    library = Tokenizer.from_file(WORD_BPE)
+    library.no_truncation()
+    library.no_padding()
+    want = Counter()
+    for i, n in passes.items():
+        ids = library.encode(left[i], add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        want[i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()] = n
+    assert Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).collect()) == want and len(want) > 50

@@ -4,7 +4,9 @@ from collections import Counter, defaultdict
 import pytest
 from corpus_cases import documents, edge_docs, edge_rows, empty_docs
 
-from sysledger.llm.temperature_mix import mix, plan, repeat_rows
+from pyspark.sql import functions as F
+
+from sysledger.llm.temperature_mix import block_of, draw_of, mix, plan, repeat_rows
 
 
 def uneven(spark):
@@ -82,3 +84,37 @@ def test_documents_and_edges(spark):
     assert {(r.doc_id, r.text) for r in rows} == {(r[0], r[1]) for r in edge_rows()}
     assert mix(empty_docs(spark)).collect() == []
     assert repeat_rows(empty_docs(spark)).collect() == []
+
+
+def test_passes_match_a_recomputation(spark):
+    """Weights from the exponent, whole epochs, and the last one's blocks summed
+    one after the other in a plain loop, on the given documents."""
+    docs = documents(spark)
+    sized, sources = plan(docs, max_repeats=2.0, block_tokens=400)
+    info = {r.src.name: r for r in sources.collect()}
+    total = sum(r.source_tokens for r in info.values())
+    a = next(iter(info.values())).exponent
+    z = sum((r.source_tokens / total) ** a for r in info.values())
+    rows = sized.join(sources, "src").withColumn("block", block_of()).select(
+        "doc_id", F.col("src.name").alias("source"), "tokens", "block", draw_of(F.col("epochs")).alias("u")).collect()
+    want = Counter()
+    for name, r in info.items():
+        assert math.isclose(r.weight, (r.source_tokens / total) ** a / z, rel_tol=1e-9)
+        mine = [x for x in rows if x.source == name]
+        assert r.source_tokens == sum(len((d.text or "").split()) for d in docs.where(F.col("source") == name).collect())
+        assert r.epochs == math.floor(r.quota / r.source_tokens + 1e-9)
+        size, draw = Counter(), {}
+        for x in mine:
+            size[x.block] += x.tokens
+            draw[x.block] = x.u
+        upto, taken = 0, set()
+        for block in sorted(size, key=lambda b: (draw[b], b)):
+            upto += size[block]
+            if upto > r.quota - r.epochs * r.source_tokens:
+                break
+            taken.add(block)
+        for x in mine:
+            for epoch in range(r.epochs + (x.block in taken)):
+                want[x.doc_id, epoch] += 1
+    got = Counter((r.doc_id, r.epoch) for r in mix(docs, max_repeats=2.0, block_tokens=400).collect())
+    assert got == want
