@@ -37,8 +37,9 @@ member. Within a bucket (the members that share a key) not all pairs are
 compared:
 
 - A bucket of up to eight members is its pairs, but for connected ones.
-- The members of a larger one are compared with its head, and described by
-  their differences E(x) = x xor p from a pivot p: the set of what more than
+- The members of a larger one are compared with its head; up to a thousand are
+  counted against each other in a task, by their differences from the head.
+- The members of one that is larger still are described by their differences E(x) = x xor p from a pivot p: the set of what more than
   half of the head's members have. x xor y = E(x) xor E(y), so with
   q = (1 - t)/(1 + t) two are linked iff |E(x) xor E(y)| <= q (|x| + |y|).
   Let f(x) = |E(x)| - q |x|. If f(x) + f(y) <= 0 they are linked, and then
@@ -452,9 +453,13 @@ def _heads(open_: DataFrame, seed: int) -> DataFrame:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, x, y): the two sets beside each pair."""
+    """(a, b, x, y): the two sets beside each of the (written) pairs. Only sets
+    of some b are dealt by b."""
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    return with_a.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    wanted = pairs.select(F.col("b").alias("node")).distinct()
+    wanted = F.broadcast(wanted) if broadcast_bytes(pairs) <= BROADCAST_BYTES else wanted
+    met = sets.join(wanted, "node", "left_semi").select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    return with_a.join(met, "b").select("a", "b", "x", "y")
 
 
 def _with_heads(spokes: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
@@ -500,16 +505,28 @@ def _pivot_round(many: DataFrame, sets: DataFrame, percent: int, seed: int, fold
         star = star.withColumn("g", F.col("p"))
     star = materialise(star, "star", folder)
     links = star.where("linked").select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
-    # move the pivot to what most of its members have; the head is a member too
     counts = star.groupBy("g").agg(F.count("*").alias("m"), F.min("p").alias("p"), F.min("size_p").alias("size_p"))
+    counts = materialise(counts, "groups", folder)
+    roots = materialise(many.groupBy("node").agg(F.min("root").alias("root")), "roots", folder)
+    none = F.array().cast("array<long>")
+    # groups that fit a task are one bucket each; a member's differences are sent once
+    placed = join_totals(star, counts.select("g", F.col("m").alias("n"), "m"), ["g"], star.count(), folder, "placed", "inner")
+    whole = placed.where(F.col("m") < TASK_BUCKET).select("g", "node", "size", "e").union(
+        counts.where(F.col("m") < TASK_BUCKET).select("g", F.col("p").alias("node"), F.col("size_p").alias("size"), none))
+    whole = whole.join(F.broadcast(roots) if broadcast_bytes(roots) <= BROADCAST_BYTES else roots, "node")
+    links = links.union(_in_calls(whole.withColumn("met", F.lit(0).cast("long")), counts.agg(F.coalesce(F.sum("m"), F.lit(0))).first()[0], percent))
+    counts = counts.where(F.col("m") >= TASK_BUCKET)
+    if not counts.limit(1).count():
+        return links, many.select("node", "key").limit(0)
+    star = placed.where(F.col("m") >= TASK_BUCKET).drop("m")
+    # move the pivot to what most of its members have; the head is a member too
     usual = (star.select("g", F.explode("e").alias("e")).groupBy("g", "e").agg(F.count("*").alias("n"))
              .join(counts, "g").where("2 * n > m + 1").groupBy("g").agg(F.collect_list("e").alias("usual")))
-    counts = counts.join(usual, "g", "left").select("g", "p", "size_p", F.coalesce("usual", F.array().cast("array<long>")).alias("usual"))
+    counts = counts.join(usual, "g", "left").select("g", "p", "size_p", F.coalesce("usual", none).alias("usual"))
     members = star.select("g", "node", "size", "e").union(
-        counts.select("g", F.col("p").alias("node"), F.col("size_p").alias("size"), F.array().cast("array<long>").alias("e")))
+        counts.select("g", F.col("p").alias("node"), F.col("size_p").alias("size"), none.alias("e")))
     members = members.join(counts.select("g", "usual"), "g").select(
         "g", "node", "size", F.concat(F.array_except("e", "usual"), F.array_except("usual", "e")).alias("e"))
-    roots = many.groupBy("node").agg(F.min("root").alias("root"))
     members = materialise(members.join(roots, "node"), "members", folder)
     # f in whole numbers: times (100 + percent)
     f = (100 + percent) * F.size("e") - (100 - percent) * F.col("size")
@@ -545,12 +562,16 @@ def _pivot_round(many: DataFrame, sets: DataFrame, percent: int, seed: int, fold
             F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
         small = small.join(wide, "g", "left_anti").unionByName(met_blocks.select(
             "g", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("met"), "node", "root"))
-    # many small buckets make one call, of bounded size
-    calls = max(16, -(-small.count() // ROWS_PER_CALL))
-    inside = (small.join(members.select("g", "node", "size", "e"), ["g", "node"])
-              .withColumn("call", F.pmod(F.xxhash64("g", "met"), F.lit(calls)))
-              .groupBy("call").applyInPandas(_inside(percent), "a long, b long"))
-    return links.union(implied).union(inside.distinct()), left.distinct()
+    inside = _in_calls(small.join(members.select("g", "node", "size", "e"), ["g", "node"]), small.count(), percent)
+    return links.union(implied).union(inside), left.distinct()
+
+
+def _in_calls(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links among the members of each bucket (g, met); ``rows`` (about n): g,
+    met, node, root, size, e. Many small buckets make one call, of bounded size."""
+    calls = max(16, -(-n // ROWS_PER_CALL))
+    called = rows.select("g", "met", "node", "root", "size", "e", F.pmod(F.xxhash64("g", "met"), F.lit(calls)).alias("call"))
+    return called.groupBy("call").applyInPandas(_inside(percent), "a long, b long").distinct()
 
 
 def _bucket_links(node, root, sizes, deltas, percent: int) -> Iterator[tuple[int, int]]:
