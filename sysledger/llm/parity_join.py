@@ -87,7 +87,7 @@ SPARE_PARTS = 0.15  # E is this share of K + 1, and MORE_PARTS
 MORE_PARTS = 3
 SMALL_BUCKET = 8
 TASK_BUCKET = 1000
-ROWS_PER_CALL = 20_000
+ROWS_PER_CALL = 4_000
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 # --- shingles ---------------------------------------------------------------
@@ -277,8 +277,8 @@ def _pass_keys(bitmap, width: int):
 
 # --- keys that occur twice ----------------------------------------------------
 
-ROWS_PER_OWNER = 100_000
-KEYS_PER_RUN = 2_000_000
+ROWS_PER_OWNER = 12_500
+KEYS_PER_RUN = 1_000_000
 KEYS_PER_ROW_BITS = 9  # a document has some hundred keys
 KEY_SLACK_BITS = 12
 
