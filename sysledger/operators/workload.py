@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.hints import fits_broadcast
 from ..plans.skew import join_split
+from ..session import ensure_checkpoint_dir
 
 # --- durations ----------------------------------------------------------------
 
@@ -61,6 +63,9 @@ def unusually_long(owned: DataFrame, thresholds: DataFrame, by: list[str], min_s
 # --- patterns -----------------------------------------------------------------
 
 GRAM = 3
+# A word or gram that no more patterns than this have tells them apart.
+FEW = 8
+WORD = r"[\p{L}\p{N}]"
 
 
 def _pieces(pattern: Column) -> Column:
@@ -74,22 +79,57 @@ def _grams(text: Column, size: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
+def _sized_grams(runs: Column, size: int) -> Column:
+    """(size, anchor) for the distinct grams of a list of runs."""
+    grams = F.array_distinct(F.flatten(F.transform(runs, lambda r: _grams(r, size))))
+    return F.transform(grams, lambda g: F.struct(F.lit(size).alias("size"), g.alias("anchor")))
+
+
+def _words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"{WORD}++"), F.lit(0))
+
+
+def _whole_words(pattern: Column) -> Column:
+    """The words of a LIKE pattern that are words of every text that matches:
+    no wildcard (or escaped character) stands beside them."""
+    beside = rf"[\p{{L}}\p{{N}}%_\\]"
+    return F.regexp_extract_all(pattern, F.lit(f"(?<!{beside}){WORD}++(?!{beside})"), F.lit(0))
+
+
+def _rarest(choices: DataFrame) -> DataFrame:
+    """(pattern_id, pattern, size, anchor, n): of a pattern's choices (size,
+    anchor) the first size of which one is had by FEW patterns or less, else the
+    one that fewest have."""
+    counts = choices.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.when(F.col("n") <= FEW, 0).otherwise(F.col("n")).alias("level"), "size", "n", (-F.length("anchor")).alias("l"), "anchor")
+    best = choices.join(counts, "anchor").groupBy("pattern_id", "pattern").agg(F.min(order).alias("_a"))
+    return best.select("pattern_id", "pattern", "_a.size", "_a.anchor", "_a.n")
+
+
 def pattern_anchors(patterns: DataFrame, gram: int = GRAM) -> DataFrame:
-    """(pattern_id, pattern, anchor): lower-case LIKE patterns with a gram that
-    a text must hold to match. Of a pattern's grams it is the one that fewest
-    patterns have: what a family of patterns has in common does not tell them
-    apart. Without a literal run of ``gram`` characters it is the longest run
-    itself. A pattern without literals fails: it would match everything."""
-    low = patterns.where(F.col("pattern").isNotNull()).select("pattern_id", F.lower("pattern").alias("pattern"))
-    runs = low.withColumn("_runs", _pieces(F.col("pattern")))
-    every = F.array_distinct(F.flatten(F.transform("_runs", lambda r: _grams(r, gram))))
-    longest = F.get(F.sort_array(F.transform("_runs", lambda r: F.struct(F.length(r).alias("l"), r.alias("r"))), asc=False), F.lit(0)).getField("r")
-    failed = F.raise_error(F.concat(F.lit("a pattern needs a literal character: "), F.col("pattern"))).cast("string")
-    choices = runs.select("pattern_id", "pattern", F.explode(F.when(F.size(every) > 0, every).otherwise(
-        F.array(F.when(longest.isNull(), failed).otherwise(longest)))).alias("gram"))
-    counts = choices.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    return choices.join(counts, "gram").groupBy("pattern_id", "pattern").agg(F.min(F.struct("n", "gram")).alias("_a")).select(
-        "pattern_id", "pattern", F.col("_a.gram").alias("anchor"))
+    """(pattern_id, pattern, size, anchor): lower-case LIKE patterns with what a
+    text must hold to match: a whole word (size 0) or a gram of ``size``
+    characters. Of a pattern's words it is the one that fewest patterns have:
+    what a family of patterns has in common does not tell them apart. Patterns
+    without a word of their own have the shortest gram, of ``gram`` characters,
+    twice or four times as many, that few patterns have. Without a literal run
+    of ``gram`` characters it is the longest run itself. A pattern without
+    literals fails: it would match everything."""
+    ensure_checkpoint_dir(patterns.sparkSession)
+    low = patterns.where(F.col("pattern").isNotNull()).select("pattern_id", F.lower("pattern").alias("pattern")).distinct()
+    word = F.explode(F.array_distinct(_whole_words(F.col("pattern")))).alias("anchor")
+    named = _rarest(low.select("pattern_id", "pattern", F.lit(0).alias("size"), word)).checkpoint()
+    told = named.where(F.col("n") <= FEW)
+    same = [F.col("pattern_id").eqNullSafe(F.col("_id")), F.col("pattern") == F.col("_pattern")]
+    runs = low.join(told.select(F.col("pattern_id").alias("_id"), F.col("pattern").alias("_pattern")), same, "left_anti").withColumn(
+        "_runs", _pieces(F.col("pattern")))
+    every = F.concat(*[_sized_grams(F.col("_runs"), size) for size in (gram, 2 * gram, 4 * gram)])
+    longest = F.get(F.sort_array(F.transform("_runs", lambda r: F.struct(F.length(r).alias("l"), r.alias("r"))), asc=False), F.lit(0))
+    failed = F.raise_error(F.concat(F.lit("a pattern needs a literal character: "), F.col("pattern"))).cast("struct<size:int,anchor:string>")
+    choices = runs.select("pattern_id", "pattern", F.explode(F.when(F.size(every) > 0, every).otherwise(F.array(F.when(longest.isNull(), failed).otherwise(
+        F.struct(longest.getField("l").alias("size"), longest.getField("r").alias("anchor")))))).alias("c")).select("pattern_id", "pattern", "c.size", "c.anchor")
+    choices = choices.unionByName(named.where(F.col("n") > FEW).drop("n"))
+    return told.unionByName(_rarest(choices)).select("pattern_id", "pattern", "size", "anchor").checkpoint()
 
 
 def match_patterns(rows: DataFrame, text_col: str, id_col: str, patterns: DataFrame, gram: int = GRAM, *,
@@ -98,19 +138,24 @@ def match_patterns(rows: DataFrame, text_col: str, id_col: str, patterns: DataFr
     text matches. ``patterns``: pattern_id, pattern; thousands of them cost one
     scan of the texts.
 
-    Every pattern has one anchor gram, so a text and a pattern meet at most
-    once: the distinct grams of a text are joined with the anchors and what
+    Every pattern has one anchor, so a text and a pattern meet at most once: the
+    distinct words and grams of a text are joined with the anchors and what
     meets is verified by the pattern itself. The patterns are broadcast if
-    their measured size allows it; else texts are dealt by gram, the grams
-    that many texts have in pieces."""
+    their measured size allows it; else texts are dealt by what they share with
+    the anchors (of which a hash goes to every task, if these allow it), and
+    what many texts have in pieces."""
     options = {} if max_broadcast_bytes is None else {"max_broadcast_bytes": max_broadcast_bytes}
     anchors = pattern_anchors(patterns, gram)
-    sizes = [r[0] for r in anchors.select(F.length("anchor")).distinct().collect()]  # at most ``gram`` rows
+    sizes = sorted(r[0] for r in anchors.select("size").distinct().collect())  # the words, and at most ``gram`` + 2 more
     low = rows.where(F.col(text_col).isNotNull()).select(id_col, F.lower(text_col).alias("_text"))
     if not sizes:
         return low.select(id_col, F.lit(None).cast(patterns.schema["pattern_id"].dataType).alias("pattern_id")).limit(0)
-    grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_text"), s) for s in sorted(sizes)])))
-    met = join_split(low.select(id_col, "_text", F.explode(grams).alias("anchor")), anchors, ["anchor"], id_col, how="inner", **options)
+    held = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_text"), s) if s else _words(F.col("_text")) for s in sizes])))
+    found = low.select(id_col, "_text", F.explode(held).alias("anchor"))
+    hashes = anchors.select(F.xxhash64("anchor").alias("_hash")).distinct()
+    if not fits_broadcast(anchors, **({} if max_broadcast_bytes is None else {"max_bytes": max_broadcast_bytes})) and fits_broadcast(hashes):
+        found = found.join(F.broadcast(hashes), F.xxhash64("anchor") == F.col("_hash"), "left_semi")
+    met = join_split(found, anchors.drop("size"), ["anchor"], id_col, how="inner", **options)
     return met.where(F.like("_text", "pattern")).select(id_col, "pattern_id")
 
 

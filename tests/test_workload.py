@@ -79,6 +79,30 @@ def test_pattern_edges(spark):
     assert sorted(map(tuple, workload.match_patterns(texts, "s", "id", one).collect())) == [(1, 1), (1, 2)]
 
 
+@pytest.mark.parametrize("form", ["%FROM sales where id = {} and%", "update%-- done {}", "%id={}%", "%x{}y%z%"])
+def test_a_family_of_patterns_is_told_apart(spark, form):
+    """Patterns that differ in a number: no text has to be compared with more
+    than a few of them."""
+    patterns = spark.createDataFrame([(k, form.format(k)) for k in range(20_000, 22_000)], "pattern_id long, pattern string")
+    anchors = workload.pattern_anchors(patterns)
+    assert anchors.select("pattern_id").distinct().count() == 2000
+    assert max(r["count"] for r in anchors.groupBy("anchor").count().collect()) <= 20
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_words_beside_wildcards(spark, limit):
+    """A word is an anchor only where a text must have it as a word; patterns
+    that come twice or without an id are rows like any other."""
+    texts = [(1, "drop table t1"), (2, "dropped table t12"), (3, "x_drop table"), (4, "50% drop table"), (None, "drop table t1"), (6, "été table"), (7, "étéx table")]
+    patterns = [(1, "drop%"), (2, "drop table %"), (3, "%drop table%"), (4, "%t1"), (5, "% t_"), (6, r"50\% drop%"), (7, r"x\_drop table"), (8, "été %"),
+                (9, "_té% table"), (9, "_té% table"), (None, "% table"), (None, "% t1")]
+    got = workload.match_patterns(spark.createDataFrame(texts, "id long, s string"), "s", "id",
+                                  spark.createDataFrame(patterns, "pattern_id long, pattern string"), max_broadcast_bytes=limit)
+    want = [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (2, 1), (3, 3), (3, 7), (4, 3), (4, 6), (6, 8), (6, 9), (7, 9), (None, 1), (None, 2), (None, 3),
+            (None, 4), (None, 5), (1, None), (None, None), (3, None), (4, None), (6, None), (7, None)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("text, shape", [
     ("SELECT a FROM t WHERE id = 17 and v > 1.5e3", "select a from t where id = ? and v > ?"),
     ("select a\n\tfrom t where id=18 and v>2 -- why", "select a from t where id = ? and v > ?"),
