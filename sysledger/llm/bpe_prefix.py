@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import released, small_batches
 
 NEVER = 1 << 60
 FIRST, SECOND, THIRD = map(operator.itemgetter, (0, 1, 2))
@@ -42,7 +42,8 @@ END = ""
 # Unicode White_Space; str.split() also cuts at the four separators below.
 WHITE = "\t-\r \x85\xa0  -     　"
 SPLIT_ONLY_BY_PYTHON = "\x1c\x1d\x1e\x1f"
-CACHE_WORDS = 100_000
+CACHE_WORDS = 50_000
+CACHE_PAIRS = 250_000
 
 # Letters and digits of Unicode versions after Python's tables
 # that the tokenizers library knows, and its lower case of them (first and
@@ -140,11 +141,15 @@ class WordEncoder:
         return not self._joins(a, b, self.rank[self.ids[a] << 20 | self.ids[b]])
 
     def compatible(self, l: int, r: int) -> bool:
-        if len(self.fits) > 2_000_000:
+        if len(self.fits) >= CACHE_PAIRS:
             self.fits.clear()
         found = self.fits[l << 20 | r] = not self._joins(self.names[l], self.names[r], NEVER)
         return found
 
+    def forget(self) -> None:
+        for cache in (self.fits, self.left, self.right):
+            cache.clear()
+
     def tokens(self, word: str) -> list[int]:
         """Ids of ``word``, a pre-token in the byte alphabet."""
         text = word + END
@@ -181,6 +186,10 @@ class Cache(dict):
     def __init__(self, make):
         self.make, self.old = make, {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def __missing__(self, text: str):
         made = self.old.get(text)
         if made is None:
@@ -290,6 +299,12 @@ class Tokenizer:
                 decoded += map(THIRD, found)
         return n, hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(" ".join(decoded).encode()).hexdigest()
 
+    def forget(self) -> None:
+        """Empty the caches; what the vocabulary file says stays."""
+        self.word.forget()
+        for cache in (self.runs, self.pieces_seen, self.rendered):
+            cache.forget()
+
     def decode(self, ids) -> str:
         return " ".join([self.strings[i] for i in ids])
 
@@ -307,6 +322,12 @@ def _tokenizer(content: str) -> Tokenizer:
     return _LOADED[key]
 
 
+def _forget() -> None:
+    """The caches go with the task, the tokenizer stays in the worker."""
+    for t in _LOADED.values():
+        t.forget()
+
+
 def _vocabulary(docs: DataFrame, path: str):
     small_batches(docs.sparkSession)
     with open(path, encoding="utf-8") as f:  # a file of fixed size beside the library, sent to the tasks once
@@ -325,7 +346,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             ids = pa.array([t.encode(x or "") for x in batch.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(released(work, _forget), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -338,7 +359,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             texts = pa.array([t.decode(x or ()) for x in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(work, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(released(work, _forget), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -356,4 +377,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        released(work, _forget), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

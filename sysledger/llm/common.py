@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,31 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
+def release_memory() -> None:
+    """Give freed memory back. Python workers live as long as their executor,
+    and Arrow and the C library keep what tasks have freed for the next ones:
+    memory that the executor counts in every later stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim:
+        trim(0)
+
+
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], forget: Callable[[], None] | None = None):
+    """``work`` (for mapInArrow) that leaves no memory behind it; ``forget``
+    empties what it keeps from one task to the next."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            if forget:
+                forget()
+            release_memory()
+
+    return run
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder, one per call."""
     small_batches(spark)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import materialise, released, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]{2}")
@@ -216,7 +216,7 @@ def fit(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings()) ->
             found = [features(t or "", dims) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "grade", "ids"])
 
-    found = materialise(texts.mapInArrow(work, "doc_id long, grade int, ids array<int>"), "ratings")
+    found = materialise(texts.mapInArrow(released(work), "doc_id long, grade int, ids array<int>"), "ratings")
     total = found.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0))).first()[0]
     if total > settings.max_train_ids:  # bounded in bytes too: a share of the rated rows, by their id
         share = int(settings.max_train_ids / total * (1 << 20))
@@ -280,7 +280,7 @@ def _scored(docs: DataFrame, model: Model | None, columns: list[str], only_kept:
                 yield pa.RecordBatch.from_arrays([*own, grade, top, pa.array(kept)],
                                                  names=[*columns, "expected_grade", "tail_probability", "kept"])
 
-    return sent.mapInArrow(work, schema)
+    return sent.mapInArrow(released(work), schema)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

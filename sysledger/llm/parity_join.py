@@ -78,7 +78,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, broadcast_bytes, join_totals, materialise, scratch
+from .common import BROADCAST_BYTES, broadcast_bytes, join_totals, materialise, release_memory, released, scratch
 
 BAND_RATIO = 1.4
 SLACK_BITS = 10
@@ -312,7 +312,8 @@ def _send_keys(owners: int, width: int):
     starts = np.array([(o << (8 * width)) // owners for o in range(owners)], dtype=np.uint64)
 
     def messages(held: list[bytes]) -> pa.RecordBatch:
-        keys = np.sort(_unpacked(b"".join(held), width))
+        keys = _unpacked(b"".join(held), width)
+        keys.sort()
         out = []
         for owner, part in enumerate(np.split(keys, np.searchsorted(keys, starts[1:]))):
             if len(part):
@@ -342,9 +343,13 @@ def _twice(owners: int, width: int):
     """The keys that an owner gets twice."""
 
     def work(messages: pd.DataFrame) -> pd.DataFrame:
-        keys = np.sort(np.concatenate([np.cumsum(_unpacked(g, n), dtype=np.uint64) for n, g in zip(messages["size"], messages["gaps"], strict=True)]))
+        keys = np.concatenate([np.cumsum(_unpacked(g, n), dtype=np.uint64) for n, g in zip(messages["size"], messages["gaps"], strict=True)])
+        keys.sort()
         start = (int(messages["owner"].iloc[0]) << (8 * width)) // owners
-        return pd.DataFrame({"key": np.unique(keys[1:][keys[1:] == keys[:-1]]).astype(np.int64) + start})
+        found = np.unique(keys[1:][keys[1:] == keys[:-1]]).astype(np.int64) + start
+        del keys
+        release_memory()
+        return pd.DataFrame({"key": found})
 
     return work
 
@@ -498,7 +503,7 @@ def _pivot_round(many: DataFrame, sets: DataFrame, percent: int, seed: int, fold
     group = F.col("a") if seed == 1 else F.col("key")
     met = materialise(many.join(heads, "key").where("node <> a").select(group.alias("g"), "a", F.col("node").alias("b")).distinct(), "met", folder)
     star = _with_heads(materialise(met.select("a", "b").distinct(), "spokes", folder), sets, folder).mapInArrow(
-        _deltas(percent), "p long, node long, size_p long, size long, linked boolean, e array<long>")
+        released(_deltas(percent)), "p long, node long, size_p long, size long, linked boolean, e array<long>")
     if seed > 1:
         star = star.join(met.select("g", F.col("a").alias("p"), F.col("b").alias("node")), ["p", "node"])
     else:
@@ -613,6 +618,7 @@ def _inside(percent: int):
         for i, j in zip(cuts, cuts[1:], strict=False):
             if len(set(root[i:j].tolist())) > 1:
                 out += _bucket_links(node[i:j], root[i:j], sizes[i:j], deltas[i:j], percent)
+        release_memory()
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return work
@@ -626,7 +632,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n = docs.count()
     key_bytes = key_width(n)
-    rows = materialise(texts.mapInArrow(_sketch(percent, width, bits_needed(n), key_bytes),
+    rows = materialise(texts.mapInArrow(released(_sketch(percent, width, bits_needed(n), key_bytes)),
                                         "doc_id long, n_shingles long, print binary, keys binary, sketch array<long>"), "sketches", folder)
 
     # equal sets: the smallest id stands for all of them
@@ -638,10 +644,10 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     # twice. A filter of fixed size then picks the few rows that have such
     # keys; only these are shuffled as rows.
     owners = max(8, -(-named.count() // ROWS_PER_OWNER))
-    sent = named.select("keys").mapInArrow(_send_keys(owners, key_bytes), "owner int, size int, gaps binary")
+    sent = named.select("keys").mapInArrow(released(_send_keys(owners, key_bytes)), "owner int, size int, gaps binary")
     twice = sent.groupBy("owner").applyInPandas(_twice(owners, key_bytes), "key long")
     bitmap = spark.sparkContext.broadcast(_key_filter(materialise(twice, "twice", folder)))
-    likely = named.select("print", "keys").mapInArrow(_pass_keys(bitmap, key_bytes), "print binary, key long").distinct()
+    likely = named.select("print", "keys").mapInArrow(released(_pass_keys(bitmap, key_bytes)), "print binary, key long").distinct()
     likely = materialise(likely.join(heads.select("print", "node"), "print").select("node", "key"), "likely", folder)
     # a key that a large group of near copies shares is not dealt to one task
     counts = likely.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high")
@@ -660,9 +666,9 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     wanted = materialise(nodes, "wanted", folder)
     # a filter again, so that no other text is shuffled
     chosen = spark.sparkContext.broadcast(_key_filter(wanted.select(F.col("node").alias("key"))))
-    sets = materialise(texts.mapInArrow(_sets(width, chosen), "node long, shingles binary"), "sets", folder)
+    sets = materialise(texts.mapInArrow(released(_sets(width, chosen)), "node long, shingles binary"), "sets", folder)
 
-    links = materialise(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long"), "first-links", folder)
+    links = materialise(_with_sets(pairs, sets).mapInArrow(released(_verify(percent)), "a long, b long"), "first-links", folder)
     found = materialise(components(wanted, links, f"{folder}/first"), "found", folder)
     i = 0
     while True:
@@ -681,7 +687,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
         more, left = _pivot_round(open_.where(F.col("n") > SMALL_BUCKET), sets, percent, i, here)
         pairs = materialise(_possible(pairs, short, percent), "pairs", here)
         if pairs.limit(1).count():
-            more = more.union(_with_sets(pairs, sets).mapInArrow(_verify(percent), "a long, b long"))
+            more = more.union(_with_sets(pairs, sets).mapInArrow(released(_verify(percent)), "a long, b long"))
         new = materialise(more, "new", here)
         buckets = materialise(left, "buckets", here)
         links = materialise(links.union(new), "all-links", here)

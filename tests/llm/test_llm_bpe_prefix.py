@@ -9,7 +9,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer as Library
 
+from sysledger.llm import bpe_prefix
 from sysledger.llm.bpe_prefix import Tokenizer, decode, encode, round_trip
+from sysledger.llm.common import released
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -67,3 +69,19 @@ def test_edges(spark, both):
     texts = {hashlib.sha256(r.text.encode()).hexdigest() for r in decode(ids, PATH).collect()}
     assert texts == {r.decoded_sha256 for r in rows}
     assert round_trip(empty_docs(spark), PATH).collect() == []
+
+
+def test_caches_go_with_the_task():
+    """A worker keeps the tokenizer, and not what its texts left in the caches;
+    ids are the same afterwards."""
+    with open(PATH, encoding="utf-8") as f:
+        t = bpe_prefix._tokenizer(f.read())
+    text = "Some words, another's 12 words and some more."
+
+    def work(batches):
+        for x in batches:
+            yield t.digests(x), t.encode(x)
+
+    first = list(released(work, bpe_prefix._forget)(iter([text])))
+    assert not any(map(len, (t.runs, t.runs.old, t.rendered, t.rendered.old, t.pieces_seen, t.pieces_seen.old, t.word.fits, t.word.left, t.word.right)))
+    assert list(released(work, bpe_prefix._forget)(iter([text]))) == first
