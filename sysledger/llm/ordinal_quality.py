@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, released, small_batches
+from .common import materialise, release_memory, released, small_batches
 
 WORD = re.compile(r"[^\W\d_]+")
 CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]{2}")
@@ -140,9 +140,13 @@ def _minimise(f, x: np.ndarray, iterations: int, memory: int = 8) -> np.ndarray:
     return x
 
 
+FEATURES_PER_STEP = 500_000
+
+
 def fit_arrays(rows: list[np.ndarray], grades: np.ndarray, settings: Settings) -> Model | None:
     """Penalised maximum likelihood. Thresholds are t_1 and t_1 plus positive
-    gaps, so they stay in order."""
+    gaps, so they stay in order. Beside the rows, only their features' columns
+    are held whole; sums over features go by runs of rows."""
     levels = int(grades.max()) + 1 if len(grades) else 0
     if len(np.unique(grades)) < 2:
         return None
@@ -150,17 +154,24 @@ def fit_arrays(rows: list[np.ndarray], grades: np.ndarray, settings: Settings) -
     for r in rows:
         seen[np.unique(r)] += 1
     used = np.flatnonzero(seen >= min(settings.min_documents, max(2, len(rows) // 50)))
-    place = np.full(settings.dims, -1, dtype=np.int64)
+    place = np.full(settings.dims, -1, dtype=np.int32)
     place[used] = np.arange(len(used))
-    columns = [place[r][place[r] >= 0] for r in rows]
-    at = np.repeat(np.arange(len(rows)), [len(c) for c in columns])
-    column = np.concatenate(columns)
     k, n = len(used), len(rows)
+    ends = np.cumsum([0, *[np.count_nonzero(place[r] >= 0) for r in rows]])
+    column = np.empty(ends[-1], dtype=np.int32)
+    for r, i, j in zip(rows, ends, ends[1:], strict=False):
+        column[i:j] = place[r][place[r] >= 0]
+    steps = sorted({0, n, *np.searchsorted(ends, range(FEATURES_PER_STEP, ends[-1], FEATURES_PER_STEP)).tolist()})
+
+    def runs() -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+        """Rows, and for each of their features the row (from 0) and column."""
+        for i, j in zip(steps, steps[1:], strict=False):
+            yield slice(i, j), np.repeat(np.arange(j - i), np.diff(ends[i:j + 1])), column[ends[i]:ends[j]]
 
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
         gaps = np.exp(p[k + 1:])
         t = p[k] + np.concatenate([[0.0], np.cumsum(gaps)])
-        s = np.bincount(at, weights=p[:k][column], minlength=n)
+        s = np.concatenate([np.bincount(at, weights=p[:k][own], minlength=r.stop - r.start) for r, at, own in runs()])
         tail = np.column_stack([np.ones(n), _logistic(s[:, None] - t[None, :]), np.zeros(n)])
         here = np.maximum(tail[np.arange(n), grades] - tail[np.arange(n), grades + 1], 1e-12)
         bend = tail * (1 - tail)
@@ -170,8 +181,11 @@ def fit_arrays(rows: list[np.ndarray], grades: np.ndarray, settings: Settings) -
         by_t[np.arange(n), grades] += low
         by_t[np.arange(n), grades + 1] -= high
         by_t = by_t[:, 1:levels].sum(axis=0)
+        by_column = np.zeros(k)
+        for r, at, own in runs():
+            np.add.at(by_column, own, by_score[r][at])
         slope = np.concatenate([
-            np.bincount(column, weights=by_score[at], minlength=k) + settings.l2 * p[:k],
+            by_column + settings.l2 * p[:k],
             [by_t.sum()], [by_t[j + 1:].sum() * gaps[j] for j in range(levels - 2)]])
         return float(-np.log(here).sum() + settings.l2 / 2 * (p[:k] @ p[:k])), slope
 
@@ -224,7 +238,10 @@ def fit(docs: DataFrame, ratings: DataFrame, settings: Settings = Settings()) ->
     sample = found.select("grade", "ids").toArrow()
     flat = sample.column("ids").combine_chunks()
     rows = [np.asarray(r.values) for r in flat] if len(sample) else []
-    return fit_with_cut(rows, np.asarray(sample.column("grade").to_numpy(), dtype=np.int64), settings)
+    model = fit_with_cut(rows, np.asarray(sample.column("grade").to_numpy(), dtype=np.int64), settings)
+    del sample, flat, rows
+    release_memory()
+    return model
 
 
 class Scorer:

@@ -37,6 +37,9 @@ member. Within a bucket (the members that share a key) not all pairs are
 compared:
 
 - A bucket of up to eight members is its pairs, but for connected ones.
+- A larger one is first rid of members that sizes and short sketches let be
+  linked with no other of up to a thousand that meet the same head: a passage
+  that unlike documents share costs no sets and no differences.
 - The members of a larger one are compared with its head; up to a thousand are
   counted against each other in a task, by their differences from the head.
 - The members of one that is larger still are described by their differences E(x) = x xor p from a pivot p: the set of what more than
@@ -240,20 +243,33 @@ FILTER_BITS = 1 << 27
 SEGMENT_BITS = 1 << 16
 
 
+# A key has two bits: of the filter's n keys, n / FILTER_BITS squared (times
+# four) of all others pass it, where one bit lets n / FILTER_BITS pass.
+FILTER_SHIFTS = (0, 13)
+
+
 def _hits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys a filter holds (and a few more that it does not)."""
-    at = (keys.view(np.uint64) % np.uint64(FILTER_BITS)).astype(np.int64)
-    return ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+    found = np.ones(len(keys), dtype=bool)
+    for shift in FILTER_SHIFTS:
+        at = ((keys.view(np.uint64) >> np.uint64(shift)) % np.uint64(FILTER_BITS)).astype(np.int64)
+        found &= ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
+    return found
 
 
 def _key_filter(keys: DataFrame) -> bytes:
     """A bitmap of FILTER_BITS / 8 bytes, whatever the input; it comes to the
     driver as segments."""
-    at = F.pmod(F.col("key"), F.lit(FILTER_BITS))  # FILTER_BITS is a power of two: the low bits
-    segments = (keys.select((at / SEGMENT_BITS).cast("int").alias("segment"), (at % SEGMENT_BITS).cast("int").alias("bit"))
-                .distinct().groupBy("segment").applyInPandas(_segment, "segment int, bits binary"))
+    # FILTER_BITS is a power of two: the low bits of the key, and of the key shifted
+    places = F.array(*[F.pmod(F.shiftrightunsigned("key", shift), F.lit(FILTER_BITS)) for shift in FILTER_SHIFTS])
+    segments = (keys.select(F.explode(places).alias("at"))
+                .select((F.col("at") / SEGMENT_BITS).cast("int").alias("segment"), (F.col("at") % SEGMENT_BITS).cast("int").alias("bit"))
+                .groupBy("segment").applyInPandas(_segment, "segment int, bits binary"))
     have = {r.segment: bytes(r.bits) for r in segments.collect()}
-    return b"".join(have.get(i, bytes(SEGMENT_BITS // 8)) for i in range(FILTER_BITS // SEGMENT_BITS))
+    bits = b"".join(have.get(i, bytes(SEGMENT_BITS // 8)) for i in range(FILTER_BITS // SEGMENT_BITS))
+    del have
+    release_memory()
+    return bits
 
 
 def _segment(rows: pd.DataFrame) -> pd.DataFrame:
@@ -376,38 +392,82 @@ def _sketch(percent: int, width: int, need: float, key_bytes: int):
 
 
 SHORT_SKETCH = 512
+WIDE_SKETCH = 4096  # for the pairs that are left: tells long sets apart too
 
 
-def _short_sketch(shingles: np.ndarray) -> np.ndarray:
-    """The parity sketch of SHORT_SKETCH places, as 64-bit words."""
-    counts = np.bincount((_mix(shingles) % np.uint64(SHORT_SKETCH)).astype(np.int64), minlength=SHORT_SKETCH)
+def _short_sketch(shingles: np.ndarray, places: int = SHORT_SKETCH) -> np.ndarray:
+    """The parity sketch of ``places`` places, as 64-bit words."""
+    counts = np.bincount((_mix(shingles) % np.uint64(places)).astype(np.int64), minlength=places)
     return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
 
 
-def _possible(pairs: DataFrame, short: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that sizes and short sketches do not rule out: the
-    Hamming distance of two sketches is no more than the sets differ in. Only
-    these pairs' sets are shipped."""
+def _possible(pairs: DataFrame, short: DataFrame, percent: int, places: int = SHORT_SKETCH) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches do not rule out: the Hamming
+    distance of two sketches is no more than the sets differ in. Only these
+    pairs' sets are shipped."""
     def side(node: str) -> DataFrame:
         return short.select(F.col("node").alias(node), F.col("n").alias(f"n_{node}"), F.col("sketch").alias(f"s_{node}"))
 
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     total = F.col("n_a") + F.col("n_b")
-    words = [F.bit_count(F.get("s_a", F.lit(i)).bitwiseXOR(F.get("s_b", F.lit(i)))) for i in range(SHORT_SKETCH // 64)]
+    words = [F.bit_count(F.get("s_a", F.lit(i)).bitwiseXOR(F.get("s_b", F.lit(i)))) for i in range(places // 64)]
     return near.where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
                       & ((100 + percent) * sum(words[1:], words[0]) <= (100 - percent) * total)).select("a", "b").distinct()
 
 
+def _with_partners(buckets: DataFrame, short: DataFrame, percent: int, folder: str) -> DataFrame:
+    """The rows (node, key) of large buckets without the members that cannot be
+    linked with any other. The members of all buckets that have a head are held
+    against each other by sizes and short sketches, in a task if there are up
+    to TASK_BUCKET of them; of more, all stay."""
+    heads = buckets.groupBy("key").agg(F.min(F.struct(F.xxhash64("node", F.lit(1)).alias("h"), "node")).alias("p"))
+    placed = materialise(buckets.join(heads.select("key", F.col("p.node").alias("g")), "key"), "placed", folder)
+    met = materialise(placed.select("g", "node").distinct(), "met", folder)
+    sizes = met.groupBy("g").agg(F.count("*").alias("n"))
+    n = met.count()
+    groups = materialise(join_totals(met, sizes.select("g", "n", F.col("n").alias("m")), ["g"], n, folder, "group-sizes", "inner"), "groups", folder)
+    calls = max(16, -(-n // ROWS_PER_CALL))
+    fit = groups.where(F.col("m") <= TASK_BUCKET).join(short, "node").select(
+        "g", "node", "n", "sketch", F.pmod(F.xxhash64("g"), F.lit(calls)).alias("call"))
+    kept = fit.groupBy("call").applyInPandas(_partners(percent), "g long, node long")
+    stay = groups.where(F.col("m") > TASK_BUCKET).select("g", "node").union(kept)
+    return placed.join(stay, ["g", "node"], "left_semi").select("node", "key")
+
+
+def _partners(percent: int):
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("g", kind="stable")
+        g, sizes = rows["g"].to_numpy(), rows["n"].to_numpy()
+        bits = np.unpackbits(np.array(rows["sketch"].to_list(), dtype=np.int64).view(np.uint8), axis=1)
+        keep = np.zeros(len(g), dtype=bool)
+        cuts = [0, *(np.flatnonzero(g[1:] != g[:-1]) + 1).tolist(), len(g)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            b, n = bits[i:j].astype(np.float32), sizes[i:j]  # whole numbers up to SHORT_SKETCH: exact
+            odd = b.sum(axis=1)
+            differ = odd[:, None] + odd[None, :] - 2 * (b @ b.T)
+            may = (100 + percent) * differ <= (100 - percent) * (n[:, None] + n[None, :])
+            may &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+            np.fill_diagonal(may, False)
+            keep[i:j] = may.any(axis=1)
+        out = rows.loc[keep, ["g", "node"]]
+        release_memory()
+        return out
+
+    return work
+
+
 def _sets(width: int, bitmap):
-    """The sets of the documents whose id is in the filter."""
+    """The sets of the documents whose id is in the filter, and their wide sketches."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, dtype=np.uint8)
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy()
             batch = batch.filter(pa.array(_hits(bits, ids) & batch.column(0).is_valid().to_numpy(zero_copy_only=False)))
-            sets = [shingle_set(t, width).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+            sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_short_sketch(s, WIDE_SKETCH) for s in sets], pa.list_(pa.int64())),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "n", "sketch", "shingles"])
 
     return work
 
@@ -458,22 +518,33 @@ def _heads(open_: DataFrame, seed: int) -> DataFrame:
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, x, y): the two sets beside each of the (written) pairs. Only sets
-    of some b are dealt by b."""
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
+    """(a, b, x, y): the two sets beside each of the (written) pairs. Pairs go
+    to the sets of a if their measured bytes allow it; only sets of some b are
+    dealt by b."""
+    few = broadcast_bytes(pairs) <= BROADCAST_BYTES
+    with_a = (F.broadcast(pairs) if few else pairs).join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     wanted = pairs.select(F.col("b").alias("node")).distinct()
-    wanted = F.broadcast(wanted) if broadcast_bytes(pairs) <= BROADCAST_BYTES else wanted
-    met = sets.join(wanted, "node", "left_semi").select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    met = sets.join(F.broadcast(wanted) if few else wanted, "node", "left_semi").select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     return with_a.join(met, "b").select("a", "b", "x", "y")
 
 
+def _links(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+    """The (written) pairs that are linked, by the sets of those that their wide
+    sketches do not rule out."""
+    near = materialise(_possible(pairs, sets.select("node", "n", "sketch"), percent, WIDE_SKETCH), "near-pairs", folder)
+    return _with_sets(near, sets).mapInArrow(released(_verify(percent)), "a long, b long")
+
+
 def _with_heads(spokes: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
     """``_with_sets`` of distinct pairs (a, b) whose a are few: their sets are
-    broadcast if their measured bytes allow it, so b's sets stay where they are."""
-    heads = materialise(sets.join(spokes.select(F.col("a").alias("node")).distinct(), "node", "left_semi"), "head-sets", folder)
+    broadcast if their measured bytes allow it, and so are the (written) pairs:
+    then b's sets stay where they are."""
+    few = broadcast_bytes(spokes) <= BROADCAST_BYTES
+    ids = spokes.select(F.col("a").alias("node")).distinct()
+    heads = materialise(sets.join(F.broadcast(ids) if few else ids, "node", "left_semi"), "head-sets", folder)
     side = heads.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     side = F.broadcast(side) if broadcast_bytes(heads) <= BROADCAST_BYTES else side
-    with_b = spokes.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    with_b = (F.broadcast(spokes) if few else spokes).join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     return with_b.join(side, "a").select("a", "b", "x", "y")
 
 
@@ -647,28 +718,35 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
     sent = named.select("keys").mapInArrow(released(_send_keys(owners, key_bytes)), "owner int, size int, gaps binary")
     twice = sent.groupBy("owner").applyInPandas(_twice(owners, key_bytes), "key long")
     bitmap = spark.sparkContext.broadcast(_key_filter(materialise(twice, "twice", folder)))
-    likely = named.select("print", "keys").mapInArrow(released(_pass_keys(bitmap, key_bytes)), "print binary, key long").distinct()
-    likely = materialise(likely.join(heads.select("print", "node"), "print").select("node", "key"), "likely", folder)
+    likely = named.select("print", "keys").mapInArrow(released(_pass_keys(bitmap, key_bytes)), "print binary, key long")
+    first = heads.select("print", "node")
+    if broadcast_bytes(first) <= BROADCAST_BYTES:  # then only narrow rows are dealt out, and once
+        first = F.broadcast(first)
+        likely = likely.join(first, "print").select("node", "key").distinct()
+    else:
+        likely = likely.distinct().join(first, "print").select("node", "key")
+    likely = materialise(likely, "likely", folder)
     # a key that a large group of near copies shares is not dealt to one task
     counts = likely.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low < high")
     members = materialise(join_totals(likely, counts.select("key", "n", F.col("n").alias("members")), ["key"], likely.count(), folder, "key-counts", "inner"),
                           "members", folder)
     # pairs of small buckets that sizes and short sketches do not rule out; only
     # their sets and those of the large buckets' members are fetched
-    short = materialise(named.select("print", "doc_id", F.col("n_shingles").alias("n"), "sketch").join(heads.select("print", "node"), "print")
+    short = materialise(named.select("print", "doc_id", F.col("n_shingles").alias("n"), "sketch").join(first, "print")
                         .where("doc_id = node").select("node", "n", "sketch").distinct(), "short", folder)
     small = members.where(F.col("members") <= SMALL_BUCKET)
     pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").where("a < b").select("a", "b")
     pairs = materialise(_possible(pairs.distinct(), short, percent), "first-pairs", folder)
-    buckets = materialise(members.where(F.col("members") > SMALL_BUCKET).select("node", "key"), "buckets", folder)
+    buckets = materialise(_with_partners(members.where(F.col("members") > SMALL_BUCKET).select("node", "key"), short, percent, f"{folder}/partners"),
+                          "buckets", folder)
 
     nodes = buckets.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     wanted = materialise(nodes, "wanted", folder)
     # a filter again, so that no other text is shuffled
     chosen = spark.sparkContext.broadcast(_key_filter(wanted.select(F.col("node").alias("key"))))
-    sets = materialise(texts.mapInArrow(released(_sets(width, chosen)), "node long, shingles binary"), "sets", folder)
+    sets = materialise(texts.mapInArrow(released(_sets(width, chosen)), "node long, n long, sketch array<long>, shingles binary"), "sets", folder)
 
-    links = materialise(_with_sets(pairs, sets).mapInArrow(released(_verify(percent)), "a long, b long"), "first-links", folder)
+    links = materialise(_links(pairs, sets, percent, folder), "first-links", folder)
     found = materialise(components(wanted, links, f"{folder}/first"), "found", folder)
     i = 0
     while True:
@@ -687,7 +765,7 @@ def jaccard_components(docs: DataFrame, percent: int = 90, width: int = 3) -> Da
         more, left = _pivot_round(open_.where(F.col("n") > SMALL_BUCKET), sets, percent, i, here)
         pairs = materialise(_possible(pairs, short, percent), "pairs", here)
         if pairs.limit(1).count():
-            more = more.union(_with_sets(pairs, sets).mapInArrow(released(_verify(percent)), "a long, b long"))
+            more = more.union(_links(pairs, sets, percent, here))
         new = materialise(more, "new", here)
         buckets = materialise(left, "buckets", here)
         links = materialise(links.union(new), "all-links", here)

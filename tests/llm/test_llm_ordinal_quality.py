@@ -118,3 +118,18 @@ def test_the_sample_is_bounded_in_features(spark):
     finally:
         ordinal_quality.fit_with_cut = real
     assert 5_000 < seen[0] < 60_000 < seen[1]
+
+
+def test_fit_holds_the_features_once():
+    """The driver's memory beside the rows: a column of four bytes a feature and
+    runs of bounded size."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    settings = ordinal_quality.Settings(dims=1 << 12, iterations=3)
+    rows = [rng.integers(0, settings.dims, 2_000).astype(np.int32) for _ in range(2_000)]
+    tracemalloc.start()
+    assert ordinal_quality.fit_arrays(rows, rng.integers(0, 3, len(rows)), settings) is not None
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * 4_000_000

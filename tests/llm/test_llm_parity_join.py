@@ -142,3 +142,41 @@ def test_shared_keys_grow_with_the_rows_not_with_their_square():
         shared[n], emitted[n] = int(counts[counts > 1].sum()), len(every)
     assert emitted[4000] < 0.9 * sum(map(len, sets))
     assert shared[4000] < 0.1 * 4000 and shared[4000] < 4 * max(shared[2000], 40) < 16 * max(shared[1000], 40)
+
+
+def test_key_filter_lets_few_other_keys_pass(spark, monkeypatch):
+    """All keys pass, and of others the square of the filter's share of set bits."""
+    monkeypatch.setattr(parity_join, "FILTER_BITS", 1 << 20)
+    rng = np.random.default_rng(3)
+    keys, others = rng.integers(0, 1 << 40, 5_000), rng.integers(0, 1 << 40, 200_000)
+    bits = np.frombuffer(parity_join._key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long")), dtype=np.uint8)
+    assert len(bits) == (1 << 20) // 8 and parity_join._hits(bits, keys).all()
+    assert parity_join._hits(bits, others).sum() < 100  # one bit a key: about 950
+
+
+def test_large_buckets_lose_members_that_nothing_is_like(spark, tmp_path, monkeypatch):
+    """Documents that share a passage alone leave its bucket, near copies among
+    them stay; a group beyond TASK_BUCKET stays whole."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(["a passage that all of them use"] + [f"w{i}" for i in rng.integers(0, 10**9, 150)]) for _ in range(40)]
+    texts += [texts[7] + " one", texts[11] + " two"]
+    sets = [parity_join.shingle_set(t, 3) for t in texts]
+    short = spark.createDataFrame([(i, len(s), parity_join._short_sketch(s).tolist()) for i, s in enumerate(sets)], "node long, n long, sketch array<long>")
+    buckets = spark.createDataFrame([(i, 99) for i in range(len(sets))], "node long, key long")
+    left = {tuple(r) for r in parity_join._with_partners(buckets, short, 80, str(tmp_path / "a")).collect()}
+    assert left == {(i, 99) for i in (7, 11, 40, 41)}
+    monkeypatch.setattr(parity_join, "TASK_BUCKET", 6)
+    assert parity_join._with_partners(buckets, short, 80, str(tmp_path / "b")).count() == len(sets)
+
+
+def test_wide_sketches_tell_long_sets_apart(spark, tmp_path):
+    """Pairs of long unlike sets go before their sets are shipped; links stay."""
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, 3_000).astype(np.uint64)) for _ in range(3)]
+    sets.append(sets[0][50:])
+    kept = spark.createDataFrame([(i, len(s), parity_join._short_sketch(s, parity_join.WIDE_SKETCH).tolist(), s.tobytes()) for i, s in enumerate(sets)],
+                                 "node long, n long, sketch array<long>, shingles binary")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (0, 3), (1, 2), (1, 3)], "a long, b long")
+    links = parity_join._links(pairs, kept, 80, str(tmp_path))
+    assert {tuple(r) for r in links.collect()} == {(0, 3)}
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "near-pairs")).collect()} == {(0, 3)}
