@@ -22,7 +22,6 @@ import gc
 import hashlib
 import itertools
 import json
-import operator
 import re
 import sys
 import unicodedata
@@ -36,13 +35,12 @@ from pyspark.sql import functions as F
 from .common import released, small_batches
 
 NEVER = 1 << 60
-FIRST, SECOND, THIRD = map(operator.itemgetter, (0, 1, 2))
 # stands for the end-of-word mark behind a word's last symbol
 END = ""
 # Unicode White_Space; str.split() also cuts at the four separators below.
 WHITE = "\t-\r \x85\xa0  -     　"
 SPLIT_ONLY_BY_PYTHON = "\x1c\x1d\x1e\x1f"
-CACHE_WORDS = 50_000
+CACHE_WORDS = 100_000
 CACHE_PAIRS = 250_000
 
 # Letters and digits of Unicode versions after Python's tables
@@ -85,7 +83,7 @@ class WordEncoder:
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], suffix: str):
         self.suffix = suffix
         self.ids = vocab
-        self.rank: dict[int, int] = {}  # by left id << 20 | right id, like fits
+        self.rank: dict[int, int] = {}  # by left id << 20 | right id
         self.parts: dict[str, tuple[str, str]] = {}
         for i, (a, b) in enumerate(merges):
             self.rank.setdefault(vocab[a] << 20 | vocab[b], i)
@@ -93,14 +91,19 @@ class WordEncoder:
         self.right: dict[str, list[tuple[int, int]]] = {}
         self.left: dict[str, list[tuple[int, int]]] = {}
         self.names = {i: t for t, i in vocab.items()}
-        self.fits: dict[int, bool] = {}  # by left id << 20 | right id
+        # whether a token fits behind another: for each token one dict, by the
+        # other, which the automaton hands out with it; those in use by token
+        self.fits: dict[int, dict[int, bool]] = {}
+        self.pairs = 0
+        self.whole: dict[str, int] = {}  # the texts that one token encodes
         self.automaton = ahocorasick.Automaton()
         made = {a + b for a, b in merges}
         for token in vocab:
             base = len(token.removesuffix(suffix)) == 1
             if base or (token in made and self._whole(token)):
                 plain = token.removesuffix(suffix) + (END if token.endswith(suffix) else "")
-                self.automaton.add_word(plain, (vocab[token], len(plain)))
+                self.automaton.add_word(plain, (vocab[token], len(plain), {}))
+                self.whole[plain] = vocab[token]
         self.automaton.make_automaton()
 
     def _spine(self, token: str, side: int) -> list[tuple[int, int]]:
@@ -140,23 +143,34 @@ class WordEncoder:
         a, b = self.parts[token]
         return not self._joins(a, b, self.rank[self.ids[a] << 20 | self.ids[b]])
 
-    def compatible(self, l: int, r: int) -> bool:
-        if len(self.fits) >= CACHE_PAIRS:
-            self.fits.clear()
-        found = self.fits[l << 20 | r] = not self._joins(self.names[l], self.names[r], NEVER)
+    def compatible(self, l: int, r: int, fits: dict[int, bool]) -> bool:
+        """Whether r fits behind l, noted in ``fits``, the dict of r."""
+        if self.pairs >= CACHE_PAIRS:
+            self._forget_pairs()
+        found = fits[l] = not self._joins(self.names[l], self.names[r], NEVER)
+        self.fits[r] = fits
+        self.pairs += 1
         return found
 
+    def _forget_pairs(self) -> None:
+        for fits in self.fits.values():
+            fits.clear()
+        self.fits.clear()
+        self.pairs = 0
+
     def forget(self) -> None:
-        for cache in (self.fits, self.left, self.right):
+        self._forget_pairs()
+        for cache in (self.left, self.right):
             cache.clear()
 
     def tokens(self, word: str) -> list[int]:
         """Ids of ``word``, a pre-token in the byte alphabet."""
         text = word + END
+        if text in self.whole:
+            return [self.whole[text]]
         last = [-1] * (len(text) + 1)
         size = [0] * (len(text) + 1)
-        fits = self.fits
-        for end, (token, length) in self.automaton.iter(text):
+        for end, (token, length, fits) in self.automaton.iter(text):
             to = end + 1
             if last[to] < 0:
                 start = to - length
@@ -164,8 +178,8 @@ class WordEncoder:
                     before = last[start]
                     if before < 0:
                         continue
-                    fit = fits.get(before << 20 | token)
-                    if not (self.compatible(before, token) if fit is None else fit):
+                    fit = fits.get(before)
+                    if not (self.compatible(before, token, fits) if fit is None else fit):
                         continue
                 last[to], size[to] = token, length
         out, at = [], len(text)
@@ -230,6 +244,7 @@ class Tokenizer:
         self.white = re.compile(f"[{WHITE}]+")
         self.alphabet = dict(enumerate(byte_alphabet()))
         self.strings = {i: s for s, i in [*model["vocab"].items(), *self.special.items()]}
+        self.shown = {i: str(i) for i in self.strings}
         self.runs = Cache(self._run)
         self.pieces_seen = Cache(self._piece)
         self.rendered = Cache(self._render)
@@ -258,7 +273,7 @@ class Tokenizer:
             return n + m, f"{ids} {more}", f"{text} {mark}"
         else:
             ids = self._run(run)
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+        return len(ids), " ".join([self.shown[i] for i in ids]), self.decode(ids)
 
     def split(self, text: str) -> Iterator[tuple[list[str], int | None]]:
         """A text's runs in their normal form, or the id of a special string."""
@@ -293,10 +308,10 @@ class Tokenizer:
                 ids.append(str(special))
                 decoded.append(self.strings[special])
             elif runs:
-                found = list(map(self.rendered.__getitem__, runs))
-                n += sum(map(FIRST, found))
-                ids += map(SECOND, found)
-                decoded += map(THIRD, found)
+                counts, shown, texts = zip(*map(self.rendered.__getitem__, runs), strict=True)
+                n += sum(counts)
+                ids += shown
+                decoded += texts
         return n, hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(" ".join(decoded).encode()).hexdigest()
 
     def forget(self) -> None:

@@ -85,3 +85,20 @@ def test_caches_go_with_the_task():
     first = list(released(work, bpe_prefix._forget)(iter([text])))
     assert not any(map(len, (t.runs, t.runs.old, t.rendered, t.rendered.old, t.pieces_seen, t.pieces_seen.old, t.word.fits, t.word.left, t.word.right)))
     assert list(released(work, bpe_prefix._forget)(iter([text]))) == first
+
+
+def test_words_that_are_tokens_take_no_search(both, monkeypatch):
+    """A word that is a token as it stands is looked up; what pairs are noted
+    for the others is bounded, and ids are the same after they are dropped."""
+    ours, library = both
+    encoder = ours.word
+    ours.forget()
+    plain = [w for w in ("the", "and", "people", "government") if w + bpe_prefix.END in encoder.whole]
+    assert plain
+    for w in plain:
+        assert ours.encode(w) == library.encode(w, add_special_tokens=False).ids
+    assert not encoder.pairs and not encoder.fits
+    monkeypatch.setattr(bpe_prefix, "CACHE_PAIRS", 20)
+    for text in ("unforeseeable counterrevolutionaries", "xqzzyjw hyperbolically 3rd-party", "antidisestablishmentarianism qwertyuiop"):
+        assert ours.encode(text) == library.encode(text, add_special_tokens=False).ids
+        assert encoder.pairs == sum(map(len, encoder.fits.values())) <= 20
